@@ -1,4 +1,6 @@
 """All queries of the library by key, with the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from tidebar.plans import p_bars, p_joins, p_rows, p_windows  # noqa: F401
+from tidebar.plans.register import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
