@@ -106,7 +106,8 @@ def series_completeness(cont: DataFrame, n: int) -> DataFrame:
 def missing_patterns(missing: DataFrame) -> DataFrame:
     """Counts of missing dates by year, month and weekday, in one pass of grouping sets."""
     parts = missing.select(F.year("date").alias("year"), F.month("date").alias("month"), F.weekday("date").alias("weekday"))
-    return parts.groupingSets([["year"], ["month"], ["weekday"]], "year", "month", "weekday").agg(F.count("*").alias("n"))
+    counted = parts.groupingSets([["year"], ["month"], ["weekday"]], "year", "month", "weekday").agg(F.count("*").alias("n"))
+    return counted.fillna(-1, ["year", "month", "weekday"])  # -1: over all
 
 
 def trades_daily(trades: DataFrame, initial: float = 100_000.0) -> DataFrame:

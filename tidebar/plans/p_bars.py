@@ -134,13 +134,13 @@ def _(t: Tables):
     return b.series_completeness(cont, 5)
 
 
-@query("missing_pattern_counts", """SELECT CAST(year AS INT) AS year, CAST(month AS INT) AS month, CAST(weekday AS INT) AS weekday, count(*) AS n FROM (SELECT year(date) AS year, month(date) AS month, isodow(date) - 1 AS weekday FROM (SELECT symbol, CAST(timestamp AS DATE) AS date FROM dirty_bars WHERE open IS NULL))
+@query("missing_pattern_counts", """SELECT CAST(coalesce(year, -1) AS INT) AS year, CAST(coalesce(month, -1) AS INT) AS month, CAST(coalesce(weekday, -1) AS INT) AS weekday, count(*) AS n FROM (SELECT year(date) AS year, month(date) AS month, isodow(date) - 1 AS weekday FROM (SELECT symbol, CAST(timestamp AS DATE) AS date FROM dirty_bars WHERE open IS NULL))
     GROUP BY GROUPING SETS ((year), (month), (weekday))""")
 def _(t: Tables):
     return b.missing_patterns(t.dirty_bars.where("open IS NULL").select(F.to_date("timestamp").alias("date")))
 
 
-_TRADES = "SELECT CAST(timestamp AS DATE) AS date, (close - 50.0) * volume AS pnl, 5.0 * volume AS costs FROM ticks"
+_TRADES = "SELECT CAST(timestamp AS DATE) AS date, (close - 50.0) * volume AS pnl, 5.0::DOUBLE * volume AS costs FROM ticks"
 
 
 @query("trades_daily", f"""WITH d AS (SELECT date, sum(pnl) AS pnl, sum(costs) AS costs, count(*) AS trades, round(avg(CASE WHEN pnl > costs THEN 1.0 ELSE 0.0 END), 6) AS win_rate FROM ({_TRADES}) GROUP BY date),

@@ -182,7 +182,7 @@ def _(t: Tables):
     return m.term_structure_stats(_wide(t))
 
 
-@query("trade_costs", "SELECT id, round((id % 7 - 3) * (close - 50.0) * 50.0, 6) AS pnl, round(2 * (1.0 * abs(id % 7 - 3) + 0.25 * 50.0 * abs(id % 7 - 3)), 6) AS costs FROM ticks")
+@query("trade_costs", "SELECT id, round((id % 7 - 3) * (close - 50.0) * 50.0, 6) AS pnl, round((2 * (1.0 * abs(id % 7 - 3) + 0.25 * 50.0 * abs(id % 7 - 3)))::DOUBLE, 6) AS costs FROM ticks")
 def _(t: Tables):
     trades = t.ticks.select("id", (F.col("id") % 7 - 3).alias("quantity"), F.lit(50.0).alias("entry"), F.col("close").alias("exit"))
     return m.trade_costs(trades).select("id", "pnl", "costs")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidebar.plans.dates import DATE_COLUMNS
 from tidebar.sources.adapters import CTES, Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,15 +32,22 @@ def with_ctes(sql: str, more: dict[str, str] | None = None) -> str:
     return f"WITH {chosen}, {sql[5:]}" if sql.startswith("WITH ") else f"WITH {chosen} {sql}"
 
 
+def _timed(df: DataFrame, dates: tuple[str, ...]) -> DataFrame:
+    return df.withColumns({c: df[c].cast("timestamp") for c in dates}) if dates else df
+
+
 def query(key: str, sql: str | None = None, more: dict[str, str] | None = None):
     """Register a function (Tables) -> DataFrame under a key."""
 
     def keep(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if key in QUERIES:
             raise ValueError(f"{key} is registered twice")
-        QUERIES[key] = lambda spark, folder: f(Tables(spark, folder))
+        dates = DATE_COLUMNS.get(key, ())
+        QUERIES[key] = lambda spark, folder: _timed(f(Tables(spark, folder)), dates)
         if sql:
-            SQL[key] = with_ctes(" ".join(sql.split()), more)
+            text = with_ctes(" ".join(sql.split()), more)
+            replaced = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in dates)
+            SQL[key] = f"SELECT * REPLACE ({replaced}) FROM ({text})" if dates else text
         return f
 
     return keep
