@@ -22,6 +22,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,44 +140,60 @@ def blocks(benchmark: DataFrame, window: int = WINDOW, size: int = BLOCK_WORDS)
         yield Block(items, window)
 
 
+def _found(block: Block, texts: list[str | None], before: list[dict | None]) -> list[dict]:
+    """What a block finds in each text, together with what blocks before have found."""
+    hits, items = block.find([words_of(t) for t in texts])
+    rows = []
+    for hit, new, was in zip(hits, items, before):
+        matches = [dict(zip(MATCH.names, m)) for m in new]
+        if was is not None:
+            matches = [*was["items"], *matches]
+            if was["hit"] is not None:
+                hit = hit | np.unpackbits(np.frombuffer(was["hit"], np.uint8), count=len(hit)).astype(bool)
+        rows.append({"n_words": len(hit), "n_hit": int(hit.sum()), "hit": np.packbits(hit).tobytes() if hit.any() else None, "items": matches})
+    return rows
+
+
 def _search(spark, block: Block):
+    """A function from texts to what the block finds."""
     shared = spark.sparkContext.broadcast(block)
 
     @F.pandas_udf(FOUND)
-    def search(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, before in batches:
-            words = [words_of(t) for t in texts]
-            hits, items = shared.value.find(words)
-            rows = []
-            for hit, was, found in zip(hits, before, items):
-                if was is not None:
-                    hit = hit | np.unpackbits(np.frombuffer(was, np.uint8), count=len(hit)).astype(bool)
-                rows.append((len(hit), int(hit.sum()), np.packbits(hit).tobytes() if hit.any() else None, [dict(zip(MATCH.names, m)) for m in found]))
-            yield pd.DataFrame(rows, columns=FOUND.names)
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame(_found(shared.value, list(texts), [None] * len(texts)), columns=FOUND.names)
+
+    return search
+
+
+def _search_more(spark, block: Block, text: str, name: str):
+    """The same for rows that carry what other blocks have found."""
+    shared = spark.sparkContext.broadcast(block)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(name)
+            rows = _found(shared.value, batch.column(batch.schema.get_field_index(text)).to_pylist(), batch.column(at).to_pylist())
+            columns = list(batch.columns)
+            columns[at] = pa.array(rows, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return search
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """docs with the column `found`: n_words, n_hit, hit (a bitmap, null if none), items (longest match of each item).
+def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "found") -> DataFrame:
+    """docs with a column (`found`): n_words, n_hit, hit (a bitmap, null if none), items (longest match of each item).
 
-    Columns of docs stay as they are, except one that is called `found` already.
+    Columns of docs stay as they are, except one that has this name already.
     """
     spark = docs.sparkSession
-    n = 0
-    out = docs.drop("found")
-    none = F.lit(None).cast("binary")
-    for n, block in enumerate(blocks(benchmark), 1):
-        search = _search(spark, block)
-        if n == 1:
-            out = out.withColumn("found", search(F.col(text), none))
+    out, first = docs.drop(name), True
+    for block in blocks(benchmark):
+        if first:
+            out, first = out.withColumn(name, _search(spark, block)(F.col(text))), False
         else:
-            more = search(F.col(text), F.col("found.hit"))
-            out = out.withColumn("_more", more).withColumn(
-                "found",
-                F.struct("_more.n_words", "_more.n_hit", "_more.hit", F.concat("found.items", "_more.items").alias("items")),
-            ).drop("_more")
-    return out if n else out.withColumn("found", _search(spark, Block([]))(F.col(text), none))
+            out = out.mapInArrow(_search_more(spark, block, text, name), out.schema)
+    return out.withColumn(name, _search(spark, Block([]))(F.col(text))) if first else out
 
 
 def n_hit(found: str = "found") -> Column:
@@ -207,6 +224,5 @@ def contaminated(words: Column, hit: Column) -> Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that are not contaminated, with their own columns."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = contamination(docs, benchmark)
-    return found.where(~contaminated(F.col("found.n_words"), n_hit())).select(*columns)
+    found = contamination(docs, benchmark, name="_contamination")
+    return found.where(~contaminated(F.col("_contamination.n_words"), n_hit("_contamination"))).select(*(F.col(f"`{c}`") for c in docs.columns))

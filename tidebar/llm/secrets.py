@@ -161,20 +161,20 @@ def _matches(rule: Rule, order: int, text: Column) -> Column:
 _NONE = "cast(array() as array<struct<start:int,kind:int,end:int>>)"
 
 
-def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """docs with the column `spans`: array<struct<start, kind, end>>, sorted; kind is the rule's number.
+def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", name: str = "spans") -> DataFrame:
+    """docs with a column (`spans`): array<struct<start, kind, end>>, sorted; kind is the rule's number.
 
-    Other columns stay, except one that is called `spans` already.
+    Other columns stay, except one that has this name already.
     """
-    columns = [c for c in docs.columns if c != "spans"]
-    chosen = candidates(docs, rules, text).select(F.col("doc_id").alias("_doc_id"), F.col("rules").alias("_rules"))
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    columns = [c for c in docs.columns if c != name]
+    chosen = candidates(docs, rules, text).select(F.col("doc_id").alias("_secret_id"), F.col("rules").alias("_secret_rules"))
+    body = F.coalesce(docs[f"`{text}`"], F.lit(""))
     found = []
     for n, rule in enumerate(rules):
-        passes = F.getbit(F.coalesce("_rules", F.lit(0).cast("long")), F.lit(n)) == 1 if trigram_query(rule.pattern) else body.rlike(rule.pattern)
+        passes = F.getbit(F.coalesce(chosen["_secret_rules"], F.lit(0).cast("long")), F.lit(n)) == 1 if trigram_query(rule.pattern) else body.rlike(rule.pattern)
         found.append(F.when(passes, _matches(rule, n, body)).otherwise(F.expr(_NONE)))
-    joined = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_doc_id"]), "left")
-    return joined.select(*(F.col(f"`{c}`") for c in columns), F.array_sort(F.concat(*found)).alias("spans"))
+    joined = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_secret_id"]), "left")
+    return joined.select(*(docs[f"`{c}`"] for c in columns), F.array_sort(F.concat(*found)).alias(name))
 
 
 def listed(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -200,15 +200,15 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """docs with each secret in text replaced by mark, and n_chars counted anew where one was; same columns and rows."""
     body = F.col("text")
     masked = F.aggregate(
-        F.col("spans"),
+        F.col("_secret_spans"),
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda a, s: F.when(
             s["start"] >= a["at"], F.struct(s["end"].alias("at"), F.concat(a["out"], F.substring(body, a["at"] + 1, s["start"] - a["at"]), F.lit(mark)).alias("out"))
         ).otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))),
         lambda a: F.concat(a["out"], F.substring(body, a["at"] + 1, F.char_length(body))),
     )
-    some = F.size("spans") > 0
-    out = with_spans(docs).withColumn("text", F.when(some, masked).otherwise(body))
+    some = F.size("_secret_spans") > 0
+    out = with_spans(docs, name="_secret_spans").withColumn("text", F.when(some, masked).otherwise(body))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(some, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*(F.col(f"`{c}`") for c in docs.columns))
