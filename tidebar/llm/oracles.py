@@ -1,3 +1,44 @@
-"""DuckDB SQL for the queries of this subpackage whose results SQL can express."""
+"""DuckDB SQL for the queries of this subpackage whose results SQL can express.
 
-SQL: dict[str, str] = {}
+The others rest on a trained model, a hash that DuckDB lacks, a tokenizer or a
+keyed permutation; tests hold them against brute force.
+"""
+
+from .decontaminate import SHARE, WINDOW
+from .secrets import RULES
+from .topk import K, SCALE
+
+
+
+def _spans(rule, n: int) -> str:
+    """(doc_id, row, start, kind, stop) of a rule's matches: pieces between matches and matches add up to places."""
+    p = rule.pattern.replace("'", "''")
+    return f"""SELECT r, start, {n} AS kind, start + size AS stop FROM (SELECT r, sum(gap + size) OVER (PARTITION BY r ORDER BY i) - size AS start, size, counted FROM (SELECT r, i, length(gaps[i]) AS gap, length(whole[i]) AS size, length(part[i]) AS counted
+        FROM (SELECT r, regexp_extract_all(t, '{p}') AS whole, regexp_extract_all(t, '{p}', {rule.group}) AS part, regexp_split_to_array(t, '{p}') AS gaps FROM d), unnest(range(1, len(whole) + 1)) AS u(i))) WHERE counted >= {rule.least}"""
+
+
+_LISTED = "string_agg(CASE kind {} END || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, kind)".format(" ".join(f"WHEN {n} THEN '{r.kind}'" for n, r in enumerate(RULES)))
+
+_OP2 = f"""WITH d AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents), s AS MATERIALIZED ({' UNION ALL '.join(_spans(rule, n) for n, rule in enumerate(RULES))}),
+    g AS (SELECT r, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS b, count(*) FILTER (kind = 2) AS c, {_LISTED} FILTER (kind < 3) AS base, {_LISTED} AS every FROM s GROUP BY r)
+    SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans FROM d LEFT JOIN g ON g.r = d.r"""
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_OP7 = f"""WITH d AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents), b AS MATERIALIZED (SELECT item_id, {_WORDS} AS w, least({WINDOW}, len({_WORDS})) AS n FROM benchmark),
+    bw AS MATERIALIZED (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS k FROM b, unnest(range(1, len(w) - n + 2)) AS u(i) WHERE n > 0),
+    dw AS (SELECT r, i, m.n, array_to_string(w[i : i + m.n - 1], ' ') AS k FROM d, (SELECT DISTINCT n FROM bw) m, unnest(range(1, len(w) - m.n + 2)) AS u(i)),
+    h AS MATERIALIZED (SELECT dw.r, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON bw.n = dw.n AND bw.k = dw.k),
+    x AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, i, n FROM h), unnest(range(i, i + n)) AS u(p) GROUP BY r),
+    y AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM (SELECT DISTINCT r, item_id FROM h WHERE item_id IS NOT NULL) GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN x ON x.r = d.r LEFT JOIN y ON y.r = d.r"""
+
+_OP9 = f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS q FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 20 = 0)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= {K}"""
+
+SQL: dict[str, str] = {
+    "op2_secret_scans": " ".join(_OP2.split("\n")),
+    "op7_benchmark_decontamination": " ".join(_OP7.split("\n")),
+    "op9_exact_top_k": " ".join(_OP9.split("\n")),
+}
