@@ -15,6 +15,15 @@ def last_rows(n: int, key: str = "symbol", order: str = "timestamp") -> WindowSp
     return by_symbol(order, key=key).rowsBetween(-n + 1, 0)
 
 
+def next_value(value: Column | str, key: str = "symbol", order: str = "timestamp") -> Column:
+    """The row's value or the first one after it that is not null.
+
+    By a running window in falling order: a frame that ends with the partition would be summed up anew for each row.
+    """
+    w = Window.partitionBy(key).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return F.last(value, ignorenulls=True).over(w)
+
+
 def guarded(n: int, value: Column, counted: Column, over: WindowSpec) -> Column:
     """value, once so many of counted are in the window."""
     return F.when(F.count(counted).over(over) >= n, value)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebar.functions.scalars import by_symbol, guarded, r
+from tidebar.functions.scalars import by_symbol, guarded, next_value, r
 from tidebar.operators.windows import centred_band
 
 OHLC = ("open", "high", "low", "close")
@@ -47,12 +47,12 @@ def interpolate(bars: DataFrame, columns: Sequence[str], by: str = "position", l
     out = bars.withColumn("_n", F.row_number().over(by_symbol()))
     made = {}
     w = by_symbol()
-    back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    back = w.rowsBetween(Window.unboundedPreceding, 0)
     x = F.col("_n").cast("double") if by == "position" else F.unix_micros("timestamp").cast("double")
     for c in columns:
         there = F.col(c).isNotNull()
-        x0, x1 = F.last(F.when(there, x), ignorenulls=True).over(back), F.first(F.when(there, x), ignorenulls=True).over(ahead)
-        y0, y1 = F.last(c, ignorenulls=True).over(back), F.first(c, ignorenulls=True).over(ahead)
+        x0, x1 = F.last(F.when(there, x), ignorenulls=True).over(back), next_value(F.when(there, x))
+        y0, y1 = F.last(c, ignorenulls=True).over(back), next_value(c)
         line = F.when(x1.isNull(), y0).otherwise(y0 + (y1 - y0) * F.try_divide(x - x0, x1 - x0))
         if limit is not None:
             line = F.when(F.col("_n") - F.last(F.when(there, F.col("_n")), ignorenulls=True).over(back) <= limit, line)
@@ -215,7 +215,7 @@ def fill_zero_prices(series: DataFrame, reference: DataFrame, limit: int = 5, re
     valid = F.when(F.col("value") > 0, F.col("value"))
     df = series.select(F.col("position").cast("string").alias("symbol"), "position", F.col("date").cast("timestamp").alias("timestamp"), valid.alias("value"))
     lined = interpolate(df.withColumn("line", F.col("value")), ["line"], by="time", limit=limit)
-    ahead = F.first("value", ignorenulls=True).over(by_symbol().rowsBetween(0, Window.unboundedFollowing))
+    ahead = next_value("value")
     lined = lined.withColumn("line", F.when(ahead.isNotNull(), F.col("line")))
     front = df.where("position = 1").select("timestamp", F.col("value").alias("front"))
     index = reference.select(F.col("date").cast("timestamp").alias("timestamp"), F.col("value").alias("index_value"))

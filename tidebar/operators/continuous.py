@@ -42,7 +42,8 @@ def factors(rolls: DataFrame, bars: DataFrame) -> DataFrame:
     """Per contract what all adjustments need: the product of close ratios and the sum of differences up to and after it."""
     both = priced(rolls, bars)
     w = Window.partitionBy("root").orderBy("roll_date", "from_contract")
-    upto, later = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(1, Window.unboundedFollowing)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    later = Window.partitionBy("root").orderBy(F.col("roll_date").desc(), F.col("from_contract").desc()).rowsBetween(Window.unboundedPreceding, -1)
     ratio = F.coalesce(F.try_divide("to_close", "from_close"), F.lit(1.0))
     gap = F.coalesce(F.col("to_close") - F.col("from_close"), F.lit(0.0))
     made = both.withColumns({"ratio": ratio, "gap": gap})

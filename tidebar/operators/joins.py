@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebar.functions.scalars import by_symbol, day, pct, r, recent
+from tidebar.functions.scalars import by_symbol, day, next_value, pct, r, recent
 from tidebar.operators.windows import log_return
 
 
@@ -26,8 +26,8 @@ def asof(left: DataFrame, right: DataFrame, on: str, by: list[str], values: list
         w = Window.partitionBy(*by).orderBy(F.col(on), "_side").rowsBetween(Window.unboundedPreceding, 0)
         found = F.last("_value", ignorenulls=True).over(w)
     else:
-        w = Window.partitionBy(*by).orderBy(F.col(on), F.col("_side").desc()).rowsBetween(0, Window.unboundedFollowing)
-        found = F.first("_value", ignorenulls=True).over(w)
+        w = Window.partitionBy(*by).orderBy(F.col(on).desc(), "_side").rowsBetween(Window.unboundedPreceding, 0)
+        found = F.last("_value", ignorenulls=True).over(w)
     out = both.withColumn("_found", found).where("_side = 1")
     return out.select(*(F.col(c) for c in left.columns), *(F.col(f"_found.{v}").alias(v) for v in values))
 
@@ -153,8 +153,7 @@ def compare_series(a: DataFrame, b: DataFrame, name_a: str, name_b: str) -> Data
 def daily_to_intraday(ticks: DataFrame, daily: DataFrame, column: str, default: float = 1.0) -> DataFrame:
     """A daily value on each intraday row; rows before the first value take it, and rows without any the default."""
     joined = ticks.withColumn("date", day("timestamp")).join(daily.select("symbol", "date", column), ["symbol", "date"], "left")
-    w = Window.partitionBy("symbol").orderBy("timestamp").rowsBetween(0, Window.unboundedFollowing)
-    return joined.withColumn(column, F.coalesce(F.col(column), F.first(column, ignorenulls=True).over(w), F.lit(default))).drop("date")
+    return joined.withColumn(column, F.coalesce(F.col(column), next_value(column), F.lit(default))).drop("date")
 
 
 def rollover_context(rolls: DataFrame, bars: DataFrame) -> DataFrame:

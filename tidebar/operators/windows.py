@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebar.functions.scalars import by_symbol, change_pct, day, guarded, last_rows, pct, r, recent
+from tidebar.functions.scalars import by_symbol, change_pct, day, guarded, last_rows, next_value, pct, r, recent
 
 
 def market_statistics(bars: DataFrame, days: int = 30) -> DataFrame:
@@ -106,7 +106,7 @@ def fill(df: DataFrame, columns: list[str], direction: str = "forward") -> DataF
     w = by_symbol()
     if direction == "forward":
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)) for c in columns})
-    return df.withColumns({c: F.first(c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)) for c in columns})
+    return df.withColumns({c: next_value(c) for c in columns})
 
 
 def seasonal_rolling_mean(bars: DataFrame, column: str, days: int = 14, slot: Column | None = None) -> DataFrame:
