@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebar.functions.scalars import by_symbol, day, next_value, pct, r, recent
+from tidebar.operators.rolls import continuous_mapping
 from tidebar.operators.windows import log_return
 
 
@@ -85,10 +86,11 @@ def active_contract(bars: DataFrame, contracts: DataFrame) -> DataFrame:
 
 
 def nth_contract(dates: DataFrame, calendar: DataFrame, n: int) -> DataFrame:
-    """The n-th contract of a root whose last day is on or after each date; dates: (root, date)."""
-    coming = dates.join(F.broadcast(calendar.select("root", "symbol", "last_date")), "root").where("last_date >= date")
-    ranked = coming.withColumn("position", F.row_number().over(Window.partitionBy("root", "date").orderBy("last_date", "symbol")))
-    return ranked.where(F.col("position") == n).select("root", "date", F.col("symbol").alias("contract"))
+    """The n-th contract of a root whose last day is on or after each date; dates: (root, date).
+
+    By the rank of contracts (see continuous_mapping), so that no date meets all contracts.
+    """
+    return continuous_mapping(dates, calendar, n).where(F.col("position") == n).select("root", "date", F.col("symbol").alias("contract"))
 
 
 def contract_chain(bars: DataFrame, contracts: DataFrame, date: str) -> DataFrame:
