@@ -98,8 +98,15 @@ class Pseudonyms:
     def phone(self, text: str) -> str | None:
         d = re.sub(r"\D", "", text)
         own, d = d[:-10], d[-10:]
-        if len(d) < 10 or own not in ("", "1") or d[0] in "01" or d[3] in "01":
+        if len(d) < 10 or own not in ("", "1"):
             return None
+        if d[0] in "01" or d[3] in "01":  # no such number is given out; one that is written as a number still is personal
+            if not {"+", "("} & set(text):
+                return None
+            while True:  # on within the numbers that are not given out
+                d = f"{self.permuted('phone, not given out', int(d), 10**10):010d}"
+                if d[0] in "01" or d[3] in "01":
+                    return _keep_shape(text, own + d)
         n = self.permuted("phone", ((int(d[:3]) - 200) * 800 + int(d[3:6]) - 200) * 10_000 + int(d[6:]), 800 * 800 * 10_000)
         rest, line = divmod(n, 10_000)
         return _keep_shape(text, f"{own}{rest // 800 + 200}{rest % 800 + 200}{line:04d}")
