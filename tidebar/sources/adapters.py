@@ -60,7 +60,7 @@ class Tables:
                 F.sum("q").cast("long").alias("volume"),
                 of("O").alias("up_volume"),
                 of("F").alias("down_volume"),
-                F.max("l_returnflag").alias("source"),
+                F.char(F.max(F.ascii("l_returnflag"))).alias("source"),  # one letter; as a number it fits a hash aggregate
             )
             .withColumns(
                 {
