@@ -112,6 +112,23 @@ def test_scores_equal_power_iteration(spark):
         assert r["score"] == pytest.approx(score[r["host"]], abs=0.02)
 
 
+def test_distrust_runs_on_whatever_other_hosts_there_are(spark):
+    pages = [("http://bad.com/de/a", "")] + [(f"http://h{n}.net/a", f'<a href="{"http:" * (n % 2)}//{"bad.com" if n == 1 else f"h{n - 1}.net"}/p">x</a>') for n in range(1, 5)]
+    pages += [(f"http://seed{n}.com/de/a", "") for n in range(200)]  # blocked, too, and without links
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    assert {r["host"]: r["verdict"] for r in urls.host_verdicts(rows).collect()} == dict.fromkeys((u.split("/")[2] for u, _ in pages), "block")
+
+
+def test_small_moves_that_meet_at_one_host_count(spark):
+    # what each page host hands on is far below the threshold, what meets at the hub is above it
+    edges = [("block", "start", f"p{n}", 1) for n in range(300)] + [("block", f"p{n}", "hub", 1) for n in range(300)]
+    got = urls.spread(
+        spark.createDataFrame(edges, "kind string, src string, dst string, n long"),
+        spark.createDataFrame([("block", "start", 1.0)] + [("block", f"s{n}", 1.0) for n in range(200)], "kind string, host string, seed double"),
+    )
+    assert {r["host"]: r["score"] for r in got.collect()}["hub"] == pytest.approx(0.15 * 0.85**2)
+
+
 # chat formatting ---------------------------------------------------------------------------------------------------------
 
 TALK = [

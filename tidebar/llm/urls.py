@@ -8,7 +8,8 @@ what a wholly blocked host starts with, else allow.
 
 Host: after the first :// up to / ? # or the end, A-Z in lower case; path: from there up
 to ? # or the end. A null url, or one without ://, has an empty host and path.
-Links that are not absolute http(s) ones stay on their host and count for nothing.
+A link that begins with // takes its page's scheme; others that are not absolute
+http(s) ones stay on their host and count for nothing.
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
-MOST_ROUNDS = 20
-#: Scores are settled once they move by less than this share of all seeds in a round.
-SETTLED = 1e-3
+#: A guard only: what moves shrinks by DAMPING in each round, so that no table of hosts comes near it.
+MOST_ROUNDS = 400
+#: Scores are settled once no host, whatever links to it, can still gain more than this.
+SETTLED = 1e-6
 BLOCK_RATIO, BLOCK_LEAST = 2.0, 0.5
 #: Parts into which the pages of a host are dealt for the last join.
 SALTS = 64
@@ -58,9 +60,10 @@ def best_rule(host: Column, path: Column, rules: tuple = RULES) -> Column:
 
 def links(pages: DataFrame) -> DataFrame:
     """(src, dst, n): links between different hosts, from whole pages."""
-    target = F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']?(https?://[^"'\s>]+)"""), F.lit(1)))
+    target = F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:https?:)?//[^"'\s>]+)"""), F.lit(1)))
     out = pages.select(host_of(F.col("url")).alias("src"), target.alias("href"))
-    return out.select("src", host_of(F.col("href")).alias("dst")).where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
+    href = F.when(F.col("href").startswith("//"), F.concat(F.lit("http:"), "href")).otherwise(F.col("href"))
+    return out.select("src", host_of(href).alias("dst")).where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
 def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -70,21 +73,20 @@ def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     score = seeds.select("kind", "host", (F.col("seed") * (1 - DAMPING)).alias("score"))
     if weighed.isEmpty():  # no link leads anywhere: what starts at a host stays there
         return score
-    whole = seeds.agg(F.sum("seed")).first()[0] or 1.0
-    score = cut(score)
+    # `moved` is what reached a host in the last round. All that is still to come, at all hosts together, is at most
+    # DAMPING / (1 - DAMPING) of its sum, so that this holds for a host on which many small moves meet, too.
+    score = cut(score.withColumn("moved", F.col("score")))
     for _ in range(MOST_ROUNDS):
         moved = (
             weighed.join(score, (weighed["kind"] == score["kind"]) & (weighed["src"] == score["host"]))
             .groupBy(weighed["kind"], F.col("dst").alias("host"))
-            .agg((F.sum(F.col("w") * F.col("score")) * DAMPING).alias("score"))
+            .agg((F.sum(F.col("w") * F.col("moved")) * DAMPING).alias("score"))
         )
-        start = seeds.select("kind", "host", (F.col("seed") * (1 - DAMPING)).alias("score"))
-        new = cut(moved.union(start).groupBy("kind", "host").agg(F.sum("score").alias("score")))
-        change = new.select("kind", "host", "score").union(score.select("kind", "host", -F.col("score"))).groupBy("kind", "host").agg(F.sum("score").alias("d")).agg(F.sum(F.abs("d"))).first()[0]
-        score = new
-        if (change or 0.0) < SETTLED * whole:
-            break
-    return score
+        both = score.select("kind", "host", "score", F.lit(0.0).alias("moved")).union(moved.select("kind", "host", "score", F.col("score").alias("moved")))
+        score = cut(both.groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("moved").alias("moved")))
+        if (score.agg(F.sum("moved")).first()[0] or 0.0) * DAMPING <= SETTLED * (1 - DAMPING):
+            return score.drop("moved")
+    raise RuntimeError(f"scores of hosts have not settled in {MOST_ROUNDS} rounds")
 
 
 def host_verdicts(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
