@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidebar.functions import calendars, symbols
 from tidebar.functions.scalars import business_days_between
 from tidebar.operators import cleaning, continuous, gaps, indicators, joins, quality, risk, rolls
+from tidebar.plans import catalog
 from tidebar.plans.p_continuous import stitched, vrolls
 from tidebar.sources import tables
 from tidebar.sources.adapters import Tables
@@ -34,6 +35,18 @@ def frame(spark, symbol, start, close, **more):
     return df.withColumns({c: nan(c) for c in ("open", "high", "low", "close")})
 
 
+def test_nth_active_contract_query_has_all_dates(spark):
+    t = Tables(spark, SMALL)
+    contracts = sorted((r["last_date"], r["symbol"], r["root"]) for r in t.contracts.collect())
+    want = set()
+    for root, date in t.contract_bars.select("root", F.to_date("timestamp")).distinct().collect():
+        alive = [symbol for last, symbol, k in contracts if k == root and last >= date]
+        want |= {(root, date, alive[1])} if len(alive) > 1 else set()
+    got = [(r["root"], r["date"].date(), r["contract"]) for r in catalog.QUERIES["nth_active_contract"](spark, SMALL).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert max(date for _, date, _ in want) > dt.date(1996, 1, 1)
+
+
 def pair(spark):
     """Two daily contracts with one roll, on 2023-01-06."""
     lin = lambda a, b, n: [float(x) for x in np.linspace(a, b, n)]

@@ -71,7 +71,7 @@ def _root_dates(t: Tables):
 @query("nth_active_contract", """SELECT root, date, symbol AS contract FROM (SELECT d.root, d.date, k.symbol, row_number() OVER (PARTITION BY d.root, d.date ORDER BY k.last_date, k.symbol) AS p FROM (SELECT DISTINCT root, timestamp::DATE AS date FROM contract_bars WHERE timestamp < '1996-01-01') d
     JOIN contracts k ON k.root = d.root AND k.last_date >= d.date) WHERE p = 2""")
 def _(t: Tables):
-    return j.nth_contract(_root_dates(t).where("date < '1996-01-01'"), t.contracts, 2)
+    return j.nth_contract(_root_dates(t), t.contracts, 2)
 
 
 @query("contract_chain", """SELECT b.root, b.symbol, k.last_date, CAST(row_number() OVER (PARTITION BY b.root ORDER BY k.last_date, b.symbol) AS INT) AS position FROM contract_bars b JOIN contracts k ON b.symbol = k.symbol
