@@ -281,3 +281,14 @@ def test_stream_ema_goes_on_between_batches(spark, tmp_path):
     stream = ticks(spark, tmp_path, [[("A", at(i), i, v)] for i, v in enumerate(values)])
     out = streams.drained(streams.stream_ema(stream, 3), f"{tmp_path}/c", f"{tmp_path}/o").orderBy("timestamp").collect()
     assert [r["ema"] for r in out] == pytest.approx(pd.Series(values).ewm(span=3, adjust=False).mean().tolist())
+
+
+def test_every_contract_gets_an_expected_expiry(spark):
+    months = {r["symbol"]: r["expiry_month"] for r in Tables(spark, SMALL).contracts.collect()}
+    got = {r["symbol"]: r["expiry"].date() for r in catalog.QUERIES["expected_expiries"](spark, SMALL).collect()}
+    assert set(got) == set(months) and max(months.values()).year == 2002
+    for symbol, m in months.items():
+        wanted = next(d for d in (dt.date(m.year, m.month, 15 + i) for i in range(7)) if d.weekday() == 4) - dt.timedelta(2)
+        while wanted.weekday() > 4 or str(wanted) in calendars.HOLIDAYS:
+            wanted -= dt.timedelta(1)
+        assert got[symbol] == wanted

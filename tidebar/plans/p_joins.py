@@ -207,8 +207,10 @@ def _(t: Tables):
 
 @query("expected_expiries", f"SELECT k.symbol, (SELECT max(d) FROM cal WHERE d <= CAST({_THIRD.format('k.expiry_month')} AS DATE) - 2) AS expiry FROM contracts k WHERE k.expiry_month BETWEEN '1995-01-01' AND '2001-12-01'", CAL)
 def _(t: Tables):
-    expiries = c.expected_expiries(t.spark, 1995, 2001).withColumnRenamed("month", "expiry_month")
-    return t.contracts.join(F.broadcast(expiries), "expiry_month").select("symbol", "expiry")
+    year = F.year("expiry_month")
+    first, last = t.contracts.agg(F.min(year), F.max(year)).first()
+    expiries = c.expected_expiries(t.spark, first or 1995, last or 1995).withColumnRenamed("month", "expiry_month")
+    return t.contracts.join(F.broadcast(expiries), "expiry_month", "left").select("symbol", "expiry")
 
 
 @query("rule_expiry", f"""SELECT symbol, rule, (SELECT d FROM ord WHERE o = (SELECT max(o) FROM ord WHERE d <= w) - CASE WHEN rule = 'business_days_before_25th' THEN 2 ELSE 0 END) AS expiry FROM (SELECT symbol, rule, CASE rule WHEN 'nth_friday' THEN CAST({_THIRD.format('expiry_month')} AS DATE)
