@@ -43,6 +43,15 @@ def test_quality_separates_held_out_rows_and_takes_any_text(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in out.items() if r["predicted"]}
 
 
+def test_fit_learns_from_all_words_of_long_texts(spark):
+    texts = [" ".join(f"w{i % 2}x{n}" for n in range(4000)) for i in range(30)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    model = quality.train(docs(spark, texts), labels)
+    for text in texts[:2]:
+        buckets, _ = quality.features(text, None)
+        assert len(buckets) > 3000 and (model.linear[buckets] != 0).all()
+
+
 def test_quality_without_rows_or_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.scores(docs(spark, []), none).count() == 0

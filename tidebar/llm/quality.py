@@ -26,8 +26,7 @@ from pyspark.sql import types as T
 
 #: Labelled rows that the model is fitted on, at most.
 FIT_ROWS = 4000
-#: Texts of the fit are in the driver as features: so many distinct buckets of one text, by hash, at most.
-FIT_BUCKETS = 1000
+#: Texts of the fit are in the driver as features, a bucket in 16 bits: 32 KB a text at most.
 BUCKETS = 1 << 14
 RANK = 6
 EPOCHS = 6
@@ -43,7 +42,8 @@ STATISTICS = (
 )
 N_STATS = len(STATISTICS)
 
-_FEATURES = T.StructType([T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("stats", T.ArrayType(T.DoubleType()))])
+_PACKED = np.dtype("<u2")
+_FEATURES = T.StructType([T.StructField("buckets", T.BinaryType()), T.StructField("stats", T.ArrayType(T.DoubleType()))])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -104,18 +104,19 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.raw(*self.values(*features(text, n_chars))), -30, 30))))
 
 
-def fit(rows: list[tuple[list[int], list[float], int]]) -> Model:
-    """Adaptive gradient steps over the rows, in a fixed order."""
+def fit(rows: list[tuple[np.ndarray | list[int], list[float], int]]) -> Model:
+    """Adaptive gradient steps over the rows, in a fixed order; values are made anew at each step, as they take 8 times the room of buckets."""
     size = BUCKETS + N_STATS
     rng = np.random.default_rng(7)
     stats = np.array([r[1] for r in rows]) if rows else np.zeros((1, N_STATS))
     spread = stats.std(axis=0)
     model = Model(0.0, np.zeros(size), rng.normal(0, 0.02, (size, RANK)) if rows else np.zeros((size, RANK)), stats.mean(axis=0), np.where(spread > 1e-9, spread, 1.0))
     g_bias, g_linear, g_factors = 1e-2, np.full(size, 1e-2), np.full((size, RANK), 1e-2)
-    made = [(*model.values(np.array(b, dtype=np.int64), s), y) for b, s, y in rows]
+    kept = [(np.asarray(b, dtype=_PACKED), s, y) for b, s, y in rows]
     for _ in range(EPOCHS if rows else 0):
-        for i in rng.permutation(len(made)):
-            at, x, y = made[i]
+        for i in rng.permutation(len(kept)):
+            buckets, own, y = kept[i]
+            at, x = model.values(buckets, own)
             v = model.factors[at]
             sums = x @ v
             p = 1 / (1 + np.exp(-np.clip(model.bias + model.linear[at] @ x + 0.5 * (sums**2 - (x * x) @ (v * v)).sum(), -30, 30)))
@@ -135,7 +136,7 @@ def fit(rows: list[tuple[list[int], list[float], int]]) -> Model:
 def _featured(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for texts, chars in batches:
         found = [features(t, c) for t, c in zip(texts, chars)]
-        yield pd.DataFrame({"buckets": [b[:FIT_BUCKETS].tolist() for b, _ in found], "stats": [s for _, s in found]})
+        yield pd.DataFrame({"buckets": [b.astype(_PACKED).tobytes() for b, _ in found], "stats": [s for _, s in found]})
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
@@ -145,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     sample = docs.select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars")).join(F.broadcast(chosen), "doc_id")
     found = sample.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(rows).withColumn("f", _featured("text", "n_chars")).select("doc_id", "f.*", "quality")
-    return fit([(r["buckets"], r["stats"], r["quality"]) for r in sorted(found.collect(), key=lambda r: (r["doc_id"], r["buckets"]))])
+    return fit([(np.frombuffer(r["buckets"], _PACKED), r["stats"], r["quality"]) for r in sorted(found.collect(), key=lambda r: (r["doc_id"], r["buckets"]))])
 
 
 def scorer(spark, model: Model):
