@@ -390,6 +390,30 @@ def test_pseudonyms_are_valid_linked_and_undone():
     assert again == PRIVATE
 
 
+CARD, ACCOUNT = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+
+
+@pytest.mark.parametrize("value", [CARD, CARD.replace(" ", "-"), CARD.replace(" ", ""), "3782 822463 10005", ACCOUNT, "GB82 WEST 1234 5698 7654 32", ACCOUNT.replace(" ", "")])
+@pytest.mark.parametrize("around", ["{} 123", "{} 12/26", "{} 12/26 123", "{} 01/02/2026", "{} 2026-01-02", "12/26 {}", "123 {}", "{} BIC COBADEFF", "{} COBADEFF", "{} 10.0.0.1"])
+def test_numbers_beside_others_get_the_same_pseudonym(value, around):
+    kind = "iban" if value[0].isalpha() else "card"
+    if kind == "iban" and around[0] == "1":
+        around = "AB12 {}"
+    for key in (b"k", b"l", b"m"):
+        names, back = pii.Pseudonyms(key), pii.Pseudonyms(key, back=True)
+        given = around.format(value)
+        text, *counts = pii.replaced(given, names)
+        assert getattr(names, kind)(value) in text and value not in text
+        assert dict(zip((k for k, _ in pii.KINDS), counts))[kind] == 1
+        assert pii.replaced(text, back)[0] == given
+
+
+def test_card_behind_or_before_a_dash():
+    new = pii.Pseudonyms(b"k").card("4111-1111-1111-1111")
+    for around in ("1-2-{}", "{}-123", "{}-12345", "{}-1234-5678 x"):
+        assert pii.replaced(around.format("4111-1111-1111-1111"), pii.Pseudonyms(b"k"))[0] == around.format(new)
+
+
 def test_feistel_is_a_permutation():
     for size in (1, 2, 10, 97, 1000):
         p = pii.Permutation(b"k", "x", size)

@@ -9,6 +9,13 @@ valid value of the same format, equal values have equal pseudonyms in all
 documents whatever their punctuation, and the holder of the key can go back.
 E-mail addresses keep their domain and the shape of their name.
 
+Numbers that follow a card or account number (a CVV, a date, a BIC) are no part
+of it, nor are those before it: each group of a match is tried as the first and as
+the last one. Numbers of the usual length (16 digits of most cards, an account
+number's by country) are found first, all others, the longest first, in what is
+left. Where groups of a number and others beside it pass as a number by chance,
+these are replaced, and the way back can then take other groups than the way there.
+
 A null text stays null. Text that fails validation stays as it is.
 """
 
@@ -190,15 +197,42 @@ KINDS: tuple[tuple[str, re.Pattern], ...] = (
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")),
     ("date", re.compile(r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\1[0-9]{4})(?![0-9/-]|\.[0-9])")),
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])")),
-    ("card", re.compile(r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]|-[0-9])")),
+    ("card", re.compile(r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])")),
     ("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])")),
     ("phone", re.compile(r"(?<![0-9A-Za-z])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}(?![0-9]|-[0-9])")),
 )
 _DIGITS = re.compile(r"[0-9]{2}")
+_GROUP = re.compile(r"[A-Z0-9]+")
+#: Kinds whose numbers may stand in a longer match, with the least length of a number.
+LEAST = {"card": 13, "iban": 15}
+#: From a later group of digits on, behind one that was tried or replaced.
+_CARD_ON = re.compile(r"(?<=[0-9]-)[0-9](?:[ -]?[0-9]){12,18}(?![0-9])")
+#: Usual lengths of cards by first digit, and lengths of account numbers by country.
+CARD_LENGTHS = {"2": 16, "3": 15, "4": 16, "5": 16}
+IBAN_LENGTHS = {
+    country: int(n)
+    for n, countries in (
+        line.split(":")
+        for line in (
+            "15:NO|16:BE|18:DK FI FK FO GL NL SD|19:MK SI|20:AT BA EE KZ LT LU MN XK|21:CH HR LI LV|22:BG BH CR DE GB GE IE ME RS VA|23:AE GI IL IQ OM SO TL|"
+            "24:AD CZ ES MD PK RO SA SE SK TN VG|25:LY PT ST|26:IS TR|27:BI DJ FR GR IT MC MR SM|28:AL AZ BY CY DO GT HU LB NI PL SV|29:BR EG PS QA UA|30:JO KW MU YE|31:MT SC|32:LC|33:RU"
+        ).split("|")
+    )
+    for country in countries.split()
+}
 
 REPLACED = T.StructType([T.StructField("text", T.StringType()), *(T.StructField(f"n_{k}", T.LongType()) for k, _ in KINDS)])
 
 
+def _ends(kind: str, found: str, usual: bool) -> list[int]:
+    """The lengths of a match to try: of a card or account number the usual one, or all other ends of groups, the longest first."""
+    if kind not in LEAST:
+        return [len(found)]
+    length = CARD_LENGTHS.get(found[0]) if kind == "card" else IBAN_LENGTHS.get(found[:2])
+    ends = [(m.end(), m.end() - n) for n, m in enumerate(_GROUP.finditer(found))]  # of each group, with and without separators
+    return [e for e, n in reversed(ends) if (n == length) == usual and n >= LEAST[kind]]
+
+
 def replaced(text: str | None, pseudonyms: Pseudonyms) -> tuple:
     """The text with pseudonyms, and how many values of each kind were replaced."""
     counts = dict.fromkeys((k for k, _ in KINDS), 0)
@@ -209,16 +243,24 @@ def replaced(text: str | None, pseudonyms: Pseudonyms) -> tuple:
     for kind, pattern in KINDS:
         if not ("@" in text if kind == "email" else digits):
             continue
-        own = []
-        for m in pattern.finditer(text):
-            before = bisect_left(found, (m.end(),))  # the spans of kinds before are sorted and apart
-            if before and found[before - 1][1] > m.start():
-                continue
-            new = getattr(pseudonyms, kind)(m[0])
-            if new is not None:
-                own.append((m.start(), m.end(), new))
-        counts[kind] = len(own)
-        found = sorted(found + own)
+        for usual in (True, False) if kind in LEAST else (True,):
+            own, at = [], 0
+            while m := (kind == "card" and at and _CARD_ON.match(text, at + 1)) or pattern.search(text, at):
+                start, at = m.start(), m.end()
+                for end in (start + n for n in _ends(kind, m[0], usual)):
+                    before = bisect_left(found, (end,))  # the spans found before are sorted and apart
+                    if before and found[before - 1][1] > start:
+                        continue
+                    new = getattr(pseudonyms, kind)(text[start:end])
+                    if new is not None:
+                        own.append((start, end, new))
+                        at = end
+                        break
+                else:
+                    if kind in LEAST:
+                        at = _GROUP.match(text, start).end()
+            counts[kind] += len(own)
+            found = sorted(found + own)
     out, at = [], 0
     for start, end, new in found:
         out += text[at:start], new
