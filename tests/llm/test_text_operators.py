@@ -229,6 +229,14 @@ def test_near_duplicates_of_nothing(spark):
     assert simhash.one_of_each(docs(spark, ["a", "a"], [None, None])).count() == 2
 
 
+def test_one_of_each_keeps_a_row_of_each_component_when_ids_repeat(spark):
+    rng = random.Random(9)
+    a, b, c = (words(rng, 200) for _ in range(3))
+    rows = [(5, a), (5, b), (5, b), (2, c), (7, c), (5, c), (None, a)]
+    kept = simhash.one_of_each(docs(spark, [t for _, t in rows], [i for i, _ in rows]))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted([(5, a), (5, b), (2, c), (0, a)])
+
+
 # decontamination -----------------------------------------------------------------------------------------------------
 
 

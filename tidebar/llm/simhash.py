@@ -221,6 +221,11 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     anybody's least. Rows that repeat are linked to each other.
     """
     prints = cut(docs.select("doc_id", fingerprint(F.col(text)).alias("fp")))
+    return prints.join(_members(prints), "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _members(prints: DataFrame) -> DataFrame:
+    """fp, root (the fingerprint that stands for its component) and component_id, a row for each fingerprint of prints (doc_id, fp)."""
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     classes = cut(classes)
     rooted = stars(links(classes.select("fp")), "x", "y")
@@ -230,12 +235,24 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
         classes.join(roots, classes["fp"] == roots["root"])
         .select(F.col("root").alias("r"), F.least("least", "below").alias("component_id"))
     )
-    member = grouped.join(least, grouped["root"] == least["r"], "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return prints.join(member, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return grouped.join(least, grouped["root"] == least["r"], "left").select("fp", "root", F.coalesce("component_id", "least").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is the least of their component, once each, with their own columns; rows without doc_id stay."""
-    found = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(found, docs["doc_id"] == found["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One row of docs for each component, with the least doc_id in it, with its own columns; rows without doc_id stay.
+
+    Where an id stands on several rows, the row is found by its fingerprint, too.
+    """
+    prints = cut(docs.select("doc_id", fingerprint(F.col("text")).alias("fp")))
+    first = _members(prints).where("component_id is not null").select("fp", "root", "component_id")
+    first = prints.join(first, "fp").where("doc_id = component_id").groupBy("root").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("_kept"))
+    rows = prints.groupBy("doc_id").agg(F.count("*").alias("rows")).withColumnRenamed("doc_id", "_kept")
+    first = cut(first.join(rows, "_kept").select("_kept", F.col("fp").alias("_fp"), "rows"))
+    single, several = first.where("rows = 1").select("_kept"), first.where("rows > 1").select("_kept", "_fp")
+    kept = docs.join(single, docs["doc_id"] == single["_kept"], "left_semi").unionByName(docs.where("doc_id is null"))
+    if several.isEmpty():
+        return kept
+    ids = several.select("_kept").distinct()
+    again = docs.join(ids, docs["doc_id"] == ids["_kept"], "left_semi").withColumn("_own", fingerprint(F.col("text")))
+    again = again.join(several, (again["doc_id"] == several["_kept"]) & (again["_own"] == several["_fp"]), "left_semi").dropDuplicates(["doc_id", "_own"])
+    return kept.unionByName(again.drop("_own"))
