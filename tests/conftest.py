@@ -8,10 +8,10 @@ os.environ["PYTHONPATH"] = os.pathsep.join([sys.path[0], os.environ.get("PYTHONP
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidebar.session import local_session
 
-    session = local_session("4", 4, "4g", "tests")
+    session = local_session("4", 4, "4g", "tests", str(tmp_path_factory.mktemp("shared")))
     session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     yield session
     session.stop()

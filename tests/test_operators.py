@@ -185,11 +185,67 @@ def test_interpolation_equals_pandas(spark, values):
 
 def test_zero_prices_are_filled_by_method(spark):
     dates = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(30)]
-    rows = [(1, d, 20.0 + i) for i, d in enumerate(dates)] + [(2, d, 0.0 if i in (5, 25, 26, 27, 28, 29) else 22.0 + i) for i, d in enumerate(dates)] + [(3, d, 0.0) for d in dates]
-    out = {(r["position"], r["date"]): r for r in cleaning.fill_zero_prices(spark.createDataFrame(rows, "position int, date date, value double"), spark.createDataFrame([(dates[0], 15.0)], "date date, value double")).collect()}
-    assert out[2, dates[5]]["method"] == "interpolated" and out[2, dates[5]]["value"] == pytest.approx(27.0)
-    assert out[2, dates[27]]["method"] == "ratio" and out[3, dates[0]]["method"] == "position" and out[3, dates[0]]["value"] == pytest.approx(20 * 1.06)
-    assert out[1, dates[3]]["quality"] == 100 and out[2, dates[5]]["quality"] == 80 and out[3, dates[0]]["quality"] == 75
+    gone = 10  # no price at all: a holiday
+    rows = [("VX", 1, d, 0.0 if i in (gone, 29) else 20.0 + i) for i, d in enumerate(dates)] + [("VX", 2, d, 0.0 if i in (5, gone, 25, 26, 27, 28, 29) else 22.0 + i) for i, d in enumerate(dates)] + [("VX", 3, d, 0.0) for d in dates]
+    index = [("VX", d, 0.0 if i == gone else 10.0 + i) for i, d in enumerate(dates)]
+    out = cleaning.fill_zero_prices(spark.createDataFrame(rows, "root string, position int, date date, value double"), spark.createDataFrame(index, "root string, date date, value double"))
+    got = {(r["position"], r["date"]): (r["method"], r["value"], r["quality"]) for r in out.collect()}
+    assert len(got) == 90 and got[1, dates[3]] == ("original", 23.0, 100)
+    assert got[2, dates[5]] == ("interpolated", pytest.approx(27.0), 80)
+    assert all(got[p, dates[gone]] == ("holiday", 0.0, 100) for p in (1, 2, 3))
+    to_front = np.mean([(22.0 + i) / (20.0 + i) for i in range(25) if i not in (5, gone)])
+    assert got[2, dates[27]] == ("ratio", pytest.approx(47 * to_front), 75)
+    assert got[3, dates[0]] == ("position", pytest.approx(20 * 1.06), 75)
+    assert got[1, dates[29]] == ("index_ratio", pytest.approx(39 * np.mean([(20.0 + i) / (10.0 + i) for i in range(29) if i != gone])), 75)
+    assert got[3, dates[29]] == ("index", pytest.approx(39 * 1.2), 75)
+
+
+def test_pipeline_keeps_the_original_when_a_rule_fails(spark):
+    bars = frame(spark, "A", "2024-01-01", [1.0, 2.0])
+    bad = cleaning.Rule("bad", lambda b: b.withColumn("close", F.col("not_there") + 1), ("close",), 60)
+    cleaned, log, summary = cleaning.run_pipeline(bars, [cleaning.RULES["swap_high_low"], bad])
+    assert cleaned.columns == bars.columns and sorted(map(tuple, cleaned.collect())) == sorted(map(tuple, bars.collect())) and log.count() == 0
+    (row,) = summary.collect()
+    assert (row["rule"], row["changes"]) == ("bad", -1) and "not_there" in row["field"]
+    with pytest.raises(Exception, match="not_there"):
+        cleaning.run_pipeline(bars, [bad], keep_on_error=False)
+
+
+def test_account_orders_and_trades(spark):
+    rows = [
+        ('{"AccountID": "A", "OrderID": "7", "Symbol": "VXF24", "Quantity": "3", "LimitPrice": "14.5", "ExecutionTime": "bad", "Time": "2024-01-02T03:04:05Z", "TradeTime": "2024-01-02T03:04:06Z", "Price": 14.25}',),
+        ('{"AccountID": null}',), ("no json",), (None,),
+    ]
+    df = spark.createDataFrame(rows, "payload string")
+    (order,) = tables.normalise_account(df, "orders").collect()
+    assert (order["order_id"], order["quantity"], order["limit_price"], order["stop_price"], order["side"], order["execution_time"]) == ("7", 3.0, 14.5, 0.0, "", None)
+    assert order["timestamp"] == dt.datetime(2024, 1, 2, 3, 4, 5)
+    (trade,) = tables.normalise_account(df, "trades").collect()
+    assert (trade["price"], trade["commission"], trade["trade_time"]) == (14.25, 0.0, dt.datetime(2024, 1, 2, 3, 4, 6))
+
+
+def test_exposure_and_costs_by_specs(spark):
+    specs = spark.createDataFrame([("ES", 50.0, 1000.0), ("NQ", 20.0, 0.0)], "symbol string, multiplier double, margin double")
+    held = spark.createDataFrame([("ES", 30, 10.0), ("ES", -9, 10.0), ("NQ", 5, 2.0), ("XX", 5, 2.0)], "symbol string, quantity long, price double")
+    out = {(r["symbol"], r["quantity"]): r for r in risk.exposure(held, specs, 100_000.0, 0.1).collect()}
+    r = out["ES", 30]
+    assert (r["notional"], r["exposure_pct"], r["margin_used"], r["margin_pct"], r["limited_quantity"]) == (15000.0, 15.0, 30000.0, 30.0, 10.0)
+    assert out["ES", -9]["limited_quantity"] == -9.0 and out["NQ", 5]["limited_quantity"] == 5.0 and out["XX", 5]["notional"] is None
+    assert {r["limited_quantity"] for r in risk.exposure(held, specs, 100_000.0, 0.1, 4.0).collect()} == {4.0, -4.0}
+    trades = spark.createDataFrame([("ES", 10.0, 12.0, -2)], "symbol string, entry double, exit double, quantity long")
+    (t,) = risk.trade_costs(trades, specs, rate=0.1, least=0.5, slippage=0.001).collect()
+    assert t["pnl"] == -200.0 and t["costs"] == pytest.approx(2 * 0.1 * 10 + 2 * 10 * 50 * 0.001 + 2 * 0.1 * 12 + 2 * 12 * 50 * 0.001)
+
+
+def test_means_unroll_over_chunks_nulls_and_wild_values(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    values = [None if rng.random() < 0.2 else float(x) for x in rng.normal(0, 1, 400) * 10.0 ** rng.integers(-6, 6, 400)]
+    bars = frame(spark, "A", "2024-01-01", values)
+    for alpha, forgotten in ((0.1, 1e-30), (0.9, 1e-30), (1.0, 1e-30), (0.3, 1e-25)):
+        monkeypatch.setattr(indicators, "FORGOTTEN", forgotten)
+        got = [r["e"] for r in indicators.ewm(bars, {"e": ("close", alpha)}).orderBy("timestamp").collect()]
+        want = pd.Series(values, dtype="float64").ewm(alpha=alpha, adjust=False, ignore_na=True).mean()
+        assert [math.nan if x is None else x for x in got] == pytest.approx(want.tolist(), nan_ok=True, rel=1e-9, abs=1e-9)
 
 
 def test_asof_both_ways(spark):

@@ -95,9 +95,9 @@ def purge_candidates(bars: DataFrame, before_year: int, fewer_than: int, pattern
 
 
 def series_completeness(cont: DataFrame, n: int) -> DataFrame:
-    """Per date: how many of the positions 1..n are there, which, and whether all."""
+    """Per root and date: how many of the positions 1..n are there, which, and whether all."""
     here = F.col("position").between(1, n)
-    return cont.groupBy("date").agg(
+    return cont.groupBy("root", "date").agg(
         F.count_distinct(F.when(here, F.col("position"))).alias("present"),
         F.array_join(F.sort_array(F.collect_set(F.when(here, F.col("position").cast("string")))), ",").alias("positions"),
     ).withColumn("complete", F.col("present") == n)

@@ -207,28 +207,44 @@ def after_expiry(bars: DataFrame, expiries: DataFrame) -> DataFrame:
 
 
 def fill_zero_prices(series: DataFrame, reference: DataFrame, limit: int = 5, recent: int = 60, least: int = 10) -> DataFrame:
-    """(position, date, value, method, quality): zero prices of a term structure, filled in order of trust.
+    """(root, position, date, value, method, quality): zero prices of a term structure, filled in order of trust.
 
-    By time between neighbours (within limit rows), by the mean ratio to the front over the last common dates, by an
-    estimate for the position times the front, or of the index. series: position, date, value; reference: date, value.
+    By time between neighbours (within limit rows); later positions by the mean ratio to the front over the last common
+    dates, else by an estimate for the position; where the front has no price, and for the front itself, by the mean
+    ratio to the index, else by an estimate. Dates on which no series and no index has a price are holidays and stay.
+    series: root, position, date, value; reference: root, date, value.
     """
     valid = F.when(F.col("value") > 0, F.col("value"))
-    df = series.select(F.col("position").cast("string").alias("symbol"), "position", F.col("date").cast("timestamp").alias("timestamp"), valid.alias("value"))
+    df = series.select(F.concat_ws("#", "root", "position").alias("symbol"), "root", "position", F.col("date").cast("timestamp").alias("timestamp"), valid.alias("value"), F.col("value").alias("_raw"))
     lined = interpolate(df.withColumn("line", F.col("value")), ["line"], by="time", limit=limit)
-    ahead = next_value("value")
-    lined = lined.withColumn("line", F.when(ahead.isNotNull(), F.col("line")))
-    front = df.where("position = 1").select("timestamp", F.col("value").alias("front"))
-    index = reference.select(F.col("date").cast("timestamp").alias("timestamp"), F.col("value").alias("index_value"))
-    both = lined.join(front, "timestamp", "left").join(index, "timestamp", "left")
-    common = both.where("value IS NOT NULL AND front IS NOT NULL").withColumn("_n", F.row_number().over(Window.partitionBy("position").orderBy(F.col("timestamp").desc()))).where(F.col("_n") <= recent)
-    ratios = common.groupBy("position").agg(F.when(F.count("*") >= least, F.avg(F.col("value") / F.col("front"))).alias("ratio"))
-    both = both.join(ratios, "position", "left")
-    by_ratio, by_place = F.col("front") * F.col("ratio"), F.col("front") * (1 + (F.col("position") - 1) * 0.03)
-    by_index = F.col("index_value") * (1.1 + (F.col("position") - 1) * 0.05)
-    method = F.when(F.col("value").isNotNull(), "original").when(F.col("line").isNotNull(), "interpolated").when(by_ratio.isNotNull(), "ratio").when(by_place.isNotNull(), "position").when(by_index.isNotNull(), "index")
-    value = F.coalesce("value", "line", by_ratio, by_place, by_index)
-    quality = F.when(F.col("value").isNotNull(), 100).when(F.col("line").isNotNull() | by_ratio.isNotNull(), 80).otherwise(75)
-    return both.select("position", F.to_date("timestamp").alias("date"), r(value).alias("value"), method.alias("method"), quality.alias("quality"))
+    lined = lined.withColumn("line", F.when(next_value("value").isNotNull(), F.col("line")))
+    # the front and the index of each date, beside all positions of the date
+    index = reference.select("root", F.col("date").cast("timestamp").alias("timestamp"), F.when(F.col("value") > 0, F.col("value")).alias("index_value"))
+    whole = Window.partitionBy("root", "timestamp")
+    both = lined.withColumn("front", F.max(F.when(F.col("position") == 1, F.col("value"))).over(whole)).join(index, ["root", "timestamp"], "left")
+    open_days = both.select("timestamp", F.coalesce("value", "index_value").alias("_any")).where("_any IS NOT NULL").select("timestamp").distinct().withColumn("_open", F.lit(True))
+    by_position = Window.partitionBy("root", "position").orderBy(F.col("timestamp").desc())
+    back = by_position.rowsBetween(Window.unboundedPreceding, 0)
+    common = {"front": F.col("value").isNotNull() & F.col("front").isNotNull(), "index_value": F.col("value").isNotNull() & F.col("index_value").isNotNull()}
+    ranked = both.withColumns({f"_n_{c}": F.count(F.when(there, 1)).over(back) for c, there in common.items()})
+    ratio = lambda c: F.avg(F.when(common[c] & (F.col(f"_n_{c}") <= recent), F.col("value") / F.col(c)))
+    enough = lambda c: F.count_if(common[c]) >= least
+    ratios = ranked.groupBy("root", "position").agg(F.when(enough("front"), ratio("front")).alias("_to_front"), F.when(enough("index_value"), ratio("index_value")).alias("_to_index"))
+    both = both.join(ratios, ["root", "position"]).join(open_days, "timestamp", "left")
+    later = F.col("position") > 1
+    ways = (  # method, value, quality
+        ("original", F.col("value"), 100),
+        ("holiday", F.when(F.col("_open").isNull(), F.coalesce("_raw", F.lit(0.0))), 100),
+        ("interpolated", F.col("line"), 80),
+        ("ratio", F.when(later, F.col("front") * F.col("_to_front")), 75),
+        ("position", F.when(later, F.col("front") * (1 + (F.col("position") - 1) * 0.03)), 75),
+        ("index_ratio", F.col("index_value") * F.col("_to_index"), 75),
+        ("index", F.col("index_value") * (1.1 + (F.col("position") - 1) * 0.05), 75),
+    )
+    pick = lambda of: F.coalesce(*(F.when(value.isNotNull(), of(name, value, quality)) for name, value, quality in ways))
+    return both.select(
+        "root", "position", F.to_date("timestamp").alias("date"), r(pick(lambda n, v, q: v)).alias("value"), pick(lambda n, v, q: F.lit(n)).alias("method"), pick(lambda n, v, q: F.lit(q)).alias("quality")
+    )
 
 
 @dataclass(frozen=True)
@@ -253,19 +269,30 @@ RULES: dict[str, Rule] = {
 }
 
 
-def run_pipeline(bars: DataFrame, rules: Sequence[Rule], keys: Sequence[str] = ("symbol", "timestamp")) -> tuple[DataFrame, DataFrame, DataFrame]:
+def run_pipeline(bars: DataFrame, rules: Sequence[Rule], keys: Sequence[str] = ("symbol", "timestamp"), keep_on_error: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The cleaned rows, a log row for each changed cell, and a summary by rule and column.
 
     Rules keep the rows and their keys. Values before each rule travel along in the row, so that the log needs no join.
+    A rule that fails as its plan is made (an unknown column or type, an error of its own) makes the pipeline keep the
+    original rows, with an empty log and one summary row that names the rule (changes -1, the error as field); unless
+    keep_on_error is off. Errors of rows at run time end the job as in any query of Spark.
     """
     df, steps = bars, []
     for n, rule in enumerate(sorted((x for x in rules if x.enabled), key=lambda x: (x.priority, x.name))):
-        before = df.withColumns({f"_b{n}_{c}": F.col(c) for c in rule.columns})
-        after = rule.run(before)
-        if rule.symbols:
-            fits = F.col("symbol").rlike(rule.symbols)
-            after = after.withColumns({c: F.when(fits, F.col(c)).otherwise(F.col(f"_b{n}_{c}")) for c in rule.columns})
-        df = after.withColumns({f"_a{n}_{c}": F.col(c) for c in rule.columns})
+        try:
+            before = df.withColumns({f"_b{n}_{c}": F.col(c) for c in rule.columns})
+            after = rule.run(before)
+            if rule.symbols:
+                fits = F.col("symbol").rlike(rule.symbols)
+                after = after.withColumns({c: F.when(fits, F.col(c)).otherwise(F.col(f"_b{n}_{c}")) for c in rule.columns})
+            df = after.withColumns({f"_a{n}_{c}": F.col(c) for c in rule.columns})
+            df.select(*bars.columns, *(f"_b{n}_{c}" for c in rule.columns))  # what is not there fails here
+        except Exception as e:
+            if not keep_on_error:
+                raise
+            log = bars.select(*keys, *(F.lit(None).cast(kind).alias(c) for c, kind in (("rule", "string"), ("field", "string"), ("old_value", "double"), ("new_value", "double")))).limit(0)
+            failed = bars.sparkSession.range(1).select(F.lit(rule.name).alias("rule"), F.lit(f"error: {e}"[:500]).alias("field"), F.lit(-1).cast("long").alias("changes"))
+            return bars, log, failed
         steps += [(rule.name, n, c) for c in rule.columns]
     cells = F.array(
         *(F.struct(F.lit(name).alias("rule"), F.lit(c).alias("field"), F.col(f"_b{n}_{c}").cast("double").alias("old_value"), F.col(f"_a{n}_{c}").cast("double").alias("new_value")) for name, n, c in steps)

@@ -102,9 +102,11 @@ def missing_contracts(bars: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def missing_vs_reference(reference: DataFrame, series: DataFrame, n: int) -> DataFrame:
-    """(date, position) for which the reference has a value and the series has not; series: (date, position, value)."""
-    wanted = reference.where("value IS NOT NULL").select("date", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("position"))
-    missing = wanted.join(series.where("value IS NOT NULL"), ["date", "position"], "left_anti")
+    """(root, date, position) for which the reference (date, value) has a value and a root's series (root, date, position, value) has not."""
+    roots = series.select("root").distinct()  # a handful: each meets the dates of the reference
+    dates = reference.where("value IS NOT NULL").select("date").distinct()
+    wanted = dates.crossJoin(F.broadcast(roots)).select("root", "date", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("position"))
+    missing = wanted.join(series.where("value IS NOT NULL"), ["root", "date", "position"], "left_anti")
     return missing.withColumns({"weekday": F.date_format("date", "E"), "month": F.month("date")})
 
 

@@ -1,32 +1,50 @@
-"""Technical indicators: windows by symbol, and one grouped map for the recursive ones."""
+"""Technical indicators: windows by symbol, the recursive ones unrolled into windows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidebar.functions.scalars import by_symbol, day, guarded, last_rows, r
 
 
-def ewm(df: DataFrame, columns: dict[str, tuple[str, float]], key: str = "symbol", order: str = "timestamp") -> DataFrame:
-    """df with exponentially weighted means: {new column: (column, alpha)}, e0 = x0, e = e + alpha (x - e).
+#: What a mean still owes to values before its chunk and the one before it, at most: below the precision of doubles.
+FORGOTTEN = 1e-30
 
-    The one recursive kernel, a grouped map by key; nulls keep the value before.
-    A later column may smooth an earlier new one.
-    """
-    schema = T.StructType([*df.schema.fields, *(T.StructField(c, T.DoubleType()) for c in columns if c not in df.columns)])
 
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        for new, (column, alpha) in columns.items():
-            pdf[new] = pdf[column].astype("float64").ewm(alpha=alpha, adjust=False, ignore_na=True).mean()
-        return pdf[schema.names]
+def _ewm(df: DataFrame, new: str, column: str, alpha: float, key: str, order: Sequence[str]) -> DataFrame:
+    """One exponentially weighted mean by windows alone.
 
-    return df.groupBy(key).applyInPandas(smooth, schema)
+    Values are counted, and chunks of so many are taken that a whole chunk's decay is FORGOTTEN. Within a chunk the mean
+    is decay^i times a running sum of alpha x / decay^i; what the chunk before ended with decays on in it.
+    """
+    decay = 1.0 - alpha
+    length = max(1, math.ceil(math.log(FORGOTTEN) / math.log(decay))) if 0 < decay < 1 else 1
+    by_key = Window.partitionBy(key).orderBy(*order)
+    x, known = F.col(column).cast("double"), F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))
+    out = df.withColumn("_k", F.count(F.when(known, F.lit(1))).over(by_key.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    place = F.pmod("_k", F.lit(length)).cast("double")
+    weighted = F.when(known, x * F.when(F.col("_k") == 0, 1.0).otherwise(alpha) / F.pow(F.lit(decay), place))
+    chunk = Window.partitionBy(key, F.floor(F.col("_k") / length)).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = out.withColumn("_own", F.when(known, F.sum(weighted).over(chunk) * F.pow(F.lit(decay), place)))
+    before = F.last(F.when(known & (F.pmod("_k", F.lit(length)) == length - 1), F.col("_own")), ignorenulls=True).over(by_key.rowsBetween(Window.unboundedPreceding, -1))
+    mean = F.col("_own") + F.coalesce(before, F.lit(0.0)) * F.pow(F.lit(decay), place + 1)
+    out = out.withColumn(new, mean)  # of rows with a value
+    return out.withColumn(new, F.last(new, ignorenulls=True).over(by_key.rowsBetween(Window.unboundedPreceding, 0))).drop("_k", "_own")
+
+
+def ewm(df: DataFrame, columns: dict[str, tuple[str, float]], key: str = "symbol", order: str | Sequence[str] = "timestamp") -> DataFrame:
+    """df with exponentially weighted means: {new column: (column, alpha)}, e0 = x0, e = e + alpha (x - e); 0 < alpha <= 1.
+
+    Nulls (and NaN) keep the value before. A later column may smooth an earlier new one. The recursion is unrolled into
+    windows by key, which spill, so that no series is held in memory as a whole.
+    """
+    for new, (column, alpha) in columns.items():
+        df = _ewm(df, new, column, alpha, key, (order,) if isinstance(order, str) else tuple(order))
+    return df
 
 
 def alpha(span: int) -> float:
@@ -46,31 +64,25 @@ def rsi(bars: DataFrame, n: int = 14) -> DataFrame:
     """Relative strength from simple means of gains and losses; 100 without losses, null without moves."""
     w = last_rows(n)
     moved = bars.withColumn("_move", F.col("close") - F.lag("close").over(by_symbol()))
-    gain, loss = F.avg(F.greatest("_move", F.lit(0.0))).over(w), F.avg(F.greatest(-F.col("_move"), F.lit(0.0))).over(w)
     # greatest() skips nulls, so the first row counts as no move; the guard below leaves its windows out
+    means = {"_gain": F.avg(F.greatest("_move", F.lit(0.0))).over(w), "_loss": F.avg(F.greatest(-F.col("_move"), F.lit(0.0))).over(w), "_moves": F.count("_move").over(w)}
+    gain, loss = F.col("_gain"), F.col("_loss")
     value = F.when(loss == 0, F.when(gain > 0, 100.0)).otherwise(100 - 100 / (1 + gain / loss))
-    return moved.withColumn(f"rsi_{n}", guarded(n, value, F.col("_move"), w)).drop("_move")
+    return moved.withColumns(means).withColumn(f"rsi_{n}", F.when(F.col("_moves") >= n, value)).drop("_move", *means)
 
 
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    """Both means, their difference, its own mean and the rest, in one pass over each symbol."""
-    schema = T.StructType([*bars.schema.fields, *(T.StructField(c, T.DoubleType()) for c in ("macd", "macd_signal", "macd_histogram"))])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("timestamp", kind="stable")
-        mean = lambda x, span: x.ewm(alpha=alpha(span), adjust=False, ignore_na=True).mean()
-        pdf["macd"] = mean(pdf["close"], fast) - mean(pdf["close"], slow)
-        pdf["macd_signal"] = mean(pdf["macd"], signal)
-        pdf["macd_histogram"] = pdf["macd"] - pdf["macd_signal"]
-        return pdf[schema.names]
-
-    return bars.groupBy("symbol").applyInPandas(run, schema)
+    """The difference of a fast and a slow mean, its own mean, and the rest."""
+    out = ewm(bars, {"_fast": ("close", alpha(fast)), "_slow": ("close", alpha(slow))}).withColumn("macd", F.col("_fast") - F.col("_slow"))
+    out = ewm(out, {"macd_signal": ("macd", alpha(signal))})
+    return out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).drop("_fast", "_slow")
 
 
 def bollinger(bars: DataFrame, n: int = 20, k: float = 2.0) -> DataFrame:
     w = last_rows(n)
-    mean, spread = (guarded(n, f("close").over(w), F.col("close"), w) for f in (F.avg, F.stddev_samp))
-    return bars.withColumns({"bb_middle": mean, "bb_upper": mean + k * spread, "bb_lower": mean - k * spread})
+    sums = {"_mean": F.avg("close").over(w), "_std": F.stddev_samp("close").over(w), "_n": F.count("close").over(w)}
+    mean, spread = (F.when(F.col("_n") >= n, F.col(c)) for c in ("_mean", "_std"))
+    return bars.withColumns(sums).withColumns({"bb_middle": mean, "bb_upper": mean + k * spread, "bb_lower": mean - k * spread}).drop(*sums)
 
 
 def true_range() -> Column:
@@ -86,7 +98,9 @@ def atr(bars: DataFrame, n: int = 14) -> DataFrame:
 def stochastic(bars: DataFrame, k: int = 14, slow: int = 3, d: int = 3) -> DataFrame:
     w = last_rows(k)
     low, high = F.min("low").over(w), F.max("high").over(w)
-    out = bars.withColumn("_raw", guarded(k, F.try_divide(100.0 * (F.col("close") - low), high - low), F.col("close"), w))
+    out = bars.withColumns({"_low": low, "_high": high, "_n": F.count("close").over(w)})
+    raw = F.try_divide(100.0 * (F.col("close") - F.col("_low")), F.col("_high") - F.col("_low"))
+    out = out.withColumn("_raw", F.when(F.col("_n") >= k, raw)).drop("_low", "_high", "_n")
     ws, wd = last_rows(slow), last_rows(d)
     out = out.withColumn("stoch_k", guarded(slow, F.avg("_raw").over(ws), F.col("_raw"), ws))
     return out.withColumn("stoch_d", guarded(d, F.avg("stoch_k").over(wd), F.col("stoch_k"), wd)).drop("_raw")

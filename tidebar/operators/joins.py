@@ -6,6 +6,8 @@ broadcast where the plan says so, otherwise the session's threshold decides.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,9 +117,10 @@ def price_asof_roll(rolls: DataFrame, bars: DataFrame) -> DataFrame:
     return both.withColumn("back_price", F.coalesce("before", "close")).drop("before", "close", "symbol")
 
 
-def missing_dates(reference: DataFrame, target: DataFrame) -> DataFrame:
-    dates = lambda df: df.select(day("timestamp").alias("date")).where("date IS NOT NULL").distinct()
-    return dates(reference).join(dates(target), "date", "left_anti")
+def missing_dates(reference: DataFrame, target: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(date, *by) that the reference has and the target has not."""
+    dates = lambda df: df.select(day("timestamp").alias("date"), *by).where("date IS NOT NULL").distinct()
+    return dates(reference).join(dates(target), ["date", *by], "left_anti")
 
 
 def series_ratio(bars: DataFrame, a: str, b: str) -> DataFrame:

@@ -139,38 +139,54 @@ def risk_report(rets: DataFrame, benchmark: DataFrame) -> DataFrame:
     return performance(rets).select("symbol", "volatility", "max_drawdown", "sharpe", "var_95").join(beta_alpha(rets, benchmark).select("symbol", "beta", "alpha"), "symbol", "left")
 
 
-def rolling_risk(rets: DataFrame, windows: Sequence[int] = (21, 63), rf: float = 0.02) -> DataFrame:
-    """Per window n (from max(5, n / 2) returns on): volatility, annualised compound return, Sharpe, Sortino."""
-    df = _curve(rets.where("ret IS NOT NULL AND NOT isnan(ret) AND ret > -1").dropDuplicates(["symbol", "timestamp"]))
-    df = df.withColumn("_down", F.least("ret", F.lit(0.0)))
+def rolling_risk(rets: DataFrame, windows: Sequence[int] = (21, 63, 252), rf: float = 0.02) -> DataFrame:
+    """Per window n (from max(5, n / 2) returns on): volatility, annualised compound return, its excess over rf, Sharpe, Sortino.
+
+    And the equity, its high-water mark and the drawdown. Null and infinite returns and repeated timestamps go first;
+    returns of -1 and less have no logarithm and go, too. The compound return of a wild series can be beyond any
+    scale: log_return_n is its logarithm, ln(1 + return_n).
+    """
+    fine = "ret IS NOT NULL AND NOT isnan(ret) AND ret > -1 AND ret < double('infinity')"
+    df = _curve(rets.where(fine).dropDuplicates(["symbol", "timestamp"]))
+    df = df.withColumns({"_down": F.least("ret", F.lit(0.0)), "_log": F.log1p("ret")})
     made = {}
-    for n in windows:
-        w, least = last_rows(n), max(5, n // 2)
-        count = F.count("ret").over(w)
-        annual = F.exp(F.sum(F.log1p("ret")).over(w) * YEAR / count) - 1
-        vol, down = (F.stddev_samp(c).over(w) * F.sqrt(F.lit(YEAR)) for c in ("ret", "_down"))
+    for n in windows:  # each frame is summed up once: what is made of the sums follows in a projection of its own
+        w = last_rows(n)
+        sums = {"n": F.count("ret"), "log": F.sum("_log"), "vol": F.stddev_samp("ret"), "down": F.stddev_samp("_down")}
+        df = df.withColumns({f"_{k}_{n}": value.over(w) for k, value in sums.items()})
+        count, log, vol, down = (F.when(F.col(f"_n_{n}") >= max(5, n // 2), F.col(f"_{k}_{n}")) for k in sums)
+        grown, vol, down = log * YEAR / count, vol * F.sqrt(F.lit(YEAR)), down * F.sqrt(F.lit(YEAR))
+        excess = F.exp(grown) - 1 - rf
         made |= {
-            f"vol_{n}": r(guarded(least, vol, F.col("ret"), w)), f"return_{n}": r(guarded(least, annual, F.col("ret"), w), 4),
-            f"sharpe_{n}": r(guarded(least, F.try_divide(annual - rf, vol), F.col("ret"), w), 4), f"sortino_{n}": r(guarded(least, F.try_divide(annual - rf, down), F.col("ret"), w), 4),
+            f"vol_{n}": r(vol), f"log_return_{n}": r(grown, 4), f"return_{n}": r(F.exp(grown) - 1, 4), f"excess_{n}": r(excess, 4),
+            f"sharpe_{n}": r(F.try_divide(excess, vol), 4), f"sortino_{n}": r(F.try_divide(excess, down), 4),
         }
-    return df.withColumns(made).select("symbol", "timestamp", r("equity").alias("equity"), r("drawdown").alias("drawdown"), *made)
+    return df.select("symbol", "timestamp", r("equity").alias("equity"), r("peak").alias("high_water_mark"), r("drawdown").alias("drawdown"), *(c.alias(k) for k, c in made.items()))
 
 
 def summary_risk(rets: DataFrame, rf: float = 0.02) -> DataFrame:
-    """One row of risk measures for each symbol; CVaR is the mean of returns up to the VaR, by a second pass."""
-    df = _curve(rets.where("ret IS NOT NULL"))
+    """One row of risk measures for each symbol; growth counts from the first return's equity on.
+
+    CVaR is the mean of returns up to the VaR, by a second pass. The exact percentile holds a symbol's distinct
+    returns in one task.
+    """
+    df = _curve(rets.where("ret IS NOT NULL AND NOT isnan(ret) AND abs(ret) < double('infinity')"))
     bound = df.groupBy("symbol").agg(F.percentile("ret", F.lit(0.05)).alias("var"))
     ret, n = F.col("ret"), F.count("ret")
     gain, loss = F.sum(F.when(ret > 0, ret)), F.abs(F.sum(F.when(ret < 0, ret)))
-    annual = F.pow(F.max_by("equity", "timestamp"), YEAR / n) - 1
-    out = df.join(bound, "symbol").groupBy("symbol").agg(
-        n.alias("n"), r(F.max_by("equity", "timestamp") - 1).alias("total_return"), r(annual).alias("annual_return"), r(F.stddev_samp(ret) * F.sqrt(F.lit(YEAR))).alias("volatility"),
-        r(F.try_divide(annual - rf, F.stddev_samp(ret) * F.sqrt(F.lit(YEAR)))).alias("sharpe"), r(F.min("drawdown")).alias("max_drawdown"), r(F.try_divide(annual, F.abs(F.min("drawdown")))).alias("calmar"),
-        r(F.first("var")).alias("var_95"), r(F.avg(F.when(ret <= F.col("var"), ret))).alias("cvar_95"), r(F.max(ret)).alias("best"), r(F.min(ret)).alias("worst"),
-        r(F.avg(F.when(ret > 0, ret))).alias("avg_gain"), r(F.avg(F.when(ret < 0, ret))).alias("avg_loss"), r(F.avg((ret > 0).cast("double"))).alias("hit_ratio"), r(F.try_divide(gain, loss)).alias("profit_factor"),
-        r(n / YEAR).alias("years"),
+    growth = F.try_divide(F.max_by("equity", "timestamp"), F.min_by("equity", "timestamp"))
+    annual = F.pow(growth, YEAR / n) - 1
+    spread = lambda c: F.stddev_samp(c) * F.sqrt(F.lit(YEAR))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    return df.join(bound, "symbol").groupBy("symbol").agg(
+        n.alias("n"), r(growth - 1).alias("total_return"), r(annual).alias("annual_return"), r(zero(spread(ret))).alias("volatility"),
+        r(zero(F.try_divide(annual - rf, spread(ret)))).alias("sharpe"), r(zero(F.try_divide(annual - rf, spread(F.when(ret < 0, ret))))).alias("sortino"),
+        r(F.min("drawdown")).alias("max_drawdown"), r(zero(F.try_divide(annual, F.abs(F.min("drawdown"))))).alias("calmar"),
+        r(zero(bias_corrected_skew(ret, n)), 4).alias("skew"), r(zero(bias_corrected_kurtosis(ret, n)), 4).alias("kurtosis"),
+        r(F.first("var")).alias("var_95"), r(zero(F.avg(F.when(ret <= F.col("var"), ret)))).alias("cvar_95"), r(F.max(ret)).alias("best"), r(F.min(ret)).alias("worst"), r(F.avg(ret)).alias("mean"),
+        r(zero(F.avg(F.when(ret > 0, ret)))).alias("avg_gain"), r(zero(F.avg(F.when(ret < 0, ret)))).alias("avg_loss"), r(F.avg((ret > 0).cast("double"))).alias("hit_ratio"),
+        r(F.try_divide(gain, loss)).alias("profit_factor"), r(n / YEAR).alias("years"),
     )
-    return out
 
 
 def _clip(value: Column, low: float, high: float) -> Column:
@@ -209,12 +225,19 @@ def combine(scalings: DataFrame, weights: dict[str, float], low: float = 0.1, hi
     return scalings.withColumn("combined", r(_clip(value, low, high)))
 
 
-def exposure(positions: DataFrame, equity: float = 1_000_000.0, margin_rate: float = 0.1, limit: float = 0.25) -> DataFrame:
-    """Notional and margin of each position, as shares of equity, and the value within the limit."""
-    notional = F.col("market_value")
-    return positions.withColumns(
-        {"exposure_pct": r(notional * 100.0 / equity), "margin": r(notional * margin_rate), "margin_pct": r(notional * margin_rate * 100.0 / equity), "limited_value": r(_clip(notional, -limit * equity, limit * equity))}
-    )
+def exposure(positions: DataFrame, specs: DataFrame, equity: float = 1_000_000.0, limit_pct: float = 0.25, max_size: float | None = None) -> DataFrame:
+    """Notional and margin of each position and their shares of equity in per cent, and the quantity within the limits.
+
+    positions: symbol, quantity, price; specs: symbol, multiplier, margin (of one contract). The limits are the
+    contracts whose margin is limit_pct of equity (none without a margin) and max_size. A position without specs has null measures.
+    """
+    notional = F.abs(F.col("quantity") * F.col("price") * F.col("multiplier"))
+    margin = F.abs(F.col("quantity") * F.col("margin"))
+    by_equity = F.when(F.col("margin") > 0, equity * limit_pct / F.col("margin"))
+    limit = F.least(by_equity, F.lit(max_size).cast("double"))  # least() skips nulls
+    held = F.when(limit.isNull(), F.col("quantity")).otherwise(F.least(F.greatest(F.col("quantity").cast("double"), -limit), limit))
+    made = {"notional": r(notional), "exposure_pct": r(notional * 100.0 / equity), "margin_used": r(margin), "margin_pct": r(margin * 100.0 / equity), "limited_quantity": r(held)}
+    return positions.join(specs.select("symbol", "multiplier", "margin"), "symbol", "left").withColumns(made).drop("multiplier", "margin")
 
 
 def term_structure(wide: DataFrame) -> DataFrame:
@@ -230,9 +253,12 @@ def term_structure_stats(wide: DataFrame) -> DataFrame:
     return s.select(F.inline(rows)).groupBy("measure").agg(F.count("*").alias("n"), r(F.avg("value")).alias("mean"), r(F.stddev_samp("value")).alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
 
 
-def trade_costs(trades: DataFrame, multiplier: float = 50.0, rate: float = 0.85, least: float = 1.0, slippage: float = 0.25) -> DataFrame:
-    """Result and costs of trades (entry, exit, quantity): commission and slippage for both legs."""
-    q = F.abs("quantity")
-    return trades.withColumns({"pnl": r(F.col("quantity") * (F.col("exit") - F.col("entry")) * multiplier), "costs": r(2 * (F.greatest(F.lit(rate), F.lit(least)) * q + slippage * multiplier * q))})
-
+def trade_costs(trades: DataFrame, specs: DataFrame, rate: float = 0.0, least: float = 0.85, slippage: float = 0.0001) -> DataFrame:
+    """Result and costs of trades (symbol, entry, exit, quantity) by the multiplier of their contract (specs: symbol, multiplier).
 
+    Each leg costs the rate of its price a contract, `least` a contract at least, and slippage as a share of its value.
+    """
+    q, multiplier = F.abs("quantity"), F.col("multiplier")
+    leg = lambda price: F.greatest(q * rate * F.col(price), q * least) + q * F.col(price) * multiplier * slippage
+    made = {"pnl": r(F.col("quantity") * (F.col("exit") - F.col("entry")) * multiplier), "costs": r(leg("entry") + leg("exit"))}
+    return trades.join(specs.select("symbol", "multiplier"), "symbol", "left").withColumns(made).drop("multiplier")

@@ -121,16 +121,16 @@ def _(t: Tables):
     return b.purge_candidates(t.contract_bars, 1996, 30, "^[A-Z]+[FGHJKMNQUVXZ][0-9]{2}$")
 
 
-_POSITIONS = "SELECT CAST(timestamp AS DATE) AS date, dense_rank() OVER (PARTITION BY root, timestamp ORDER BY expiry_month) AS position FROM contract_bars WHERE root = 'PROMO'"
+_POSITIONS = "SELECT root, CAST(timestamp AS DATE) AS date, dense_rank() OVER (PARTITION BY root, timestamp ORDER BY expiry_month) AS position FROM contract_bars"
 
 
-@query("series_completeness", f"""SELECT date, count(DISTINCT CASE WHEN position BETWEEN 1 AND 5 THEN position END) AS present, coalesce(string_agg(DISTINCT CASE WHEN position BETWEEN 1 AND 5 THEN CAST(position AS VARCHAR) END, ',' ORDER BY CASE WHEN position BETWEEN 1 AND 5 THEN CAST(position AS VARCHAR) END), '') AS positions,
-    count(DISTINCT CASE WHEN position BETWEEN 1 AND 5 THEN position END) = 5 AS complete FROM ({_POSITIONS}) GROUP BY date""")
+@query("series_completeness", f"""SELECT root, date, count(DISTINCT CASE WHEN position BETWEEN 1 AND 5 THEN position END) AS present, coalesce(string_agg(DISTINCT CASE WHEN position BETWEEN 1 AND 5 THEN CAST(position AS VARCHAR) END, ',' ORDER BY CASE WHEN position BETWEEN 1 AND 5 THEN CAST(position AS VARCHAR) END), '') AS positions,
+    count(DISTINCT CASE WHEN position BETWEEN 1 AND 5 THEN position END) = 5 AS complete FROM ({_POSITIONS}) GROUP BY root, date""")
 def _(t: Tables):
     from pyspark.sql import Window
 
     rank = F.dense_rank().over(Window.partitionBy("root", "timestamp").orderBy("expiry_month"))
-    cont = t.contract_bars.where("root = 'PROMO'").select(F.to_date("timestamp").alias("date"), rank.alias("position"))
+    cont = t.contract_bars.select("root", F.to_date("timestamp").alias("date"), rank.alias("position"))
     return b.series_completeness(cont, 5)
 
 

@@ -36,17 +36,29 @@ def _(t: Tables):
     return c.fill_by_ratio(of("Brand#1"), of("Brand#2"), 10).withColumn("value", F.round("value", 6))
 
 
-@query("fill_zero_prices")
+_FILL = {
+    "z_map": "SELECT root, date, position, symbol FROM (SELECT d.root, d.date, CAST(row_number() OVER (PARTITION BY d.root, d.date ORDER BY k.last_date, k.symbol) AS INT) AS position, k.symbol FROM (SELECT DISTINCT root, timestamp::DATE AS date FROM contract_bars) d JOIN contracts k ON k.root = d.root AND k.last_date >= d.date) WHERE position <= 3",
+    "z_raw": "SELECT m.root, m.date, m.position, CASE WHEN dayofyear(m.date) % 13 = 0 OR day(m.date) = 4 THEN 0.0 ELSE coalesce(b.close, 0.0) END AS raw FROM z_map m LEFT JOIN contract_bars b ON b.symbol = m.symbol AND b.timestamp = m.date",
+    "z_index": "SELECT root, timestamp::DATE AS date, nullif(CASE WHEN dayofyear(timestamp) % 7 = 0 OR day(timestamp) = 4 THEN 0.0 ELSE max(close) END, 0.0) AS iv FROM contract_bars GROUP BY root, timestamp",
+    "z_known": "SELECT r.*, CASE WHEN raw > 0 THEN raw END AS v, epoch_us(r.date::TIMESTAMP)::DOUBLE AS x, row_number() OVER (PARTITION BY r.root, position ORDER BY r.date) AS n, iv, max(CASE WHEN position = 1 AND raw > 0 THEN raw END) OVER (PARTITION BY r.root, r.date) AS front FROM z_raw r LEFT JOIN z_index i ON i.root = r.root AND i.date = r.date",
+    "z_lined": "SELECT *, last_value(CASE WHEN v IS NOT NULL THEN n END IGNORE NULLS) OVER b AS n0, last_value(CASE WHEN v IS NOT NULL THEN x END IGNORE NULLS) OVER b AS x0, last_value(v IGNORE NULLS) OVER b AS y0, first_value(CASE WHEN v IS NOT NULL THEN x END IGNORE NULLS) OVER a AS x1, first_value(v IGNORE NULLS) OVER a AS y1, row_number() OVER (PARTITION BY root, position, v IS NOT NULL AND front IS NOT NULL ORDER BY date DESC) AS nf, row_number() OVER (PARTITION BY root, position, v IS NOT NULL AND iv IS NOT NULL ORDER BY date DESC) AS ni FROM z_known WINDOW b AS (PARTITION BY root, position ORDER BY date ROWS UNBOUNDED PRECEDING), a AS (PARTITION BY root, position ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)",
+    "z_ratios": "SELECT root, position, CASE WHEN count(*) FILTER (v IS NOT NULL AND front IS NOT NULL) >= 10 THEN avg(v / front) FILTER (v IS NOT NULL AND front IS NOT NULL AND nf <= 60) END AS rf, CASE WHEN count(*) FILTER (v IS NOT NULL AND iv IS NOT NULL) >= 10 THEN avg(v / iv) FILTER (v IS NOT NULL AND iv IS NOT NULL AND ni <= 60) END AS ri FROM z_lined GROUP BY root, position",
+    "z_ways": "SELECT l.*, CASE WHEN l.date NOT IN (SELECT date FROM z_known WHERE v IS NOT NULL OR iv IS NOT NULL) THEN raw END AS w_holiday, CASE WHEN y1 IS NOT NULL AND n - n0 <= 5 THEN y0 + (y1 - y0) * (x - x0) / nullif(x1 - x0, 0) END AS w_line, CASE WHEN l.position > 1 THEN front * rf END AS w_ratio, CASE WHEN l.position > 1 THEN front * (1 + (l.position - 1) * 0.03::DOUBLE) END AS w_place, iv * ri AS w_ri, iv * (1.1::DOUBLE + (l.position - 1) * 0.05::DOUBLE) AS w_index FROM z_lined l JOIN z_ratios q ON q.root = l.root AND q.position = l.position",
+}
+
+
+@query("fill_zero_prices", """SELECT root, position, date, round(coalesce(v, w_holiday, w_line, w_ratio, w_place, w_ri, w_index), 6) AS value, CASE WHEN v IS NOT NULL THEN 'original' WHEN w_holiday IS NOT NULL THEN 'holiday' WHEN w_line IS NOT NULL THEN 'interpolated' WHEN w_ratio IS NOT NULL THEN 'ratio' WHEN w_place IS NOT NULL THEN 'position' WHEN w_ri IS NOT NULL THEN 'index_ratio' WHEN w_index IS NOT NULL THEN 'index' END AS method,
+    CASE WHEN v IS NOT NULL OR w_holiday IS NOT NULL THEN 100 WHEN w_line IS NOT NULL THEN 80 WHEN coalesce(w_ratio, w_place, w_ri, w_index) IS NOT NULL THEN 75 END AS quality FROM z_ways""", _FILL)
 def _(t: Tables):
     from tidebar.operators.continuous import continuous_nth
     from tidebar.operators.rolls import continuous_mapping
 
-    promo = t.contract_bars.where("root = 'PROMO'")
-    dates = promo.select("root", F.to_date("timestamp").alias("date")).distinct()
-    nth = continuous_nth(promo, continuous_mapping(dates, t.contracts.where("root = 'PROMO'"), 3))
-    series = nth.select("position", "date", F.when(F.dayofyear("date") % 13 == 0, 0.0).otherwise(F.coalesce("close", F.lit(0.0))).alias("value"))
-    index = t.bars.where("symbol = 'Brand#1'").groupBy(F.to_date("timestamp").alias("date")).agg(F.max("close").alias("value"))
-    return c.fill_zero_prices(series, index)
+    dates = t.contract_bars.select("root", F.to_date("timestamp").alias("date")).distinct()
+    nth = continuous_nth(t.contract_bars, continuous_mapping(dates, t.contracts, 3))
+    closed = lambda date, n: (F.dayofyear(date) % n == 0) | (F.dayofmonth(date) == 4)
+    series = nth.select("root", "position", "date", F.when(closed("date", 13), 0.0).otherwise(F.coalesce("close", F.lit(0.0))).alias("value"))
+    index = t.contract_bars.groupBy("root", F.to_date("timestamp").alias("date")).agg(F.max("close").alias("value"))
+    return c.fill_zero_prices(series, index.withColumn("value", F.when(closed("date", 7), 0.0).otherwise(F.col("value"))))
 
 
 _LINE = f"""CASE WHEN x1 IS NULL THEN y0 ELSE y0 + (y1 - y0) * (n - x0) / nullif(x1 - x0, 0) END"""

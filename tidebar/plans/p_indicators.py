@@ -12,41 +12,70 @@ W = "PARTITION BY symbol ORDER BY timestamp ROWS {} PRECEDING"
 BY = "OVER (PARTITION BY symbol ORDER BY timestamp)"
 
 
-@query("sma", f"SELECT symbol, timestamp, CASE WHEN count(close) OVER w = 20 THEN round(avg(close) OVER w, 6) END AS sma_20 FROM bars WINDOW w AS ({W.format(19)})")
+def smoothed(source: str, value: str, alpha: float, order: str = "timestamp", keep: str = "timestamp") -> str:
+    """SQL for the recursion e = e + alpha (x - e), step by step over a list of each symbol: (symbol, keep, value, e)."""
+    step = f"lambda acc, v: list_append(acc, coalesce(acc[-1] + {alpha!r} * (v[1] - acc[-1]), acc[-1], v[1]))"
+    return f"""SELECT symbol, unnest(k) AS {keep}, unnest(x) AS {value}, unnest(e) AS e FROM (SELECT symbol, list({keep} ORDER BY {order}) AS k, list({value} ORDER BY {order}) AS x, list_reduce(list([{value}::DOUBLE] ORDER BY {order}), {step}) AS e FROM {source} GROUP BY symbol)"""
+
+
+_EMA = {"ema_rows": smoothed("bars", "close", 2 / 21)}
+_MACD = {
+    "macd_fast": smoothed("bars", "close", 2 / 13), "macd_slow": smoothed("bars", "close", 2 / 27),
+    "macd_line": "SELECT f.symbol, f.timestamp, f.e - s.e AS m FROM macd_fast f JOIN macd_slow s ON f.symbol = s.symbol AND f.timestamp = s.timestamp",
+    "macd_rows": smoothed("macd_line", "m", 2 / 10),
+}
+
+
+_SMA = f"SELECT symbol, timestamp, CASE WHEN count(close) OVER w = 20 THEN round(avg(close) OVER w, 6) END AS sma_20 FROM bars WINDOW w AS ({W.format(19)})"
+
+
+@query("sma", _SMA)
 def _(t: Tables):
     return i.rounded(i.sma(t.bars, 20), "sma_20")
 
 
-@query("ema")
+@query("ema", "SELECT symbol, timestamp, round(e, 6) AS ema_20 FROM ema_rows", _EMA)
 def _(t: Tables):
     return i.rounded(i.ema(t.bars, 20), "ema_20")
 
 
-@query("rsi", f"""SELECT symbol, timestamp, round(CASE WHEN count(m) OVER w = 14 THEN CASE WHEN avg(greatest(-m, 0)) OVER w = 0 THEN CASE WHEN avg(greatest(m, 0)) OVER w > 0 THEN 100.0 END ELSE 100 - 100 / (1 + avg(greatest(m, 0)) OVER w / avg(greatest(-m, 0)) OVER w) END END, 6) AS rsi_14
-    FROM (SELECT *, close - lag(close) {BY} AS m FROM bars) WINDOW w AS ({W.format(13)})""")
+_RSI = f"""SELECT symbol, timestamp, round(CASE WHEN count(m) OVER w = 14 THEN CASE WHEN avg(greatest(-m, 0)) OVER w = 0 THEN CASE WHEN avg(greatest(m, 0)) OVER w > 0 THEN 100.0 END ELSE 100 - 100 / (1 + avg(greatest(m, 0)) OVER w / avg(greatest(-m, 0)) OVER w) END END, 6) AS rsi_14
+    FROM (SELECT *, close - lag(close) {BY} AS m FROM bars) WINDOW w AS ({W.format(13)})"""
+
+
+@query("rsi", _RSI)
 def _(t: Tables):
     return i.rounded(i.rsi(t.bars), "rsi_14")
 
 
-@query("macd")
+@query("macd", "SELECT symbol, timestamp, round(m, 6) AS macd, round(e, 6) AS macd_signal, round(m - e, 6) AS macd_histogram FROM macd_rows", _MACD)
 def _(t: Tables):
     return i.rounded(i.macd(t.bars.select("symbol", "timestamp", "close")), "macd", "macd_signal", "macd_histogram")
 
 
-@query("bollinger", f"""SELECT symbol, timestamp, round(m, 6) AS bb_middle, round(m + 2 * s, 6) AS bb_upper, round(m - 2 * s, 6) AS bb_lower FROM (SELECT symbol, timestamp, CASE WHEN count(close) OVER w = 20 THEN avg(close) OVER w END AS m,
-    CASE WHEN count(close) OVER w = 20 THEN stddev_samp(close) OVER w END AS s FROM bars WINDOW w AS ({W.format(19)}))""")
+_BOLLINGER = f"""SELECT symbol, timestamp, round(m, 6) AS bb_middle, round(m + 2 * s, 6) AS bb_upper, round(m - 2 * s, 6) AS bb_lower FROM (SELECT symbol, timestamp, CASE WHEN count(close) OVER w = 20 THEN avg(close) OVER w END AS m,
+    CASE WHEN count(close) OVER w = 20 THEN stddev_samp(close) OVER w END AS s FROM bars WINDOW w AS ({W.format(19)}))"""
+
+
+@query("bollinger", _BOLLINGER)
 def _(t: Tables):
     return i.rounded(i.bollinger(t.bars), "bb_middle", "bb_upper", "bb_lower")
 
 
-@query("atr", f"""SELECT symbol, timestamp, CASE WHEN count(r) OVER w = 14 THEN round(avg(r) OVER w, 6) END AS atr_14 FROM (SELECT *, greatest(high - low, abs(high - p), abs(low - p)) AS r FROM (SELECT *, lag(close) {BY} AS p FROM bars)) WINDOW w AS ({W.format(13)})""")
+_ATR = f"""SELECT symbol, timestamp, CASE WHEN count(r) OVER w = 14 THEN round(avg(r) OVER w, 6) END AS atr_14 FROM (SELECT *, greatest(high - low, abs(high - p), abs(low - p)) AS r FROM (SELECT *, lag(close) {BY} AS p FROM bars)) WINDOW w AS ({W.format(13)})"""
+
+
+@query("atr", _ATR)
 def _(t: Tables):
     return i.rounded(i.atr(t.bars), "atr_14")
 
 
-@query("stochastic", f"""WITH a AS (SELECT symbol, timestamp, CASE WHEN count(close) OVER w = 14 THEN 100.0 * (close - min(low) OVER w) / nullif(max(high) OVER w - min(low) OVER w, 0) END AS raw FROM bars WINDOW w AS ({W.format(13)})),
+_STOCHASTIC = f"""WITH a AS (SELECT symbol, timestamp, CASE WHEN count(close) OVER w = 14 THEN 100.0 * (close - min(low) OVER w) / nullif(max(high) OVER w - min(low) OVER w, 0) END AS raw FROM bars WINDOW w AS ({W.format(13)})),
     b AS (SELECT symbol, timestamp, CASE WHEN count(raw) OVER w = 3 THEN avg(raw) OVER w END AS k FROM a WINDOW w AS ({W.format(2)}))
-    SELECT symbol, timestamp, round(k, 6) AS stoch_k, round(CASE WHEN count(k) OVER w = 3 THEN avg(k) OVER w END, 6) AS stoch_d FROM b WINDOW w AS ({W.format(2)})""")
+    SELECT symbol, timestamp, round(k, 6) AS stoch_k, round(CASE WHEN count(k) OVER w = 3 THEN avg(k) OVER w END, 6) AS stoch_d FROM b WINDOW w AS ({W.format(2)})"""
+
+
+@query("stochastic", _STOCHASTIC)
 def _(t: Tables):
     return i.rounded(i.stochastic(t.bars), "stoch_k", "stoch_d")
 
@@ -56,7 +85,22 @@ def _(t: Tables):
     return i.rounded(i.sma(t.bars, 20, "volume"), "sma_20")
 
 
-@query("indicators_long")
+def _long() -> str:
+    """All indicators below one another, with their parameters as JSON."""
+    flat = lambda sql: " ".join(sql.split())
+    tables = {
+        "sma": flat(_SMA), "ema": "SELECT symbol, timestamp, round(e, 6) AS ema_20 FROM ema_rows", "rsi": flat(_RSI),
+        "macd": "SELECT symbol, timestamp, round(m, 6) AS macd, round(e, 6) AS macd_signal, round(m - e, 6) AS macd_histogram FROM macd_rows",
+        "bollinger": flat(_BOLLINGER), "atr": flat(_ATR), "stochastic": flat(_STOCHASTIC),
+    }
+    parts = []
+    for name, (_, columns, parameters) in i.INDICATORS.items():
+        json = "{" + ",".join(f'"{k}":{float(v)}' for k, v in parameters.items()) + "}"
+        parts += [f"SELECT timestamp, symbol, '{c}' AS indicator_name, {c} AS value, '{json}' AS parameters FROM ({tables[name]}) WHERE {c} IS NOT NULL" for c in columns]
+    return " UNION ALL ".join(parts)
+
+
+@query("indicators_long", _long(), {**_EMA, **_MACD})
 def _(t: Tables):
     return i.indicators_long(t.bars.select("symbol", "timestamp", "high", "low", "close")).withColumn("value", F.round("value", 6))
 

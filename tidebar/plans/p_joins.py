@@ -68,8 +68,8 @@ def _root_dates(t: Tables):
     return t.contract_bars.select("root", F.to_date("timestamp").alias("date")).distinct()
 
 
-@query("nth_active_contract", """SELECT root, date, symbol AS contract FROM (SELECT d.root, d.date, k.symbol, row_number() OVER (PARTITION BY d.root, d.date ORDER BY k.last_date, k.symbol) AS p FROM (SELECT DISTINCT root, timestamp::DATE AS date FROM contract_bars WHERE timestamp < '1996-01-01') d
-    JOIN contracts k ON k.root = d.root AND k.last_date >= d.date) WHERE p = 2""")
+@query("nth_active_contract", """SELECT d.root, d.date, k.symbol AS contract FROM (SELECT root, date, (SELECT count(*) FROM contracts e WHERE e.root = x.root AND e.last_date < x.date) AS ended FROM (SELECT DISTINCT root, timestamp::DATE AS date FROM contract_bars) x) d
+    JOIN (SELECT root, symbol, row_number() OVER (PARTITION BY root ORDER BY last_date, symbol) AS p FROM contracts) k ON k.root = d.root AND k.p = d.ended + 2""")
 def _(t: Tables):
     return j.nth_contract(_root_dates(t), t.contracts, 2)
 
@@ -112,10 +112,9 @@ def _(t: Tables):
     return j.missing_dates(t.bars, t.bars.where("symbol = 'Brand#1'"))
 
 
-@query("higher_only_days", "SELECT DISTINCT timestamp::DATE AS date FROM contract_bars WHERE root = 'PROMO' AND month(expiry_month) > 6 AND timestamp::DATE NOT IN (SELECT timestamp::DATE FROM contract_bars WHERE root = 'PROMO' AND month(expiry_month) <= 6)")
+@query("higher_only_days", "SELECT DISTINCT timestamp::DATE AS date, root FROM contract_bars b WHERE month(expiry_month) > 6 AND NOT EXISTS (SELECT 1 FROM contract_bars x WHERE x.root = b.root AND x.timestamp = b.timestamp AND month(x.expiry_month) <= 6)")
 def _(t: Tables):
-    promo = t.contract_bars.where("root = 'PROMO'")
-    return j.missing_dates(promo.where(F.month("expiry_month") > 6), promo.where(F.month("expiry_month") <= 6))
+    return j.missing_dates(t.contract_bars.where(F.month("expiry_month") > 6), t.contract_bars.where(F.month("expiry_month") <= 6), ["root"])
 
 
 @query("wide_outer_merge", "SELECT timestamp::DATE AS date, max(close) FILTER (symbol = 'Brand#1') AS \"Brand#1\", max(close) FILTER (symbol = 'Brand#2') AS \"Brand#2\" FROM bars WHERE symbol IN ('Brand#1', 'Brand#2') GROUP BY 1")
@@ -205,7 +204,7 @@ def _(t: Tables):
     return settled.join(t.ticks.select(F.to_date("timestamp").alias("settlement"), "id"), "settlement", "left").groupBy("month", "settlement", "last_trading_day").agg(F.count("id").alias("ticks"))
 
 
-@query("expected_expiries", f"SELECT k.symbol, (SELECT max(d) FROM cal WHERE d <= CAST({_THIRD.format('k.expiry_month')} AS DATE) - 2) AS expiry FROM contracts k WHERE k.expiry_month BETWEEN '1995-01-01' AND '2001-12-01'", CAL)
+@query("expected_expiries", f"SELECT k.symbol, (SELECT max(d) FROM cal WHERE d <= CAST({_THIRD.format('k.expiry_month')} AS DATE) - 2) AS expiry FROM contracts k", CAL)
 def _(t: Tables):
     year = F.year("expiry_month")
     first, last = t.contracts.agg(F.min(year), F.max(year)).first()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidebar.functions.calendars import HOLIDAYS
 from tidebar.operators import gaps, indicators, risk
+from tidebar.plans.p_indicators import smoothed
 from tidebar.plans.p_windows import GAP_CTES, HOLIDAY_LIST
 from tidebar.plans.register import query
 from tidebar.sources.adapters import Tables
@@ -43,6 +44,6 @@ def _(t: Tables):
     return indicators.indicators_long(t.bars.select("symbol", "timestamp", "close"), ["sma"]).select("symbol", "timestamp", "indicator_name", F.round("value", 6).alias("value"))
 
 
-@query("ewm")
+@query("ewm", "SELECT symbol, timestamp, close, round(e, 6) AS smooth FROM ewm_rows", {"ewm_rows": smoothed("bars", "close", 0.1)})
 def _(t: Tables):
     return indicators.ewm(t.bars.select("symbol", "timestamp", "close"), {"smooth": ("close", 0.1)}).withColumn("smooth", F.round("smooth", 6))

@@ -81,12 +81,16 @@ def _(t: Tables):
     return k.completeness_report(t.dirty_bars)
 
 
-_FAILURES = " UNION ALL ".join(f"SELECT symbol, timestamp, '{name}' AS rule, '{column}' AS field FROM dirty_bars WHERE NOT ({cond})" for name, (cond, column) in k.BAR_RULES.items())
+#: Prices in whole cents and the day as text, so that a record is written alike by all engines.
+_CENTS = "SELECT symbol, strftime(timestamp, '%Y-%m-%d') AS day, " + ", ".join(f"CAST(round({c} * 100) AS BIGINT) AS {c}" for c in PRICES) + ", volume FROM dirty_bars"
+_RECORD = "'{' || concat_ws(',', " + ", ".join([f"""'"{c}":"' || {c} || '"'""" for c in ("symbol", "day")] + [f"""'"{c}":' || {c}""" for c in (*PRICES, "volume")]) + ") || '}'"
+_FAILURES = " UNION ALL ".join(f"SELECT symbol, day, '{name}' AS rule, '{column}' AS field, {_RECORD} AS record FROM cents WHERE NOT ({cond})" for name, (cond, column) in k.BAR_RULES.items())
 
 
-@query("rule_validation", _FAILURES)
+@query("rule_validation", _FAILURES, {"cents": _CENTS})
 def _(t: Tables):
-    return k.validate(t.dirty_bars, k.BAR_RULES, ["symbol", "timestamp"]).drop("record")
+    cents = t.dirty_bars.select("symbol", F.date_format("timestamp", "yyyy-MM-dd").alias("day"), *(F.round(F.col(c) * 100).cast("long").alias(c) for c in PRICES), "volume")
+    return k.validate(cents, k.BAR_RULES, ["symbol", "day"])
 
 
 @query("validation_batch", "SELECT count(*) AS n, " + ", ".join(f"count(*) FILTER (NOT ({cond})) AS failed_{name}" for name, (cond, _) in k.BAR_RULES.items()) + " FROM dirty_bars")

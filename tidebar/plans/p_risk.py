@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidebar.operators import risk as m
+from tidebar.plans.p_indicators import smoothed
 from tidebar.plans.register import query
 from tidebar.sources.adapters import Tables
 
@@ -22,6 +23,10 @@ def rets(t: Tables):
     return m.returns(t.bars).select("symbol", "timestamp", "ret")
 
 
+def levered(t: Tables):
+    return rets(t).withColumn("ret", F.col("ret") * 0.0001)
+
+
 def market(t: Tables):
     return rets(t).groupBy("timestamp").agg(F.avg("ret").alias("market"))
 
@@ -66,9 +71,10 @@ def _(t: Tables):
     return m.rolling_metrics(rets(t))
 
 
-@query("drawdowns", "SELECT symbol, timestamp, round(equity, 6) AS equity, round(drawdown, 6) AS drawdown FROM curve", C)
+@query("drawdowns", """SELECT symbol, timestamp, round(equity, 6) AS equity, round(peak, 6) AS peak, round(drawdown, 6) AS drawdown, d AND NOT coalesce(lag(d) OVER w, false) AS starts, NOT d AND coalesce(lag(d) OVER w, false) AS ends
+    FROM (SELECT *, drawdown < 0 AS d FROM curve) WINDOW w AS (PARTITION BY symbol ORDER BY timestamp)""", C)
 def _(t: Tables):
-    return m.drawdowns(rets(t)).select("symbol", "timestamp", "equity", "drawdown")
+    return m.drawdowns(rets(t))
 
 
 @query("portfolio", f"SELECT symbol, count(*) AS n, {_PERF} FROM pcurve GROUP BY symbol", C)
@@ -96,38 +102,60 @@ def _(t: Tables):
     return m.risk_report(rets(t), market(t))
 
 
-_ROLL = "SELECT symbol, timestamp, count(*) OVER w AS n, stddev_samp(ret) OVER w * sqrt(252.0) AS vol, sum(ln(1 + ret)) OVER w * 252.0 / count(*) OVER w AS annual, stddev_samp(least(ret, 0.0)) OVER w * sqrt(252.0) AS down FROM rets WHERE ret IS NOT NULL WINDOW w AS (PARTITION BY symbol ORDER BY timestamp ROWS 20 PRECEDING)"
+def _rolled(n: int) -> str:
+    w = f"(PARTITION BY symbol ORDER BY timestamp ROWS {n - 1} PRECEDING)"
+    return f"count(*) OVER {w} AS n{n}, stddev_samp(ret) OVER {w} * sqrt(252.0) AS v{n}, sum(ln(1 + ret)) OVER {w} * 252.0 / count(*) OVER {w} AS a{n}, stddev_samp(least(ret, 0.0)) OVER {w} * sqrt(252.0) AS d{n}"
 
 
-@query("rolling_risk", f"SELECT symbol, timestamp, CASE WHEN n >= 10 THEN round(vol, 6) END AS vol_21, CASE WHEN n >= 10 THEN round(annual, 4) END AS log_return_21 FROM ({_ROLL})", C)
-def _(t: Tables):
-    out = m.rolling_risk(rets(t), (21,))
-    # annualised compound returns of wild series are astronomical: their logarithm is compared
-    df = rets(t).where("ret IS NOT NULL")
-    from tidebar.functions.scalars import guarded, last_rows
+def _measures(n: int) -> str:
+    annual = f"(CASE WHEN a{n} < 700 THEN exp(a{n}) ELSE 'infinity'::DOUBLE END - 1)"
+    of = {"vol": (f"v{n}", 6), "log_return": (f"a{n}", 4), "return": (annual, 4), "excess": (f"{annual} - 0.02", 4), "sharpe": (f"({annual} - 0.02) / nullif(v{n}, 0)", 4), "sortino": (f"({annual} - 0.02) / nullif(d{n}, 0)", 4)}
+    return ", ".join(f"CASE WHEN n{n} >= {max(5, n // 2)} THEN round({x}, {digits}) END AS {name}_{n}" for name, (x, digits) in of.items())
 
-    w = last_rows(21)
-    annual = F.sum(F.log1p("ret")).over(w) * 252.0 / F.count("ret").over(w)
-    logs = df.select("symbol", "timestamp", F.round(guarded(10, annual, F.col("ret"), w), 4).alias("log_return_21"))
-    return out.select("symbol", "timestamp", "vol_21").join(logs, ["symbol", "timestamp"])
+
+WINDOWS = (21, 63, 252)
+_ROLL = {
+    **C,
+    # a position of a ten-thousandth of the capital: whole daily returns of this table compound beyond what doubles hold alike
+    "rcurve": "SELECT *, max(equity) OVER (PARTITION BY symbol ORDER BY timestamp) AS peak FROM (SELECT symbol, timestamp, ret, exp(sum(ln(1 + ret)) OVER (PARTITION BY symbol ORDER BY timestamp)) AS equity FROM (SELECT symbol, timestamp, ret * 0.0001 AS ret FROM rets WHERE ret IS NOT NULL))",
+    "rolled": f"SELECT *, {', '.join(map(_rolled, WINDOWS))} FROM rcurve",
+}
 
 
-@query("summary_risk", """WITH c AS (SELECT * FROM curve WHERE timestamp > (SELECT min(timestamp) FROM rets z WHERE z.symbol = curve.symbol)), v AS (SELECT symbol, quantile_cont(ret, 0.05) AS v FROM c GROUP BY symbol) SELECT c.symbol, count(*) AS n, round(arg_max(equity, timestamp) - 1, 6) AS total_return, round(stddev_samp(ret) * sqrt(252.0), 6) AS volatility, round(any_value(v), 6) AS var_95,
-    round(avg(CASE WHEN ret <= v THEN ret END), 6) AS cvar_95, round(max(ret), 6) AS best, round(min(ret), 6) AS worst, round(avg(CASE WHEN ret > 0 THEN ret END), 6) AS avg_gain, round(avg(CASE WHEN ret < 0 THEN ret END), 6) AS avg_loss, round(avg((ret > 0)::INT), 6) AS hit_ratio, round(sum(CASE WHEN ret > 0 THEN ret END) / nullif(abs(sum(CASE WHEN ret < 0 THEN ret END)), 0), 6) AS profit_factor, round(count(*) / 252.0, 6) AS years FROM c JOIN v ON v.symbol = c.symbol GROUP BY c.symbol""", C)
+@query("rolling_risk", f"SELECT symbol, timestamp, round(equity, 6) AS equity, round(peak, 6) AS high_water_mark, round(equity / peak - 1, 6) AS drawdown, {', '.join(map(_measures, WINDOWS))} FROM rolled", _ROLL)
 def _(t: Tables):
-    return m.summary_risk(rets(t)).select("symbol", "n", "total_return", "volatility", "var_95", "cvar_95", "best", "worst", "avg_gain", "avg_loss", "hit_ratio", "profit_factor", "years")
+    return m.rolling_risk(levered(t), WINDOWS)
+
+
+@query("summary_risk", """WITH v AS (SELECT symbol, quantile_cont(ret, 0.05) AS v FROM rcurve GROUP BY symbol), g AS (SELECT c.symbol, count(*) AS n, arg_max(equity, timestamp) / arg_min(equity, timestamp) AS growth, stddev_samp(ret) * sqrt(252.0) AS vol, stddev_samp(ret) FILTER (ret < 0) * sqrt(252.0) AS down, min(equity / peak - 1) AS dd, skewness(ret) AS skew, kurtosis(ret) AS kurtosis,
+    any_value(v) AS v, avg(ret) FILTER (ret <= v) AS cvar, max(ret) AS best, min(ret) AS worst, avg(ret) AS mean, avg(ret) FILTER (ret > 0) AS gain, avg(ret) FILTER (ret < 0) AS loss, avg((ret > 0)::INT) AS hits, sum(ret) FILTER (ret > 0) / nullif(abs(sum(ret) FILTER (ret < 0)), 0) AS factor FROM rcurve c JOIN v ON v.symbol = c.symbol GROUP BY c.symbol)
+    SELECT symbol, n, round(growth - 1, 6) AS total_return, round(annual, 6) AS annual_return, round(coalesce(vol, 0), 6) AS volatility, round(coalesce((annual - 0.02) / nullif(vol, 0), 0), 6) AS sharpe, round(coalesce((annual - 0.02) / nullif(down, 0), 0), 6) AS sortino, round(dd, 6) AS max_drawdown, round(coalesce(annual / nullif(abs(dd), 0), 0), 6) AS calmar,
+    round(coalesce(skew, 0), 4) AS skew, round(coalesce(kurtosis, 0), 4) AS kurtosis, round(v, 6) AS var_95, round(coalesce(cvar, 0), 6) AS cvar_95, round(best, 6) AS best, round(worst, 6) AS worst, round(mean, 6) AS mean, round(coalesce(gain, 0), 6) AS avg_gain, round(coalesce(loss, 0), 6) AS avg_loss, round(hits, 6) AS hit_ratio, round(factor, 6) AS profit_factor, round(n / 252.0, 6) AS years FROM (SELECT *, pow(growth, 252.0 / n) - 1 AS annual FROM g)""", _ROLL)
+def _(t: Tables):
+    return m.summary_risk(levered(t))
 
 
 def _metrics(t: Tables):
     return m.rolling_metrics(rets(t)).select("symbol", "timestamp", "volatility", "sharpe")
 
 
-@query("vol_target_scaling")
+_METRICS = """SELECT symbol, timestamp, round(v, 6) AS volatility, round(a / nullif(v, 0), 6) AS sharpe FROM (SELECT symbol, timestamp, count(*) OVER w AS n, stddev_samp(coalesce(ret, 0)) OVER w * sqrt(252.0) AS v, avg(coalesce(ret, 0)) OVER w * 252.0 AS a FROM rets WINDOW w AS (PARTITION BY symbol ORDER BY timestamp ROWS 19 PRECEDING)) WHERE n = 20"""
+_SCALED = {
+    **C,
+    "metrics": " ".join(_METRICS.split()),
+    "vol_raw": "SELECT symbol, timestamp, CASE WHEN volatility > 0 THEN 0.15 / volatility ELSE 0.15 END AS raw FROM metrics",
+    "vol_smooth": smoothed("vol_raw", "raw", 0.1),
+    "sharpe_raw": "SELECT symbol, timestamp, least(greatest(coalesce(sharpe, 0), 0.0), 2.0) * least(greatest(coalesce(0.15 / nullif(volatility, 0), 1.0), 0.0), 2.0) AS raw FROM metrics",
+    "sharpe_smooth": smoothed("sharpe_raw", "raw", 0.1),
+}
+
+
+@query("vol_target_scaling", "SELECT symbol, timestamp, round(least(greatest(e, 0.1), 3.0), 6) AS scaling FROM vol_smooth", _SCALED)
 def _(t: Tables):
     return m.vol_target(_metrics(t)).withColumn("scaling", F.round("scaling", 6))
 
 
-@query("sharpe_vol_scaling")
+@query("sharpe_vol_scaling", "SELECT symbol, timestamp, round(least(greatest(e, 0.1), 3.0), 6) AS scaling FROM sharpe_smooth", _SCALED)
 def _(t: Tables):
     return m.sharpe_vol(_metrics(t)).withColumn("scaling", F.round("scaling", 6))
 
@@ -157,9 +185,11 @@ def _(t: Tables):
     return m.combine(both, {"factor": 0.6, "scaling": 0.4}).select("symbol", "timestamp", "combined")
 
 
-@query("exposure", "SELECT account_id, symbol, timestamp, round(market_value * 100.0 / 1e6, 6) AS exposure_pct, round(market_value * 0.1, 6) AS margin, round(market_value * 0.1 * 100.0 / 1e6, 6) AS margin_pct, round(least(greatest(market_value, -0.05 * 1e6), 0.05 * 1e6), 6) AS limited_value FROM positions")
+@query("exposure", """SELECT account_id, symbol, timestamp, round(abs(quantity * price * multiplier), 6) AS notional, round(abs(quantity * price * multiplier) * 100.0 / 1e6, 6) AS exposure_pct, round(abs(quantity * margin), 6) AS margin_used, round(abs(quantity * margin) * 100.0 / 1e6, 6) AS margin_pct,
+    round(least(greatest(quantity::DOUBLE, -cap), cap), 6) AS limited_quantity FROM (SELECT p.*, market_value / nullif(abs(quantity), 0) AS price, margin, multiplier, least(1e6 * 0.05 / margin, 40.0)::DOUBLE AS cap FROM positions p LEFT JOIN specs s ON s.symbol = p.symbol)""")
 def _(t: Tables):
-    return m.exposure(t.positions, limit=0.05).select("account_id", "symbol", "timestamp", "exposure_pct", "margin", "margin_pct", "limited_value")
+    priced = t.positions.select("account_id", "symbol", "timestamp", "quantity", F.try_divide(F.col("market_value"), F.abs("quantity")).alias("price"))
+    return m.exposure(priced, t.specs, limit_pct=0.05, max_size=40.0).drop("quantity", "price")
 
 
 _WIDE = "SELECT timestamp::DATE AS date, max(close) FILTER (symbol = 'Brand#1') AS i, max(close) FILTER (symbol = 'Brand#2') AS a, max(close) FILTER (symbol = 'Brand#3') AS b FROM bars WHERE symbol IN ('Brand#1', 'Brand#2', 'Brand#3') GROUP BY 1"
@@ -182,7 +212,8 @@ def _(t: Tables):
     return m.term_structure_stats(_wide(t))
 
 
-@query("trade_costs", "SELECT id, round((id % 7 - 3) * (close - 50.0) * 50.0, 6) AS pnl, round((2 * (1.0 * abs(id % 7 - 3) + 0.25 * 50.0 * abs(id % 7 - 3)))::DOUBLE, 6) AS costs FROM ticks")
+@query("trade_costs", """SELECT n AS id, symbol, timestamp, round(quantity * (exit - entry) * multiplier, 6) AS pnl, round(greatest(q * 0.001 * entry, q * 0.85) + q * entry * multiplier * 0.0001 + (greatest(q * 0.001 * exit, q * 0.85) + q * exit * multiplier * 0.0001), 6) AS costs
+    FROM (SELECT b.symbol, timestamp, dayofyear(timestamp) AS n, open AS entry, close AS exit, volume % 7 - 3 AS quantity, abs(volume % 7 - 3) AS q, multiplier FROM bars b LEFT JOIN specs s ON s.symbol = b.symbol)""")
 def _(t: Tables):
-    trades = t.ticks.select("id", (F.col("id") % 7 - 3).alias("quantity"), F.lit(50.0).alias("entry"), F.col("close").alias("exit"))
-    return m.trade_costs(trades).select("id", "pnl", "costs")
+    trades = t.bars.select("symbol", "timestamp", F.dayofyear("timestamp").cast("long").alias("id"), F.col("open").alias("entry"), F.col("close").alias("exit"), (F.col("volume") % 7 - 3).alias("quantity"))
+    return m.trade_costs(trades, t.specs, rate=0.001).select("id", "symbol", "timestamp", "pnl", "costs")

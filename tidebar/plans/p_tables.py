@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidebar.plans.p_indicators import smoothed
 from tidebar.plans.register import query
+from tidebar.session import shared_folder
 from tidebar.sources import tables as io
 from tidebar.sources.adapters import Tables
 from tidebar.streaming import streams
@@ -28,9 +29,8 @@ def new(t: Tables):
 
 
 def scratch(t: Tables) -> str:
-    """A new folder in the place that the session shares with its executors, or a temporary one in a local session."""
-    shared = t.spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="scratch-")
+    """A new folder in the place that the session shares with its executors."""
+    return f"{shared_folder(t.spark)}/{uuid.uuid4().hex}"
 
 
 @query("scan_parquet", "SELECT p_partkey, p_brand, p_type, p_size FROM part")
@@ -40,8 +40,11 @@ def _(t: Tables):
 
 @query("scan_table", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def _(t: Tables):
-    t.table("customer").createOrReplaceTempView("scan_table_customer")
-    return io.read_table(t.spark, "scan_table_customer").select("c_custkey", "c_name", "c_acctbal")
+    name = f"scan_table_{uuid.uuid4().hex}"
+    t.table("customer").createOrReplaceTempView(name)
+    df = io.read_table(t.spark, name).select("c_custkey", "c_name", "c_acctbal")
+    t.spark.catalog.dropTempView(name)  # the plan is resolved: the caller's session keeps no name of ours
+    return df
 
 
 @query("scan_json", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
@@ -52,19 +55,19 @@ def _(t: Tables):
     return io.read_table(t.spark, path, df.schema)
 
 
-@query("scan_csv_bars", "SELECT timestamp, 'VX' || right(symbol, 3) AS symbol, open, high, low, close AS settle, volume, open_interest FROM contract_bars WHERE root = 'PROMO'")
+@query("scan_csv_bars", "SELECT timestamp, 'VX' || right(symbol, 3) AS symbol, open, high, low, close AS settle, volume, open_interest FROM contract_bars")
 def _(t: Tables):
     path = f"{scratch(t)}/futures.csv"
     label = F.concat(F.substring("symbol", -3, 1), F.lit(" ("), F.date_format("expiry_month", "MMM yyyy"), F.lit(")"))
-    rows = t.contract_bars.where("root = 'PROMO'").select(F.date_format("timestamp", "MM/dd/yyyy"), label, "open", "high", "low", "close", "volume", "open_interest").toDF(*io.FUTURES_HEADER)
+    rows = t.contract_bars.select(F.date_format("timestamp", "MM/dd/yyyy"), label, "open", "high", "low", "close", "volume", "open_interest").toDF(*io.FUTURES_HEADER)
     io.to_csv(rows, path)
     return io.read_futures_csv(t.spark, path)
 
 
-@query("scan_csv_by_filename", "SELECT timestamp, symbol, open, high, low, close, volume FROM contract_bars WHERE root = 'PROMO'")
+@query("scan_csv_by_filename", "SELECT timestamp, symbol, open, high, low, close, volume FROM contract_bars")
 def _(t: Tables):
     path = f"{scratch(t)}/contracts"
-    rows = t.contract_bars.where("root = 'PROMO'").select("symbol", F.date_format("timestamp", "yyyy-MM-dd").alias("date"), "open", "high", "low", "close", F.col("volume").cast("double").alias("volume"))
+    rows = t.contract_bars.select("symbol", F.date_format("timestamp", "yyyy-MM-dd").alias("date"), "open", "high", "low", "close", F.col("volume").cast("double").alias("volume"))
     rows.withColumn("contract", F.col("symbol")).drop("symbol").write.partitionBy("contract").option("header", True).csv(path)
     schema = "date STRING, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE"
     df = t.spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).csv(path)
@@ -133,10 +136,11 @@ def _(t: Tables):
     return io.align(t.bars.withColumn("adjusted", F.lit(False)).withColumn("extra", F.lit(1)), io.BAR_SCHEMA)
 
 
-@query("standardise_vendor_bars", "SELECT timestamp, 'ANY' AS symbol, open, high, low, close, close AS settle, volume, up_volume, down_volume, 'vendor' AS source, 1 AS interval_value, 'daily' AS interval_unit, false AS adjusted, 100 AS quality FROM bars WHERE symbol = 'Brand#1'")
+@query("standardise_vendor_bars", "SELECT timestamp, symbol, open, high, low, close, close AS settle, volume, up_volume, down_volume, 'vendor' AS source, 1 AS interval_value, 'daily' AS interval_unit, false AS adjusted, 100 AS quality FROM bars")
 def _(t: Tables):
-    vendor = t.bars.where("symbol = 'Brand#1'").select(*(F.col(c).cast("string") for c in ("timestamp", "open", "high", "low", "close", "volume", "up_volume", "down_volume"))).toDF("TimeStamp", "Open", "High", "Low", "Close", "TotalVolume", "UpVolume", "DownVolume")
-    return io.standardise(vendor, "ANY", "daily", 1, "vendor")
+    fields = ("symbol", "timestamp", "open", "high", "low", "close", "volume", "up_volume", "down_volume")
+    vendor = t.bars.select(*(F.col(c).cast("string") for c in fields)).toDF("Ticker", "TimeStamp", "Open", "High", "Low", "Close", "TotalVolume", "UpVolume", "DownVolume")
+    return io.standardise(vendor, F.col("Ticker"), "daily", 1, "vendor")
 
 
 @query("flatten_account_json", "SELECT 'A' || account_id || '_' || symbol AS position_id, 'A' || account_id AS account_id, symbol, quantity::DOUBLE AS quantity, 0.0::DOUBLE AS average_price, market_value, unrealized_pnl, timestamp FROM positions")
@@ -150,6 +154,27 @@ def _(t: Tables):
     return io.normalise_account(t.positions.select(payload.alias("payload")), "positions")
 
 
+@query("flatten_account_orders", """SELECT timestamp, 'A' || account_id AS account_id, CAST(order_id AS VARCHAR) AS order_id, '' AS symbol, amount AS quantity, '' AS order_type, '' AS side, status, 0.0::DOUBLE AS limit_price, 0.0::DOUBLE AS stop_price, CASE WHEN status = 'Filled' THEN amount ELSE 0 END AS filled_quantity, 0.0::DOUBLE AS remaining_quantity,
+    0.0::DOUBLE AS average_fill_price, 'DAY' AS duration, '' AS route, CASE WHEN status = 'Filled' THEN timestamp END AS execution_time, NULL::TIMESTAMP AS cancellation_time FROM acct_orders""")
+def _(t: Tables):
+    filled = F.col("status") == "Filled"
+    time = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    payload = F.struct(
+        F.concat(F.lit("A"), F.col("account_id").cast("string")).alias("AccountID"), F.col("order_id").cast("string").alias("OrderID"), F.col("amount").cast("string").alias("Quantity"), F.col("status").alias("Status"),
+        F.when(filled, F.col("amount").cast("string")).alias("FilledQuantity"), F.lit("DAY").alias("Duration"), F.when(filled, time).otherwise("not yet").alias("ExecutionTime"), time.alias("Time"),
+    )
+    return io.normalise_account(t.acct_orders.select(F.to_json(payload).alias("payload")), "orders")
+
+
+@query("flatten_account_trades", """SELECT timestamp AS trade_time, 'A' || account_id AS account_id, CAST(order_id AS VARCHAR) AS order_id, 'T' || order_id AS trade_id, '' AS symbol, 1.0::DOUBLE AS quantity, amount AS price, 'Buy' AS side, 0.0::DOUBLE AS commission, 0.5::DOUBLE AS fees, '' AS position_effect FROM acct_orders WHERE status = 'Filled'""")
+def _(t: Tables):
+    payload = F.struct(
+        F.concat(F.lit("A"), F.col("account_id").cast("string")).alias("AccountID"), F.col("order_id").cast("string").alias("OrderID"), F.concat(F.lit("T"), F.col("order_id").cast("string")).alias("TradeID"), F.lit("1").alias("Quantity"),
+        F.col("amount").cast("string").alias("Price"), F.lit("Buy").alias("Side"), F.lit("").alias("Commission"), F.lit("0.5").alias("Fees"), F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("TradeTime"),
+    )
+    return io.normalise_account(t.acct_orders.where("status = 'Filled'").select(F.to_json(payload).alias("payload")), "trades")
+
+
 @query("normalise_observations", "SELECT indicator, timestamp, value FROM econ WHERE month(timestamp) % 5 <> 0")
 def _(t: Tables):
     raw = t.econ.select("indicator", F.date_format("timestamp", "yyyy-MM-dd").alias("date"), F.when(F.month("timestamp") % 5 == 0, ".").otherwise(F.col("value").cast("string")).alias("value"))
@@ -205,7 +230,7 @@ def _(t: Tables):
 @query("populate_symbol_metadata", "SELECT symbol, u AS interval_unit, CAST(v AS INT) AS interval_value, CASE WHEN symbol LIKE 'Brand#1%' THEN 'first' ELSE 'second' END AS source FROM (SELECT DISTINCT symbol FROM bars), (VALUES ('daily', 1), ('minute', 15)) w(u, v)")
 def _(t: Tables):
     groups = t.bars.select("symbol").distinct()
-    of = lambda df, source, priority: df.agg(F.collect_set("symbol").alias("symbols")).select(F.lit(source).alias("source"), F.lit(priority).alias("priority"), "symbols", F.array(F.lit("1D"), F.lit("15min")).alias("frequencies"))
+    of = lambda df, source, priority: df.select(F.lit(source).alias("source"), F.lit(priority).alias("priority"), F.array("symbol").alias("symbols"), F.array(F.lit("1D"), F.lit("15min")).alias("frequencies"))
     return io.build_metadata(of(groups.where(F.col("symbol").like("Brand#1%")), "first", 1).unionByName(of(groups, "second", 2)))
 
 
@@ -254,10 +279,8 @@ def _(t: Tables):
     return streams.latest_state(t.spark, f"{folder}/state").select("symbol", "day", "close")
 
 
-@query("stream_ema")
+@query("stream_ema", "SELECT symbol, k.t AS timestamp, close, round(e, 6) AS ema FROM stream_means", {"stream_ticks": "SELECT symbol, {'t': timestamp, 'id': id} AS k, close FROM ticks", "stream_means": smoothed("stream_ticks", "close", 2 / 21, "k", "k")})
 def _(t: Tables):
     folder = scratch(t)
-    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    return streams.drained(streams.stream_ema(tick_stream(t)), f"{folder}/checkpoint", f"{folder}/out").withColumn("ema", F.round("ema", 6))
-
-
+    with streams.rocks(t.spark):
+        return streams.drained(streams.stream_ema(tick_stream(t)), f"{folder}/checkpoint", f"{folder}/out").withColumn("ema", F.round("ema", 6))

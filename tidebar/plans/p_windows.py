@@ -193,14 +193,14 @@ def _(t: Tables):
     return g.missing_contracts(t.contracts, contract_codes(t.contracts.select("root").distinct(), range(1994, 2004)))
 
 
-@query("missing_vs_reference", """SELECT r.date, CAST(p AS INT) AS position, strftime(r.date, '%a') AS weekday, CAST(month(r.date) AS INT) AS month FROM (SELECT DISTINCT timestamp::DATE AS date FROM bars WHERE symbol = 'Brand#1') r, (SELECT unnest(range(1, 6)) AS p)
-    WHERE NOT EXISTS (SELECT 1 FROM (SELECT timestamp::DATE AS date, dense_rank() OVER (PARTITION BY root, timestamp ORDER BY expiry_month) AS position FROM contract_bars WHERE root = 'PROMO') s WHERE s.date = r.date AND s.position = p)""")
+@query("missing_vs_reference", """SELECT k.root, r.date, CAST(p AS INT) AS position, strftime(r.date, '%a') AS weekday, CAST(month(r.date) AS INT) AS month FROM (SELECT DISTINCT timestamp::DATE AS date FROM bars WHERE symbol = 'Brand#1') r, (SELECT DISTINCT root FROM contract_bars) k, (SELECT unnest(range(1, 6)) AS p)
+    WHERE NOT EXISTS (SELECT 1 FROM (SELECT root, timestamp::DATE AS date, dense_rank() OVER (PARTITION BY root, timestamp ORDER BY expiry_month) AS position FROM contract_bars) s WHERE s.root = k.root AND s.date = r.date AND s.position = p)""")
 def _(t: Tables):
     from pyspark.sql import Window
 
     reference = t.bars.where("symbol = 'Brand#1'").select(F.to_date("timestamp").alias("date"), F.col("close").alias("value"))
     rank = F.dense_rank().over(Window.partitionBy("root", "timestamp").orderBy("expiry_month"))
-    series = t.contract_bars.where("root = 'PROMO'").select(F.to_date("timestamp").alias("date"), rank.alias("position"), F.col("close").alias("value"))
+    series = t.contract_bars.select("root", F.to_date("timestamp").alias("date"), rank.alias("position"), F.col("close").alias("value"))
     return g.missing_vs_reference(reference, series, 5)
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "*", partitions: int = 8, memory: str = "6g", name: str = "tidebar") -> SparkSession:
-    spark = (
+def local_session(cores: str = "*", partitions: int = 8, memory: str = "6g", name: str = "tidebar", shared: str | None = None) -> SparkSession:
+    """shared: the folder for checkpoints, tables and states of streams (spark.checkpoint.dir)."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -19,7 +21,23 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "6g", nam
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.local.dir", os.environ.get("SPARK_LOCAL_DIRS", "/tmp"))
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as spark.checkpoint.dir names it.
+
+    A local session without one gets a temporary folder, as its executors are the driver; on a cluster that is an error.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="shared-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 #: Futures month codes, January to December.
 MONTH_CODES = "FGHJKMNQUVXZ"
-#: The order of the lines of a symbol and day: order, line, part, supplier as one number (13 + 1, 12 and 10 digits). A
+#: The order of the lines of a symbol and day: order, line, part, supplier as one number of 37 digits, made of two longs. A
 #: decimal fits the rows of a hash aggregate, while ordering by a struct would make Spark sort all lines before it.
 PLACE = (
-    "(cast(l_orderkey * 10 + l_linenumber as decimal(15, 0)) * cast(1000000000000 as decimal(13, 0)) + cast(l_partkey as decimal(12, 0)))"
-    " * cast(10000000000 as decimal(11, 0)) + cast(l_suppkey as decimal(10, 0))"
+    "cast((l_orderkey * 10 + l_linenumber) * 1000 + l_partkey div 100000000 as decimal(19, 0)) * cast(1000000000000000000 as decimal(19, 0))"
+    " + cast(l_partkey % 100000000 * 10000000000 + l_suppkey as decimal(19, 0))"
 )
 
 
@@ -159,11 +159,16 @@ class Tables:
             .groupBy("account_id", F.col("p_brand").alias("symbol"), "timestamp")
             .agg(
                 F.sum(signed).cast("long").alias("quantity"),
-                F.round(F.sum("l_extendedprice"), 4).alias("market_value"),
-                F.round(F.sum(F.col("l_extendedprice") * (F.col("l_discount") - F.col("l_tax"))), 4).alias("unrealized_pnl"),
+                F.sum(F.col("l_extendedprice").cast("decimal(18, 4)")).cast("double").alias("market_value"),  # exact, in whatever order lines come
+                F.sum((F.col("l_extendedprice") * (F.col("l_discount") - F.col("l_tax"))).cast("decimal(18, 6)")).cast("double").alias("unrealized_pnl"),
             )
         )
 
+    @cached_property
+    def specs(self) -> DataFrame:
+        """What a contract of each symbol is worth a point, and its margin."""
+        return self.table("part").groupBy(F.col("p_brand").alias("symbol")).agg(F.max("p_retailprice").alias("margin")).withColumn("multiplier", F.regexp_extract("symbol", "([0-9]+)$", 1).cast("int") % 4 * 25.0 + 25.0)
+
 
 def ohlc(px: Column, key: Column) -> list[Column]:
     """Open, high, low and close of a group, first and last by key."""
@@ -192,7 +197,8 @@ CTES: dict[str, str] = {
     "econ": "SELECT n_name AS indicator, date_trunc('month', o_orderdate) AS timestamp, round(avg(o_totalprice), 4) AS value, 0 AS revision_number FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL",
     "econ_meta": "SELECT n_name AS indicator, r_name AS category FROM nation JOIN region ON n_regionkey = r_regionkey",
     "acct_orders": "SELECT o_orderkey AS order_id, o_custkey AS account_id, CASE o_orderstatus WHEN 'O' THEN 'Open' WHEN 'F' THEN 'Filled' ELSE 'PartiallyFilled' END AS status, o_totalprice AS amount, o_orderdate AS timestamp FROM orders",
+    "specs": "SELECT p_brand AS symbol, max(p_retailprice) AS margin, CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INT) % 4 * 25.0::DOUBLE + 25.0::DOUBLE AS multiplier FROM part GROUP BY p_brand",
     "balances": "SELECT DISTINCT account_id, timestamp, c_acctbal AS cash FROM acct_orders JOIN customer ON account_id = c_custkey",
-    "positions": "SELECT account_id, p_brand AS symbol, timestamp, CAST(sum(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END) AS BIGINT) AS quantity, round(sum(l_extendedprice), 4) AS market_value, "
-    "round(sum(l_extendedprice * (l_discount - l_tax)), 4) AS unrealized_pnl FROM lineitem JOIN part ON l_partkey = p_partkey JOIN acct_orders ON l_orderkey = order_id GROUP BY ALL",
+    "positions": "SELECT account_id, p_brand AS symbol, timestamp, CAST(sum(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END) AS BIGINT) AS quantity, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 4))) AS DOUBLE) AS market_value, "
+    "CAST(sum(CAST(l_extendedprice * (l_discount - l_tax) AS DECIMAL(18, 6))) AS DOUBLE) AS unrealized_pnl FROM lineitem JOIN part ON l_partkey = p_partkey JOIN acct_orders ON l_orderkey = order_id GROUP BY ALL",
 }

@@ -218,21 +218,39 @@ def read_contract_dir(spark: SparkSession, path: str, pattern: str = r"([A-Z]+[F
     return named.select(F.col("date").try_cast("timestamp").alias("timestamp"), "symbol", "open", "high", "low", "close", F.col("volume").cast("long").alias("volume")).dropna(subset=["close"])
 
 
-BALANCE = "AccountID string, CashBalance string, Equity string, TimeStamp string"
-POSITION = "AccountID string, Symbol string, Quantity string, AveragePrice string, MarketValue string, UnrealizedProfitLoss string, TimeStamp string"
+#: Fields of account payloads by kind: name in the payload, column, and what it is. Numbers default to 0, texts to "".
+ACCOUNT_FIELDS: dict[str, tuple[tuple[str, str, str], ...]] = {
+    "balances": (("CashBalance", "cash", "number"), ("Equity", "equity", "number"), ("TimeStamp", "timestamp", "time")),
+    "positions": (
+        ("Symbol", "symbol", "key"), ("Quantity", "quantity", "number"), ("AveragePrice", "average_price", "number"), ("MarketValue", "market_value", "number"),
+        ("UnrealizedProfitLoss", "unrealized_pnl", "number"), ("TimeStamp", "timestamp", "time"),
+    ),
+    "orders": (
+        ("OrderID", "order_id", "text"), ("Symbol", "symbol", "text"), ("Quantity", "quantity", "number"), ("OrderType", "order_type", "text"), ("Side", "side", "text"), ("Status", "status", "text"),
+        ("LimitPrice", "limit_price", "number"), ("StopPrice", "stop_price", "number"), ("FilledQuantity", "filled_quantity", "number"), ("RemainingQuantity", "remaining_quantity", "number"),
+        ("AverageFillPrice", "average_fill_price", "number"), ("Duration", "duration", "text"), ("Route", "route", "text"), ("ExecutionTime", "execution_time", "time"),
+        ("CancellationTime", "cancellation_time", "time"), ("Time", "timestamp", "time"),
+    ),
+    "trades": (
+        ("OrderID", "order_id", "text"), ("TradeID", "trade_id", "text"), ("Symbol", "symbol", "text"), ("Quantity", "quantity", "number"), ("Price", "price", "number"), ("Side", "side", "text"),
+        ("Commission", "commission", "number"), ("Fees", "fees", "number"), ("TradeTime", "trade_time", "time"), ("PositionEffect", "position_effect", "text"),
+    ),
+}
 
 
 def normalise_account(df: DataFrame, kind: str, json: str = "payload") -> DataFrame:
-    """Account payloads to typed rows; amounts default to 0, times that do not parse to null."""
-    number = lambda c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
-    x = df.select(F.from_json(json, BALANCE if kind == "balances" else POSITION).alias("x")).select("x.*").where("AccountID IS NOT NULL")
-    time = F.col("TimeStamp").try_cast("timestamp").alias("timestamp")
-    if kind == "balances":
-        return x.select(F.col("AccountID").alias("account_id"), number("CashBalance").alias("cash"), number("Equity").alias("equity"), time)
-    return x.select(
-        F.concat_ws("_", "AccountID", "Symbol").alias("position_id"), F.col("AccountID").alias("account_id"), F.col("Symbol").alias("symbol"), number("Quantity").alias("quantity"),
-        number("AveragePrice").alias("average_price"), number("MarketValue").alias("market_value"), number("UnrealizedProfitLoss").alias("unrealized_pnl"), time,
-    )
+    """Account payloads (balances, positions, orders, trades) to typed rows; times that do not parse are null, rows without an account go."""
+    fields = ACCOUNT_FIELDS[kind]
+    schema = ", ".join(f"{name} string" for name in dict.fromkeys(("AccountID", *(f[0] for f in fields))))
+    read = {
+        "number": lambda c: F.coalesce(c.try_cast("double"), F.lit(0.0)),
+        "text": lambda c: F.coalesce(c, F.lit("")),
+        "time": lambda c: F.regexp_replace(c, "Z$", "").try_cast("timestamp"),
+        "key": lambda c: c,
+    }
+    x = df.select(F.from_json(json, schema).alias("x")).select("x.*").where("AccountID IS NOT NULL")
+    key = [F.concat_ws("_", "AccountID", "Symbol").alias("position_id")] if kind == "positions" else []
+    return x.select(*key, F.col("AccountID").alias("account_id"), *(read[what](F.col(name)).alias(column) for name, column, what in fields))
 
 
 def build_metadata(config: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pandas as pd
@@ -76,6 +77,18 @@ def latest_state(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/state={newest}")
 
 
+@contextmanager
+def rocks(spark: SparkSession) -> Iterator[None]:
+    """RocksDB for the state of streams that start within, as their processors need; the session's own setting comes back."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 class EmaProcessor(StatefulProcessor):
     """Carries one mean for each key over the batches; rows are in order of time within a batch."""
 
@@ -86,7 +99,7 @@ class EmaProcessor(StatefulProcessor):
         self.mean = handle.getValueState("mean", "mean double")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        df = pd.concat(list(rows), ignore_index=True).sort_values("timestamp", kind="stable")
+        df = pd.concat(list(rows), ignore_index=True).sort_values(["timestamp", "id"], kind="stable")
         mean = self.mean.get()[0] if self.mean.exists() else None
         out = []
         for value in df["close"]:
@@ -105,7 +118,7 @@ class EmaProcessor(StatefulProcessor):
 def stream_ema(stream: DataFrame, span: int = 20) -> DataFrame:
     """Exponential means that go on from batch to batch; late rows are smoothed when they come."""
     return (
-        stream.select("symbol", "timestamp", "close")
+        stream.select("symbol", "timestamp", "id", "close")
         .groupBy("symbol")
         .transformWithStateInPandas(EmaProcessor(2.0 / (span + 1)), "symbol string, timestamp timestamp, close double, ema double", "append", "none")
     )
