@@ -30,14 +30,15 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "6g", nam
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as spark.checkpoint.dir names it.
+    """The folder that driver and executors share: spark.checkpoint.dir, else the context's checkpoint folder.
 
-    A local session without one gets a temporary folder, as its executors are the driver; on a cluster that is an error.
+    A local session without either gets a temporary folder, as its executors are the driver; on a cluster that is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
