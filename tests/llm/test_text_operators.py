@@ -181,26 +181,60 @@ def test_spark_hash_is_the_same(spark):
     assert row["h"] % 2**64 == xxhash.xxh64_intdigest("é b c".encode(), 42)
 
 
-def test_bit_planes_find_all_links_of_a_large_bucket():
-    rng = random.Random(5)
-    hot = rng.getrandbits(64)
-    prints = {hot}
-    while len(prints) < 700:
-        x = hot
-        for _ in range(rng.randint(1, 5)):
-            x ^= 1 << rng.randrange(64)
-        prints.add(x)
-    p = np.array(sorted(prints), dtype=np.uint64)
-    brute = [(i, j) for i in range(len(p)) for j in range(i) if (int(p[i]) ^ int(p[j])).bit_count() <= 2]
-    want = simhash._forest(len(p), *(np.array(x) for x in zip(*brute)))
+def bucket(rng, n, near=5):
+    """Fingerprints that share their upper half: some near one another, the rest random."""
+    hot, prints = rng.getrandbits(32), set()
+    centre = rng.getrandbits(32)
+    while len(prints) < n:
+        low = rng.getrandbits(32)
+        if rng.random() < 0.3:
+            low = centre
+            for _ in range(rng.randint(1, near)):
+                low ^= 1 << rng.randrange(32)
+        prints.add(hot << 32 | low)
+    return np.array(sorted(prints), dtype=np.uint64)
+
+
+@pytest.mark.parametrize("n", [2, 63, 64, 65, 200, 700])
+def test_bit_planes_find_all_links_of_a_bucket(n):
+    p = bucket(random.Random(n), n)
+    brute = [(i, j) for i in range(n) for j in range(i) if (int(p[i]) ^ int(p[j])).bit_count() <= 2]
+    want = simhash._forest(n, *(np.array(x, dtype=int) for x in zip(*brute))) if brute else np.arange(n)
     a, b = [], []
-    for n, (x, y) in enumerate(simhash.QUARTERS):
+    for k, (x, y) in enumerate(simhash.QUARTERS):
         key = (p >> np.uint64(16 * x) & np.uint64(0xFFFF)) << np.uint64(16) | (p >> np.uint64(16 * y) & np.uint64(0xFFFF))
         order = np.argsort(key, kind="stable")
-        s, t = simhash._links(p[order], key[order], np.full(len(p), n))
+        s, t = simhash._links(p[order], key[order], np.full(n, k))
         a.append(order[s])
         b.append(order[t])
-    assert (simhash._forest(len(p), np.concatenate(a), np.concatenate(b)) == want).all()
+    assert (simhash._forest(n, np.concatenate(a), np.concatenate(b)) == want).all()
+
+
+@pytest.mark.parametrize("sizes", [(1, 1), (3, 70), (64, 64), (150, 1), (200, 300)])
+def test_two_parts_of_a_bucket_are_compared_across_alone(sizes):
+    p = bucket(random.Random(sum(sizes)), sum(sizes))
+    random.Random(1).shuffle(p)
+    side = np.repeat([0, 1], sizes)
+    pair = len(simhash.QUARTERS) - 1  # quarters 2 and 3, which all share
+    s, t = simhash._links(p, np.zeros(len(p), int), np.full(len(p), pair), side)
+    near = [(i, j) for i in range(sizes[0]) for j in range(sizes[0], len(p)) if (int(p[i]) ^ int(p[j])).bit_count() <= 2]
+    near = [(i, j) for i, j in near if simhash._first_pair(p[[i]], p[[j]])[0] == pair]
+    want = simhash._forest(len(p), *(np.array(x, dtype=int) for x in zip(*near))) if near else np.arange(len(p))
+    assert (simhash._forest(len(p), s, t) == want).all()
+
+
+def test_blocks_of_a_large_bucket_are_left():
+    p = bucket(random.Random(7), 5000)
+    left = []
+    pair = len(simhash.QUARTERS) - 1
+    s, t = simhash._links(p, np.zeros(len(p), int), np.full(len(p), pair), left=left)
+    blocks = sum((5000 - 1) // 64 - (i + 1) // 64 + 1 for i in range(4999))
+    assert sum(gone for _, gone in left) > 0.5 * blocks  # and none is looked at twice: a lane meets later ones alone
+    a = p[:, None] ^ p[None, :]
+    counts = np.bitwise_count(a)
+    i, j = np.nonzero(np.triu(counts <= 2, 1))
+    first = simhash._first_pair(p[i], p[j]) == pair
+    assert (simhash._forest(5000, s, t) == simhash._forest(5000, i[first], j[first])).all()
 
 
 def test_tiles_of_a_large_bucket_keep_all_links(spark, monkeypatch):
@@ -235,6 +269,23 @@ def test_one_of_each_keeps_a_row_of_each_component_when_ids_repeat(spark):
     rows = [(5, a), (5, b), (5, b), (2, c), (7, c), (5, c), (None, a)]
     kept = simhash.one_of_each(docs(spark, [t for _, t in rows], [i for i, _ in rows]))
     assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted([(5, a), (5, b), (2, c), (0, a)])
+    rows = [(5, "alpha beta gamma delta"), (5, "totally other words in here please"), (1, "alpha beta gamma delta")]
+    kept = simhash.one_of_each(docs(spark, [t for _, t in rows], [i for i, _ in rows]))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, rows[0][1]), (5, rows[1][1])]
+
+
+def test_hot_keys_are_dealt_out_and_nothing_is_lost(spark):
+    from pyspark.sql import functions as F
+
+    from tidebar.llm.common import hot_keys, join_hot
+
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 100 == 1, None).otherwise(F.col("id")).alias("k"), "id")
+    counts = left.groupBy("k").agg(F.count("*").alias("n"))
+    assert 0 < hot_keys(counts, ["k"]).count() < 500
+    right = left.select("k").distinct().where("k IS NOT NULL AND k % 2 = 1").withColumn("v", F.col("k") + 1)
+    for how in ("inner", "left"):
+        want = sorted(map(str, left.join(right, "k", how).select("k", "id", "v").collect()))
+        assert sorted(map(str, join_hot(left, right, ["k"], counts, F.xxhash64("id"), how).select("k", "id", "v").collect())) == want
 
 
 # decontamination -----------------------------------------------------------------------------------------------------

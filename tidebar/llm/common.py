@@ -1,15 +1,18 @@
-"""What the operators of this subpackage share: reading tables and cutting lineage."""
+"""What the operators of this subpackage share: reading tables, cutting lineage, and joins with hot keys."""
 
 from __future__ import annotations
 
-import tempfile
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
+from tidebar.session import shared_folder
 
 #: The columns of the documents table, which the stages of a pipeline hand on.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Rows in one Arrow batch: whole texts of a batch are in a worker's memory at once.
-BATCH_ROWS = 500
+#: A key is hot if it has more than one row in so many; there are fewer such keys than this.
+HOT_SHARE = 500
+#: Parts into which the rows of a hot key are dealt.
+SALTS = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,20 +20,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small, so that very long texts fit in a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def cut(df: DataFrame) -> DataFrame:
+    """The rows of df from a reliable checkpoint in the folder that driver and executors share, so that they outlive any executor."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of df from a reliable checkpoint in the folder that the session names.
+def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """The keys with more than one row in HOT_SHARE; counts: a row for each key. Fewer than HOT_SHARE rows, whatever the data."""
+    total = counts.agg(F.sum(n).alias("_total"))
+    return counts.crossJoin(F.broadcast(total)).where(F.col(n) * HOT_SHARE > F.col("_total")).select(*keys)
 
-    The folder of spark.checkpoint.dir is shared by all executors, so the rows
-    outlive any of them. Only a session without one (a local test) gets a
-    temporary folder.
+
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame, salt: Column, how: str = "inner", n: str = "n") -> DataFrame:
+    """left joined with right (one row for each key), with the rows of hot keys dealt over SALTS parts.
+
+    counts: how many rows of left each key has, at least for the hot ones. salt: what tells rows of left apart. A hot
+    key's row of right is repeated for each part; hot keys are fewer than HOT_SHARE, which bounds what is broadcast.
+    Null keys meet nothing, as in any join.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    hot = F.broadcast(hot_keys(counts, keys, n).withColumn("_hot", F.lit(True)))
+    dealt = left.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(salt, F.lit(SALTS))).otherwise(0).cast("int")).drop("_hot")
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = right.join(hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return dealt.join(copies, [*keys, "_salt"], how).drop("_salt")

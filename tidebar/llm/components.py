@@ -2,7 +2,8 @@
 
 Each round hangs the neighbours of a node on the smallest of them, first the
 larger neighbours, then the smaller ones, until every component is a star.
-Nothing but counts comes to the driver, minima are taken with partial
+Nothing but counts comes to the driver. The hub of a large component is a hot key of a join,
+which adaptive execution splits. Minima are taken with partial
 aggregation, and each round is cut off by a reliable checkpoint.
 """
 

@@ -7,14 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, decontaminate, html_text, pii, quality, secrets, simhash, topk, urls
-from .common import small_batches, table
+from .common import table
 
 #: The vocabulary file of the tokenizer, and its pattern.
 RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
@@ -23,12 +22,10 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
@@ -37,12 +34,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
@@ -53,7 +48,6 @@ def tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     return tokens(table(spark, sf_dir, "documents"))
 
 

@@ -4,10 +4,10 @@ A fingerprint has a bit for each of 64 positions: whether over half of the
 hashes of a text's shingles have it. Two fingerprints that differ in at most
 RADIUS = 2 of 64 bits agree on two of four 16-bit quarters at least, so every
 link is found among the fingerprints that share one of the six pairs of
-quarters. Those of one bucket are laid out as 64 bit planes, a lane for each
-fingerprint; a fingerprint is compared with 64 lanes at a time by adding the
-planes' differences into two carry-save counters, and a block of lanes is left
-once every lane of it is beyond the radius.
+quarters. Those of one bucket are laid out as bit planes, a lane for each
+fingerprint; a fingerprint is compared with blocks of 64 lanes by adding the
+planes' differences into two carry-save counters, and a block is left once
+every lane of it is beyond the radius. The two quarters that a bucket shares are not compared.
 
 Equal fingerprints are merged before (a group of copies is one row), and a
 large bucket is cut into tiles of bounded size whose pairs go to tasks of their
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, join_hot
 from .components import stars
 
 SHINGLE = 3
@@ -70,35 +70,45 @@ def planes_of(prints: np.ndarray) -> np.ndarray:
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
 
 
-def within(planes: np.ndarray, asked: np.ndarray, lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which lanes are within the radius of which asked fingerprints.
+def within(planes: np.ndarray, asked: np.ndarray, words: np.ndarray, lanes: np.ndarray, bits: int = 64, left: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Which lanes of a block are within the radius of the fingerprint that is compared with the block.
 
-    planes: (64, W) or (64, 1), asked: the fingerprints, one for each row of
-    lanes; lanes: (rows, words), the lanes each row is to be compared with, where words is
-    1 (each row has a word of its own: planes[:, row]) or W. Returns row numbers and
-    lane numbers (64 * word + bit).
+    One block for each entry of the three arrays: asked, the fingerprint; words, the word of the planes that holds the
+    block's 64 lanes; lanes, those of them that count. Planes from `bits` on are known to agree. The differing planes are
+    added into two carry-save counters (ones and twos, with a mark for what is over), and a block is left as soon as all
+    its lanes are beyond the radius. Returns entry numbers and lanes (64 * word + bit); `left` collects, for each
+    look, how many blocks there were and how many were left.
     """
-    own = lanes.shape[1] == 1 and planes.shape[1] == lanes.shape[0]
-    rows = np.arange(len(asked))
-    ones, twos, over = (np.zeros(lanes.shape, np.uint64) for _ in range(3))
-    for b in range(64):
-        plane = planes[b][rows][:, None] if own else planes[b][None, :]
-        differ = plane ^ (np.uint64(0) - ((asked >> np.uint64(b)) & np.uint64(1)))[:, None]
+    at = np.arange(len(asked))
+    ones, twos, over = (np.zeros(len(asked), np.uint64) for _ in range(3))
+    for b in range(bits):
+        differ = planes[b][words] ^ (np.uint64(0) - ((asked >> np.uint64(b)) & np.uint64(1)))
         carry = ones & differ
         ones ^= differ
         over |= twos & carry
         twos ^= carry
-        if b % 8 == 7:  # leave the rows in which all lanes are beyond the radius
-            left = (~(over | (ones & twos)) & lanes).any(axis=1)
-            if not left.all():
-                rows, asked, lanes, ones, twos, over = (x[left] for x in (rows, asked, lanes, ones, twos, over))
-                if not len(rows):
+        if b % 4 == 3:
+            stays = ((~(over | (ones & twos))) & lanes) != 0
+            if left is not None:
+                left.append((len(stays), int(len(stays) - stays.sum())))
+            if not stays.all():
+                at, asked, words, lanes, ones, twos, over = (x[stays] for x in (at, asked, words, lanes, ones, twos, over))
+                if not len(at):
                     break
     near = ~(over | (ones & twos)) & lanes
-    r, w = np.nonzero(near)
-    bits = np.unpackbits(near[r, w].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    k, lane = np.nonzero(bits)
-    return rows[r[k]], (rows[r[k]] if own else w[k]) * 64 + lane
+    some = np.flatnonzero(near)
+    k, lane = np.nonzero(np.unpackbits(near[some].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+    return at[some[k]], words[some[k]].astype(np.int64) * 64 + lane
+
+
+def _turned(prints: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """The fingerprints with the quarters of the given pairs put last: those agree within a bucket, so that only 32 planes can differ."""
+    out = np.zeros(len(prints), np.uint64)
+    for n, chosen in enumerate(QUARTERS):
+        here = pair == n
+        for place, q in enumerate([q for q in range(4) if q not in chosen] + list(chosen)):
+            out[here] |= ((prints[here] >> np.uint64(16 * q)) & np.uint64(0xFFFF)) << np.uint64(16 * place)
+    return out
 
 
 def _first_pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -125,74 +135,105 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
-def _links(prints: np.ndarray, groups: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links among fingerprints of the same group (rows come sorted by group); pair: the group's pair of quarters."""
+#: Blocks that are compared at a time, at most, about: 40 bytes of working memory each.
+STEP = 1 << 18
+
+
+def _blocks(starts: np.ndarray, sizes: np.ndarray, firsts: np.ndarray) -> Iterator[tuple]:
+    """Entries for within(), in steps: (rows asked, lane places, words, lanes) of groups of rows; small groups share words.
+
+    firsts: how many rows of a group are asked; they are compared with the rest of the group. Where that is all of the
+    group, each row is compared with those after it.
+    """
+    full = np.uint64(0xFFFFFFFFFFFFFFFF)
+    rows, words, lanes, places, filled, entries = [], [], [], [], 0, 0
+    for s, n, first in zip(starts.tolist(), sizes.tolist(), firsts.tolist()):
+        if n < 2 or not first:
+            continue
+        if filled % 64 and filled % 64 + n > 64:  # no group of up to 64 lies across two words
+            filled += -filled % 64
+        begin = filled
+        places.append((s, begin, n))
+        filled += n
+        last = (filled - 1) // 64
+        after = np.arange(1, n + 1) + begin if first == n else np.full(first, begin + first)  # each row's first lane to meet
+        after = after[: min(first, n - 1)]
+        count = last - after // 64 + 1
+        row = np.repeat(np.arange(len(after)), count)
+        word = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + (after // 64)[row]
+        mask = np.full(len(row), full)
+        head = word == (after // 64)[row]
+        mask[head] &= full << (after[row[head]] % 64).astype(np.uint64)
+        mask[word == last] &= full >> np.uint64(63 - (filled - 1) % 64)
+        rows.append(row + s)
+        words.append(word)
+        lanes.append(mask)
+        entries += len(row)
+        if entries >= STEP:
+            yield rows, words, lanes, places, filled
+            rows, words, lanes, places, filled, entries = [], [], [], [], 0, 0
+    if entries:
+        yield rows, words, lanes, places, filled
+
+
+def _links(prints: np.ndarray, groups: np.ndarray, pair: np.ndarray, side: np.ndarray | None = None, left: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links among fingerprints of the same group, as a forest.
+
+    Rows come sorted by group, then side; pair: the group's pair of quarters. A group with both sides (0 and 1) is
+    compared across them alone, any other within itself.
+    """
     starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
     sizes = np.diff(np.r_[starts, len(groups)])
+    firsts = sizes if side is None else sizes - np.add.reduceat(side.astype(np.int64), starts)
+    firsts = np.where(firsts == 0, sizes, firsts)
+    turned = _turned(prints, pair)
     a, b = [], []
-    small = [(s, n) for s, n in zip(starts.tolist(), sizes.tolist()) if 1 < n <= 64]
-    for at in range(0, len(small), 1 << 14):  # packed into words, none across two
-        place, lanes, owner, filled = [], [], [], 0
-        for s, n in small[at : at + (1 << 14)]:
-            if filled % 64 + n > 64:
-                filled += -filled % 64
-            low = filled % 64
-            for k in range(n):
-                place.append(filled + k)
-                lanes.append(((1 << n) - (1 << (k + 1))) << low)  # the later lanes of the group
-            owner.extend(range(s, s + n))
-            filled += n
-        place, owner = np.array(place), np.array(owner)
-        packed = np.zeros(filled + -filled % 64, np.uint64)
-        packed[place] = prints[owner]
-        back = np.zeros(len(packed), np.int64)
-        back[place] = owner
-        words = planes_of(packed)[:, place // 64]
-        row, lane = within(words, prints[owner], np.array(lanes, dtype=np.uint64)[:, None])
-        a.append(owner[row])
-        b.append(back[place[row] // 64 * 64 + lane % 64])
-    for s, n in zip(starts.tolist(), sizes.tolist()):
-        if n > 64:
-            own = prints[s : s + n]
-            planes = planes_of(np.r_[own, np.zeros(-n % 64, np.uint64)])
-            every = np.packbits(np.arange(planes.shape[1] * 64) < n, bitorder="little").view(np.uint64)
-            for q in range(0, n, 512):
-                asked = own[q : q + 512]
-                row, lane = within(planes, asked, np.broadcast_to(every, (len(asked), len(every))))
-                later = lane > row + q
-                a.append(s + q + row[later])
-                b.append(s + lane[later])
+    for rows, words, lanes, places, filled in _blocks(starts, sizes, firsts):
+        packed, back = np.zeros(filled + -filled % 64, np.uint64), np.zeros(filled + -filled % 64, np.int64)
+        for s, begin, n in places:
+            packed[begin : begin + n] = turned[s : s + n]
+            back[begin : begin + n] = np.arange(s, s + n)
+        planes, row, word, lane = planes_of(packed), np.concatenate(rows), np.concatenate(words), np.concatenate(lanes)
+        for at in range(0, len(row), STEP):
+            part = slice(at, at + STEP)
+            k, place = within(planes, turned[row[part]], word[part], lane[part], 32, left)
+            a.append(row[part][k])
+            b.append(back[place])
     if not a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     a, b = np.concatenate(a), np.concatenate(b)
     first = _first_pair(prints[a], prints[b]) == pair[a]  # each link once, in the first bucket that has it
-    a, b = a[first], b[first]
-    label = _forest(len(prints), a, b)
+    label = _forest(len(prints), a[first], b[first])
     joined = np.flatnonzero(label != np.arange(len(prints)))
     return joined, label[joined]
 
 
 def _linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links in each tile; rows come sorted by tile, and a tile may go on in the next batch."""
-    rest = None
+    rest: list[pd.DataFrame] = []
     for batch in batches:
-        if rest is not None:
-            batch = pd.concat([rest, batch], ignore_index=True)
-        tile = batch[["pair", "key", "i", "j"]].to_numpy()
+        tile = batch[_TILE].to_numpy()
+        if rest and (rest[-1][_TILE].iloc[-1].to_numpy() != tile[0]).any():
+            yield _tile_links(pd.concat(rest, ignore_index=True))
+            rest = []
         last = np.flatnonzero((tile != tile[-1]).any(axis=1))
-        done = int(last[-1]) + 1 if len(last) else 0
-        if done:
-            yield _tile_links(batch.iloc[:done])
-        rest = batch.iloc[done:]
-    if rest is not None and len(rest):
-        yield _tile_links(rest)
+        if len(last):
+            yield _tile_links(pd.concat([*rest, batch.iloc[: int(last[-1]) + 1]], ignore_index=True))
+            rest = [batch.iloc[int(last[-1]) + 1 :]]
+        else:
+            rest.append(batch)
+    if rest:
+        yield _tile_links(pd.concat(rest, ignore_index=True))
+
+
+_TILE = ["pair", "key", "i", "j"]
 
 
 def _tile_links(rows: pd.DataFrame) -> pd.DataFrame:
-    tile = rows[["pair", "key", "i", "j"]].to_numpy()
+    tile = rows[_TILE].to_numpy()
     groups = np.cumsum(np.r_[False, (tile[1:] != tile[:-1]).any(axis=1)])
     prints = rows["fp"].to_numpy(dtype=np.int64)
-    a, b = _links(prints.view(np.uint64), groups, tile[:, 0])
+    a, b = _links(prints.view(np.uint64), groups, tile[:, 0], rows["side"].to_numpy())
     return pd.DataFrame({"x": prints[a], "y": prints[b]})
 
 
@@ -202,57 +243,67 @@ def links(prints: DataFrame) -> DataFrame:
     pairs = F.array(*(F.struct(F.lit(n).alias("pair"), (F.shiftleft(quarter[p], 16).bitwiseOR(quarter[q])).alias("key")) for n, (p, q) in enumerate(QUARTERS)))
     keyed = prints.select("fp", F.explode(pairs).alias("k")).select("fp", "k.pair", "k.key")
     sizes = keyed.groupBy("pair", "key").agg(F.count("*").alias("n")).where("n > 1")
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
+    # a bucket of n rows has t = ceil(n / TILE) parts: tile (i, i) is part i by itself, tile (i, j) is part i against part j
     tiled = (
-        keyed.join(sizes, ["pair", "key"])
-        .withColumn("tiles", tiles)
+        join_hot(keyed, sizes, ["pair", "key"], sizes, F.xxhash64("fp"))
+        .withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
         .select("fp", "pair", "key", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-        .select("fp", "pair", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        .select("fp", "pair", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
     )
-    spread = tiled.repartition("pair", "key", "i", "j").sortWithinPartitions("pair", "key", "i", "j")
+    spread = tiled.repartition("pair", "key", "i", "j").sortWithinPartitions("pair", "key", "i", "j", "side")
     return spread.mapInPandas(_linked, "x long, y long")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (least doc_id reachable), a row for each row of docs.
 
-    A row with a null doc_id keeps its place; ids of null are not reported as
-    anybody's least. Rows that repeat are linked to each other.
+    Null, empty and blank texts have fingerprint zero; a long text is one row of its batch, hashed shingle by shingle. A
+    row with a null doc_id keeps its place; ids of null are not reported as anybody's least. Rows that repeat are
+    linked to each other, so that ties have one component. No rows give none; other columns, of any name, play no part.
     """
     prints = cut(docs.select("doc_id", fingerprint(F.col(text)).alias("fp")))
-    return prints.join(_members(prints), "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    classes = _classes(prints)
+    met = join_hot(prints, _members(classes), ["fp"], classes, F.xxhash64("doc_id", F.monotonically_increasing_id()), "left")
+    return met.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
 
+def _classes(prints: DataFrame) -> DataFrame:
+    """fp, least (the least doc_id) and n (rows) of each fingerprint of prints (doc_id, fp)."""
+    return cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
 
-def _members(prints: DataFrame) -> DataFrame:
-    """fp, root (the fingerprint that stands for its component) and component_id, a row for each fingerprint of prints (doc_id, fp)."""
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    classes = cut(classes)
+
+def _members(classes: DataFrame) -> DataFrame:
+    """fp, root (the fingerprint that stands for its component) and component_id, a row for each fingerprint."""
     rooted = stars(links(classes.select("fp")), "x", "y")
     grouped = classes.join(rooted, classes["fp"] == rooted["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    roots = grouped.where("root <> fp").groupBy("root").agg(F.min("least").alias("below"))
-    least = (
-        classes.join(roots, classes["fp"] == roots["root"])
-        .select(F.col("root").alias("r"), F.least("least", "below").alias("component_id"))
-    )
-    return grouped.join(least, grouped["root"] == least["r"], "left").select("fp", "root", F.coalesce("component_id", "least").alias("component_id"))
+    moved = grouped.where("root <> fp")
+    roots = moved.groupBy("root").agg(F.min("least").alias("below"), F.count("*").alias("n"))
+    least = classes.join(roots.select("root", "below"), classes["fp"] == F.col("root")).select("root", F.least("least", "below").alias("component_id"))
+    # a root stands for itself, so that `least` meets it too
+    met = join_hot(grouped, least, ["root"], roots, F.xxhash64("fp"), "left")
+    return met.select("fp", "root", F.coalesce("component_id", "least").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of docs for each component, with the least doc_id in it, with its own columns; rows without doc_id stay.
+    """One row of docs for each component, that with the least doc_id in it, with its own columns.
 
-    Where an id stands on several rows, the row is found by its fingerprint, too.
+    Of several such rows (an id that repeats) that with the least fingerprint, then the least hash of its text, stays;
+    rows that are alike in all three count as one. Rows without doc_id have no least id and stay, all of them. No rows give none.
     """
-    prints = cut(docs.select("doc_id", fingerprint(F.col("text")).alias("fp")))
-    first = _members(prints).where("component_id is not null").select("fp", "root", "component_id")
-    first = prints.join(first, "fp").where("doc_id = component_id").groupBy("root").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("_kept"))
-    rows = prints.groupBy("doc_id").agg(F.count("*").alias("rows")).withColumnRenamed("doc_id", "_kept")
-    first = cut(first.join(rows, "_kept").select("_kept", F.col("fp").alias("_fp"), "rows"))
-    single, several = first.where("rows = 1").select("_kept"), first.where("rows > 1").select("_kept", "_fp")
-    kept = docs.join(single, docs["doc_id"] == single["_kept"], "left_semi").unionByName(docs.where("doc_id is null"))
-    if several.isEmpty():
-        return kept
-    ids = several.select("_kept").distinct()
-    again = docs.join(ids, docs["doc_id"] == ids["_kept"], "left_semi").withColumn("_own", fingerprint(F.col("text")))
-    again = again.join(several, (again["doc_id"] == several["_kept"]) & (again["_own"] == several["_fp"]), "left_semi").dropDuplicates(["doc_id", "_own"])
-    return kept.unionByName(again.drop("_own"))
+    own, key = F.xxhash64(F.coalesce("text", F.lit(""))), ["doc_id", "_fp", "_hash"]
+    prints = cut(docs.where("doc_id is not null").select("doc_id", fingerprint(F.col("text")).alias("fp"), own.alias("hash")))
+    classes = _classes(prints)
+    met = join_hot(prints, _members(classes), ["fp"], classes, F.xxhash64("doc_id", "hash"))
+    kept = met.where("doc_id = component_id").groupBy("root").agg(F.min(F.struct("doc_id", "fp", "hash")).alias("k"))
+    kept = cut(kept.select(*(F.col(f"k.{a}").alias(b) for a, b in zip(("doc_id", "fp", "hash"), ("_kept", "_fp", "_hash")))))
+    # a row is found by its id and the hash of its text, which the scan has; the fingerprint follows from the text
+    chosen = kept.select("_kept", "_hash").distinct()
+    found = docs.withColumn("_own", own).join(chosen, (docs["doc_id"] == chosen["_kept"]) & (F.col("_own") == chosen["_hash"]), "left_semi")
+    repeats = prints.join(chosen, (prints["doc_id"] == chosen["_kept"]) & (prints["hash"] == chosen["_hash"]), "left_semi").groupBy("doc_id", "hash").agg(F.count("*").alias("n")).where("n > 1")
+    repeats = cut(repeats)
+    if not repeats.isEmpty():
+        twice = repeats.select(F.col("doc_id").alias("_kept"), F.col("hash").alias("_hash"))
+        same = (found["doc_id"] == twice["_kept"]) & (found["_own"] == twice["_hash"])
+        found = found.join(twice, same, "left_anti").unionByName(found.join(twice, same, "left_semi").dropDuplicates(["doc_id", "_own"]))
+    return found.drop("_own").unionByName(docs.where("doc_id is null"))
