@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -121,6 +122,18 @@ def test_redaction_keeps_rows_and_columns(spark):
     assert secrets.redacted(docs(spark, [])).count() == 0
 
 
+def test_dense_texts_cost_no_more_than_their_matches(spark, tmp_path):
+    n = 200_000
+    docs(spark, ["é token=abcdef " * n]).coalesce(1).write.parquet(f"{tmp_path}/d")
+    given = spark.read.parquet(f"{tmp_path}/d")
+    began = time.time()
+    (row,) = secrets.summary(given).collect()
+    assert row["n_assign"] == n and row["spans"].endswith(f"assign:{15 * n - 13}:{15 * n - 1}")
+    (row,) = secrets.redacted(given).collect()
+    assert row["text"] == "é [secret] " * n
+    assert time.time() - began < 60  # planning included; a cost that grew with the square would take many minutes
+
+
 def test_secret_plan_has_no_python(spark):
     plan = secrets.summary(docs(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

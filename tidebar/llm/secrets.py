@@ -7,14 +7,17 @@ query asks for; postings of an alternative are intersected by document, and
 only documents that pass are searched with the rule. A rule without mandatory
 trigrams searches all documents.
 
-A null text counts as empty and has no secret. Rows that share a doc_id share
-their candidates, but each is searched by itself; a null doc_id is an id like
-any other here.
+A null text counts as empty and has no secret. Rows that repeat give the same
+spans each, also under one doc_id; a null doc_id is an id like any other here. The
+cost is in proportion to a text and its matches, however long and dense it is.
+Of matches that start together the kind that is listed first comes first. No
+rows give none; columns of any other name stay.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 
@@ -108,15 +111,18 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
 
 
 def postings(docs: DataFrame, trigrams: list[str], text: str = "text") -> DataFrame:
-    """(trigram, doc_id): the inverted index, for the given trigrams of the lower-case texts."""
+    """(trigram, doc_id, hash of the text): the inverted index, for the given trigrams of the lower-case texts."""
     wanted = F.array(*map(F.lit, trigrams))
     # the text is put in lower case once a row, as a variable of transform()
     there = F.flatten(F.transform(F.array(F.lower(F.col(text))), lambda low: F.filter(wanted, lambda t: F.contains(low, t))))
-    return docs.select(F.explode(there).alias("trigram"), "doc_id")
+    return docs.select(F.explode(there).alias("trigram"), "doc_id", F.xxhash64(F.col(text)).alias("hash"))
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """(doc_id, rules): a bit for each rule whose query the document passes; documents that pass none are left out."""
+    """(doc_id, hash, rules): a bit for each rule whose query the document passes; documents that pass none are left out.
+
+    A document is known by its id and the hash of its text, so that the rows of an id that repeats stay apart.
+    """
     queries = [(1 << n, m, t, 1 << k, (1 << len(a)) - 1) for n, r in enumerate(rules) for m, a in enumerate(trigram_query(r.pattern)) for k, t in enumerate(sorted(a))]
     names = ("rule", "alternative", "trigram", "bit", "full")
     spark = docs.sparkSession
@@ -125,55 +131,76 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "te
     met = (
         postings(docs, sorted({q[2] for q in queries}), text)
         .join(F.broadcast(plan), "trigram")
-        .groupBy("doc_id", "rule", "alternative", "full")
+        .groupBy("doc_id", "hash", "rule", "alternative", "full")
         .agg(F.bit_or("bit").alias("bits"))
         .where("bits = full")
     )
-    return met.groupBy("doc_id").agg(F.bit_or("rule").alias("rules"))
+    return met.groupBy("doc_id", "hash").agg(F.bit_or("rule").alias("rules"))
+
+
+#: Numbers that are summed up at a time: an array that grows by one is copied each time, so that it has to stay short.
+CHUNK = 512
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value made once a row, as a variable of transform()."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(numbers: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """What an array of ints adds up to at each of its places, by op: a sum or a maximum, with 0 as its zero.
+
+    By chunks, and over the chunks' totals, so that what is copied for n numbers is n CHUNK + (n / CHUNK)^2.
+    """
+    step = lambda acc, v: F.struct(op(acc["now"], v).alias("now"), F.concat(acc["all"], F.array(op(acc["now"], v))).alias("all"))
+    zero = F.struct(F.lit(0).alias("now"), F.expr("cast(array() as array<int>)").alias("all"))
+    plain = lambda part: F.aggregate(part, zero, step, lambda acc: acc["all"])
+
+    def chunked(x: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), (F.size(x) / CHUNK).cast("int")), lambda c: c * CHUNK < F.size(x))
+        return F.transform(starts, lambda c: plain(F.slice(x, c * CHUNK + 1, F.lit(CHUNK))))
 
+    def joined(chunks: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), plain(F.transform(chunks, lambda c: F.element_at(c, -1))))
+        return F.flatten(F.zip_with(chunks, F.slice(before, F.lit(1), F.size(chunks)), lambda c, b: F.transform(c, lambda v: op(b, v))))
 
-def _matches(rule: Rule, order: int, text: Column) -> Column:
-    """array<struct<start, kind, end>> of the rule's matches, in code points."""
+    return bound(numbers, lambda x: bound(chunked(x), joined))
+
+
+def _matches(rule: Rule, order: int, text: Column, length: Callable[[Column], Column]) -> Column:
+    """array<struct<start, kind, end>> of the rule's matches, in code points (or bytes, by length)."""
     pattern = F.lit(rule.pattern)
-    whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    counted = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
-    between = F.split(text, rule.pattern, -1)
-    gaps = F.arrays_zip(
-        F.transform(F.slice(between, F.lit(1), F.size(whole)), F.char_length).alias("gap"),
-        F.transform(whole, F.char_length).alias("size"),
-        F.transform(counted, F.char_length).alias("counted"),
-    )
-    found = F.aggregate(
-        gaps,
-        F.struct(F.lit(0).alias("at"), F.expr(_NONE).alias("spans")),
-        lambda a, g: F.struct(
-            (a["at"] + g["gap"] + g["size"]).alias("at"),
-            F.when(
-                g["counted"] >= rule.least,
-                F.concat(a["spans"], F.array(F.struct((a["at"] + g["gap"]).alias("start"), F.lit(order).alias("kind"), (a["at"] + g["gap"] + g["size"]).alias("end")))),
-            ).otherwise(a["spans"]).alias("spans"),
-        ),
-    )
-    return found["spans"]
+    sizes = lambda group: F.transform(F.regexp_extract_all(text, pattern, F.lit(group)), length)
+    counted = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.char_length)
+    between = F.transform(F.split(text, rule.pattern, -1), length)
+
+    def placed(whole: Column) -> Column:
+        ends = running(F.zip_with(F.slice(between, F.lit(1), F.size(whole)), whole, lambda gap, size: gap + size), lambda a, b: a + b)
+        spans = F.zip_with(ends, whole, lambda end, size: F.struct((end - size).alias("start"), F.lit(order).alias("kind"), end.alias("end")))
+        kept = F.zip_with(spans, counted, lambda span, n: F.when(n >= rule.least, span))
+        return F.array_compact(kept)
+
+    return bound(sizes(0), placed)
 
 
 #: No span at all.
 _NONE = "cast(array() as array<struct<start:int,kind:int,end:int>>)"
 
 
-def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", name: str = "spans") -> DataFrame:
+def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", name: str = "spans", length: Callable[[Column], Column] = F.char_length) -> DataFrame:
     """docs with a column (`spans`): array<struct<start, kind, end>>, sorted; kind is the rule's number.
 
-    Other columns stay, except one that has this name already.
+    Other columns stay, except one that has this name already. Places count code points, or bytes with F.octet_length.
     """
     columns = [c for c in docs.columns if c != name]
-    chosen = candidates(docs, rules, text).select(F.col("doc_id").alias("_secret_id"), F.col("rules").alias("_secret_rules"))
+    chosen = candidates(docs, rules, text).select(F.col("doc_id").alias("_secret_id"), F.col("hash").alias("_secret_hash"), F.col("rules").alias("_secret_rules"))
     body = F.coalesce(docs[f"`{text}`"], F.lit(""))
     found = []
     for n, rule in enumerate(rules):
         passes = F.getbit(F.coalesce(chosen["_secret_rules"], F.lit(0).cast("long")), F.lit(n)) == 1 if trigram_query(rule.pattern) else body.rlike(rule.pattern)
-        found.append(F.when(passes, _matches(rule, n, body)).otherwise(F.expr(_NONE)))
-    joined = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_secret_id"]), "left")
+        found.append(F.when(passes, _matches(rule, n, body, length)).otherwise(F.expr(_NONE)))
+    same = docs["doc_id"].eqNullSafe(chosen["_secret_id"]) & (F.xxhash64(docs[f"`{text}`"]) == chosen["_secret_hash"])
+    joined = docs.join(chosen, same, "left")
     return joined.select(*(docs[f"`{c}`"] for c in columns), F.array_sort(F.concat(*found)).alias(name))
 
 
@@ -197,18 +224,22 @@ def summary(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """docs with each secret in text replaced by mark, and n_chars counted anew where one was; same columns and rows."""
+    """docs with each secret in text replaced by mark, and n_chars counted anew where one was; same columns and rows.
+
+    Spans that overlap are one mark. Pieces are cut from the text's bytes, as a cut of characters would walk the text
+    from its start each time.
+    """
     body = F.col("text")
-    masked = F.aggregate(
-        F.col("_secret_spans"),
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.when(
-            s["start"] >= a["at"], F.struct(s["end"].alias("at"), F.concat(a["out"], F.substring(body, a["at"] + 1, s["start"] - a["at"]), F.lit(mark)).alias("out"))
-        ).otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))),
-        lambda a: F.concat(a["out"], F.substring(body, a["at"] + 1, F.char_length(body))),
-    )
+
+    def masked(spans: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), running(F.transform(spans, lambda s: s["end"]), F.greatest))  # one more than spans: the rest of the text
+        both = F.zip_with(spans, before, lambda s, at: F.struct(s["start"].alias("start"), at.alias("at")))
+        pieces = F.filter(both, lambda x: x["start"].isNull() | (x["start"] >= x["at"]))
+        piece = lambda raw, x: F.substring(raw, x["at"] + 1, F.coalesce(x["start"], F.octet_length(raw)) - x["at"]).cast("string")
+        return bound(body.cast("binary"), lambda raw: F.array_join(F.transform(pieces, lambda x: piece(raw, x)), mark))
+
     some = F.size("_secret_spans") > 0
-    out = with_spans(docs, name="_secret_spans").withColumn("text", F.when(some, masked).otherwise(body))
+    out = with_spans(docs, name="_secret_spans", length=F.octet_length).withColumn("text", F.when(some, bound(F.col("_secret_spans"), masked)).otherwise(body))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(some, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*(F.col(f"`{c}`") for c in docs.columns))
