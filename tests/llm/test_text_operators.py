@@ -345,6 +345,45 @@ def test_contamination_equals_brute_force(spark, monkeypatch, size):
         assert r["contaminated"] == (hit > 0 and 20 * hit >= n) == (i not in clean)
 
 
+def test_suffix_array_equals_sorted_suffixes():
+    rng = random.Random(2)
+    for n in (0, 1, 5, 60):
+        texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 30))) for _ in range(n)] + ["a b a b a b"] * 3 * (n > 0)
+        shard = decontaminate.Shard(texts)
+        ids = shard.ids.tolist()
+        assert shard.array.tolist() == sorted(range(len(ids)), key=lambda i: ids[i:])
+
+
+def test_many_blocks_cost_little_more_than_one():
+    rng = random.Random(6)
+    items = [(i, 0, words(rng, 60).encode().split(), False) for i in range(400)]
+    texts = [words(rng, 300) for _ in range(300)]
+
+    class Kept:
+        def __init__(self, value):
+            self.value = value
+
+    def took(parts):
+        began = time.process_time()
+        out = decontaminate.found_in(texts, [Kept(decontaminate.Block(p)) for p in parts])
+        return time.process_time() - began, [(r["n_hit"], sorted(m["item_id"] for m in r["items"])) for r in out]
+
+    took([items])
+    one, many = took([items]), took([items[i : i + 20] for i in range(0, 400, 20)])
+    assert one[1] == many[1] and many[0] < 2 * one[0] + 0.2
+
+
+def test_longest_match_among_repeats_and_parts(spark):
+    rng = random.Random(12)
+    passage = words(rng, 30).split()
+    item = " ".join([*passage[:15], "x", *passage, "y"])  # its first 15 words stand twice
+    text = " ".join(["z", *passage])
+    bench = spark.createDataFrame([(1, item), (1, " ".join(passage[:14]))], "item_id long, text string")
+    (row,) = decontaminate.contamination(docs(spark, [text]), bench).collect()
+    (match,) = row["found"]["items"]
+    assert (match["words"], match["doc_word"], match["item_word"]) == (30, 1, 16)
+
+
 def test_longest_match_and_place(spark):
     item = words(random.Random(9), 30)
     w = item.split()

@@ -1,17 +1,19 @@
-"""Benchmark decontamination with suffix arrays over the training texts.
-
-Each Arrow batch of documents is a shard: its words become numbers, the
-suffixes that could begin a match are sorted by their first WINDOW words, and
-every benchmark suffix is found in that order by binary search, which yields
-all its verbatim occurrences. A suffix that starts with fewer benchmark words
-in a row than the shortest window cannot begin a match and is not sorted.
-
-The benchmark comes in blocks of at most BLOCK_WORDS words (an item is never
-split), so that what is broadcast has a bound of its own; documents go through
-one pass per block, without a shuffle, carrying a bitmap of the words hit so far.
-
-Null texts have no words. Items without words have no window. Items that repeat
-an item_id count once for it; a null item_id is not reported, but its windows hit.
+"""Benchmark decontamination with suffix arrays of the training texts.
+
+Documents are dealt into shards of bounded size, within the batches that Spark
+hands out. Of each shard a suffix array is built over its own vocabulary, whatever
+the benchmark. Every suffix of every benchmark item is then searched in it by binary
+search, word by word; where a whole window is found, all its occurrences lie side
+by side. Occurrences that follow one another are joined to longest matches, with
+their places, and documents are judged by the words that are hit.
+
+The benchmark comes in blocks of at most BLOCK_WORDS words, one after another through
+the driver; a worker holds one of them at a time. Documents are not shuffled.
+
+Null and empty texts have no words; a long text is a shard of its own. Items without
+words have no window. Items that repeat an item_id count once for it; a null item_id is
+not reported, but its windows hit. Rows that repeat give the same result each.
+Empty tables give empty results, or no hits. Columns of any other name stay.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +32,8 @@ WINDOW = 13
 #: A document is contaminated if one word in so many is hit.
 SHARE = 20
 BLOCK_WORDS = 400_000
+#: Characters in a shard, about: its suffix array takes some ten bytes for each.
+SHARD_CHARS = 8_000_000
 
 #: A-Z to a-z, and every other ASCII character that is no digit or letter to a blank.
 _FOLD = bytes((c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32) for c in range(256))
@@ -50,150 +53,217 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_FOLD).split()
 
 
+def suffix_array(ids: np.ndarray, first_word: int) -> np.ndarray:
+    """The places of ids in the order of their suffixes, by doubling the length that is in order.
+
+    Numbers below first_word end a text and stand once each, so that order is settled where a text ends. From each
+    length to the next only suffixes that still tie are sorted anew.
+    """
+    n = len(ids)
+    sa = np.argsort(ids, kind="stable")
+    starts = np.flatnonzero(np.r_[True, ids[sa][1:] != ids[sa][:-1]])
+    group = np.repeat(starts, np.diff(np.r_[starts, n]))  # of each slot, the first slot of its tie
+    rank = np.empty(n + 1, np.int64)  # the same of each place; beyond the end, below all
+    rank[sa], rank[n] = group, -1
+    slots = np.flatnonzero(np.r_[group[1:] == group[:-1], False] | np.r_[False, group[1:] == group[:-1]])
+    length = 1
+    while len(slots):
+        places = sa[slots]
+        behind = rank[np.minimum(places + length, n)]
+        order = np.argsort(group[slots] * (n + 2) + behind + 1, kind="stable")
+        key = (group[slots] * (n + 2) + behind + 1)[order]
+        places = places[order]
+        new = np.r_[True, key[1:] != key[:-1]]
+        head = slots[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        sa[slots], group[slots] = places, head
+        rank[places] = head
+        tied = np.r_[~new[1:], False] | ~new
+        slots = slots[tied]
+        length *= 2
+    return sa
+
+
+class Shard:
+    """Some texts with a vocabulary and a suffix array of their own, whatever is looked up in them later."""
+
+    def __init__(self, texts: list[str | None]):
+        words = [words_of(t) for t in texts]
+        self.sizes = np.array([len(w) for w in words], dtype=np.int64)
+        self.ends = np.cumsum(self.sizes + 1) - 1  # each text's end has a number of its own, below all words
+        self.starts = self.ends - self.sizes
+        self.vocabulary: dict[bytes, int] = defaultdict()
+        self.vocabulary.default_factory = lambda: len(self.vocabulary) + len(words)
+        self.ids = np.empty(int(self.ends[-1]) + 1 if len(words) else 0, np.int64)
+        for k, (text, start) in enumerate(zip(words, self.starts.tolist())):
+            self.ids[start : start + len(text)] = np.fromiter(map(self.vocabulary.__getitem__, text), np.int64, len(text))
+            self.ids[start + len(text)] = k
+        self.array = suffix_array(self.ids, len(words))
+
+    def _narrow(self, low: np.ndarray, high: np.ndarray, depth: int, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The slots within [low, high), all alike in their first depth words, whose next word is the given one: binary search, all at once."""
+        out = []
+        for bound in (word, word + 1):
+            a, b = low.copy(), high.copy()
+            while (go := a < b).any():
+                middle = (a + b) // 2
+                here = self.ids[np.minimum(self.array[np.minimum(middle, len(self.array) - 1)] + depth, len(self.ids) - 1)]
+                less = go & (here < bound)
+                a = np.where(less, middle + 1, a)
+                b = np.where(go & ~less, middle, b)
+            out.append(a)
+        return out[0], out[1]
+
+    def occurrences(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the block, place in the shard): everywhere that the window at the first stands at the second.
+
+        Every suffix of the block's items that is a window long or longer is searched, one word deeper at each step;
+        suffixes that are found nowhere drop out.
+        """
+        known = np.fromiter(map(self.vocabulary.get, block.vocabulary, repeat(-1)), np.int64, len(block.vocabulary))
+        at = np.arange(len(block.ids))[block.lengths > 0]
+        low, high = np.zeros(len(at), np.int64), np.full(len(at), len(self.array))
+        done: list[tuple] = []
+        for depth in range(block.window):
+            word = known[block.ids[at + depth]]
+            there = word >= 0
+            at, low, high, word = at[there], low[there], high[there], word[there]
+            if not len(at):
+                break
+            low, high = self._narrow(low, high, depth, word)
+            some = low < high
+            at, low, high = at[some], low[some], high[some]
+            full = block.lengths[at] == depth + 1
+            done.append((at[full], low[full], high[full]))
+            at, low, high = at[~full], low[~full], high[~full]
+        if not done:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at, low, high = (np.concatenate(x) for x in zip(*done))
+        count = high - low
+        slot = np.repeat(low - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(int(count.sum()))
+        return np.repeat(at, count), self.array[slot]
+
+
 class Block:
-    """The windows of some benchmark items, ready to be looked up in shards."""
+    """Words of some benchmark items one after another; lengths: of each place, the length of the window that begins there, or 0."""
 
-    def __init__(self, items: list[tuple[int | None, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[int | None, int, list[bytes], bool]], window: int = WINDOW):
+        """items: id, place of the first word within the item, words, and whether these are a part of a longer item."""
         self.window = window
-        self.vocabulary: dict[bytes, int] = {}
-        places: dict[tuple, dict] = defaultdict(dict)  # window -> item -> its first place there
-        for item, words in items:
-            ids = tuple(self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words)
-            n = min(window, len(ids))
-            for at in range(len(ids) - n + 1 if n else 0):
-                places[ids[at : at + n]].setdefault(item, at)
-        self.windows = sorted(places)
-        self.lengths = np.array([len(w) for w in self.windows], dtype=np.int64)
-        self.shortest = int(self.lengths.min()) if self.windows else 0
-        low = np.zeros((len(self.windows), window), ">u4")
-        high = np.full((len(self.windows), window), 0xFFFFFFFF, ">u4")
-        for row, w in enumerate(self.windows):
-            low[row, : len(w)] = high[row, : len(w)] = w
-        self.low, self.high = _keys(low), _keys(high)
-        self.holders = [[(i, at) for i, at in places[w].items() if i is not None] for w in self.windows]
-
-    def find(self, texts: list[list[bytes]]) -> tuple[list[np.ndarray], list[list[tuple]]]:
-        """For each text a boolean per word (hit or not) and (item, words, doc_word, item_word) of each item's longest match."""
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        ends = np.cumsum(sizes + 1)  # a zero ends each text
-        starts = ends - sizes - 1
-        total = int(ends[-1]) if len(ends) else 0
-        ids = np.zeros(total + self.window, dtype=np.uint32)
-        for text, start in zip(texts, starts.tolist()):
-            ids[start : start + len(text)] = np.fromiter(map(self.vocabulary.get, text, repeat(0)), np.uint32, len(text))
-        marks = np.zeros(total + self.window + 1, dtype=np.int32)
-        best: list[dict] = [{} for _ in texts]
-        if self.windows and total:
-            zeros = np.flatnonzero(ids[: total + 1] == 0)
-            run = np.zeros(total, dtype=np.int64)
-            run[:] = zeros[np.searchsorted(zeros, np.arange(total))] - np.arange(total)
-            begin = np.flatnonzero(run >= self.shortest)
-            suffixes = _keys(np.lib.stride_tricks.sliding_window_view(ids, self.window)[begin].astype(">u4"))
-            order = np.argsort(suffixes, kind="stable")
-            suffixes, begin = suffixes[order], begin[order]
-            first, past = np.searchsorted(suffixes, self.low, "left"), np.searchsorted(suffixes, self.high, "right")
-            count = past - first
-            which = np.repeat(np.arange(len(count)), count)
-            at = begin[np.repeat(first - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(len(which))]
-            np.add.at(marks, at, 1)
-            np.add.at(marks, at + self.lengths[which], -1)
-            self._longest(which, at, starts, best)
-        hit = np.cumsum(marks) > 0
-        return [hit[s : s + n] for s, n in zip(starts.tolist(), sizes.tolist())], [[(k, *v) for k, v in b.items()] for b in best]
-
-    def _longest(self, which: np.ndarray, at: np.ndarray, starts: np.ndarray, best: list[dict]) -> None:
-        """Join windows that follow each other in a document and an item alike."""
-        order = np.argsort(at, kind="stable")
-        going: dict[tuple, list] = {}
-        texts = np.searchsorted(starts, at[order], "right") - 1
-        for w, place, text in zip(which[order].tolist(), at[order].tolist(), texts.tolist()):
-            place -= int(starts[text])
-            for item, item_at in self.holders[w]:
-                key = (text, item, place - item_at)
-                run = going.get(key)
-                n = int(self.lengths[w])
-                if run and place <= run[0] + run[1] - n + 1:
-                    run[1] = place + n - run[0]
-                else:
-                    run = going[key] = [place, n, item_at]
-                top = best[text].get(item)
-                if top is None or run[1] > top[0]:
-                    best[text][item] = (run[1], run[0], run[2])
-
-
-def _keys(rows: np.ndarray) -> np.ndarray:
-    """Rows of big-endian numbers as byte strings of one length, which sort alike."""
-    return np.ascontiguousarray(rows).view(f"S{rows.shape[1] * 4}").reshape(-1) if len(rows) else np.zeros(0, "S1")
+        vocabulary: dict[bytes, int] = {}
+        ids, lengths, owner, place = [], [], [], []
+        for n, (_, first, words, part) in enumerate(items):
+            size = window if part else min(window, len(words))
+            ids += [vocabulary.setdefault(w, len(vocabulary)) for w in words]
+            lengths += [size if i + size <= len(words) and size else 0 for i in range(len(words))]
+            owner += [n] * len(words)
+            place += range(first, first + len(words))
+        self.vocabulary = list(vocabulary)
+        self.ids, self.lengths, self.owner, self.place = (np.array(x, dtype=np.int64) for x in (ids, lengths, owner, place))
+        self.items = [item for item, *_ in items]
+        self.codes = np.array([-1 if i is None else i for i in self.items], dtype=np.int64)
+        self.null = np.array([i is None for i in self.items], dtype=bool)
+
+
+def matches(shard: Shard, block: Block) -> tuple[np.ndarray, list[tuple]]:
+    """A boolean for each place of the shard (hit or not), and (text, item, words, doc_word, item_word): each text's longest match of each item.
+
+    Windows that follow one another in a text and an item alike are one match. Of equally long ones the first in the
+    text, then in the item, counts.
+    """
+    hit = np.zeros(len(shard.ids) + 1, np.int64)
+    what, where = shard.occurrences(block)
+    if not len(what):
+        return hit[:-1] > 0, []
+    size = block.lengths[what]
+    np.add.at(hit, where, 1)
+    np.add.at(hit, where + size, -1)
+    named = ~block.null[block.owner[what]]
+    what, where, size = what[named], where[named], size[named]
+    order = np.lexsort((where, where - what))
+    what, where, size = what[order], where[order], size[order]
+    text, owner = np.searchsorted(shard.ends, where), block.owner[what]
+    new = np.r_[True, (np.diff(where - what) != 0) | (np.diff(where) != 1) | (np.diff(text) != 0) | (np.diff(owner) != 0)] if len(what) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    words = np.diff(np.r_[first, len(what)]) - 1 + size[first]
+    text, item = text[first], block.codes[owner[first]]
+    at, in_item = where[first] - shard.starts[text], block.place[what[first]]
+    best = np.lexsort((in_item, at, -words, item, text))
+    top = best[np.r_[True, (np.diff(text[best]) != 0) | (np.diff(item[best]) != 0)]] if len(best) else best
+    return np.cumsum(hit[:-1]) > 0, list(zip(*(x[top].tolist() for x in (text, item, words, at, in_item))))
 
 
 def blocks(benchmark: DataFrame, window: int = WINDOW, size: int = BLOCK_WORDS) -> Iterator[Block]:
-    """The benchmark in blocks of bounded size; one is held at a time."""
+    """The benchmark in blocks of `size` words at most; one is held at a time.
+
+    An item that is longer is cut into parts that share window - 1 words, so that no window is lost; of a match
+    across a cut the longer part counts.
+    """
     items, n = [], 0
     for item, text in benchmark.select("item_id", "text").toLocalIterator():
         words = words_of(text)
-        if items and n + len(words) > size:
-            yield Block(items, window)
-            items, n = [], 0
-        items.append((item, words))
-        n += len(words)
+        step = max(1, size - window + 1)
+        parts = [(item, 0, words, False)] if len(words) <= size else [(item, at, words[at : at + size], True) for at in range(0, len(words) - window + 1, step)]
+        for part in parts:
+            if items and n + len(part[2]) > size:
+                yield Block(items, window)
+                items, n = [], 0
+            items.append(part)
+            n += len(part[2])
     if items:
         yield Block(items, window)
 
 
-def _found(block: Block, texts: list[str | None], before: list[dict | None]) -> list[dict]:
-    """What a block finds in each text, together with what blocks before have found."""
-    hits, items = block.find([words_of(t) for t in texts])
-    rows = []
-    for hit, new, was in zip(hits, items, before):
-        matches = [dict(zip(MATCH.names, m)) for m in new]
-        if was is not None:
-            matches = [*was["items"], *matches]
-            if was["hit"] is not None:
-                hit = hit | np.unpackbits(np.frombuffer(was["hit"], np.uint8), count=len(hit)).astype(bool)
-        rows.append({"n_words": len(hit), "n_hit": int(hit.sum()), "hit": np.packbits(hit).tobytes() if hit.any() else None, "items": matches})
-    return rows
+def found_in(texts: list[str | None], benchmark: list) -> list[dict]:
+    """What the blocks (broadcast, each loaded when it is needed and then let go) have of each text; one suffix array serves all of them."""
+    shard = Shard(texts)
+    hit = np.zeros(len(shard.ids), bool)
+    longest: list[dict] = [{} for _ in texts]
+    for shared in benchmark:
+        more, rows = matches(shard, shared.value)
+        hit |= more
+        for text, item, *match in rows:
+            if item not in longest[text] or match[0] > longest[text][item][0]:
+                longest[text][item] = match
+        if len(benchmark) > 1:
+            shared.__dict__.pop("_value", None)
+    out = []
+    for start, n, items in zip(shard.starts.tolist(), shard.sizes.tolist(), longest):
+        own = hit[start : start + n]
+        some = int(own.sum())
+        out.append({"n_words": n, "n_hit": some, "hit": np.packbits(own).tobytes() if some else None, "items": [dict(zip(MATCH.names, (i, *m))) for i, m in items.items()]})
+    return out
+
+
+def _shards(series: pd.Series) -> Iterator[list[str | None]]:
+    """A batch in parts of so many characters, or one text."""
+    part, n = [], 0
+    for text in series:
+        size = len(text) if isinstance(text, str) else 0
+        if part and n + size > SHARD_CHARS:
+            yield part
+            part, n = [], 0
+        part.append(text if isinstance(text, str) else None)
+        n += size
+    if part:
+        yield part
+
 
+def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "found") -> DataFrame:
+    """docs with a column (`found`): n_words, n_hit, hit (a bitmap, null if none), items (longest match of each item).
 
-def _search(spark, block: Block):
-    """A function from texts to what the block finds."""
-    shared = spark.sparkContext.broadcast(block)
+    Columns of docs stay as they are, except one that has this name already. Documents go through one pass, whatever
+    the number of blocks.
+    """
+    context = docs.sparkSession.sparkContext
+    shared = [context.broadcast(block) for block in blocks(benchmark)]
 
     @F.pandas_udf(FOUND)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame(_found(shared.value, list(texts), [None] * len(texts)), columns=FOUND.names)
-
-    return search
-
-
-def _search_more(spark, block: Block, text: str, name: str):
-    """The same for rows that carry what other blocks have found."""
-    shared = spark.sparkContext.broadcast(block)
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(name)
-            rows = _found(shared.value, batch.column(batch.schema.get_field_index(text)).to_pylist(), batch.column(at).to_pylist())
-            columns = list(batch.columns)
-            columns[at] = pa.array(rows, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            rows = [row for part in _shards(texts) for row in found_in(part, shared)]
+            yield pd.DataFrame(rows, columns=FOUND.names)
 
-    return search
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "found") -> DataFrame:
-    """docs with a column (`found`): n_words, n_hit, hit (a bitmap, null if none), items (longest match of each item).
-
-    Columns of docs stay as they are, except one that has this name already.
-    """
-    spark = docs.sparkSession
-    out, first = docs.drop(name), True
-    for block in blocks(benchmark):
-        if first:
-            out, first = out.withColumn(name, _search(spark, block)(F.col(text))), False
-        else:
-            out = out.mapInArrow(_search_more(spark, block, text, name), out.schema)
-    return out.withColumn(name, _search(spark, Block([]))(F.col(text))) if first else out
+    return docs.drop(name).withColumn(name, search(F.col(text)))
 
 
 def n_hit(found: str = "found") -> Column:
