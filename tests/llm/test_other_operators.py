@@ -160,6 +160,39 @@ def test_quotations_are_linked_and_left_out(spark):
     assert chat.formatted(rows.limit(0)).count() == 0
 
 
+def test_lines_quoted_from_a_longer_paragraph(spark):
+    talk = [(1, 0, "user", "a one\nb two\nc three\nd four\ne five"), (1, 1, "user", "b two\nother"), (1, 2, "user", "> b two\n> c three\nwhy?"), (1, 3, "user", ">c three\n>b two\nno")]
+    out = {r["turn"]: r["parent_turn"] for r in chat.formatted(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")).collect()}
+    assert out == {0: None, 1: None, 2: 0, 3: None}
+
+
+def test_only_line_ends_of_the_format_begin_a_quotation(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "a\u2028> b"), (1, 1, "user", "a\r> b"), (1, 2, "user", "a\r\n > b")], "conv_id long, turn long, role string, text string")
+    assert [r["text"] for r in sorted(chat.formatted(rows).collect(), key=lambda r: r["turn"])] == ["a\u2028> b", "a", "a"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_places_of_random_reply_trees_equal_a_walk(spark, seed):
+    rng = random.Random(seed)
+    rows, parent = [], {}
+    for conv in range(4):
+        shape = rng.choice((1, 3, 30))  # a chain, a comb, a bush
+        for turn in range(25):
+            said = rng.randrange(max(0, turn - shape), turn) if turn and rng.random() < 0.8 else None
+            parent[conv, turn] = said
+            rows.append((conv, turn, "user", (f"> words of {said}\n" if said is not None else "") + f"words of {turn}"))
+    got = {(r["conv_id"], r["turn"]): r for r in chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    for conv in range(4):
+        def walk(turn):
+            return [turn, *(x for child in range(25) if parent[conv, child] == turn for x in walk(child))]
+
+        for root in (t for t in range(25) if parent[conv, t] is None):
+            order = walk(root)
+            assert [got[conv, t]["place"] for t in order] == list(range(len(order)))
+            assert {got[conv, t]["conversation"] for t in order} == {f"{conv}:{root}"} and {got[conv, t]["thread_turn"] for t in order} == {root}
+            assert all(got[conv, t]["text"] == f"words of {t}" and got[conv, t]["parent_turn"] == parent[conv, t] for t in order)
+
+
 def brute_passages(text):
     out = []
     for line in (text or "").replace("\r\n", "\n").replace("\r", "\n").split("\n"):

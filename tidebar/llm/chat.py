@@ -3,24 +3,33 @@
 Lines that begin with > are quoted, nested as deep as they have such marks.
 Runs of lines of one level are passages; a quoted passage is normalised, hashed
 and joined to the earliest message of its conversation that says the same in
-its own words, as a whole, a run or a line. A message answers the original of
-its least nested linked quotation (the latest of these), and a thread is what
-answers lead back to one message. Quotations are left out of the result.
-
-A null text counts as empty. Messages with a null conv_id or turn link to nothing.
-Repeated rows all stay. A conversation reads in the order thread_turn, turn:
-originals stand before their answers, and without quotations it is the order of turns.
+its own words, as a whole, a run, a line, or, for a passage of several lines, some lines
+in a row. A message answers the original of its least nested linked quotation
+(the latest of these), and a thread is what answers lead back to one message.
+Quotations are left out of the result.
+
+A thread is a conversation: it has a key of its own (conversation), and its messages have
+places in reply order, a message before its answers and these depth first, in the order of
+turns. Conversations read in the order thread_turn, place; without quotations each
+message is the first of its own thread, and the order is that of turns.
+
+A null or empty text says nothing. Messages with a null conv_id or turn link to nothing and
+have no place but the first. Repeated rows all stay, with the same place each; a passage that
+several messages say goes to the earliest. A long text is split into lines where it stands. No
+rows give none; columns of any other name play no part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
 
 #: The marks before a quoted line.
 MARKS = r"^[ \t]*(?:>[ \t]?)+"
+#: That a text has a quoted line.
+QUOTED = r"(?:^|[\r\n])[ \t]*>"
 MOST_ROUNDS = 60
 
 
@@ -63,7 +72,7 @@ def passages(text: Column) -> Column:
 def own_words(text: Column) -> Column:
     """The text without quoted lines, trimmed."""
     kept = F.filter(_lines(text), lambda line: ~line.rlike(MARKS))
-    return F.when(text.rlike(r"(?m)" + MARKS), F.trim(F.array_join(kept, "\n"), F.lit(" \n\t"))).otherwise(F.coalesce(text, F.lit("")))
+    return F.when(text.rlike(QUOTED), F.trim(F.array_join(kept, "\n"), F.lit(" \n\t"))).otherwise(F.coalesce(text, F.lit("")))
 
 
 def digest(passage: Column) -> Column:
@@ -72,10 +81,20 @@ def digest(passage: Column) -> Column:
 
 
 def quotations(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, hash) of each quoted passage that has words."""
-    some = messages.where(F.col("text").rlike(r"(?m)" + MARKS) & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+    """(conv_id, turn, level, lines, hash) of each quoted passage that has words."""
+    some = messages.where(F.col("text").rlike(QUOTED) & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
     each = some.select("conv_id", "turn", F.explode(passages(F.col("text"))).alias("p")).where("p.level > 0")
-    return each.where(F.col("p.text").rlike(r"\S")).select("conv_id", "turn", F.col("p.level").alias("level"), digest(F.col("p.text")).alias("hash")).distinct()
+    return (
+        each.where(F.col("p.text").rlike(r"\S"))
+        .select("conv_id", "turn", F.col("p.level").alias("level"), F.size(F.split("p.text", "\n", -1)).alias("lines"), digest(F.col("p.text")).alias("hash"))
+        .distinct()
+    )
+
+
+def _first(passages: DataFrame) -> DataFrame:
+    """(conv_id, hash, said): the first turn of each passage; passages: conv_id, turn, passage."""
+    said = passages.where(F.col("passage").rlike(r"\S"))
+    return said.groupBy("conv_id", digest(F.col("passage")).alias("hash")).agg(F.min("turn").alias("said"))
 
 
 def originals(messages: DataFrame) -> DataFrame:
@@ -83,8 +102,15 @@ def originals(messages: DataFrame) -> DataFrame:
     own = F.filter(passages(F.col("text")), lambda p: p["level"] == 0)
     runs = F.transform(own, lambda p: p["text"])
     said = F.array_distinct(F.concat(F.array(own_words(F.col("text"))), runs, F.flatten(F.transform(runs, lambda r: F.split(r, "\n")))))
-    each = messages.select("conv_id", "turn", F.explode(said).alias("passage")).where(F.col("passage").rlike(r"\S"))
-    return each.groupBy("conv_id", digest(F.col("passage")).alias("hash")).agg(F.min("turn").alias("said"))
+    return _first(messages.select("conv_id", "turn", F.explode(said).alias("passage")))
+
+
+def lines_in_a_row(messages: DataFrame, lengths: DataFrame) -> DataFrame:
+    """The same for every so many own lines in a row; lengths: conv_id, lines, the numbers of lines that are asked for."""
+    own = F.filter(_lines(F.col("text")), lambda line: ~line.rlike(MARKS))
+    asked = messages.join(lengths, "conv_id").select("conv_id", "turn", "lines", own.alias("own")).where("size(own) > lines")
+    starts = F.sequence(F.lit(1), F.size("own") - F.col("lines") + 1)
+    return _first(asked.select("conv_id", "turn", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("own", i, F.col("lines")), "\n"))).alias("passage")))
 
 
 def answers(messages: DataFrame) -> DataFrame:
@@ -92,9 +118,40 @@ def answers(messages: DataFrame) -> DataFrame:
     quoted = cut(quotations(messages))
     quoting = quoted.select("conv_id").distinct()
     # only conversations with quotations are indexed
-    indexed = originals(messages.where("conv_id is not null and turn is not null").join(quoting, "conv_id", "left_semi"))
-    linked = quoted.join(indexed, ["conv_id", "hash"]).where("said < turn")
-    return linked.groupBy("conv_id", "turn").agg(F.max_by("said", F.struct(-F.col("level"), "said")).alias("parent_turn"))
+    asked = messages.where("conv_id is not null and turn is not null").join(quoting, "conv_id", "left_semi")
+    linked = cut(quoted.join(originals(asked), ["conv_id", "hash"], "left"))
+    rest = linked.where("lines > 1 and (said is null or said >= turn)").drop("said")
+    found = linked.where("said < turn")
+    if not rest.isEmpty():
+        found = found.unionByName(rest.join(lines_in_a_row(asked, rest.select("conv_id", "lines").distinct()), ["conv_id", "hash"]).where("said < turn"))
+    return found.groupBy("conv_id", "turn").agg(F.max_by("said", F.struct(-F.col("level"), "said")).alias("parent_turn"))
+
+
+def places(parents: DataFrame) -> DataFrame:
+    """(conv_id, turn, behind): each linked message, how many of its thread stand behind it in reply order, itself included; parents: conv_id, turn, parent_turn.
+
+    The walk enters a message, goes through its answers and leaves it; the steps of the walk are a list, whose ranks are
+    found by doubling the steps. Each step is a row that knows the next one, so that no thread is held as a whole.
+    """
+    nodes = parents.select("conv_id", "turn", "parent_turn").unionByName(
+        parents.select("conv_id", F.col("parent_turn").alias("turn")).distinct().join(parents.select("conv_id", "turn"), ["conv_id", "turn"], "left_anti").withColumn("parent_turn", F.lit(None).cast(parents.schema["turn"].dataType))
+    )
+    eldest = parents.groupBy("conv_id", F.col("parent_turn").alias("turn")).agg(F.min("turn").alias("child"))
+    brother = F.when(F.col("parent_turn").isNotNull(), F.lead("turn").over(Window.partitionBy("conv_id", "parent_turn").orderBy("turn")))
+    known = nodes.withColumn("brother", brother).join(eldest, ["conv_id", "turn"], "left")
+    step = lambda turn, out, to, to_out, n: F.struct(turn.alias("turn"), F.lit(out).alias("out"), to.alias("to"), to_out.alias("to_out"), F.lit(n).cast("long").alias("n"))
+    enter = step(F.col("turn"), False, F.coalesce("child", "turn"), F.col("child").isNull(), 1)
+    leave = step(F.col("turn"), True, F.coalesce("brother", "parent_turn"), F.col("brother").isNull(), 0)
+    walk = cut(known.select("conv_id", F.inline(F.array(enter, leave))))
+    for _ in range(MOST_ROUNDS):
+        if walk.where("to is not null").isEmpty():
+            break
+        ahead = walk.select("conv_id", F.col("turn").alias("to"), F.col("out").alias("to_out"), F.col("to").alias("_to"), F.col("to_out").alias("_to_out"), F.col("n").alias("_n"))
+        met = walk.join(ahead, ["conv_id", "to", "to_out"], "left")
+        walk = cut(met.select("conv_id", "turn", "out", F.col("_to").alias("to"), F.col("_to_out").alias("to_out"), (F.col("n") + F.coalesce("_n", F.lit(0))).alias("n")))
+    else:
+        raise RuntimeError("the walks did not end")
+    return walk.where("not out").select("conv_id", "turn", F.col("n").alias("behind"))
 
 
 def threads(parents: DataFrame) -> DataFrame:
@@ -113,15 +170,26 @@ def threads(parents: DataFrame) -> DataFrame:
 
 
 def formatted(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text (own words), parent_turn, thread_turn and the message as a chat turn, a row for each row."""
+    """conv_id, turn, role, text (own words), parent_turn, thread_turn, conversation, place and the message as a chat turn, a row for each row."""
     plain = messages.select("conv_id", "turn", "role", "text")
     found = threads(answers(plain))
-    return plain.join(found, ["conv_id", "turn"], "left").select(
+    if found.isEmpty():  # nothing is linked: no text moves
+        placed = plain.withColumns({"parent_turn": F.lit(None).cast(plain.schema["turn"].dataType), "thread_turn": F.col("turn"), "place": F.lit(0).cast("long")})
+    else:
+        rank = places(found)
+        whole = rank.select("conv_id", F.col("turn").alias("thread_turn"), F.col("behind").alias("_whole"))
+        linked = found.join(rank, ["conv_id", "turn"]).join(whole, ["conv_id", "thread_turn"])
+        linked = linked.select("conv_id", "turn", "parent_turn", F.col("thread_turn").alias("_thread"), (F.col("_whole") - F.col("behind")).alias("_place"))
+        placed = plain.join(linked, ["conv_id", "turn"], "left").withColumns({"thread_turn": F.coalesce("_thread", "turn"), "place": F.coalesce("_place", F.lit(0).cast("long"))})
+    own = own_words(F.col("text"))
+    return placed.select(
         "conv_id",
         "turn",
         "role",
-        own_words(F.col("text")).alias("text"),
+        own.alias("text"),
         "parent_turn",
-        F.coalesce("thread_turn", "turn").alias("thread_turn"),
-        F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), own_words(F.col("text")), F.lit("\n")).alias("chat"),
+        "thread_turn",
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("thread_turn").cast("string")).alias("conversation"),
+        "place",
+        F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), own, F.lit("\n")).alias("chat"),
     )
