@@ -34,6 +34,19 @@ def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
     return counts.crossJoin(F.broadcast(total)).where(F.col(n) * HOT_SHARE > F.col("_total")).select(*keys)
 
 
+def dealt(left: DataFrame, hot: DataFrame, keys: list[str], salt: Column) -> DataFrame:
+    """left with _salt: for hot keys (a row for each) which of SALTS parts a row is in, by salt; else 0."""
+    known = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    return left.join(known, keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(salt, F.lit(SALTS))).otherwise(0).cast("int")).drop("_hot")
+
+
+def copied(right: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """right with _salt: rows of hot keys once for each part."""
+    known = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return right.join(known, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+
+
 def join_hot(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame, salt: Column, how: str = "inner", n: str = "n") -> DataFrame:
     """left joined with right (one row for each key), with the rows of hot keys dealt over SALTS parts.
 
@@ -41,8 +54,5 @@ def join_hot(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFra
     key's row of right is repeated for each part; hot keys are fewer than HOT_SHARE, which bounds what is broadcast.
     Null keys meet nothing, as in any join.
     """
-    hot = F.broadcast(hot_keys(counts, keys, n).withColumn("_hot", F.lit(True)))
-    dealt = left.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(salt, F.lit(SALTS))).otherwise(0).cast("int")).drop("_hot")
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copies = right.join(hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
-    return dealt.join(copies, [*keys, "_salt"], how).drop("_salt")
+    hot = hot_keys(counts, keys, n)
+    return dealt(left, hot, keys, salt).join(copied(right, hot, keys), [*keys, "_salt"], how).drop("_salt")

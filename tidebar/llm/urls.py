@@ -9,7 +9,11 @@ what a wholly blocked host starts with, else allow.
 Host: after the first :// up to / ? # or the end, A-Z in lower case; path: from there up
 to ? # or the end. A null url, or one without ://, has an empty host and path.
 A link that begins with // takes its page's scheme; others that are not absolute
-http(s) ones stay on their host and count for nothing.
+http(s) ones stay on their host and count for nothing. Links that repeat count as often
+as they stand; scores are within SETTLED of their limits. Rows that repeat weigh a host's
+seed and links alike and stay, each with its verdict; of rules as long as each other
+(which no page fits both) none comes first. A long page or url is matched as a whole. No
+rows give none; columns of any other name play no part.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import copied, cut, dealt, hot_keys
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path)
@@ -67,21 +71,24 @@ def links(pages: DataFrame) -> DataFrame:
 
 
 def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(kind, host, score) after personalised PageRank; edges (kind, src, dst, n), seeds (kind, host, seed) by kind."""
-    out_of = edges.groupBy("kind", "src").agg(F.sum("n").alias("all"))
-    weighed = cut(edges.join(out_of, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("all")).alias("w")))
+    """(kind, host, score) after personalised PageRank; edges (kind, src, dst, n), seeds (kind, host, seed) by kind.
+
+    The edges of a host that very many hosts link to are dealt over several parts, once for all rounds.
+    """
+    key = ["kind", "src"]
+    out_of = cut(edges.groupBy(*key).agg(F.sum("n").alias("all"), F.count("*").alias("rows")))
     score = seeds.select("kind", "host", (F.col("seed") * (1 - DAMPING)).alias("score"))
-    if weighed.isEmpty():  # no link leads anywhere: what starts at a host stays there
+    if out_of.isEmpty():  # no link leads anywhere: what starts at a host stays there
         return score
+    hot = cut(hot_keys(out_of, key, "rows"))
+    shares = dealt(edges, hot, key, F.xxhash64("dst")).join(copied(out_of.drop("rows"), hot, key), [*key, "_salt"])
+    weighed = cut(shares.select(*key, "_salt", "dst", (F.col("n") / F.col("all")).alias("w")))
     # `moved` is what reached a host in the last round. All that is still to come, at all hosts together, is at most
     # DAMPING / (1 - DAMPING) of its sum, so that this holds for a host on which many small moves meet, too.
     score = cut(score.withColumn("moved", F.col("score")))
     for _ in range(MOST_ROUNDS):
-        moved = (
-            weighed.join(score, (weighed["kind"] == score["kind"]) & (weighed["src"] == score["host"]))
-            .groupBy(weighed["kind"], F.col("dst").alias("host"))
-            .agg((F.sum(F.col("w") * F.col("moved")) * DAMPING).alias("score"))
-        )
+        going = copied(score.where("moved > 0").select("kind", F.col("host").alias("src"), "moved"), hot, key)
+        moved = weighed.join(going, [*key, "_salt"]).groupBy("kind", F.col("dst").alias("host")).agg((F.sum(F.col("w") * F.col("moved")) * DAMPING).alias("score"))
         both = score.select("kind", "host", "score", F.lit(0.0).alias("moved")).union(moved.select("kind", "host", "score", F.col("score").alias("moved")))
         score = cut(both.groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("moved").alias("moved")))
         if (score.agg(F.sum("moved")).first()[0] or 0.0) * DAMPING <= SETTLED * (1 - DAMPING):
