@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 import time
+from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -471,6 +473,63 @@ def test_extraction_of_one_page(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_deep_pages_cost_no_more_than_their_length():
+    import tracemalloc
+
+    field, n = html_text.trained(), 100_000
+    for open_tag in ('<div class="a b">', '<ul class="x{0} ad">', "<b{0}>"):
+        page = "<article>" + "".join(open_tag.format(i) + "x" for i in range(n))
+        began = time.process_time()
+        text = html_text.main_text(page, field)
+        assert time.process_time() - began < 20 and text.count("x") <= n  # some 3 seconds; tens of minutes if depth were walked
+    tracemalloc.start()
+    html_text.leaf_blocks("".join('<div class="a b">x' for _ in range(n)), field.known)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+
+
+class Article(HTMLParser):
+    """What stands within <article>, by another reader and by structure alone: the labels of the given pages."""
+
+    skipped = {"nav", "aside", "footer", "form", "script", "style", "head", "header", "noscript", "dialog"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.words, self.other = [], [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in html_text.VOID_TAGS and tag != "p":
+            classes = " ".join(v or "" for k, v in attrs if k in ("class", "id"))
+            self.open.append((tag, bool(re.search(r"\b(ads?|comments?|cookie|banner|promo|related|share|newsletter|sidebar|menu)\b", classes))))
+
+    def handle_endtag(self, tag):
+        at = [i for i, (t, _) in enumerate(self.open) if t == tag]
+        if at:
+            del self.open[at[-1] :]
+
+    def handle_data(self, data):
+        tags = {t for t, _ in self.open}
+        inside = "article" in tags and not tags & self.skipped and not any(bad for _, bad in self.open)
+        if not tags & {"script", "style", "title"}:
+            (self.words if inside else self.other).extend(data.split())
+
+
+def test_words_of_given_pages_are_found_and_no_others():
+    import duckdb
+
+    field, right, found, wanted = html_text.trained(), 0, 0, 0
+    pages = [r[0] for r in duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet' ORDER BY page_id").fetchall()][::5]
+    for page in pages:
+        reader = Article()
+        reader.feed(page)
+        want, got = Counter(reader.words), Counter(html_text.main_text(page, field).split())
+        right += sum((want & got).values())
+        found += sum(got.values())
+        wanted += sum(want.values())
+    assert len(pages) >= 40 and right >= 0.98 * found and right >= 0.98 * wanted
+
+
 def test_viterbi_is_the_best_sequence():
     from itertools import product
 

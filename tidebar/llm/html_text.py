@@ -12,7 +12,10 @@ notices, adverts, forms and comments. Block texts of both labels run from one
 word to long junk, so that the field goes by the place more than by the words.
 
 A null or empty page gives an empty text. Unclosed tags and comments run to
-the end of the page; a < that starts no tag is text.
+the end of the page; a < that starts no tag is text. The cost is in proportion to a page, however
+long or deeply nested. Of sequences that score alike that with the earlier label stands. Rows that
+repeat give the same text each. No rows give none; further columns stay, but for those named
+like the results, which these replace.
 """
 
 from __future__ import annotations
@@ -52,34 +55,56 @@ PAGES = 320
 
 
 class Block:
-    __slots__ = ("text", "tags", "names", "linked")
+    __slots__ = ("text", "tags", "names", "last", "linked")
 
-    def __init__(self, text: str, tags: tuple, names: frozenset, linked: int):
-        self.text, self.tags, self.names, self.linked = text, tags, names, linked
+    def __init__(self, text: str, tags: frozenset, names: frozenset, last: str, linked: int):
+        self.text, self.tags, self.names, self.last, self.linked = text, tags, names, last, linked
 
 
-def leaf_blocks(page: str | None) -> list[Block]:
-    """The blocks of a page in its order, with white space made single blanks; blocks without text are left out."""
+_NONE: frozenset = frozenset()
+
+
+def leaf_blocks(page: str | None, known: frozenset | None = None) -> list[Block]:
+    """The blocks of a page in its order, with white space made single blanks; blocks without text are left out.
+
+    known: the ancestor tags and words that matter, all if not given. An open element shares the sets of its ancestors
+    with the element around it unless it adds to them, so that depth costs no more than a list of open elements.
+    """
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset]] = []
+    stack: list[tuple[str, frozenset, frozenset]] = []  # tag, tags and words of it and of all around it
+    opened: dict[str, int] = {}
     buffer: list[str] = []
-    links = linked = 0
+    linked = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(buffer)).split())
         if text:
-            out.append(Block(text, tuple(t for t, _ in stack), frozenset().union(*(n for _, n in stack)), linked))
+            last, tags, names = stack[-1] if stack else ("", _NONE, _NONE)
+            out.append(Block(text, tags, names, last, linked))
         buffer.clear()
         linked = 0
 
-    def close(names: set | frozenset, stop: frozenset = frozenset()) -> None:
+    def enter(tag: str, words: str) -> None:
+        _, tags, names = stack[-1] if stack else ("", _NONE, _NONE)
+        if tag not in tags and (known is None or f"in={tag}" in known):
+            tags = tags | {tag}
+        if words:
+            found = {w for x in _NAMED.findall(words) for w in _WORD.findall("".join(x).lower())}
+            new = {w for w in found - names if known is None or f"name={w}" in known}
+            names = names | new if new else names
+        stack.append((tag, tags, names))
+        opened[tag] = opened.get(tag, 0) + 1
+
+    def close(names: set | frozenset, stop: frozenset = _NONE) -> None:
         """Close the innermost open element of these names, unless one of stop is inside it."""
-        nonlocal links
+        if not any(opened.get(t) for t in names):
+            return
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in names:
-                links -= sum(t == "a" for t, _ in stack[i:])
+                for t, _, _ in stack[i:]:
+                    opened[t] -= 1
                 del stack[i:]
                 return
             if stack[i][0] in stop:
@@ -92,7 +117,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
             lt = n
         if lt > at:
             buffer.append(page[at:lt])
-            if links:
+            if opened.get("a"):
                 linked += lt - at
         if lt == n:
             break
@@ -133,18 +158,13 @@ def leaf_blocks(page: str | None) -> list[Block]:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        names = frozenset(w for x in _NAMED.findall(m[3]) for w in _WORD.findall("".join(x).lower())) if m[3] else frozenset()
-        if tag == "a":
-            links += 1
+        enter(tag, m[3])
         if tag in TEXT_TAGS:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            stack.append((tag, names))
             buffer.append(page[at : end.start() if end else n])
             flush()
-            stack.pop()
+            close({tag})
             at = end.end() if end else n
-            continue
-        stack.append((tag, names))
     flush()
     return out
 
@@ -155,7 +175,7 @@ def features(blocks: list[Block]) -> list[list[str]]:
     for i, b in enumerate(blocks):
         words = b.text.count(" ") + 1
         share = b.linked / max(1, len(b.text))
-        found = {"any", *(f"in={t}" for t in b.tags), *(f"name={n}" for n in b.names), f"tag={b.tags[-1] if b.tags else ''}"}
+        found = {"any", *(f"in={t}" for t in b.tags), *(f"name={n}" for n in b.names), f"tag={b.last}"}
         found.add(f"words={min(words, 64).bit_length()}")
         found.add("linked=" + ("no" if not b.linked else "all" if share > 0.8 else "some"))
         found.add("ends=" + ("stop" if b.text[-1] in ".!?…" else "other"))
@@ -171,7 +191,7 @@ class Field:
     """Weights of features by label (0: other, 1: main text), and of pairs of labels."""
 
     def __init__(self, numbers: dict[str, int], state: np.ndarray, step: np.ndarray):
-        self.numbers, self.state, self.step = numbers, state, step
+        self.numbers, self.state, self.step, self.known = numbers, state, step, frozenset(numbers)
 
     def scores(self, rows: list[list[str]]) -> np.ndarray:
         get, state = self.numbers.get, self.state
@@ -324,7 +344,7 @@ def trained() -> Field:
 
 
 def main_text(page: str | None, field: Field) -> str:
-    blocks = leaf_blocks(page)
+    blocks = leaf_blocks(page, field.known)
     return "\n".join(b.text for b, label in zip(blocks, field.decode(features(blocks))) if label)
 
 
