@@ -549,7 +549,7 @@ PRIVATE = "Call +1 (017) 155-7713, not 0171557713. Ann jo.doe1@mail.example.com,
 def test_pseudonyms_are_valid_linked_and_undone():
     names, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", back=True)
     text, *counts = pii.replaced(PRIVATE, names)
-    assert dict(zip((k for k, _ in pii.KINDS), counts)) == {"email": 1, "iban": 1, "date": 4, "ip": 1, "card": 2, "ssn": 1, "phone": 3}
+    assert dict(zip((k for k, _ in pii.KINDS), counts)) == {"email": 1, "iban": 1, "date": 4, "ip": 1, "card": 2, "ssn": 1, "phone": 3, "foreign_phone": 0}
     for value in ("jo.doe1", "988", "4111 1111", "42.144", "1984", "123-45", "0532"):
         assert value not in text
     assert "4111111111111112" in text and "0171557713" in text and "(017)" not in text and len(text) >= len(PRIVATE) - 12
@@ -578,6 +578,24 @@ def test_numbers_beside_others_get_the_same_pseudonym(value, around):
         assert pii.replaced(text, back)[0] == given
 
 
+def test_numbers_of_other_countries():
+    names, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", back=True)
+    given = "Call +44 20 7946 0958, +49 30 123456 or +33(1)42.68.53.00; not +12, +3 4 or 2+44 20."
+    text, *counts = pii.replaced(given, names)
+    assert counts[1] == 3 and pii.replaced(text, back)[0] == given and len(text) == len(given)
+    assert not any(x in text for x in ("7946", "123456", "42.68")) and "not +12, +3 4 or 2+44 20." in text
+    assert re.match(r"Call \+44 \d\d \d{4} \d{4}, \+49 \d\d \d{6} or \+33\(\d\)\d\d\.\d\d\.\d\d\.\d\d;", text)
+
+
+def test_few_permutations_are_remembered(monkeypatch):
+    monkeypatch.setattr(pii, "REMEMBERED", 3)
+    names, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", back=True)
+    for i in range(20):
+        given = f"{'a' * (i + 1)}@x{i}.com"
+        text = pii.replaced(given, names)[0]
+        assert len(names.made) <= 3 and pii.replaced(text, back)[0] == given
+
+
 def test_card_behind_or_before_a_dash():
     new = pii.Pseudonyms(b"k").card("4111-1111-1111-1111")
     for around in ("1-2-{}", "{}-123", "{}-12345", "{}-1234-5678 x"):

@@ -8,7 +8,9 @@ that prefix's encoding. So appending bytes only extends the table, and after
 an edit the table is kept up to the edit.
 
 Texts: null counts as empty and gives no tokens. Pieces are the matches of the
-tokenizer's pattern, each encoded by itself.
+tokenizer's pattern, each encoded by itself; a long piece is one table, filled byte by byte, and is not
+remembered. There are no ties, as a prefix has one valid last token. Rows that repeat give the
+same tokens each. No rows give none; columns of any other name play no part.
 """
 
 from __future__ import annotations

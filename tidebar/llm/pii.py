@@ -16,7 +16,12 @@ number's by country) are found first, all others, the longest first, in what is
 left. Where groups of a number and others beside it pass as a number by chance,
 these are replaced, and the way back can then take other groups than the way there.
 
-A null text stays null. Text that fails validation stays as it is.
+Numbers of other countries, from + on, keep their first two digits.
+
+A null text stays null, an empty one empty; a long text is searched as a whole. Text that fails
+validation stays as it is. Where kinds overlap the one that is listed first in KINDS has the
+text. Rows that repeat get the same pseudonyms. No rows give none; further columns stay, but for
+those named like the counts, which these replace.
 """
 
 from __future__ import annotations
@@ -34,9 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Stands in until a caller passes a secret of their own.
+#: Stands in until a caller passes a secret of their own, as the query does from the session's setting KEY_SETTING.
 KEY = b"replace this key"
+KEY_SETTING = "spark.tidebar.pseudonyms.key"
 ROUNDS = 10
+#: Permutations that a worker remembers.
+REMEMBERED = 10_000
 #: Dates from here on, for so many days.
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), 73049
 
@@ -91,7 +99,11 @@ class Pseudonyms:
         self.made: dict[tuple[str, int], Permutation] = {}
 
     def permuted(self, label: str, value: int, size: int) -> int:
-        p = self.made.get((label, size)) or self.made.setdefault((label, size), Permutation(self.key, label, size))
+        p = self.made.get((label, size))
+        if p is None:
+            if len(self.made) >= REMEMBERED:  # shapes and domains of addresses are without end
+                self.made.clear()
+            p = self.made[label, size] = Permutation(self.key, label, size)
         return p(value, self.back)
 
     def card(self, text: str) -> str | None:
@@ -118,6 +130,13 @@ class Pseudonyms:
         rest, line = divmod(n, 10_000)
         return _keep_shape(text, f"{own}{rest // 800 + 200}{rest % 800 + 200}{line:04d}")
 
+    def foreign_phone(self, text: str) -> str | None:
+        d = re.sub(r"\D", "", text)
+        if not 8 <= len(d) <= 15:
+            return None
+        n = len(d) - 2  # the first digits, which tell the country, stay
+        return _keep_shape(text, d[:2] + f"{self.permuted(f'foreign{d[:2]}', int(d[2:]), 10**n):0{n}d}")
+
     def ssn(self, text: str) -> str | None:
         a, b, c = map(int, text.split("-"))
         if not (0 < a < 900 and a != 666 and b and c):
@@ -194,6 +213,7 @@ def _day(parts: dict[str, int]) -> int | None:
 #: Kinds in the order in which they claim text.
 KINDS: tuple[tuple[str, re.Pattern], ...] = (
     ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])")),
+    ("foreign_phone", re.compile(r"(?<![0-9A-Za-z+])\+(?!1)[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,8}\)?){1,6}(?![0-9]|-[0-9])")),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")),
     ("date", re.compile(r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\1[0-9]{4})(?![0-9/-]|\.[0-9])")),
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])")),

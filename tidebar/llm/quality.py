@@ -7,9 +7,12 @@ features are the buckets of its distinct words, statistics of its structure
 and its stored length; never its id, language, source or labels.
 
 The model is fitted on at most FIT_ROWS labelled rows, chosen by a hash of
-their ids; everything else covers all rows. A null or empty text has no words
-and zero statistics, and gets a score like any other. Without labelled rows
-the model is empty and every score is 0.5.
+their ids; everything else covers all rows, and whole texts, however long. An id that
+is labelled both ways counts as 0; rows that repeat an id or a text are rows like any other
+and get the same score, and equal scores are decided alike (THRESHOLD itself is accepted). A
+null or empty text has no words and zero statistics, and gets a score like any other. Without
+labelled rows the model is empty and every score is 0.5. No rows give none; columns of any
+other name play no part.
 """
 
 from __future__ import annotations

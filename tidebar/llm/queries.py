@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +36,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    key = spark.conf.get(pii.KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{pii.KEY_SETTING} is not set: pseudonyms are made with a public key", stacklevel=2)
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key.encode() if key else pii.KEY)
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

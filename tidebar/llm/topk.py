@@ -1,6 +1,6 @@
 """Exact top-k search by inner product, as products of tiles.
 
-Candidates are dealt into shards and queries into blocks by a hash of their id.
+Candidates are dealt into shards and queries into blocks by a hash of their id and vector.
 Each task gets one shard and one block, multiplies them in tiles, and keeps
 each query's k best of its shard by partial selection; the lists are then
 merged as a tree, FAN_IN shards at a time, so that no task sees more than
@@ -9,8 +9,8 @@ FAN_IN lists of k for one query.
 Components are floor(SCALE * x). Vectors that are null, or hold null or
 non-finite components, and rows without an id take no part. Vectors of unequal length
 are compared as if the shorter ended in zeros. A query leaves out one row of
-its own id and vector (itself); other rows with the same id are candidates.
-Scores beyond a long are held at its ends.
+its own id and vector (itself); other rows with the same id are candidates, and a query row that repeats has its
+list as often. Scores beyond a long are held at its ends. No rows give none; columns of any other name play no part.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 SCALE = 64
 K = 20
-#: Rows in a shard of candidates and in a block of queries, about.
-SHARD, BLOCK = 8192, 2048
+#: Rows in a shard of candidates and in a block of queries, about. Each shard meets each block in a task of its own, so that
+#: N candidates and Q queries move N Q (1 / SHARD + 1 / BLOCK) rows: the larger both are, the less moves, and a task holds one of each.
+SHARD, BLOCK = 8192, 16384
 #: Queries in one tile of a product.
 TILE = 256
 FAN_IN = 64
@@ -96,7 +97,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     shards, blocks = (max(1, math.ceil(n / size)) for n, size in zip(sizes, (SHARD, BLOCK)))
     # equal query rows give equal lists: each is asked once and repeated at the end
     distinct = queries.groupBy("id", "q").agg(F.count("*").alias("times")).withColumn("row", F.sha2(F.concat_ws(",", F.col("id").cast("string"), F.array_join("q", ",")), 256))
-    dealt = lambda df, n, seed: df.withColumn(seed, F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).cast("int"))
+    dealt = lambda df, n, seed: df.withColumn(seed, F.pmod(F.xxhash64("id", "q", F.lit(seed)), F.lit(n)).cast("int"))
     spread = lambda df, n, name: df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     there = spread(dealt(vectors, shards, "shard"), blocks, "block")
     asked = spread(dealt(distinct, blocks, "block"), shards, "shard")
