@@ -324,6 +324,16 @@ def test_stream_upsert_lets_corrections_win(spark, tmp_path):
     assert {r["symbol"]: r["close"] for r in streams.latest_state(spark, f"{tmp_path}/state").collect()} == {"A": 9.0, "B": 2.0}
 
 
+def test_state_is_rewritten_by_the_buckets_that_a_batch_touches(spark, tmp_path):
+    first = [[(f"S{i}", at(i % 50), i, float(i)) for i in range(200)]]
+    stream = ticks(spark, tmp_path, first + [[("S1", at(1), 1000 + n, 100.0 + n)] for n in range(4)])
+    streams.stream_upsert(stream, ["symbol"], f"{tmp_path}/state", f"{tmp_path}/c", ["id"]).awaitTermination()
+    out = {r["symbol"]: r["close"] for r in streams.latest_state(spark, f"{tmp_path}/state").collect()}
+    assert len(out) == 200 and out["S1"] == 103.0 and out["S7"] == 7.0
+    versions = sorted(map(len, streams._folders(spark, f"{tmp_path}/state").values()))
+    assert versions[-1] == 2 and versions[0] == versions[-2] == 1  # one bucket is touched again, and keeps the version before
+
+
 def test_stream_dedupe_and_validate(spark, tmp_path):
     stream = ticks(spark, tmp_path, [[("A", at(1), 1, 1.0)], [("A", at(1), 1, 1.0), ("A", at(2), 2, -2.0)]])
     assert streams.drained(streams.stream_dedupe(stream, ["symbol", "id"]), f"{tmp_path}/c1", f"{tmp_path}/o1").count() == 2

@@ -23,77 +23,98 @@ def segments(rolls: DataFrame) -> DataFrame:
     return ends.union(starts).groupBy("root", "symbol").agg(F.max("start").alias("start"), F.max("end").alias("end"))
 
 
-def unadjusted(bars: DataFrame, rolls: DataFrame) -> DataFrame:
-    """One row for each root and timestamp, of the contract whose segment holds it; the earlier expiry if two do."""
+def unadjusted(bars: DataFrame, rolls: DataFrame, terms: bool = False) -> DataFrame:
+    """One row for each root and timestamp, of the contract whose segment holds it; the earlier expiry if two do.
+
+    terms: with what the adjustments need, too (see adjustment_terms), by the same join.
+    """
     date = day("timestamp")
     inside = (F.col("start").isNull() | (date >= F.col("start"))) & (F.col("end").isNull() | (date < F.col("end")))
-    met = bars.join(segments(rolls), ["root", "symbol"]).where(inside)
+    met = bars.join(adjustment_terms(rolls, bars) if terms else segments(rolls), ["root", "symbol"]).where(inside)
     rank = F.row_number().over(Window.partitionBy("root", "timestamp").orderBy("expiry_month", "symbol"))
     return met.withColumn("_rank", rank).where("_rank = 1").drop("_rank", "start", "end").withColumnRenamed("symbol", "underlying_symbol")
 
 
 def priced(rolls: DataFrame, bars: DataFrame) -> DataFrame:
-    """Rolls with from_close and to_close on the roll date (null if either has no bar)."""
+    """Rolls with from_close and to_close on the roll date (null if either has no bar), as they are if they have them already."""
+    if {"from_close", "to_close"} <= set(rolls.columns):
+        return rolls
     close = lambda name: bars.select(F.col("symbol").alias(f"{name}_contract"), day("timestamp").alias("roll_date"), F.col("close").alias(f"{name}_close"))
     return rolls.join(close("from"), ["from_contract", "roll_date"], "left").join(close("to"), ["to_contract", "roll_date"], "left")
 
 
-def factors(rolls: DataFrame, bars: DataFrame) -> DataFrame:
-    """Per contract what all adjustments need: the product of close ratios and the sum of differences up to and after it."""
-    both = priced(rolls, bars)
+#: Products of close ratios and sums of differences, up to a contract and after it.
+TERMS = ("ratio_before", "ratio_after", "gap_before", "gap_after")
+
+
+def adjustment_terms(rolls: DataFrame, bars: DataFrame) -> DataFrame:
+    """(root, symbol, start, end) as segments(), with TERMS of each contract, in one pass over the priced rolls.
+
+    The first contract of a root is no roll's target: nothing lies before it, everything after.
+    """
     w = Window.partitionBy("root").orderBy("roll_date", "from_contract")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     later = Window.partitionBy("root").orderBy(F.col("roll_date").desc(), F.col("from_contract").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ratio = F.coalesce(F.try_divide("to_close", "from_close"), F.lit(1.0))
-    gap = F.coalesce(F.col("to_close") - F.col("from_close"), F.lit(0.0))
-    made = both.withColumns({"ratio": ratio, "gap": gap})
-    return made.select(
-        "root", F.col("to_contract").alias("underlying_symbol"),
-        F.product("ratio").over(upto).alias("ratio_before"), F.coalesce(F.product("ratio").over(later), F.lit(1.0)).alias("ratio_after"),
-        F.sum("gap").over(upto).alias("gap_before"), F.coalesce(F.sum("gap").over(later), F.lit(0.0)).alias("gap_after"),
+    made = priced(rolls, bars).withColumns(
+        {"ratio": F.coalesce(F.try_divide("to_close", "from_close"), F.lit(1.0)), "gap": F.coalesce(F.col("to_close") - F.col("from_close"), F.lit(0.0))}
+    )
+    made = made.withColumns(
+        {
+            "ratio_before": F.product("ratio").over(upto), "ratio_after": F.coalesce(F.product("ratio").over(later), F.lit(1.0)),
+            "gap_before": F.sum("gap").over(upto), "gap_after": F.coalesce(F.sum("gap").over(later), F.lit(0.0)),
+        }
     )
-
-
-def _with_factors(stitched: DataFrame, rolls: DataFrame, bars: DataFrame) -> DataFrame:
-    known = factors(rolls, bars)
-    # the first contract of a root is no roll's target: nothing lies before it, everything after
-    total = priced(rolls, bars).groupBy("root").agg(
-        F.product(F.coalesce(F.try_divide("to_close", "from_close"), F.lit(1.0))).alias("ratio_all"), F.sum(F.coalesce(F.col("to_close") - F.col("from_close"), F.lit(0.0))).alias("gap_all")
+    none = lambda kind: F.lit(None).cast(kind)
+    to = F.struct(F.col("to_contract").alias("symbol"), F.col("roll_date").alias("start"), none("date").alias("end"), *TERMS, none("double").alias("ratio_all"), none("double").alias("gap_all"))
+    every = Window.partitionBy("root")
+    made = made.withColumns({"ratio_all": F.product("ratio").over(every), "gap_all": F.sum("gap").over(every)})
+    own = F.struct(
+        F.col("from_contract").alias("symbol"), none("date").alias("start"), F.col("roll_date").alias("end"), *(none("double").alias(t) for t in TERMS), "ratio_all", "gap_all"
     )
-    out = stitched.join(known, ["root", "underlying_symbol"], "left").join(total, "root", "left")
-    return out.withColumns(
+    each = made.select("root", F.inline(F.array(to, own)))
+    terms = each.groupBy("root", "symbol").agg(*(F.max(c).alias(c) for c in ("start", "end", *TERMS, "ratio_all", "gap_all")))
+    first = F.col("start").isNull()
+    return terms.withColumns(
         {
             "ratio_before": F.coalesce("ratio_before", F.lit(1.0)), "gap_before": F.coalesce("gap_before", F.lit(0.0)),
-            "ratio_after": F.coalesce("ratio_after", "ratio_all", F.lit(1.0)), "gap_after": F.coalesce("gap_after", "gap_all", F.lit(0.0)),
+            "ratio_after": F.when(first, F.col("ratio_all")).otherwise(F.col("ratio_after")), "gap_after": F.when(first, F.col("gap_all")).otherwise(F.col("gap_after")),
         }
     ).drop("ratio_all", "gap_all")
 
 
+def _with_factors(stitched: DataFrame, rolls: DataFrame | None, bars: DataFrame | None) -> DataFrame:
+    """A series with TERMS: its own, or those of rolls and bars."""
+    if set(TERMS) <= set(stitched.columns):
+        return stitched
+    known = adjustment_terms(rolls, bars).drop("start", "end").withColumnRenamed("symbol", "underlying_symbol")
+    return stitched.join(known, ["root", "underlying_symbol"], "left").withColumns({t: F.coalesce(t, F.lit(1.0 if t.startswith("ratio") else 0.0)) for t in TERMS})
+
+
 def _adjusted(df: DataFrame, change: Callable, factor) -> DataFrame:
     return df.withColumn("adjustment_factor", factor).withColumns({c: change(F.col(c), factor) for c in PRICES}).drop("ratio_before", "ratio_after", "gap_before", "gap_after")
 
 
-def panama_ratio(stitched: DataFrame, rolls: DataFrame, bars: DataFrame) -> DataFrame:
+def panama_ratio(stitched: DataFrame, rolls: DataFrame | None = None, bars: DataFrame | None = None) -> DataFrame:
     """Forward adjustment to the first contract: prices over the product of the ratios of the rolls so far."""
     return _adjusted(_with_factors(stitched, rolls, bars), lambda c, f: c / f, F.col("ratio_before"))
 
 
-def panama_additive(stitched: DataFrame, rolls: DataFrame, bars: DataFrame) -> DataFrame:
+def panama_additive(stitched: DataFrame, rolls: DataFrame | None = None, bars: DataFrame | None = None) -> DataFrame:
     """Forward adjustment by the sum of from_close - to_close of the rolls so far."""
     return _adjusted(_with_factors(stitched, rolls, bars), lambda c, f: c + f, -F.col("gap_before"))
 
 
-def panama_split(stitched: DataFrame, rolls: DataFrame, bars: DataFrame, lam: float = 0.5) -> DataFrame:
+def panama_split(stitched: DataFrame, rolls: DataFrame | None = None, bars: DataFrame | None = None, lam: float = 0.5) -> DataFrame:
     """Each roll's ratio shared: the older side times r^lam, the newer times r^(lam - 1); 1 adjusts back, 0 forward."""
     return _adjusted(_with_factors(stitched, rolls, bars), lambda c, f: c * f, F.pow(F.col("ratio_after"), F.lit(lam)) * F.pow(F.col("ratio_before"), F.lit(lam - 1)))
 
 
-def back_adjust_constant(stitched: DataFrame, rolls: DataFrame, bars: DataFrame) -> DataFrame:
+def back_adjust_constant(stitched: DataFrame, rolls: DataFrame | None = None, bars: DataFrame | None = None) -> DataFrame:
     """Back adjustment: each contract's prices plus the differences of all later rolls."""
     return _adjusted(_with_factors(stitched, rolls, bars), lambda c, f: c + f, F.col("gap_after"))
 
 
-def back_adjust_reverse(stitched: DataFrame, rolls: DataFrame, bars: DataFrame) -> DataFrame:
+def back_adjust_reverse(stitched: DataFrame, rolls: DataFrame | None = None, bars: DataFrame | None = None) -> DataFrame:
     """As back_adjust_constant, beside the raw prices: adj_* columns and adj_factor."""
     df = _with_factors(stitched, rolls, bars)
     return df.withColumns({f"adj_{c}": F.col(c) + F.col("gap_after") for c in PRICES} | {"adj_factor": F.col("gap_after")}).drop("ratio_before", "ratio_after", "gap_before", "gap_after")
@@ -112,7 +133,7 @@ ADJUSTMENTS: dict[str, Callable[..., DataFrame]] = {
 def build(name: str, bars: DataFrame, rolls: DataFrame) -> DataFrame:
     """The continuous series that a name like @ES=102XC asks for."""
     letter = name.split("_")[0][-1]
-    return ADJUSTMENTS[letter](unadjusted(bars, rolls), rolls, bars)
+    return ADJUSTMENTS[letter](unadjusted(bars, rolls, letter != "N"), rolls, bars)
 
 
 def continuous_nth(bars: DataFrame, mapping: DataFrame) -> DataFrame:

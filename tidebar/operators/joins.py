@@ -95,9 +95,12 @@ def nth_contract(dates: DataFrame, calendar: DataFrame, n: int) -> DataFrame:
     return continuous_mapping(dates, calendar, n).where(F.col("position") == n).select("root", "date", F.col("symbol").alias("contract"))
 
 
-def contract_chain(bars: DataFrame, contracts: DataFrame, date: str) -> DataFrame:
-    """The contracts with a row on a date, in order of expiry."""
-    here = bars.where(day("timestamp") == F.lit(date).cast("date")).select("root", "symbol")
+def contract_chain(bars: DataFrame, contracts: DataFrame, date: str | DataFrame) -> DataFrame:
+    """The contracts with a row on a date, in order of expiry; date: a literal, or a table of one row with a column of this name."""
+    if isinstance(date, str):
+        here = bars.where(day("timestamp") == F.lit(date).cast("date")).select("root", "symbol")
+    else:
+        here = bars.join(F.broadcast(date), day("timestamp") == F.col("date")).select("root", "symbol")
     chain = here.join(contracts.select("symbol", "last_date"), "symbol")
     return chain.withColumn("position", F.row_number().over(Window.partitionBy("root").orderBy("last_date", "symbol")))
 

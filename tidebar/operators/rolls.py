@@ -17,27 +17,48 @@ def pairs(contracts: DataFrame) -> DataFrame:
     return contracts.select("root", F.col("symbol").alias("from_contract"), F.lead("symbol").over(w).alias("to_contract"), "expiry_month", "last_date").where("to_contract IS NOT NULL")
 
 
-def crossover(bars: DataFrame, contracts: DataFrame, measure: str, ratio: float, threshold: int, offset: int) -> DataFrame:
+#: What a pair of consecutive contracts is known by.
+PAIR = ("root", "from_contract", "to_contract", "expiry_month", "last_date")
+
+
+def side_by_side(bars: DataFrame, contracts: DataFrame, measure: str) -> DataFrame:
+    """Each pair and date with the measure and the close of both contracts: own, after, from_close, to_close.
+
+    Each bar goes to the pair that its contract opens and to that which it ends, and the two meet in one aggregation,
+    so that bars are read once; all that follows by pair finds its rows in place.
+    """
+    side = lambda name, n: F.struct(F.col(name).alias("symbol"), F.lit(n).alias("side"))
+    sides = pairs(contracts).select(*PAIR, F.explode(F.array(side("from_contract", 0), side("to_contract", 1))).alias("s")).select(*PAIR, "s.*")
+    rows = bars.select("symbol", day("timestamp").alias("date"), F.col(measure).alias("m"), "close").join(sides, "symbol").repartition(*PAIR)
+    of = lambda c, n: F.max(F.when(F.col("side") == n, F.col(c)))
+    return rows.groupBy(*PAIR, "date").agg(of("m", 0).alias("own"), of("m", 1).alias("after"), of("close", 0).alias("from_close"), of("close", 1).alias("to_close"))
+
+
+def crossover(bars: DataFrame, contracts: DataFrame, measure: str, ratio: float, threshold: int, offset: int, closes: bool = False) -> DataFrame:
     """The roll is on the first common day on which the next contract's measure reaches ratio times the contract's own
-    (and offset days later), else threshold days (10 at most) before the contract's last one."""
-    own = bars.select(F.col("symbol").alias("from_contract"), day("timestamp").alias("date"), F.col(measure).alias("own"))
-    after = bars.select(F.col("symbol").alias("to_contract"), day("timestamp").alias("date"), F.col(measure).alias("after"))
-    met = pairs(contracts).join(own, "from_contract").join(after, ["to_contract", "date"], "left")
-    first = met.groupBy("root", "from_contract", "to_contract", "expiry_month", "last_date").agg(F.min(F.when(F.col("after") >= ratio * F.col("own"), F.col("date"))).alias("crossed"))
-    return first.select(
-        "root", "from_contract", "to_contract", "expiry_month",
-        F.coalesce(F.date_add("crossed", offset), F.date_sub("last_date", min(threshold, 10))).alias("roll_date"),
-        F.date_add("last_date", 1).alias("expiration_date"),
-        F.when(F.col("crossed").isNotNull(), "crossover").otherwise("threshold").alias("reason"),
+    (and offset days later), else threshold days (10 at most) before the contract's last one.
+
+    closes: with from_close and to_close of the roll date, too (null if either has no bar).
+    """
+    by_pair = Window.partitionBy(*PAIR)
+    crossed = F.min(F.when(F.col("after") >= ratio * F.col("own"), F.col("date"))).over(by_pair)
+    roll_date = F.coalesce(F.date_add("crossed", offset), F.date_sub("last_date", min(threshold, 10)))
+    rows = side_by_side(bars, contracts, measure).withColumn("crossed", crossed).withColumn("roll_date", roll_date)
+    there = lambda c: F.max(F.when(F.col("date") == F.col("roll_date"), F.col(c))).alias(c)
+    found = rows.groupBy(*PAIR).agg(F.max("roll_date").alias("roll_date"), F.max("crossed").alias("crossed"), F.count("own").alias("_own"), there("from_close"), there("to_close"))
+    out = found.where("_own > 0").select(
+        "root", "from_contract", "to_contract", "expiry_month", "roll_date", F.date_add("last_date", 1).alias("expiration_date"),
+        F.when(F.col("crossed").isNotNull(), "crossover").otherwise("threshold").alias("reason"), "from_close", "to_close",
     )
+    return out if closes else out.drop("from_close", "to_close")
 
 
-def rolls_volume(bars: DataFrame, contracts: DataFrame, ratio: float = 2.0, threshold: int = 5, offset: int = 0) -> DataFrame:
-    return crossover(bars, contracts, "volume", ratio, threshold, offset)
+def rolls_volume(bars: DataFrame, contracts: DataFrame, ratio: float = 2.0, threshold: int = 5, offset: int = 0, closes: bool = False) -> DataFrame:
+    return crossover(bars, contracts, "volume", ratio, threshold, offset, closes)
 
 
-def rolls_open_interest(bars: DataFrame, contracts: DataFrame, ratio: float = 1.5, threshold: int = 5, offset: int = 0) -> DataFrame:
-    return crossover(bars, contracts, "open_interest", ratio, threshold, offset)
+def rolls_open_interest(bars: DataFrame, contracts: DataFrame, ratio: float = 1.5, threshold: int = 5, offset: int = 0, closes: bool = False) -> DataFrame:
+    return crossover(bars, contracts, "open_interest", ratio, threshold, offset, closes)
 
 
 def rolls_calendar(contracts: DataFrame, threshold: int = 5) -> DataFrame:

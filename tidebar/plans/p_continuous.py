@@ -40,6 +40,11 @@ def stitched(t: Tables):
     return c.unadjusted(t.contract_bars, vrolls(t))
 
 
+def termed(t: Tables):
+    """The unadjusted series with the terms of all adjustments: bars are read once for it, and once for its rolls with their prices."""
+    return c.unadjusted(t.contract_bars, o.rolls_volume(t.contract_bars, t.contracts, closes=True), terms=True)
+
+
 def _rounded(df, factor: str = "adjustment_factor"):
     return df.select("root", "timestamp", "underlying_symbol", *(F.round(x, 4).alias(x) for x in ("open", "close", factor)))
 
@@ -123,34 +128,38 @@ def _(t: Tables):
 
 @query("panama_ratio", _adjusted("{} / rb", "rb"), C)
 def _(t: Tables):
-    return _rounded(c.panama_ratio(stitched(t), vrolls(t), t.contract_bars))
+    return _rounded(c.panama_ratio(termed(t)))
 
 
 @query("panama_additive", _adjusted("{} - gb", "-gb"), C)
 def _(t: Tables):
-    return _rounded(c.panama_additive(stitched(t), vrolls(t), t.contract_bars))
+    return _rounded(c.panama_additive(termed(t)))
 
 
 @query("panama_split_ratio", _adjusted("{} * pow(ra, 0.75) * pow(rb, -0.25)", "pow(ra, 0.75) * pow(rb, -0.25)"), C)
 def _(t: Tables):
-    return _rounded(c.panama_split(stitched(t), vrolls(t), t.contract_bars, 0.75))
+    return _rounded(c.panama_split(termed(t), lam=0.75))
 
 
 @query("back_adjust_constant", _adjusted("{} + ga", "ga"), C)
 def _(t: Tables):
-    return _rounded(c.back_adjust_constant(stitched(t), vrolls(t), t.contract_bars))
+    return _rounded(c.back_adjust_constant(termed(t)))
 
 
 @query("back_adjust_reverse", "SELECT root, timestamp, underlying_symbol, close, round(close + ga, 4) AS adj_close, round(ga, 4) AS adj_factor FROM facted", C)
 def _(t: Tables):
-    out = c.back_adjust_reverse(stitched(t), vrolls(t), t.contract_bars)
+    out = c.back_adjust_reverse(termed(t))
     return out.select("root", "timestamp", "underlying_symbol", "close", F.round("adj_close", 4).alias("adj_close"), F.round("adj_factor", 4).alias("adj_factor"))
 
 
 @query("continuous_append", "SELECT root, timestamp, underlying_symbol, CASE WHEN timestamp <= '1998-01-01' THEN -1.0 ELSE close END AS close FROM stitched", C)
 def _(t: Tables):
+    from tidebar.plans.p_tables import scratch
+
     built = stitched(t).select("root", "timestamp", "underlying_symbol", "close")
-    return c.append_new(built.where("timestamp <= '1998-01-01'").withColumn("close", F.lit(-1.0)), built)
+    path = f"{scratch(t)}/continuous"  # the series as it was stored before, as a table of its own
+    built.where("timestamp <= '1998-01-01'").withColumn("close", F.lit(-1.0)).write.parquet(path)
+    return c.append_new(t.spark.read.parquet(path), built)
 
 
 @query("roll_analysis", """SELECT * FROM (SELECT root, timestamp, lag(underlying_symbol) OVER w AS from_contract, underlying_symbol AS to_contract, round(close / nullif(lag(close) OVER w, 0), 6) AS factor, round(lag(close, 1) OVER w / nullif(lag(close, 6) OVER w, 0) - 1, 6) AS return_before,
@@ -205,6 +214,6 @@ def _(t: Tables):
 
 @query("adjustment_registry", _adjusted("{} + ga", "ga"), C)
 def _(t: Tables):
-    return _rounded(c.build("@ANY=102XC_d", t.contract_bars, vrolls(t)))
+    return _rounded(c.build("@ANY=102XC_d", t.contract_bars, o.rolls_volume(t.contract_bars, t.contracts, closes=True)))
 
 

@@ -77,8 +77,7 @@ def _(t: Tables):
 @query("contract_chain", """SELECT b.root, b.symbol, k.last_date, CAST(row_number() OVER (PARTITION BY b.root ORDER BY k.last_date, b.symbol) AS INT) AS position FROM contract_bars b JOIN contracts k ON b.symbol = k.symbol
     WHERE b.timestamp::DATE = (SELECT max(timestamp)::DATE - 400 FROM contract_bars)""")
 def _(t: Tables):
-    newest = t.contract_bars.agg(F.date_sub(F.max("timestamp"), 400).alias("d")).first()["d"]
-    return j.contract_chain(t.contract_bars, t.contracts, str(newest))
+    return j.contract_chain(t.contract_bars, t.contracts, t.contract_bars.agg(F.date_sub(F.max("timestamp"), 400).alias("date")))
 
 
 ROLLS = {"chain_rolls": "SELECT root, symbol AS from_contract, lead(symbol) OVER (PARTITION BY root ORDER BY expiry_month) AS to_contract, last_date - 5 AS roll_date FROM contracts"}

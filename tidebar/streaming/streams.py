@@ -44,37 +44,62 @@ def stream_validate(stream: DataFrame, rules: dict[str, tuple[str, str]], keys:
     return checked.select(*keys, F.inline("_failed"))
 
 
+#: Parts of a state, by a hash of the key; a batch writes those anew that it touches.
+BUCKETS = 64
+
+
+def _folders(spark: SparkSession, path: str) -> dict[int, list[int]]:
+    """Of each bucket the versions that are written whole, in order."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[int, list[int]] = {}
+    if not fs.exists(folder):
+        return found
+    for version in fs.listStatus(folder):
+        name = str(version.getPath().getName())
+        if name.startswith("_version=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_SUCCESS")):
+            for part in fs.listStatus(version.getPath()):
+                bucket = str(part.getPath().getName())
+                if bucket.startswith("_bucket="):
+                    found.setdefault(int(bucket[8:]), []).append(int(name[9:]))
+    return {b: sorted(v) for b, v in found.items()}
+
+
+def _read(spark: SparkSession, path: str, chosen: dict[int, int]) -> DataFrame:
+    """The rows of buckets at versions; at most BUCKETS folders."""
+    return spark.read.parquet(*(f"{path}/_version={v}/_bucket={b}" for b, v in sorted(chosen.items())))
+
+
 def stream_upsert(stream: DataFrame, keys: list[str], path: str, checkpoint: str, order: list[str] | None = None) -> StreamingQuery:
     """Each batch upserted into the newest state under path; a later correction wins.
 
-    A batch writes a whole new state beside the old one, named after the batch, so that a batch that is run again
-    after a failure gives the same state. Within a batch the last row of a key by `order` counts.
+    The state lies in BUCKETS parts by a hash of the key. A batch writes the parts anew that it touches, under its own
+    number, so that a batch that is run again after a failure gives the same state; of each part the version
+    before is kept for that, and older ones go. Within a batch the last row of a key by `order` counts.
     """
 
-    def states(spark: SparkSession) -> list[int]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        names = (str(s.getPath().getName()) for s in fs.listStatus(folder))
-        done = (n for n in names if n.startswith("state=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
-        return sorted(int(n[6:]) for n in done)
-
     def apply(batch: DataFrame, number: int) -> None:
-        values = [c for c in batch.columns if c not in keys]
+        spark, values = batch.sparkSession, [c for c in batch.columns if c not in keys]
         newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct(*(order or values))).alias("_v")).select(*keys, "_v.*")
-        before = [n for n in states(batch.sparkSession) if n < number]
-        state = upsert(batch.sparkSession.read.parquet(f"{path}/state={before[-1]}"), newest, keys) if before else newest
-        state.select(*batch.columns).write.mode("overwrite").parquet(f"{path}/state={number}")
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+        touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # BUCKETS at most
+        if not touched:
+            return
+        known = {b: [v for v in versions if v < number] for b, versions in _folders(spark, path).items()}
+        before = {b: known[b][-1] for b in touched if known.get(b)}
+        state = upsert(_read(spark, path, before), newest, keys) if before else newest
+        state.select(*batch.columns, bucket.alias("_bucket")).write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/_version={number}")
+        for b in touched:
+            for old in known.get(b, [])[:-1]:
+                folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_version={old}/_bucket={b}")
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def latest_state(spark: SparkSession, path: str) -> DataFrame:
     """The newest state that stream_upsert has written."""
-    df = spark.read.option("basePath", path).parquet(f"{path}/state=*")
-    newest = df.agg(F.max("state").alias("s")).first()["s"]
-    return spark.read.parquet(f"{path}/state={newest}")
+    return _read(spark, path, {b: versions[-1] for b, versions in _folders(spark, path).items()})
 
 
 @contextmanager
