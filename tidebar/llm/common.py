@@ -28,6 +28,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
     """The keys with more than one row in HOT_SHARE; counts: a row for each key. Fewer than HOT_SHARE rows, whatever the data."""
     total = counts.agg(F.sum(n).alias("_total"))

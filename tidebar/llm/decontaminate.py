@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import fresh
+
 WINDOW = 13
 #: A document is contaminated if one word in so many is hit.
 SHARE = 20
@@ -294,5 +296,6 @@ def contaminated(words: Column, hit: Column) -> Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that are not contaminated, with their own columns."""
-    found = contamination(docs, benchmark, name="_contamination")
-    return found.where(~contaminated(F.col("_contamination.n_words"), n_hit("_contamination"))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    name = fresh(docs, "_contamination")
+    found = contamination(docs, benchmark, name=name)
+    return found.where(~contaminated(F.col(f"{name}.n_words"), n_hit(name))).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -39,6 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import fresh
+
 #: Stands in until a caller passes a secret of their own, as the query does from the session's setting KEY_SETTING.
 KEY = b"replace this key"
 KEY_SETTING = "spark.tidebar.pseudonyms.key"
@@ -301,4 +303,5 @@ def replacer(key: bytes = KEY, back: bool = False) -> Callable:
 def pseudonymise(docs: DataFrame, key: bytes = KEY, text: str = "text") -> DataFrame:
     """docs with pseudonyms in text and the counts n_email … n_phone of replaced values; columns of these names are replaced."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in REPLACED.names and c != text]
-    return docs.select(*rest, replacer(key)(F.col(f"`{text}`")).alias("_made")).select(*rest, "_made.*")
+    name = fresh(docs, "_made")
+    return docs.select(*rest, replacer(key)(F.col(f"`{text}`")).alias(name)).select(*rest, f"{name}.*")

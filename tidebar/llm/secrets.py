@@ -24,6 +24,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 try:  # the standard library's parse of a pattern
     from re import _constants as sre, _parser as parser
 except ImportError:  # pragma: no cover
@@ -238,8 +240,9 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
         piece = lambda raw, x: F.substring(raw, x["at"] + 1, F.coalesce(x["start"], F.octet_length(raw)) - x["at"]).cast("string")
         return bound(body.cast("binary"), lambda raw: F.array_join(F.transform(pieces, lambda x: piece(raw, x)), mark))
 
-    some = F.size("_secret_spans") > 0
-    out = with_spans(docs, name="_secret_spans", length=F.octet_length).withColumn("text", F.when(some, bound(F.col("_secret_spans"), masked)).otherwise(body))
+    name = fresh(docs, "_secret_spans")
+    some = F.size(name) > 0
+    out = with_spans(docs, name=name, length=F.octet_length).withColumn("text", F.when(some, bound(F.col(name), masked)).otherwise(body))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(some, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, join_hot
+from .common import cut, fresh, join_hot
 from .components import stars
 
 SHINGLE = 3
@@ -291,7 +291,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Of several such rows (an id that repeats) that with the least fingerprint, then the least hash of its text, stays;
     rows that are alike in all three count as one. Rows without doc_id have no least id and stay, all of them. No rows give none.
     """
-    own, key = F.xxhash64(F.coalesce("text", F.lit(""))), ["doc_id", "_fp", "_hash"]
+    own, name = F.xxhash64(F.coalesce("text", F.lit(""))), fresh(docs, "_own")
     prints = cut(docs.where("doc_id is not null").select("doc_id", fingerprint(F.col("text")).alias("fp"), own.alias("hash")))
     classes = _classes(prints)
     met = join_hot(prints, _members(classes), ["fp"], classes, F.xxhash64("doc_id", "hash"))
@@ -299,11 +299,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     kept = cut(kept.select(*(F.col(f"k.{a}").alias(b) for a, b in zip(("doc_id", "fp", "hash"), ("_kept", "_fp", "_hash")))))
     # a row is found by its id and the hash of its text, which the scan has; the fingerprint follows from the text
     chosen = kept.select("_kept", "_hash").distinct()
-    found = docs.withColumn("_own", own).join(chosen, (docs["doc_id"] == chosen["_kept"]) & (F.col("_own") == chosen["_hash"]), "left_semi")
+    found = docs.withColumn(name, own).join(chosen, (docs["doc_id"] == chosen["_kept"]) & (F.col(name) == chosen["_hash"]), "left_semi")
     repeats = prints.join(chosen, (prints["doc_id"] == chosen["_kept"]) & (prints["hash"] == chosen["_hash"]), "left_semi").groupBy("doc_id", "hash").agg(F.count("*").alias("n")).where("n > 1")
     repeats = cut(repeats)
     if not repeats.isEmpty():
         twice = repeats.select(F.col("doc_id").alias("_kept"), F.col("hash").alias("_hash"))
-        same = (found["doc_id"] == twice["_kept"]) & (found["_own"] == twice["_hash"])
-        found = found.join(twice, same, "left_anti").unionByName(found.join(twice, same, "left_semi").dropDuplicates(["doc_id", "_own"]))
-    return found.drop("_own").unionByName(docs.where("doc_id is null"))
+        same = (found["doc_id"] == twice["_kept"]) & (found[name] == twice["_hash"])
+        found = found.join(twice, same, "left_anti").unionByName(found.join(twice, same, "left_semi").dropDuplicates(["doc_id", name]))
+    return found.drop(name).unionByName(docs.where("doc_id is null"))
