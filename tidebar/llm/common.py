@@ -28,6 +28,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediate tables that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df does not have, whatever the case."""
     taken = {c.lower() for c in df.columns}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html_text, pii, quality, secrets, simhash, topk, urls
+from . import bpe, chat, decontaminate, html_text, pii, quality, secrets, simhash, topk, urls, vector_codes
 from .common import table
 
 #: The vocabulary file of the tokenizer, and its pattern.
@@ -65,7 +65,12 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(table(spark, sf_dir, "conversations"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_secret_scans, op3_html_extraction, op4_simhash_near_dedup, op5_url_filters,
     op6_pii, op7_benchmark_decontamination, op8_byte_level_bpe, op9_exact_top_k, op10_chat_formatting,
+    op11_vector_codes,
 )}
