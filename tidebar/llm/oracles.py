@@ -4,6 +4,7 @@ The others rest on a trained model, a hash that DuckDB lacks, a tokenizer or a
 keyed permutation; tests hold them against brute force.
 """
 
+from .conversation_trie import FAMILY, HEADS
 from .decontaminate import SHARE, WINDOW
 from .secrets import RULES
 from .topk import K, SCALE
@@ -37,8 +38,27 @@ _OP9 = f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, lis
     p AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 20 = 0)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= {K}"""
 
+#: A turn's hash, of whose order turns of one number are.
+_TURN = "sha256(CAST(length({0}) AS VARCHAR) || ':' || {0} || {1})"
+
+_OP12 = f"""WITH RECURSIVE tb(i, k, c) AS (SELECT range, 0, range FROM range(256) UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM tb WHERE k < 8),
+    m AS MATERIALIZED (SELECT conv_id, {_TURN.format("coalesce(role, '')", "coalesce(text, '')")} AS x, strlen(coalesce(text, '')) AS bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {_TURN.format("coalesce(role, '')", "coalesce(text, '')")}) AS i FROM conversations WHERE conv_id IS NOT NULL),
+    z AS MATERIALIZED (SELECT conv_id, count(*) AS n FROM m GROUP BY conv_id),
+    cr(conv_id, s, k, c) AS (SELECT conv_id, CAST(conv_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM z UNION ALL SELECT conv_id, s, cr.k + 1, xor(tb.c, cr.c >> 8) FROM cr JOIN tb ON tb.k = 8 AND tb.i = xor(cr.c & 255, ascii(substr(s, cr.k + 1, 1))) WHERE cr.k < length(s)),
+    h AS (SELECT z.conv_id, n, z.conv_id - z.conv_id % {FAMILY} AS b, xor(c, 4294967295) % {HEADS} AS h FROM z JOIN cr ON cr.conv_id = z.conv_id AND k = length(s)),
+    g AS MATERIALIZED (SELECT h.conv_id, h.b, h.h, least(h.h, coalesce(z.n, 0)) AS k FROM h LEFT JOIN z ON z.conv_id = h.b),
+    r AS (SELECT g.conv_id, m.i AS d, x, bytes FROM g JOIN m ON m.conv_id = g.b AND m.i <= g.h UNION ALL SELECT g.conv_id, m.i - g.h + g.k, x, bytes FROM g JOIN m ON m.conv_id = g.conv_id AND m.i > g.h),
+    p AS MATERIALIZED (SELECT conv_id, d, bytes, string_agg(x, '') OVER (PARTITION BY conv_id ORDER BY d) AS k FROM r UNION ALL SELECT conv_id, 0, 0, '' FROM g),
+    e AS (SELECT conv_id, max(d) AS last FROM p GROUP BY conv_id),
+    v AS MATERIALIZED (SELECT k, d, min(p.conv_id) AS c, count(*) AS n, (count(*) - 1) * max(bytes) AS own, coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (last = d), '') AS ends FROM p JOIN e ON e.conv_id = p.conv_id GROUP BY k, d),
+    w AS (SELECT left(k, length(k) - 64) AS k, count(*) AS kids FROM v WHERE d > 0 GROUP BY 1),
+    u AS MATERIALIZED (SELECT v.*, coalesce(kids, 0) AS kids FROM v LEFT JOIN w ON w.k = v.k),
+    s AS (SELECT p.k, count(*) FILTER (kids = 0) AS leaves, sum(own) AS saved FROM u JOIN p ON p.conv_id = u.c AND p.d <= u.d GROUP BY p.k)
+    SELECT u.c AS conv_id, CAST(u.d AS BIGINT) AS depth, a.c AS parent_conv_id, u.n AS n_convs, u.kids AS n_children, leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(u.ends) AS ends_sha256 FROM u JOIN s ON s.k = u.k LEFT JOIN u a ON a.d = u.d - 1 AND a.k = left(u.k, length(u.k) - 64)"""
+
 SQL: dict[str, str] = {
     "op2_secret_scans": " ".join(_OP2.split("\n")),
     "op7_benchmark_decontamination": " ".join(_OP7.split("\n")),
     "op9_exact_top_k": " ".join(_OP9.split("\n")),
+    "op12_conversation_trie": " ".join(_OP12.split("\n")),
 }

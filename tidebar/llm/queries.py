@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html_text, language, pii, quality, secrets, simhash, topk, urls, vector_codes
+from . import bpe, chat, conversation_trie, decontaminate, html_text, language, pii, quality, secrets, simhash, topk, urls, vector_codes
 from .common import table
 
 #: The vocabulary file of the tokenizer, and its pattern.
@@ -69,6 +69,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
@@ -76,5 +80,5 @@ def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_secret_scans, op3_html_extraction, op4_simhash_near_dedup, op5_url_filters,
     op6_pii, op7_benchmark_decontamination, op8_byte_level_bpe, op9_exact_top_k, op10_chat_formatting,
-    op11_vector_codes, op13_language_id,
+    op11_vector_codes, op12_conversation_trie, op13_language_id,
 )}
