@@ -8,6 +8,8 @@ from .conversation_trie import FAMILY, HEADS
 from .decontaminate import SHARE, WINDOW
 from .secrets import RULES
 from .topk import K, SCALE
+from .vector_codes import ENTRIES, PARTS, ROUNDS
+from .vector_codes import SCALE as FINE
 
 
 
@@ -38,6 +40,27 @@ _OP9 = f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, lis
     p AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 20 = 0)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= {K}"""
 
+def _assigned(n: int) -> str:
+    """a{n}: the nearest entry of codebooks c{n} for each part, as struct(distance, entry), which ties to the lower index."""
+    return f"a{n} AS MATERIALIZED (SELECT r, p.part, min(struct_pack(d := list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.x) + list_inner_product(c.x, c.x), e := c.e)) AS b FROM p JOIN c{n} c ON c.part = p.part GROUP BY r, p.part)"
+
+
+def _moved(n: int) -> str:
+    """c{n}: codebooks c{n - 1} with the means, rounded down, of what is nearest to each entry."""
+    mean = "CAST((s - ((s % n + n) % n)) // n AS DOUBLE)"
+    return f"""c{n} AS MATERIALIZED (SELECT c.part, c.e, coalesce(m.x, c.x) AS x FROM c{n - 1} c LEFT JOIN (SELECT part, e, list({mean} ORDER BY i) AS x FROM (SELECT a.part, a.b.e AS e, i, CAST(sum(CAST(p.x[i] AS HUGEINT)) AS HUGEINT) AS s, count(*) AS n
+        FROM a{n - 1} a JOIN p ON p.r = a.r AND p.part = a.part, unnest(range(1, len(p.x) + 1)) AS u(i) GROUP BY ALL) GROUP BY part, e) m ON m.part = c.part AND m.e = c.e)"""
+
+
+_OP11 = f"""WITH f AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor({FINE} * CAST(x AS DOUBLE))) AS q FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT CAST(ceil(max(len(q)) / {PARTS}) AS BIGINT) AS size FROM f),
+    p AS MATERIALIZED (SELECT r, part, list_resize(q, size * {PARTS}, 0.0)[part * size + 1 : (part + 1) * size] AS x FROM f, s, unnest(range({PARTS})) AS u(part)),
+    c0 AS MATERIALIZED (SELECT part, e, x FROM (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, q) - 1 AS e FROM f) JOIN p USING (r) WHERE e < {ENTRIES}),
+    {', '.join(f'{_assigned(n)}, {_moved(n + 1)}' for n in range(ROUNDS))}, {_assigned(ROUNDS)},
+    k AS (SELECT sha256(string_agg(CAST(CAST(x[i] AS BIGINT) AS VARCHAR), ',' ORDER BY part, e, i)) AS books FROM c{ROUNDS}, unnest(range(1, len(x) + 1)) AS u(i)),
+    o AS (SELECT r, string_agg(printf('%02x', b.e), '' ORDER BY part) AS code, CAST(sum(b.d) AS BIGINT) AS error FROM a{ROUNDS} GROUP BY r)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, books AS codebooks_sha256 FROM f JOIN o USING (r), k"""
+
 #: A turn's hash, of whose order turns of one number are.
 _TURN = "sha256(CAST(length({0}) AS VARCHAR) || ':' || {0} || {1})"
 
@@ -60,5 +83,6 @@ SQL: dict[str, str] = {
     "op2_secret_scans": " ".join(_OP2.split("\n")),
     "op7_benchmark_decontamination": " ".join(_OP7.split("\n")),
     "op9_exact_top_k": " ".join(_OP9.split("\n")),
+    "op11_vector_codes": " ".join(_OP11.split("\n")),
     "op12_conversation_trie": " ".join(_OP12.split("\n")),
 }
