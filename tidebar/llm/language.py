@@ -31,6 +31,8 @@ UNKNOWN = "und"
 FOLDS, HELD_OUT = 5, 0
 #: What the network is fitted on, at most: texts of a language, windows of a text, bytes of a window.
 FIT_TEXTS, FIT_WINDOWS, FIT_WINDOW = 400, 4, 48
+#: Languages that are learnt, at most: those with the most rows, of equally many the first by name.
+LANGUAGES = 256
 #: Bytes that the states run over, and windows that go through the network at once.
 WINDOW, ABREAST = 128, 2048
 STATES = 6
@@ -232,11 +234,13 @@ def _windows(texts: pd.Series) -> pd.Series:
 def train(docs: DataFrame) -> Network | None:
     """A network for the languages of docs (doc_id, text, lang), or None if no row can be learnt from."""
     key = F.xxhash64("doc_id", "text")
-    able = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # by hash, so alike at every size: FIT_TEXTS keys of a language at most leave each task and come together
+    named = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+    most = named.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).select("lang")
+    able = named.where(F.col("text").rlike(r"\p{L}")).join(F.broadcast(most), "lang", "left_semi")
+    # by hash, so alike at every size: FIT_TEXTS keys of a language at most leave each task, and as many are broadcast
     by_hash = Window.partitionBy("lang").orderBy("key")
     chosen = able.select("lang", key.alias("key")).withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= FIT_TEXTS).select("lang", "key").distinct()
-    sample = able.select("lang", key.alias("key"), "text").join(chosen, ["lang", "key"], "left_semi")
+    sample = able.select("lang", key.alias("key"), "text").join(F.broadcast(chosen), ["lang", "key"], "left_semi")
     rows = sample.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= FIT_TEXTS).select("lang", "key", F.explode(_windows("text")).alias("w"))
     found = sorted((r["lang"], r["key"], bytes(r["bytes"]), r["size"]) for r in rows.select("lang", "key", "w.*").collect())
     if not found:
@@ -252,7 +256,7 @@ def identified(docs: DataFrame) -> DataFrame:
     own = docs.select("doc_id", "text")
     if network is None:
         return own.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(network)  # of a fixed size but for the languages, of which there are few
+    shared = docs.sparkSession.sparkContext.broadcast(network)  # of bounded size
 
     @F.pandas_udf(RESULT)
     def said(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
