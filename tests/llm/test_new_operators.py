@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tidebar.llm import conversation_trie, language, oracles, vector_codes
+from tidebar.llm import conversation_trie, decontaminate, html_text, language, oracles, urls, vector_codes
 from tidebar.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -265,3 +265,15 @@ def test_language_of_the_given_texts(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").toPandas()
     right = [out.loc[r.doc_id, "lang_pred"] == r.lang for r in docs.itertuples() if r.lang is not None]
     assert sum(right) >= 0.97 * len(right)
+
+
+# what earlier operators take in ------------------------------------------------------------------------------------------
+
+
+def test_no_text_of_a_page_is_lost():
+    blocks = lambda page: [b.text for b in html_text.leaf_blocks(page)]
+    assert blocks("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be the value that we want.</p><xmp>code &amp; <b>here</b></xmp><p>more") == ["Let x=1 be the value that we want.", "code &amp; <b>here</b>", "more"]
+    assert blocks("<!--><p>middle</p><!-- x --><p>b</p><!---><p>c</p><!-- a --!><p>d</p><!-- open <p>e") == ["middle", "b", "c", "d"]
+    assert blocks("<p>a <svg><title>t</title><style>x{}</style><text>label</text></svg> b <script>x()</script> c</p>") == ["a label b c"]
+    assert blocks("<p>x<plaintext>rest <b>of") == ["x", "rest <b>of"]
+    assert blocks("<svg><![CDATA[a<b]]></svg>") == ["a<b"]

@@ -12,7 +12,9 @@ notices, adverts, forms and comments. Block texts of both labels run from one
 word to long junk, so that the field goes by the place more than by the words.
 
 A null or empty page gives an empty text. Unclosed tags and comments run to
-the end of the page; a < that starts no tag is text. The cost is in proportion to a page, however
+the end of the page; a < that starts no tag is text. What a browser never shows is left out (scripts, styles, templates, what
+stands in for frames); formulas and drawings keep their text where it stands, and xmp and plaintext, whose content is no
+markup, are blocks. A header within an article counts as a header and is left out with its title. The cost is in proportion to a page, however
 long or deeply nested. Of sequences that score alike that with the earlier label stands. Rows that
 repeat give the same text each. No rows give none; further columns stay, but for those named
 like the results, which these replace.
@@ -36,9 +38,12 @@ from pyspark.sql import types as T
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body button canvas caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li link main menu meta nav noscript object ol optgroup option p pre search section select summary table tbody td template textarea tfoot th thead title tr ul video audio".split()
 )
-#: Fixed values of HTML: elements without an end tag, and those whose content is no markup.
+#: Fixed values of HTML: elements without an end tag, those whose content is no markup and never shown, and those whose is shown.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style xmp iframe noembed noframes template svg math".split())
+RAW_TAGS = frozenset("script style iframe noembed noframes template".split())
+PLAIN_TAGS = frozenset("xmp plaintext".split())
+#: Elements of drawings that are not shown.
+UNSHOWN = frozenset("title desc metadata".split())
 TEXT_TAGS = frozenset("title textarea".split())
 #: Elements that a start tag of the same family ends.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -49,6 +54,8 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
+#: The end of a comment, after its first two hyphens: <!--> and <!---> are whole comments.
+_COMMENT = re.compile(r"-{0,1}>|.*?--!?>", re.S)
 
 RATE, EPOCHS, DECAY = 0.3, 12, 1e-4
 PAGES = 320
@@ -122,8 +129,13 @@ def leaf_blocks(page: str | None, known: frozenset | None = None) -> list[Block]
         if lt == n:
             break
         if page.startswith("<!--", lt):
-            end = page.find("-->", lt + 4)
-            at = n if end < 0 else end + 3
+            m = _COMMENT.match(page, lt + 4)
+            at = m.end() if m else n
+            continue
+        if page.startswith("<![CDATA[", lt) and (opened.get("svg") or opened.get("math")):
+            end = page.find("]]>", lt)
+            buffer.append(entities.escape(page[lt + 9 : end if end >= 0 else n]))
+            at = end + 3 if end >= 0 else n
             continue
         follows = page[lt + 1 : lt + 2]
         if follows in ("!", "?"):
@@ -146,18 +158,27 @@ def leaf_blocks(page: str | None, known: frozenset | None = None) -> list[Block]
         if tag == "br":
             buffer.append(" ")
             continue
-        if tag in BLOCK_TAGS or tag in RAW_TAGS:
+        hidden = tag in RAW_TAGS or tag in UNSHOWN and bool(opened.get("svg"))
+        if (tag in BLOCK_TAGS or tag in PLAIN_TAGS) and not (hidden and opened.get("svg")):
             flush()
-        if tag in ENDS_P:
+        if tag in ENDS_P or tag in PLAIN_TAGS:
             close({"p"}, frozenset({"button", "td", "th", "table", "div", "article", "section", "body"}))
         if tag in ENDS:
             close(ENDS[tag], frozenset({"ul", "ol", "dl", "table", "select"}))
         if tag in VOID_TAGS or m[3].endswith("/") and tag not in BLOCK_TAGS:
             continue
-        if tag in RAW_TAGS:
+        if hidden:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
+        if tag in PLAIN_TAGS:
+            end = re.compile(r"</xmp\b[^>]*>", re.I).search(page, at) if tag == "xmp" else None
+            enter("pre", m[3])
+            buffer.append(entities.escape(page[at : end.start() if end else n]))
+            flush()
+            close({"pre"})
+            at = end.end() if end else n
+            continue
         enter(tag, m[3])
         if tag in TEXT_TAGS:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
