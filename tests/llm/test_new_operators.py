@@ -2,7 +2,11 @@
 
 import hashlib
 import math
+import pathlib
+import pickle
 import random
+import subprocess
+import sys
 import zlib
 
 import duckdb
@@ -277,3 +281,65 @@ def test_no_text_of_a_page_is_lost():
     assert blocks("<p>a <svg><title>t</title><style>x{}</style><text>label</text></svg> b <script>x()</script> c</p>") == ["a label b c"]
     assert blocks("<p>x<plaintext>rest <b>of") == ["x", "rest <b>of"]
     assert blocks("<svg><![CDATA[a<b]]></svg>") == ["a<b"]
+
+
+class Shared:
+    """Stands for a broadcast block."""
+
+    def __init__(self, items):
+        self.value = pickle.dumps(decontaminate.Block([(i, 0, decontaminate.words_of(t), False) for i, t in items]))
+
+
+def brute_matches(text, items):
+    words, hit, out = decontaminate.words_of(text), set(), {}
+    for item, t in items:
+        own = decontaminate.words_of(t)
+        n, best = min(13, len(own)), None
+        for a in range(len(words) - n + 1 if n else 0):
+            for b in range(len(own) - n + 1):
+                if words[a : a + n] == own[b : b + n]:
+                    hit.update(range(a, a + n))
+                    m = n
+                    while n == 13 and words[a + m : a + m + 1] == own[b + m : b + m + 1] != []:
+                        m += 1
+                    best = min(best or (0, 0, 0), (-m, a, b))
+        if best and item is not None and (item not in out or -best[0] > out[item][0]):
+            out[item] = [-best[0], *best[1:]]
+    return len(hit), out
+
+
+def test_matches_of_repetitive_texts_equal_brute_force(monkeypatch):
+    rng = random.Random(1)
+    for trial in range(40):
+        make = lambda n: " ".join(rng.choice("ab" if trial % 2 else "abcdefgh") for _ in range(n))  # noqa: B023, E731
+        items = [(i, make(rng.choice([0, 1, 3, 12, 13, 14, 30, 60]))) for i in range(6)] + [(None, make(14)), (21, "a " * 40), (22, "a b " * 20)]
+        items.append((20, items[4][1]))
+        texts = [" ".join(rng.choice([make(rng.randint(0, 20)), rng.choice(items)[1], "a " * rng.randint(0, 50)]) for _ in range(rng.randint(0, 5))) for _ in range(4)]
+        monkeypatch.setattr(decontaminate, "PAIRS", rng.choice([1, 50, 10**6]))
+        for text, found in zip(texts, decontaminate.found_in(texts, [Shared(items[:5]), Shared(items[5:])])):
+            assert (found["n_hit"], {m["item_id"]: [m["words"], m["doc_word"], m["item_word"]] for m in found["items"]}) == brute_matches(text, items)
+
+
+def test_one_word_a_million_times_takes_little():
+    """In a process of its own, whose memory is all for this."""
+    code = (
+        "import resource, time; from tests.llm.test_new_operators import Shared; from tidebar.llm import decontaminate as d; began = time.time();"
+        "r = d.found_in(['0 ' * 1_000_000], [Shared([(1, '0 ' * 200)])])[0];"
+        "assert (r['n_hit'], r['items'][0]['words']) == (1_000_000, 200); print(time.time() - began, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024)"
+    )
+    seconds, mb = map(float, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=pathlib.Path(__file__).parents[2]).stdout.split()[-2:])
+    assert seconds < 20 and mb < 500
+
+
+def test_blocks_go_over_the_documents_in_passes(spark, monkeypatch):
+    rng = random.Random(2)
+    make = lambda n: " ".join(rng.choice("abcdefgh") for _ in range(n))
+    items = [(i, make(20)) for i in range(7)]
+    texts = [make(5) + " " + items[i % 7][1] + " " + items[(i * 3) % 7][1] for i in range(12)] + [None, ""]
+    docs, bench = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(tuple, decontaminate.digests(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "PASS_BLOCKS", 2)
+    few = decontaminate.blocks
+    monkeypatch.setattr(decontaminate, "blocks", lambda b: few(b, size=20))
+    assert sorted(map(tuple, decontaminate.digests(docs, bench).collect())) == want
+    assert {r[0]: r[2] for r in want} == {i: brute_matches(t, items)[0] for i, t in enumerate(texts)}
