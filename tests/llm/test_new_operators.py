@@ -343,3 +343,31 @@ def test_blocks_go_over_the_documents_in_passes(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "blocks", lambda b: few(b, size=20))
     assert sorted(map(tuple, decontaminate.digests(docs, bench).collect())) == want
     assert {r[0]: r[2] for r in want} == {i: brute_matches(t, items)[0] for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize(
+    "html, hosts",
+    [
+        ('<a href=" http://bad.com/p">x</a>', ["bad.com"]),
+        ('<a href="http:&#47;&#47;bad.com/p">x</a><a href="http&colon;&#x2f;&sol;b.com">', ["bad.com", "b.com"]),
+        ('<a data-href="http://bad.com/p" href="/own">x</a>', []),
+        ('<!-- <a href="http://bad.com/p">x</a> --><a href="http://b.com">', ["b.com"]),
+        ('<!--><a href="http://b.com"><!-- <a href="http://c.com">', ["b.com"]),
+        ("<script>var x = '<a href=\"http://bad.com\">'</script><A class='x'\nHREF = 'HTTP://B.com/?a=1&amp;b=2'>", ["b.com"]),
+        ('<a title="> href=http://bad.com" href=//b.com/x>', ["b.com"]),
+        ('<area shape=rect href="https://b.com#x"><abbr href="http://bad.com">', ["b.com"]),
+        ('<a href="htt\np://b.com/\n">&#1114112;&#xD800;&unknown;', ["b.com"]),
+        ("<a href=http://b.com>" * 3, ["b.com"] * 3),
+        (None, []), ("", []), ("<a", []), ("<a ", []), ("<a href=", []), ('<a href="', []), ("<a " + "x" * 300_000 + " href=http://b.com>", ["b.com"]), ("<a x='y' " * 30_000, []),
+    ],
+)
+def test_links_of_a_page(spark, html, hosts):
+    pages = spark.createDataFrame([(1, "http://own.net/", html)], "page_id long, url string, html string")
+    assert {r["dst"]: r["n"] for r in urls.links(pages).collect()} == {h: hosts.count(h) for h in hosts}
+
+
+def test_references_of_any_characters(spark):
+    texts = ["a&#233;b", "&#x1F600;x", "&#0;&#55296;", "&amp;amp;", "a&b&", "&#47", "&#x2f;&#x2F", None]
+    want = ["aéb", "😀x", "&#0;&#55296;", "&amp;", "a&b&", "/", "//", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert [r[1] for r in df.select("i", urls.decoded(df["t"])).orderBy("i").collect()] == want

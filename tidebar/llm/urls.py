@@ -8,8 +8,9 @@ what a wholly blocked host starts with, else allow.
 
 Host: after the first :// up to / ? # or the end, A-Z in lower case; path: from there up
 to ? # or the end. A null url, or one without ://, has an empty host and path.
-A link that begins with // takes its page's scheme; others that are not absolute
-http(s) ones stay on their host and count for nothing. Links that repeat count as often
+Links are read from a and area elements outside comments, scripts and the like, as a browser would: only the attribute
+href counts, with its character references decoded and blanks around it gone. A link that begins with // takes its
+page's scheme; others that are not absolute http(s) ones stay on their host and count for nothing. Links that repeat count as often
 as they stand; scores are within SETTLED of their limits. Rows that repeat weigh a host's
 seed and links alike and stay, each with its verdict; of rules as long as each other
 (which no page fits both) none comes first. A long page or url is matched as a whole. No
@@ -62,12 +63,58 @@ def best_rule(host: Column, path: Column, rules: tuple = RULES) -> Column:
     return F.array_max(F.array_compact(F.array(*found)))
 
 
+#: What a page's links are read without: comments, and elements whose content is no markup.
+UNREAD = r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))|<(script|style|template|textarea|title|xmp|iframe|noembed|noframes)\b[^>]*>.*?(?:</\1\b[^>]*>|\z)"
+#: Fixed values of HTML: named references of characters that hosts, schemes and their marks are written with.
+NAMED = {"amp": "&", "sol": "/", "colon": ":", "period": ".", "hyphen": "-", "dash": "-", "lowbar": "_", "num": "#", "quest": "?", "commat": "@", "Tab": "\t", "NewLine": "\n", "nbsp": "\u00a0"}
+
+
+def decoded(text: Column) -> Column:
+    """text with its numeric character references and those of NAMED as characters."""
+    pieces = F.split(text, "&", -1)
+
+    def read(piece: Column) -> Column:
+        number = F.regexp_extract(piece, r"^#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6})", 0)
+        hexadecimal = F.lower(F.substring(number, 2, 1)) == "x"
+        digits = F.when(hexadecimal, F.substring(number, 3, 6)).otherwise(F.substring(number, 2, 7))
+        code = F.conv(digits, 10, 10).cast("int")
+        code = F.when(hexadecimal, F.conv(digits, 16, 10).cast("int")).otherwise(code)
+        able = (number != "") & code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        rest = F.regexp_replace(piece, r"^#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});?", "")
+        out = F.when(able, F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
+        for name, value in NAMED.items():
+            out = F.when(piece.startswith(f"{name};"), F.concat(F.lit(value), F.substr(piece, F.lit(len(name) + 2)))).otherwise(out)
+        return out
+
+    whole = F.concat(F.element_at(pieces, 1), F.array_join(F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), read), ""))
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+
+
+def hrefs(html: Column) -> Column:
+    """The targets of a page's links in its order, as browsers read them: array<string>.
+
+    Each piece begins behind <a or <area. Quoted values of its other attributes go first, so that href in one of them counts for nothing.
+    """
+    markup = F.regexp_replace(F.coalesce(html, F.lit("")), UNREAD, "")
+    pieces = F.split(markup, r"(?i)<(?:a|area)(?=[\s/])", -1)
+
+    def target(piece: Column) -> Column:
+        close = F.regexp_replace(piece, r"\s*=\s*", "=")
+        bare = F.regexp_replace(close, r"""(?i)(?<![\s"'/]href)=(?:"[^"]*"|'[^']*')""", "= ")
+        value = F.regexp_extract(bare, r"""(?i)^[^>]*?[\s"'/]href=("[^"]*"|'[^']*'|[^\s>"']+)""", 1)
+        value = F.regexp_replace(value, r"""(?s)^(?:"(.*)"|'(.*)')$""", "$1$2")
+        return F.regexp_replace(F.regexp_replace(decoded(value), r"[\t\n\r]", ""), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+    return F.filter(F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), target), lambda t: t != "")
+
+
 def links(pages: DataFrame) -> DataFrame:
     """(src, dst, n): links between different hosts, from whole pages."""
-    target = F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:https?:)?//[^"'\s>]+)"""), F.lit(1)))
-    out = pages.select(host_of(F.col("url")).alias("src"), target.alias("href"))
+    out = pages.where(F.col("html").rlike(r"(?i)<a(?:rea)?[\s/]")).select(host_of(F.col("url")).alias("src"), F.explode(hrefs(F.col("html"))).alias("href"))
     href = F.when(F.col("href").startswith("//"), F.concat(F.lit("http:"), "href")).otherwise(F.col("href"))
-    return out.select("src", host_of(href).alias("dst")).where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
+    absolute = out.where("src <> ''").select("src", href.alias("href")).where(F.col("href").rlike("(?i)^https?://"))
+    return absolute.select("src", host_of(F.col("href")).alias("dst")).where("src <> dst and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
 def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
