@@ -42,6 +42,16 @@ def trading_day_offset(days: DataFrame, calendar: DataFrame, n: int, column: str
     return found.join(F.broadcast(numbered), F.col("ordinal") + n == F.col("at"), "left").drop("at", "ordinal", "business")
 
 
+def instant(date: Column | str, time: str, zone: str) -> Column:
+    """The instant of a time of day (hh:mm:ss) of a zone on a date.
+
+    An hour that the clocks of the zone skip counts as that much later, one that they repeat as its first time.
+    """
+    d = F.col(date) if isinstance(date, str) else date
+    hours, minutes, seconds = time.split(":")
+    return F.make_timestamp_ltz(F.year(d), F.month(d), F.dayofmonth(d), F.lit(int(hours)), F.lit(int(minutes)), F.lit(float(seconds)).cast("decimal(16,6)"), F.lit(zone))
+
+
 def months(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     start, end = F.lit(f"{first_year}-01-01").cast("date"), F.lit(f"{last_year}-12-01").cast("date")
     return spark.range(1).select(F.explode(F.sequence(start, end, F.expr("interval 1 month"))).alias("month"))

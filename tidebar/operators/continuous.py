@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidebar.functions.calendars import instant
 from tidebar.functions.scalars import by_symbol, day, pct, r
+from tidebar.operators.joins import prices_at
+from tidebar.operators.rolls import roll_pairs
 
 PRICES = ("open", "high", "low", "close")
 
@@ -114,6 +117,29 @@ def back_adjust_constant(stitched: DataFrame, rolls: DataFrame | None = None, ba
     return _adjusted(_with_factors(stitched, rolls, bars), lambda c, f: c + f, F.col("gap_after"))
 
 
+def back_adjust_at(bars: DataFrame, calendar: DataFrame, position: int = 1, roll_time: str = "23:59:59", zone: str = "UTC", adjust: bool = True) -> DataFrame:
+    """Back adjustment of the series at a position (1: the front), whose rolls are at a time of day of an exchange.
+
+    calendar: root, symbol, expiry_month, roll_date, one row a contract. The series goes on by one contract at roll_time
+    of zone on each roll date of the front (see instant() for hours that a clock skips or repeats). A contract's bars count after the
+    roll into it, up to and at the roll out of it. A roll's gap is the front's close less the back's, both as of
+    the instant (the back's first one after it, if it has none before; no gap without both), and each contract's prices are lowered by
+    the gaps of its own and all later rolls. Bars meet the rolls of their contract, never one another.
+    """
+    rolls = roll_pairs(calendar, position).withColumn("instant", instant("roll_date", roll_time, zone))
+    priced_rolls = prices_at(rolls, bars)
+    gap = F.coalesce(F.col("front_price") - F.col("back_price"), F.lit(0.0)) if adjust else F.lit(0.0)
+    later = Window.partitionBy("root").orderBy(F.col("instant").desc(), F.col("from_contract").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    summed = priced_rolls.withColumn("gap", gap).withColumn("gaps", F.sum("gap").over(later))
+    none = lambda kind: F.lit(None).cast(kind)
+    out = F.struct(F.col("from_contract").alias("symbol"), none("timestamp").alias("start"), F.col("instant").alias("end"), F.col("to_contract").alias("next_contract"), F.col("gaps").alias("shift"))
+    into = F.struct(F.col("to_contract").alias("symbol"), F.col("instant").alias("start"), none("timestamp").alias("end"), none("string").alias("next_contract"), none("double").alias("shift"))
+    lives = summed.select("root", F.inline(F.array(out, into))).groupBy("root", "symbol").agg(*(F.max(c).alias(c) for c in ("start", "end", "next_contract", "shift")))
+    met = bars.join(lives, ["root", "symbol"]).where((F.col("start").isNull() | (F.col("timestamp") > F.col("start"))) & (F.col("end").isNull() | (F.col("timestamp") <= F.col("end"))))
+    factor = -F.coalesce("shift", F.lit(0.0))
+    return met.withColumn("adjustment_factor", factor).select("root", "timestamp", F.col("symbol").alias("underlying_symbol"), "next_contract", *((F.col(c) + factor).alias(c) for c in PRICES), "volume", "adjustment_factor")
+
+
 def back_adjust_reverse(stitched: DataFrame, rolls: DataFrame | None = None, bars: DataFrame | None = None) -> DataFrame:
     """As back_adjust_constant, beside the raw prices: adj_* columns and adj_factor."""
     df = _with_factors(stitched, rolls, bars)

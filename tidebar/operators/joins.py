@@ -111,13 +111,28 @@ def roll_prices(rolls: DataFrame, bars: DataFrame) -> DataFrame:
     return rolls.join(close("from"), ["from_contract", "roll_date"], "left").join(close("to"), ["to_contract", "roll_date"], "left")
 
 
+def prices_at(rolls: DataFrame, bars: DataFrame, at: str = "instant") -> DataFrame:
+    """Rolls with front_price and back_price: the closes of from_contract and to_contract at or last before a column of rolls; the back's first after it if it has none before.
+
+    Each bar meets the rolls of its contract (two a position) and goes into their aggregates where it stands, so that bars are
+    neither sorted nor shuffled, but for one row a roll and task.
+    """
+    columns = rolls.columns
+    side = lambda name, n: F.struct(F.col(name).alias("symbol"), F.lit(n).alias("_side"))
+    sides = rolls.select(*columns, F.explode(F.array(side("from_contract", 0), side("to_contract", 1))).alias("_s")).select(*columns, "_s.*")
+    rows = bars.where("close IS NOT NULL").select("symbol", F.col("timestamp").cast("timestamp").alias("_time"), F.col("close").alias("_close"))
+    of = lambda n: F.col("_side") == n
+    before, when = F.col("_time") <= F.col(at).cast("timestamp"), lambda c, value: F.when(c, value)
+    # a roll whose contracts have no bars stays by its own rows
+    met = sides.join(rows, "symbol").unionByName(sides.withColumns({"_time": F.lit(None).cast("timestamp"), "_close": F.lit(None).cast("double")}))
+    last = lambda n: F.max_by("_close", when(before & of(n), F.col("_time")))
+    found = met.groupBy(*columns).agg(last(0).alias("front_price"), last(1).alias("_before"), F.min_by("_close", when(~before & of(1), F.col("_time"))).alias("_after"))
+    return found.withColumn("back_price", F.coalesce("_before", "_after")).drop("_before", "_after")
+
+
 def price_asof_roll(rolls: DataFrame, bars: DataFrame) -> DataFrame:
-    """Front and back close at or before each roll; the back falls forward where it has none before."""
-    series = bars.select("symbol", day("timestamp").alias("roll_date"), "close")
-    front = asof(rolls.withColumn("symbol", F.col("from_contract")), series, "roll_date", ["symbol"], ["close"]).withColumnRenamed("close", "front_price").drop("symbol")
-    back = asof(front.withColumn("symbol", F.col("to_contract")), series, "roll_date", ["symbol"], ["close"]).withColumnRenamed("close", "before")
-    both = asof(back, series, "roll_date", ["symbol"], ["close"], "forward")
-    return both.withColumn("back_price", F.coalesce("before", "close")).drop("before", "close", "symbol")
+    """Front and back close at or before the day of each roll; the back falls forward where it has none before."""
+    return prices_at(rolls, bars.withColumn("timestamp", day("timestamp")), "roll_date")
 
 
 def missing_dates(reference: DataFrame, target: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -146,6 +146,30 @@ def _(t: Tables):
     return _rounded(c.back_adjust_constant(termed(t)))
 
 
+def _at_instant(position: int, offset: str) -> str:
+    """The series at a position; offset: from the roll date's midnight to the instant, in UTC."""
+    return f"""WITH p AS (SELECT root, roll_date + INTERVAL '{offset}' AS i, lead(symbol, {position - 1}) OVER w AS f, lead(symbol, {position}) OVER w AS b FROM tick_contracts WINDOW w AS (PARTITION BY root ORDER BY expiry_month)),
+    g AS (SELECT p.root, p.i, p.f, p.b, coalesce((SELECT arg_max(close, timestamp) FROM contract_ticks x WHERE x.symbol = p.f AND x.timestamp <= p.i) - coalesce((SELECT arg_max(close, timestamp) FROM contract_ticks x WHERE x.symbol = p.b AND x.timestamp <= p.i), (SELECT arg_min(close, timestamp) FROM contract_ticks x WHERE x.symbol = p.b AND x.timestamp > p.i)), 0.0) AS gap FROM p WHERE f IS NOT NULL AND b IS NOT NULL),
+    s AS (SELECT *, sum(gap) OVER (PARTITION BY root ORDER BY i DESC) AS gaps FROM g), l AS (SELECT root, symbol, max(a) AS a, max(z) AS z, max(b) AS b, max(gaps) AS gaps FROM (SELECT root, f AS symbol, NULL::TIMESTAMP AS a, i AS z, b, gaps FROM s UNION ALL SELECT root, b, i, NULL, NULL, NULL FROM s) GROUP BY 1, 2)
+    SELECT t.root, t.timestamp, t.symbol AS underlying_symbol, l.b AS next_contract, round(t.open - coalesce(gaps, 0), 4) AS open, round(t.close - coalesce(gaps, 0), 4) AS close, round(0 - coalesce(gaps, 0), 4) AS adjustment_factor FROM contract_ticks t JOIN l ON l.root = t.root AND l.symbol = t.symbol WHERE (a IS NULL OR t.timestamp > a) AND (z IS NULL OR t.timestamp <= z)"""
+
+
+def _back_adjusted(t: Tables, position: int):
+    out = c.back_adjust_at(t.contract_ticks, t.tick_contracts, position, "16:15:00", "America/New_York")
+    return out.select("root", "timestamp", "underlying_symbol", "next_contract", *(F.round(x, 4).alias(x) for x in ("open", "close", "adjustment_factor")))
+
+
+# in January New York is five hours behind UTC
+@query("back_adjust_at_instant", _at_instant(1, "21 hours 15 minutes"))
+def _(t: Tables):
+    return _back_adjusted(t, 1)
+
+
+@query("back_adjust_second_position", _at_instant(2, "21 hours 15 minutes"))
+def _(t: Tables):
+    return _back_adjusted(t, 2)
+
+
 @query("back_adjust_reverse", "SELECT root, timestamp, underlying_symbol, close, round(close + ga, 4) AS adj_close, round(ga, 4) AS adj_factor FROM facted", C)
 def _(t: Tables):
     out = c.back_adjust_reverse(termed(t))

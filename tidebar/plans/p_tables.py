@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tidebar.plans.p_indicators import smoothed
 from tidebar.plans.register import query
 from tidebar.session import shared_folder
+from tidebar.sources import partitions
 from tidebar.sources import tables as io
 from tidebar.sources.adapters import Tables
 from tidebar.streaming import streams
@@ -131,6 +132,23 @@ def _(t: Tables):
     return io.replace_range(old(t), new(t).where(inside), inside)
 
 
+@query("upsert_partitioned", "SELECT coalesce(n.symbol, o.symbol) AS symbol, coalesce(n.timestamp, o.timestamp) AS timestamp, CASE WHEN n.symbol IS NULL THEN o.close ELSE n.close END AS close, CASE WHEN n.symbol IS NULL THEN o.volume ELSE n.volume END AS volume FROM old_rows o FULL JOIN (SELECT * FROM new_rows WHERE year(timestamp) = 1997) n ON o.symbol = n.symbol AND o.timestamp = n.timestamp", C)
+def _(t: Tables):
+    path, months = f"{scratch(t)}/bars", partitions.by_month()
+    partitions.create(old(t), path, months)
+    partitions.upsert_table(new(t).where(F.year("timestamp") == 1997), path, KEYS, months)
+    return partitions.read(t.spark, path, months).select(*KEYS, "close", "volume")
+
+
+@query("replace_range_partitioned", "SELECT * FROM old_rows WHERE NOT (symbol = 'Brand#1' AND timestamp BETWEEN '1996-02-10' AND '1996-11-20') UNION ALL SELECT * FROM new_rows WHERE symbol = 'Brand#1' AND timestamp BETWEEN '1996-02-10' AND '1996-11-20'", C)
+def _(t: Tables):
+    path, months, own = f"{scratch(t)}/bars", partitions.by_month(), F.col("symbol") == "Brand#1"
+    partitions.create(old(t), path, months)
+    staged = new(t).where(own & F.col("timestamp").between("1996-02-10", "1996-11-20"))
+    partitions.replace_range_table(staged, path, "1996-02-10", "1996-11-20", months, own)
+    return partitions.read(t.spark, path, months).select(*KEYS, "close", "volume")
+
+
 @query("align_to_schema", "SELECT timestamp, symbol, open, high, low, close, volume, source, interval_value, interval_unit, false AS adjusted, quality FROM bars")
 def _(t: Tables):
     return io.align(t.bars.withColumn("adjusted", F.lit(False)).withColumn("extra", F.lit(1)), io.BAR_SCHEMA)

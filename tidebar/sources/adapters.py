@@ -90,6 +90,25 @@ class Tables:
             F.col("props").alias("params"),
         )
 
+    @cached_property
+    def tick_contracts(self) -> DataFrame:
+        """Five contracts of each kind of event, which end six days after one another; each rolls two days before its end."""
+        k = F.explode(F.sequence(F.lit(0), F.lit(4)))
+        each = self.table("events").select(F.col("event_type").alias("root")).distinct().select("root", k.alias("k"))
+        month = F.add_months(F.lit("2024-01-01").cast("date"), F.col("k"))
+        last = F.date_add(F.lit("2024-01-06").cast("date"), F.col("k") * 6)
+        return each.select("root", F.concat("root", F.expr(f"substr('{MONTH_CODES}', k + 1, 1)"), F.lit("24")).alias("symbol"), month.alias("expiry_month"), last.alias("last_date"), F.date_sub(last, 2).alias("roll_date"))
+
+    @cached_property
+    def contract_ticks(self) -> DataFrame:
+        """Five-minute bars of these contracts: a user's events are trades of the contract that the user holds, up to its last day."""
+        k, order = (F.col("user_id") % 5).cast("int"), F.struct("ts", "event_id")
+        ticks = self.table("events").select(F.col("event_type").alias("root"), F.concat("event_type", F.expr(f"substr('{MONTH_CODES}', cast(user_id % 5 as int) + 1, 1)"), F.lit("24")).alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), "event_id", "value", k.alias("k"))
+        alive = ticks.where(F.to_date("ts") <= F.date_add(F.lit("2024-01-06").cast("date"), F.col("k") * 6))
+        return alive.groupBy("root", "symbol", F.window("ts", "5 minutes")["start"].alias("timestamp")).agg(
+            F.min_by("value", order).alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", order).alias("close"), F.count("*").alias("volume")
+        )
+
     @cached_property
     def contract_bars(self) -> DataFrame:
         expiry = F.add_months(F.trunc("ts", "month"), F.col("n") - 1)
@@ -187,6 +206,8 @@ CTES: dict[str, str] = {
     "CASE WHEN dayofyear(ts) % 11 = 0 THEN 80 ELSE 100 END AS quality FROM fills GROUP BY symbol, ts",
     "ticks": f"SELECT event_type AS symbol, {_EVENTS}",
     "user_ticks": f"SELECT 'U' || user_id AS symbol, {_EVENTS}",
+    "tick_contracts": f"SELECT root, root || substr('{MONTH_CODES}', CAST(k AS INT) + 1, 1) || '24' AS symbol, k, CAST(DATE '2024-01-01' + to_months(CAST(k AS INT)) AS DATE) AS expiry_month, DATE '2024-01-06' + CAST(k * 6 AS INT) AS last_date, DATE '2024-01-04' + CAST(k * 6 AS INT) AS roll_date FROM (SELECT DISTINCT event_type AS root FROM events), unnest(range(5)) AS u(k)",
+    "contract_ticks": "SELECT k.root, k.symbol, time_bucket(INTERVAL 5 MINUTE, ts) AS timestamp, arg_min(value, {'a': ts, 'b': event_id}) AS open, max(value) AS high, min(value) AS low, arg_max(value, {'a': ts, 'b': event_id}) AS close, count(*) AS volume FROM events JOIN tick_contracts k ON k.root = event_type AND k.k = user_id % 5 AND CAST(ts AS DATE) <= last_date GROUP BY 1, 2, 3",
     "contract_fills": f"SELECT *, CAST(date_trunc('month', ts) + to_months(n - 1) AS DATE) AS expiry FROM fills",
     "contract_days": f"SELECT root, root || substr('{MONTH_CODES}', CAST(month(expiry) AS INT), 1) || strftime(expiry, '%y') AS symbol, expiry AS expiry_month, ts AS timestamp, {_OHLC}, CAST(sum(q) AS BIGINT) AS volume FROM contract_fills GROUP BY root, expiry, ts",
     "contract_bars": "SELECT *, CAST(sum(volume) OVER (PARTITION BY symbol ORDER BY timestamp) AS BIGINT) AS open_interest FROM contract_days",

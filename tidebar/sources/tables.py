@@ -1,7 +1,7 @@
 """Mutations of tables as functions of DataFrames, and readers and writers.
 
 A table format with transactions is not assumed: an upsert gives the whole new
-state, to be written to a new place (or by dynamic partition overwrite).
+state, to be written to a new place. partitions.py changes a table where it lies.
 """
 
 from __future__ import annotations
