@@ -2,10 +2,12 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidebar.functions import calendars
 from tidebar.functions.calendars import instant
-from tidebar.operators import continuous, joins
+from tidebar.operators import continuous, joins, rolls
 
 
 
@@ -74,3 +76,22 @@ def test_bars_are_not_shuffled_for_prices_at_rolls(spark):
     rolls = spark.createDataFrame([("R", "RH24", "RJ24", at("2024-03-08 21:15:00"))], "root string, from_contract string, to_contract string, instant timestamp")
     plan = joins.prices_at(rolls, bars).join(F.broadcast(rolls.select("root")), "root")._jdf.queryExecution().toString()
     assert "Window" not in plan and "partial_max_by" in plan
+
+
+def test_active_contract_by_mean_volume_over_sessions(spark):
+    """March expires on Friday the 15th: volumes count from the seventh session before it, Wednesday the 6th, on."""
+    day = lambda n: dt.datetime(2024, 3, n)
+    rows = [("R", "RH24", day(n), 10) for n in range(1, 16)] + [("R", "RM24", day(n), 100 if n >= 8 else 1) for n in range(1, 23)]
+    rows = [r for r in rows if r[2].weekday() < 5 and r[2] != day(12)]  # no bars on the 12th, which is a session all the same
+    bars = spark.createDataFrame(rows, "root string, symbol string, timestamp timestamp, volume long")
+    contracts = spark.createDataFrame([("R", "RH24", dt.date(2024, 3, 15)), ("R", "RM24", dt.date(2024, 6, 21))], "root string, symbol string, last_date date")
+    sessions = calendars.business_calendar(spark, "2024-01-01", "2024-12-31")
+    got = {r["date"].day: r for r in rolls.near_expiry(bars, contracts, sessions).collect()}
+    assert [n for n, r in sorted(got.items()) if r["near"]] == [6, 7, 8, 11, 13, 14, 15]
+    assert got[5]["second_volume"] is None and got[6]["nearest_volume"] == 10 and got[6]["second_volume"] == 1
+    # on the 8th the window is the 28th of February to the 8th: one of six bars is large
+    assert got[8]["second_volume"] == pytest.approx((100 + 5) / 6) and got[8]["active_contract"] == "RM24" and got[7]["active_contract"] == "RH24"
+    assert got[14]["second_volume"] == pytest.approx((100 * 4 + 3) / 7)  # the 5th to the 14th, without the 12th
+    assert got[18]["nearest"] == "RM24" and got[18]["second"] is None
+    active = rolls.active_by_volume(bars, contracts, sessions)
+    assert [(r["roll_date"].day, r["from_contract"], r["to_contract"]) for r in rolls.rolls_of(active).collect()] == [(8, "RH24", "RM24")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebar.functions.calendars import third_friday
+from tidebar.functions.calendars import on_or_before, third_friday, with_ordinal
 from tidebar.functions.scalars import day
 from tidebar.operators.windows import preferred_roll_dedup
 
@@ -107,14 +107,56 @@ def rollovers_in_range(roll_dates: DataFrame, start: str, end: str, preferred: s
     return ordered.withColumns({"_before": before, "_after": after}).where(F.col("roll_date").between(a, b) | (F.col("roll_date") == F.col("_before")) | (F.col("roll_date") == F.col("_after"))).drop("_before", "_after")
 
 
-def active_by_volume(bars: DataFrame, contracts: DataFrame, lookback: int = 5) -> DataFrame:
-    """Per root and date the nearest live contract, or the second if its mean volume over its last rows is greater."""
-    w = Window.partitionBy("symbol").orderBy("timestamp").rowsBetween(-lookback + 1, 0)
-    mean = bars.select("root", "symbol", day("timestamp").alias("date"), F.avg("volume").over(w).alias("mean_volume"))
-    ranked = mean.join(contracts.select("symbol", "last_date"), "symbol").withColumn("_p", F.row_number().over(Window.partitionBy("root", "date").orderBy("last_date", "symbol"))).where("_p <= 2")
-    of = lambda c, n: F.max(F.when(F.col("_p") == n, F.col(c)))
-    both = ranked.groupBy("root", "date").agg(of("symbol", 1).alias("first"), of("symbol", 2).alias("second"), of("mean_volume", 1).alias("v1"), of("mean_volume", 2).alias("v2"))
-    return both.select("root", "date", F.when(F.col("v2") > F.col("v1"), F.col("second")).otherwise(F.col("first")).alias("active_contract"))
+def mean_volumes(bars: DataFrame, wanted: DataFrame, calendar: DataFrame, lookback: int) -> DataFrame:
+    """wanted (with symbol and ordinal, a session's number) with mean_volume: that of the symbol's bars in the session and the `lookback` sessions before it.
+
+    An interval join on sessions: both sides are dealt into buckets of lookback + 1 sessions, and a window lies in a bucket and
+    the one before, so that a row meets the bars of two buckets at most. Sessions are those of the calendar, whether or not there is a bar.
+    """
+    width, names = lookback + 1, wanted.columns
+    rows = bars.select("symbol", day("timestamp").alias("date"), "volume").join(F.broadcast(with_ordinal(calendar)), "date")
+    rows = rows.select("symbol", F.floor(F.col("ordinal") / width).alias("_bucket"), F.col("ordinal").alias("_at"), "volume")
+    bucket = F.floor(F.col("ordinal") / width)
+    asked = wanted.withColumn("_bucket", F.explode(F.array(bucket, bucket - 1)))
+    met = asked.join(rows, ["symbol", "_bucket"]).where(F.col("_at").between(F.col("ordinal") - lookback, F.col("ordinal")))
+    found = met.groupBy(*names).agg(F.avg("volume").alias("mean_volume"))
+    return wanted.join(found, names, "left")
+
+
+def near_expiry(bars: DataFrame, contracts: DataFrame, calendar: DataFrame, lookback: int = 7, near: int = 7) -> DataFrame:
+    """Per root and session of the calendar: nearest and second contract, their mean volumes, whether the nearest is near its end, and active_contract.
+
+    contracts: root, symbol, last_date (the day of expiry). Volumes count from `near` sessions before the nearest contract's
+    expiry on; the second contract is active if its mean volume is the greater one there, else the nearest. Only
+    these sessions are joined with bars. Without a bar of either in the sessions that count the nearest stays.
+    """
+    ordinals = with_ordinal(calendar)
+    dates = bars.select("root", day("timestamp").alias("date")).distinct().join(F.broadcast(ordinals), "date")
+    two = continuous_mapping(dates.select("root", "date"), contracts, 2)
+    of = lambda n: F.max(F.when(F.col("position") == n, F.col("symbol")))
+    both = two.groupBy("root", "date").agg(of(1).alias("nearest"), of(2).alias("second")).where("nearest IS NOT NULL")
+    # the last session before an expiry, by the calendar; the n-th before it is n - 1 earlier
+    before = on_or_before(contracts.select(F.col("symbol").alias("nearest"), F.date_sub("last_date", 1).alias("_until")), calendar, "_until").select("nearest", (F.col("ordinal") - (near - 1)).alias("_from"))
+    known = both.join(dates, ["root", "date"]).join(before, "nearest", "left")
+    known = known.withColumn("near", F.coalesce(F.col("ordinal") >= F.col("_from"), F.lit(False))).drop("_from")
+    asked = known.where(F.col("near") & F.col("second").isNotNull()).select("root", "date", "ordinal", F.explode(F.array("nearest", "second")).alias("symbol"))
+    means = mean_volumes(bars, asked, calendar, lookback).select("root", "date", "symbol", "mean_volume")
+    side = lambda name: means.select("root", "date", F.col("symbol").alias(name), F.col("mean_volume").alias(f"{name}_volume"))
+    out = known.join(side("nearest"), ["root", "date", "nearest"], "left").join(side("second"), ["root", "date", "second"], "left")
+    active = F.when(F.col("second_volume") > F.col("nearest_volume"), F.col("second")).otherwise(F.col("nearest"))
+    return out.select("root", "date", "nearest", "second", "near", "nearest_volume", "second_volume", active.alias("active_contract"))
+
+
+def active_by_volume(bars: DataFrame, contracts: DataFrame, calendar: DataFrame, lookback: int = 7, near: int = 7) -> DataFrame:
+    """(root, date, active_contract, rolled_from) by near_expiry(); rolled_from: the contract before, on days on which it changes."""
+    days = near_expiry(bars, contracts, calendar, lookback, near)
+    before = F.lag("active_contract").over(Window.partitionBy("root").orderBy("date"))
+    return days.select("root", "date", "active_contract", F.when(before != F.col("active_contract"), before).alias("rolled_from"))
+
+
+def rolls_of(active: DataFrame) -> DataFrame:
+    """The roll list of active_by_volume()."""
+    return active.where("rolled_from IS NOT NULL").select("root", F.col("date").alias("roll_date"), F.col("rolled_from").alias("from_contract"), F.col("active_contract").alias("to_contract"))
 
 
 def continuous_mapping(dates: DataFrame, contracts: DataFrame, n: int = 3) -> DataFrame:

@@ -5,6 +5,7 @@ Results give them as timestamps at midnight on both sides, as engines hand out d
 
 DATE_COLUMNS: dict[str, tuple[str, ...]] = {
     "active_contract_by_volume": ("date",),
+    "active_contract_rolls": ("roll_date",),
     "active_contract_range_join": ("date",),
     "avg_volume_lookback": ("date",),
     "business_calendar": ("date",),

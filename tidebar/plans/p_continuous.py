@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidebar.functions.calendars import business_calendar
 from tidebar.operators import continuous as c
 from tidebar.operators import rolls as o
 from tidebar.operators.joins import active_contract
@@ -94,16 +95,35 @@ def _(t: Tables):
     return o.rollovers_in_range(rolls, "1997-01-01", "1997-12-31")
 
 
-@query("active_contract_by_volume", """WITH m AS (SELECT root, symbol, timestamp::DATE AS date, avg(volume) OVER (PARTITION BY symbol ORDER BY timestamp ROWS 4 PRECEDING) AS v FROM contract_bars), p AS (SELECT m.*, row_number() OVER (PARTITION BY m.root, date ORDER BY last_date, m.symbol) AS p FROM m JOIN contracts k ON k.symbol = m.symbol)
-    SELECT root, date, CASE WHEN max(v) FILTER (p = 2) > max(v) FILTER (p = 1) THEN max(symbol) FILTER (p = 2) ELSE max(symbol) FILTER (p = 1) END AS active_contract FROM p WHERE p <= 2 GROUP BY root, date""")
+#: Sessions are weekdays of the years of the tables; a contract expires on its last day.
+SESSIONS = ("1995-01-01", "2002-12-31")
+NEAR = {
+    "sessions": f"SELECT d::DATE AS d, row_number() OVER (ORDER BY d) AS o FROM range(DATE '{SESSIONS[0]}', DATE '{SESSIONS[1]}' + 1, INTERVAL 1 DAY) r(d) WHERE isodow(d) < 6",
+    "near_two": "SELECT x.*, o, o >= (SELECT max(o) FROM sessions WHERE d < last_date) - 6 AS near FROM (SELECT root, date, max(symbol) FILTER (p = 1) AS nearest, max(symbol) FILTER (p = 2) AS second, max(last_date) FILTER (p = 1) AS last_date FROM (SELECT a.root, a.date, k.symbol, k.last_date, row_number() OVER (PARTITION BY a.root, a.date ORDER BY k.last_date, k.symbol) AS p FROM (SELECT DISTINCT root, timestamp::DATE AS date FROM contract_bars WHERE isodow(timestamp) < 6) a JOIN contracts k ON k.root = a.root AND k.last_date >= a.date) WHERE p <= 2 GROUP BY root, date) x JOIN sessions ON d = date",
+    "near_volumes": "SELECT n.root, n.date, v.symbol, avg(v.volume) AS mean_volume FROM near_two n JOIN (SELECT symbol, o, volume FROM contract_bars JOIN sessions ON d = timestamp::DATE) v ON (v.symbol = n.nearest OR v.symbol = n.second) AND v.o BETWEEN n.o - 7 AND n.o WHERE near AND second IS NOT NULL GROUP BY 1, 2, 3",
+    "near_days": "SELECT n.root, n.date, nearest, second, coalesce(near, false) AS near, a.mean_volume AS nearest_volume, b.mean_volume AS second_volume, CASE WHEN b.mean_volume > a.mean_volume THEN second ELSE nearest END AS active_contract FROM near_two n LEFT JOIN near_volumes a ON a.root = n.root AND a.date = n.date AND a.symbol = nearest LEFT JOIN near_volumes b ON b.root = n.root AND b.date = n.date AND b.symbol = second",
+    "near_active": "SELECT root, date, active_contract, CASE WHEN before <> active_contract THEN before END AS rolled_from FROM (SELECT *, lag(active_contract) OVER (PARTITION BY root ORDER BY date) AS before FROM near_days)",
+}
+
+
+def _sessions(t: Tables):
+    return business_calendar(t.spark, *SESSIONS)
+
+
+@query("avg_volume_lookback", "SELECT root, date, nearest, second, near, round(nearest_volume, 6) AS nearest_volume, round(second_volume, 6) AS second_volume, active_contract FROM near_days", NEAR)
+def _(t: Tables):
+    out = o.near_expiry(t.contract_bars, t.contracts, _sessions(t))
+    return out.withColumns({x: F.round(x, 6) for x in ("nearest_volume", "second_volume")})
+
+
+@query("active_contract_by_volume", "SELECT * FROM near_active", NEAR)
 def _(t: Tables):
-    return o.active_by_volume(t.contract_bars, t.contracts)
+    return o.active_by_volume(t.contract_bars, t.contracts, _sessions(t))
 
 
-@query("avg_volume_lookback", """WITH m AS (SELECT root, symbol, timestamp::DATE AS date, avg(volume) OVER (PARTITION BY symbol ORDER BY timestamp ROWS 9 PRECEDING) AS v FROM contract_bars), p AS (SELECT m.*, row_number() OVER (PARTITION BY m.root, date ORDER BY last_date, m.symbol) AS p FROM m JOIN contracts k ON k.symbol = m.symbol)
-    SELECT root, date, CASE WHEN max(v) FILTER (p = 2) > max(v) FILTER (p = 1) THEN max(symbol) FILTER (p = 2) ELSE max(symbol) FILTER (p = 1) END AS active_contract FROM p WHERE p <= 2 GROUP BY root, date""")
+@query("active_contract_rolls", "SELECT root, date AS roll_date, rolled_from AS from_contract, active_contract AS to_contract FROM near_active WHERE rolled_from IS NOT NULL", NEAR)
 def _(t: Tables):
-    return o.active_by_volume(t.contract_bars, t.contracts, 10)
+    return o.rolls_of(o.active_by_volume(t.contract_bars, t.contracts, _sessions(t)))
 
 
 def _dates(t: Tables):
