@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebar.functions.scalars import by_symbol, day, next_value, pct, r, recent
+from tidebar.operators.pairs import pairs_by_date
 from tidebar.operators.rolls import continuous_mapping
 from tidebar.operators.windows import log_return
 
@@ -64,9 +65,7 @@ def duplicate_detail(bars: DataFrame) -> DataFrame:
 def pair_correlation(bars: DataFrame, min_n: int = 20, days: int = 365) -> DataFrame:
     """Correlation of log returns of each pair of symbols with more than min_n common days."""
     moved = recent(bars.withColumn("ret", log_return()), days).where("ret IS NOT NULL").select("timestamp", "symbol", "ret")
-    other = moved.select("timestamp", F.col("symbol").alias("other"), F.col("ret").alias("other_ret"))
-    pairs = moved.join(other, "timestamp").where("symbol < other")
-    return pairs.groupBy("symbol", "other").agg(r(F.corr("ret", "other_ret")).alias("correlation"), F.count("*").alias("n")).where(F.col("n") > min_n)
+    return pairs_by_date(moved, "ret").groupBy("symbol", "other").agg(r(F.corr("x", "y")).alias("correlation"), F.count("*").alias("n")).where(F.col("n") > min_n)
 
 
 def period_compare(bars: DataFrame, first: tuple[str, str], second: tuple[str, str]) -> DataFrame:

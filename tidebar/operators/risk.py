@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidebar.functions.scalars import bias_corrected_kurtosis, bias_corrected_skew, by_symbol, guarded, last_rows, r
 from tidebar.operators.indicators import ewm
+from tidebar.operators.pairs import pairs_by_date
 
 YEAR = 252.0
 #: Rows that a period looks back.
@@ -62,17 +63,14 @@ def performance(rets: DataFrame, rf: float = 0.0) -> DataFrame:
 def correlation(rets: DataFrame) -> DataFrame:
     """(symbol, other, correlation) of all pairs, a missing return of a common date counting as 0.
 
-    From sums over the dates on which both have a row and per-symbol totals, so that the dates-by-symbols matrix is
-    never built; pairs of symbols are what the result is.
+    From sums over the dates on which both have a row (in blocks, see pairs.py) and per-symbol totals, so that the dates-by-symbols
+    matrix is never built; pairs of symbols are what the result is.
     """
     df = rets.select("symbol", "timestamp", F.coalesce("ret", F.lit(0.0)).alias("x"))
     dates = df.agg(F.count_distinct("timestamp").cast("double").alias("n"))
     sums = df.groupBy("symbol").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"))
-    a = df.join(sums, "symbol")
-    b = a.select("timestamp", *(F.col(c).alias(f"{c}_b") for c in ("symbol", "x", "s", "q")))
-    crossed = a.join(b, "timestamp").where("symbol <= symbol_b").groupBy("symbol", F.col("symbol_b").alias("other")).agg(
-        F.sum(F.col("x") * F.col("x_b")).alias("xy"), *(F.first(c).alias(c) for c in ("s", "q", "s_b", "q_b"))
-    ).crossJoin(F.broadcast(dates))
+    products = pairs_by_date(df, "x", same=True).groupBy("symbol", "other").agg(F.sum(F.col("x") * F.col("y")).alias("xy"))
+    crossed = products.join(sums, "symbol").join(sums.select(F.col("symbol").alias("other"), F.col("s").alias("s_b"), F.col("q").alias("q_b")), "other").crossJoin(F.broadcast(dates))
     cov = F.col("n") * F.col("xy") - F.col("s") * F.col("s_b")
     var = (F.col("n") * F.col("q") - F.col("s") ** 2) * (F.col("n") * F.col("q_b") - F.col("s_b") ** 2)
     return crossed.select("symbol", "other", r(F.try_divide(cov, F.sqrt(F.when(var > 0, var)))).alias("correlation"))

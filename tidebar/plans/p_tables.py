@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,8 +62,11 @@ def _(t: Tables):
     path = f"{scratch(t)}/futures.csv"
     label = F.concat(F.substring("symbol", -3, 1), F.lit(" ("), F.date_format("expiry_month", "MMM yyyy"), F.lit(")"))
     rows = t.contract_bars.select(F.date_format("timestamp", "MM/dd/yyyy"), label, "open", "high", "low", "close", "volume", "open_interest").toDF(*io.FUTURES_HEADER)
-    io.to_csv(rows, path)
-    return io.read_futures_csv(t.spark, path)
+    early = F.col("Trade Date").rlike("^0[1-6]")
+    io.to_csv(rows.where(early), f"{path}/early")
+    turned = rows.where(~early).withColumn("Change", F.lit("0.1")).select("Change", *reversed(io.FUTURES_HEADER))  # another order, and a column more
+    io.to_csv(turned, f"{path}/late")
+    return io.read_futures_csv(t.spark, [f"{path}/early", f"{path}/late"])
 
 
 @query("scan_csv_by_filename", "SELECT timestamp, symbol, open, high, low, close, volume FROM contract_bars")
@@ -70,10 +74,7 @@ def _(t: Tables):
     path = f"{scratch(t)}/contracts"
     rows = t.contract_bars.select("symbol", F.date_format("timestamp", "yyyy-MM-dd").alias("date"), "open", "high", "low", "close", F.col("volume").cast("double").alias("volume"))
     rows.withColumn("contract", F.col("symbol")).drop("symbol").write.partitionBy("contract").option("header", True).csv(path)
-    schema = "date STRING, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE"
-    df = t.spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).csv(path)
-    named = df.withColumn("symbol", F.regexp_extract(F.input_file_name(), r"contract=([A-Z]+[FGHJKMNQUVXZ]\d{2})", 1))
-    return named.select(F.col("date").try_cast("timestamp").alias("timestamp"), "symbol", "open", "high", "low", "close", F.col("volume").cast("long").alias("volume")).dropna(subset=["close"])
+    return io.read_contract_dir(t.spark, path, r"contract=([A-Z]+[FGHJKMNQUVXZ]\d{2})/", recursive=True)
 
 
 @query("export_symbol_series", "SELECT timestamp, close AS price FROM bars WHERE symbol = 'Brand#1'")
@@ -199,14 +200,27 @@ def _(t: Tables):
     return io.normalise_obs(raw)
 
 
+SPEC = {
+    "id": {"type": "int", "required": True}, "symbol": {"upper": True}, "price": {"type": "double", "min": 10.0, "max": 90.0},
+    "flag": {"type": "boolean"}, "kind": {"allowed": ["click", "view"], "default": "other"},
+}
+
+
+def raw_ticks(t: Tables):
+    return t.ticks.select("id", "symbol", F.col("close").cast("string").alias("px"), F.when(F.col("id") % 2 == 0, "yes").otherwise("off").alias("flag"), F.col("symbol").alias("kind"))
+
+
 @query("normalise_to_spec", """SELECT id, upper(symbol) AS symbol, least(greatest(close, 10.0), 90.0) AS price, id % 2 = 0 AS flag, CASE WHEN symbol IN ('click', 'view') THEN symbol ELSE 'other' END AS kind FROM ticks""")
 def _(t: Tables):
-    raw = t.ticks.select("id", "symbol", F.col("close").cast("string").alias("px"), F.when(F.col("id") % 2 == 0, "yes").otherwise("off").alias("flag"), F.col("symbol").alias("kind"))
-    spec = {
-        "id": {"type": "int", "required": True}, "symbol": {"upper": True}, "price": {"type": "double", "min": 10.0, "max": 90.0},
-        "flag": {"type": "boolean"}, "kind": {"allowed": ["click", "view"], "default": "other"},
-    }
-    return io.normalise(raw, spec, {"px": "price"})
+    return io.normalise(raw_ticks(t), SPEC, {"px": "price"})
+
+
+@query("normalise_metrics", """SELECT count(*) AS rows_in, count(*) FILTER (id % 7 <> 0) AS rows_out, count(*) FILTER (symbol NOT IN ('click', 'view')) AS missing_filled, count(*) FILTER (close < 10 OR close > 90) AS outliers_corrected, count(*) FILTER (symbol NOT IN ('click', 'view')) + count(*) FILTER (id % 7 = 0) AS invalid_cells FROM ticks""")
+def _(t: Tables):
+    seen = Observation("normalise")
+    raw = raw_ticks(t).withColumn("id", F.when(F.col("id") % 7 == 0, "n/a").otherwise(F.col("id").cast("string")))
+    io.append(io.normalise(raw, SPEC, {"px": "price"}, seen), f"{scratch(t)}/ticks")  # the rows, and what was done to them, by one job
+    return t.spark.createDataFrame([tuple(seen.get[c] for c in io.NORMALISE_METRICS)], ", ".join(f"{c} long" for c in io.NORMALISE_METRICS))
 
 
 @query("coerce_scraped_table", "SELECT symbol, timestamp, close FROM bars WHERE symbol IN ('Brand#1', 'Brand#2') AND timestamp BETWEEN '1996-01-01' AND '1997-12-31'")

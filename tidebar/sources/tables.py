@@ -6,9 +6,12 @@ state, to be written to a new place. partitions.py changes a table where it lies
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
+from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,8 +126,12 @@ def standardise_units(df: DataFrame) -> DataFrame:
     return df.withColumn("interval_unit", F.when(F.col("interval_unit") == "day", "daily").otherwise(F.col("interval_unit")))
 
 
-def retag_source(df: DataFrame, pattern: str, source: str) -> DataFrame:
-    return df.withColumn("source", F.when(F.col("symbol").rlike(pattern), source).otherwise(F.col("source")))
+def retag_source(df: DataFrame, pattern: str, source: str, seen: Observation | None = None) -> DataFrame:
+    """Another source for the symbols that match; seen: gets how many rows there are (rows) and have changed (changed), once a job has run over the result."""
+    hit = F.coalesce(F.col("symbol").rlike(pattern), F.lit(False))
+    if seen is not None:
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(hit & ~F.col("source").eqNullSafe(F.lit(source))).alias("changed"))
+    return df.withColumn("source", F.when(hit, source).otherwise(F.col("source")))
 
 
 def normalise_obs(df: DataFrame) -> DataFrame:
@@ -148,15 +155,22 @@ def next_start(bars: DataFrame, wanted: DataFrame, today: str, default_days: int
     return wanted.join(newest, ["symbol", "interval_unit"], "left").withColumn("start", F.coalesce("start", F.date_sub(F.lit(today).cast("date"), default_days)))
 
 
-def normalise(df: DataFrame, spec: dict[str, dict], mapping: dict[str, str] | None = None) -> DataFrame:
-    """Spec-driven cleaning: per field type, required, min, max, upper, lower, allowed and default."""
+#: What normalise() counts: rows in and out, cells that were missing and got a default, numbers put at a bound, and cells that do not fit their type or the allowed values.
+NORMALISE_METRICS = ("rows_in", "rows_out", "missing_filled", "outliers_corrected", "invalid_cells")
+
+
+def normalise(df: DataFrame, spec: dict[str, dict], mapping: dict[str, str] | None = None, seen: Observation | None = None) -> DataFrame:
+    """Spec-driven cleaning: per field type, required, min, max, upper, lower, allowed and default.
+
+    seen: gets NORMALISE_METRICS from the job that runs over the result, without a pass of its own.
+    """
     for old, new in (mapping or {}).items():
         if old in df.columns:
             df = df.withColumnRenamed(old, new)
-    out = []
+    out, filled, held, invalid = [], [], [], []
     for name, rule in spec.items():
         kind = rule.get("type", "string")
-        c = F.col(name) if name in df.columns else F.lit(None)
+        raw = c = F.col(name) if name in df.columns else F.lit(None)
         if kind == "boolean":
             word = F.lower(F.trim(c.cast("string")))
             c = F.when(word.isin("yes", "y", "1", "true", "t", "on"), True).when(word.isin("no", "n", "0", "false", "f", "off"), False)
@@ -164,17 +178,37 @@ def normalise(df: DataFrame, spec: dict[str, dict], mapping: dict[str, str] | No
             c = c.try_cast("double").try_cast("long")
         else:
             c = c.cast("string").try_cast(kind) if kind != "string" else c.cast("string")
+        bound = lambda x: F.lit(rule[x]).cast("double" if kind == "double" else "long")  # noqa: B023, E731
+        outside = F.lit(False)
         if "min" in rule:
-            c = F.when(c.isNotNull(), F.greatest(c, F.lit(rule["min"]).cast("double" if kind == "double" else "long")))
+            outside = outside | (c < bound("min"))
         if "max" in rule:
-            c = F.when(c.isNotNull(), F.least(c, F.lit(rule["max"]).cast("double" if kind == "double" else "long")))
+            outside = outside | (c > bound("max"))
+        held.append(outside)
+        if "min" in rule:
+            c = F.when(c.isNotNull(), F.greatest(c, bound("min")))
+        if "max" in rule:
+            c = F.when(c.isNotNull(), F.least(c, bound("max")))
         c = F.upper(c) if rule.get("upper") else F.lower(c) if rule.get("lower") else c
         if "allowed" in rule:
             c = F.when(c.isin(rule["allowed"]), c)
-        out.append((F.coalesce(c, F.lit(rule["default"])) if "default" in rule else c).alias(name))
+        invalid.append(raw.isNotNull() & c.isNull())
+        if "default" in rule:
+            filled.append(c.isNull())
+            c = F.coalesce(c, F.lit(rule["default"]))
+        out.append(c.alias(name))
     required = [n for n, rule in spec.items() if rule.get("required")]
-    result = df.select(*out)
-    return result.dropna(subset=required) if required else result
+    if seen is None:
+        result = df.select(*out)
+        return result.dropna(subset=required) if required else result
+    total = lambda flags: sum((F.when(f, 1).otherwise(0) for f in flags), F.lit(0)).cast("long")
+    counted = df.select(*out, *(total(flags).alias(n) for flags, n in ((filled, "_filled"), (held, "_held"), (invalid, "_invalid"))))
+    whole = F.lit(True)
+    for name in required:
+        whole = whole & F.col(name).isNotNull()
+    added = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("_filled", "missing_filled"), ("_held", "outliers_corrected"), ("_invalid", "invalid_cells"))]
+    watched = counted.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(whole).alias("rows_out"), *added)
+    return watched.where(whole).select(*spec)
 
 
 def coerce_scraped(df: DataFrame, schema: T.StructType, symbols: list[str] | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -205,17 +239,64 @@ def futures_rows(df: DataFrame, root: str = "VX") -> DataFrame:
 FUTURES_HEADER = ("Trade Date", "Futures", "Open", "High", "Low", "Settle", "Total Volume", "Open Interest")
 
 
-def read_futures_csv(spark: SparkSession, path: str, root: str = "VX") -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in FUTURES_HEADER])
-    return futures_rows(spark.read.schema(schema).option("header", True).csv(path), root)
+@dataclass(frozen=True)
+class CsvFiles:
+    """What was read: rows (the wanted columns as strings, and file), lines that do not fit their file's header (file, line), and files without the wanted columns (file, header, missing)."""
+
+    rows: DataFrame
+    malformed: DataFrame
+    rejected: DataFrame
 
 
-def read_contract_dir(spark: SparkSession, path: str, pattern: str = r"([A-Z]+[FGHJKMNQUVXZ]\d{2})[^/]*$") -> DataFrame:
-    """A folder of CSV files, one for each contract, named after it; malformed lines and rows without close go."""
-    schema = "date STRING, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE"
-    df = spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED").csv(path)
-    named = df.withColumn("symbol", F.regexp_extract(F.input_file_name(), pattern, 1))
-    return named.select(F.col("date").try_cast("timestamp").alias("timestamp"), "symbol", "open", "high", "low", "close", F.col("volume").cast("long").alias("volume")).dropna(subset=["close"])
+def read_csv_by_header(spark: SparkSession, path: str | list[str], wanted: Iterable[str], recursive: bool = False, strict: bool = True) -> CsvFiles:
+    """CSV files with a header each, whose columns may stand in any order among others; names are compared without case and blanks around them.
+
+    strict: a file that lacks a wanted column is an error that names it; else it is left out and reported. Files are read for
+    their first lines, and then for their rows, those with one header together. Lines of too many or too few cells are
+    no rows, nor are lines like the header. A cell does not go on over a line. An empty file has no header and no rows.
+    """
+    wanted = list(wanted)
+    clean = lambda name: name.strip().lstrip("\ufeff").strip().lower()
+    lines = spark.read.option("recursiveFileLookup", recursive).text(path)
+    file = F.col("_metadata.file_path")
+    first = lines.where("_metadata.file_block_start = 0").select("value", file.alias("file"), F.monotonically_increasing_id().alias("place"))
+    first = first.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    # headers are few; files are listed by the driver in any case
+    headers = [(r["header"], r["files"]) for r in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()]
+    rows = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in (*wanted, "file")))
+    malformed, rejected = spark.createDataFrame([], "file string, line string"), []
+    for header, files in sorted(headers, key=lambda h: h[1]):
+        names = [clean(c) for c in next(csv.reader([header]), [])]
+        missing = [c for c in wanted if names.count(clean(c)) != 1]
+        if missing:
+            rejected += [(f, header, ", ".join(missing)) for f in files]
+            continue
+        schema = ", ".join([*(f"c{k} string" for k in range(len(names))), "_line string"])
+        cells = F.from_csv("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"})
+        read = spark.read.text([unquote(f) for f in files]).where((F.col("value") != F.lit(header)) & (F.trim("value") != "")).select(file.alias("file"), "value", cells.alias("c"))
+        rows = rows.unionByName(read.where("c._line IS NULL").select(*(F.trim(f"c.c{names.index(clean(c))}").alias(c) for c in wanted), "file"))
+        malformed = malformed.unionByName(read.where("c._line IS NOT NULL").select("file", F.col("value").alias("line")))
+    if strict and rejected:
+        raise ValueError("; ".join(f"{f} lacks {missing}" for f, _, missing in rejected[:20]))
+    return CsvFiles(rows, malformed, spark.createDataFrame(rejected, "file string, header string, missing string"))
+
+
+def read_futures_csv(spark: SparkSession, path: str | list[str], root: str = "VX", strict: bool = True) -> DataFrame:
+    """Bars of futures CSV files, by their headers; see read_csv_by_header() for files that lack a column."""
+    return futures_rows(read_csv_by_header(spark, path, FUTURES_HEADER, strict=strict).rows, root)
+
+
+CONTRACT_HEADER = ("date", "open", "high", "low", "close", "volume")
+
+
+def read_contract_dir(spark: SparkSession, path: str, pattern: str = r"([A-Z]+[FGHJKMNQUVXZ]\d{2})[^/]*$", recursive: bool = False, strict: bool = True) -> DataFrame:
+    """A folder of CSV files, one or more for each contract, which the pattern finds in a file's path; rows without contract or close go."""
+    rows = read_csv_by_header(spark, path, CONTRACT_HEADER, recursive, strict).rows
+    named = rows.withColumn("symbol", F.nullif(F.regexp_extract(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), pattern, 1), F.lit("")))
+    number = lambda c: F.col(c).try_cast("double")
+    return named.select(
+        F.col("date").try_cast("timestamp").alias("timestamp"), "symbol", *(number(c).alias(c) for c in ("open", "high", "low", "close")), number("volume").cast("long").alias("volume")
+    ).dropna(subset=["symbol", "close"])
 
 
 #: Fields of account payloads by kind: name in the payload, column, and what it is. Numbers default to 0, texts to "".
