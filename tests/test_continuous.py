@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidebar.functions import calendars
 from tidebar.functions.calendars import instant
 from tidebar.operators import continuous, joins, rolls
+from tidebar.plans import catalog
 
 
 
@@ -95,3 +96,41 @@ def test_active_contract_by_mean_volume_over_sessions(spark):
     assert got[18]["nearest"] == "RM24" and got[18]["second"] is None
     active = rolls.active_by_volume(bars, contracts, sessions)
     assert [(r["roll_date"].day, r["from_contract"], r["to_contract"]) for r in rolls.rolls_of(active).collect()] == [(8, "RH24", "RM24")]
+
+
+RULES = [("W", "weekday", 4, 3, None), ("Q", "weekday", 0, 5, None), ("D", "before_day", None, 3, 25), ("E", "before_day", None, 9, 2), ("L", "before_last", None, 2, None), ("V", "vx", None, None, None)]
+
+
+def test_expiry_rules(spark):
+    """Good Friday of 2024, 29 March, and New Year of 2024 are no trading days."""
+    sessions = calendars.business_calendar(spark, "2022-12-01", "2025-03-31")
+    months = [dt.date(2024, m, 1) for m in (1, 2, 3, 4)] + [dt.date(2023, 5, 1)]
+    contracts = spark.createDataFrame([(r, f"{r}{m:%y%m}", m) for r in "WQDELVX" for m in months], "root string, symbol string, month date")
+    got = {r["symbol"]: r["expiry"].isoformat() for r in calendars.rule_expiry(contracts, spark.createDataFrame(RULES, calendars.RULES), sessions).collect()}
+    assert got["W2403"] == "2024-03-15" and got["Q2404"] == "2024-04-29" and got["Q2402"] == "2024-02-15"  # February has four Mondays
+    assert got["Q2401"] == "2024-01-15"  # of five Mondays two are holidays
+    assert got["D2403"] == "2024-03-20" and got["D2402"] == "2024-02-21"  # Saturday the 25th, and Sunday: Friday counts first
+    assert got["E2403"] == "2024-03-15"  # nine days before the 2nd are more than five days before the month
+    assert got["L2403"] == "2024-03-26" and got["L2401"] == "2024-01-29"
+    # VX of February 2024: 30 days before Friday 15 March; of May 2023: before Friday 16 June
+    assert got["V2402"] == "2024-02-14" and got["V2305"] == "2023-05-17" and got["X2403"] == "2024-03-15"
+
+
+def test_positions_of_a_series(spark):
+    day = dt.date.fromisoformat
+    rolls_ = spark.createDataFrame([("R", "A", "B", day("2024-01-10"), day("2024-01-01")), ("R", "B", "C", day("2024-02-10"), day("2024-02-01"))], "root string, from_contract string, to_contract string, roll_date date, expiry_month date")
+    got = sorted((r["position"], r["symbol"], r["start"] and r["start"].isoformat()[5:], r["end"] and r["end"].isoformat()[5:]) for r in continuous.position_lives(rolls_, 3).collect())
+    assert got == [(1, "A", None, "01-10"), (1, "B", "01-10", "02-10"), (1, "C", "02-10", None), (2, "B", None, "01-10"), (2, "C", "01-10", "02-10"), (3, "C", None, "01-10")]
+    months = {"A": "2024-01-01", "B": "2024-02-01", "C": "2024-03-01"}
+    bars = spark.createDataFrame([("R", s, dt.datetime(2024, 1, n), day(months[s]), float(n)) for s in "ABC" for n in (8, 9, 10, 11)], "root string, symbol string, timestamp timestamp, expiry_month date, close double")
+    cont = continuous.unadjusted_positions(bars, rolls_, 2)
+    assert sorted((r["position"], r["timestamp"].day, r["underlying_symbol"]) for r in cont.collect()) == [(1, 8, "A"), (1, 9, "A"), (1, 10, "B"), (1, 11, "B"), (2, 8, "B"), (2, 9, "B"), (2, 10, "C"), (2, 11, "C")]
+    want = cont.select("root", "position", F.to_date("timestamp").alias("date"), F.when((F.col("position") == 2) & (F.dayofmonth("timestamp") == 9), "A").otherwise(F.col("underlying_symbol")).alias("symbol"))
+    wrong = cont.withColumn("close", F.when((F.col("position") == 2) & (F.dayofmonth("timestamp") == 11), 12.0).otherwise(F.col("close")))
+    status = {(r["position"], r["timestamp"].day): r["status"] for r in continuous.verify_continuous(wrong, bars, want, rolls_.select("root", F.col("roll_date").alias("date"))).collect()}
+    assert status == {(1, 8): "OK", (1, 9): "OK", (1, 10): "ROLLOVER_ON_SETTLEMENT_DATE", (1, 11): "OK", (2, 8): "OK", (2, 9): "UNDERLYING_MISMATCH", (2, 10): "ROLLOVER_ON_SETTLEMENT_DATE", (2, 11): "LARGE_PRICE_DIFF"}
+
+
+def test_verification_makes_the_bars_once(spark):
+    plan = catalog.QUERIES["verify_continuous"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and plan.count("FileScan parquet") <= 9

@@ -85,19 +85,43 @@ def expected_expiries(spark: SparkSession, first_year: int, last_year: int, holi
     return on_or_before(wanted, calendar, "wanted").select("month", F.col("business").alias("expiry"))
 
 
-def rule_expiry(contracts: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Expiry of each contract (month, rule, n) by its rule: nth_friday, business_days_before_day, days_before_month_end; else the 15th."""
-    rule, n = F.col("rule"), F.col("n")
-    wanted = (
-        F.when(rule == "nth_friday", F.date_add(F.next_day(F.date_sub("month", 1), "Fri"), 7 * (n - 1)))
-        .when(rule == "business_days_before_25th", F.date_add("month", 23))
-        .when(rule == "days_before_month_end", F.date_sub(F.last_day("month"), n))
-        .otherwise(F.date_add("month", 14))
-    )
-    found = on_or_before(contracts.withColumn("wanted", wanted), calendar, "wanted")
-    numbered = with_ordinal(calendar).select(F.col("date").alias("back"), F.col("ordinal").alias("at"))
-    steps = F.when(rule == "business_days_before_25th", n - 1).otherwise(0)
-    return found.join(F.broadcast(numbered), F.col("ordinal") - steps == F.col("at"), "left").drop("at", "ordinal", "business", "wanted").withColumnRenamed("back", "expiry")
+#: Columns of expiry rules: root, kind, weekday (0: Monday), n, day. Kinds: weekday (the n-th such trading day of the month), before_day (n trading
+#: days before a day of the month), before_last (n trading days before the month's last), vx (30 days before the next month's third Friday).
+RULES = "root string, kind string, weekday int, n int, day int"
+
+
+def ranked_days(calendar: DataFrame) -> DataFrame:
+    """(date, ordinal, month, weekday, nth, back): each trading day with its place among those of its weekday in the month, and from the month's end."""
+    month, weekday = F.trunc("date", "month").alias("month"), F.weekday("date").alias("weekday")
+    known = with_ordinal(calendar).select("date", "ordinal", month, weekday)
+    place = lambda keys, order: F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    return known.withColumns({"nth": place(("month", "weekday"), F.col("date")), "back": place(("month",), F.col("date").desc())})
+
+
+def rule_expiry(contracts: DataFrame, rules: DataFrame, calendar: DataFrame) -> DataFrame:
+    """contracts (root, month, …) with rule (its kind) and expiry, by the rules (RULES) of their roots.
+
+    A rule that the month has no day for, and a root without a rule, give the 15th. before_day counts from the days strictly before
+    its day, and not further back than five days before the month. vx takes Fridays that are trading days, and of a
+    Wednesday that is none the last trading day of the five days before it (none: that Wednesday).
+    """
+    days = ranked_days(calendar)
+    ruled = contracts.join(F.broadcast(rules.select("root", F.col("kind").alias("rule"), F.col("weekday").alias("_weekday"), F.col("n").alias("_n"), F.col("day").alias("_day"))), "root", "left")
+    by_weekday = days.select(F.col("month"), F.col("weekday").alias("_weekday"), F.col("nth").alias("_n"), F.col("date").alias("_by_weekday"))
+    by_end = days.select(F.col("month"), (F.col("back") - 1).alias("_n"), F.col("date").alias("_by_end"))
+    fridays = days.where("weekday = 4 AND nth = 3").select(F.add_months("month", -1).alias("month"), F.date_sub("date", 30).alias("_wednesday"))
+    out = ruled.join(F.broadcast(by_weekday), ["month", "_weekday", "_n"], "left").join(F.broadcast(by_end), ["month", "_n"], "left").join(F.broadcast(fridays), "month", "left")
+    # the last trading day up to a wanted one, with its ordinal
+    wanted = F.when(F.col("rule") == "before_day", F.date_add("month", F.col("_day") - 2)).when(F.col("rule") == "vx", F.col("_wednesday"))
+    found = on_or_before(out.withColumn("_wanted", wanted), calendar, "_wanted")
+    numbered = days.select(F.col("date").alias("_back"), F.col("ordinal").alias("_at"))
+    found = found.join(F.broadcast(numbered), F.col("ordinal") - (F.col("_n") - 1) == F.col("_at"), "left")
+    of = lambda kind, value: F.when(F.col("rule") == kind, value)
+    expiry = F.coalesce(
+        of("weekday", F.col("_by_weekday")), of("before_last", F.col("_by_end")), of("before_day", F.when(F.col("_back") >= F.date_sub("month", 5), F.col("_back"))),
+        of("vx", F.when(F.col("business") >= F.date_sub("_wednesday", 5), F.col("business")).otherwise(F.col("_wednesday"))), F.date_add("month", 14),
+    )
+    return found.select(*contracts.columns, "rule", expiry.alias("expiry"))
 
 
 def holiday_label(date: Column) -> Column:

@@ -26,6 +26,31 @@ def segments(rolls: DataFrame) -> DataFrame:
     return ends.union(starts).groupBy("root", "symbol").agg(F.max("start").alias("start"), F.max("end").alias("end"))
 
 
+def position_lives(rolls: DataFrame, positions: int) -> DataFrame:
+    """(root, position, symbol, start, end): when each contract is the series at a position (1: the front).
+
+    The series at position p goes on by one contract whenever the front rolls, so that a contract is at p from the roll p places before
+    its own to that p - 1 places before. rolls: consecutive contracts, root, from_contract, to_contract, roll_date, expiry_month.
+    """
+    # the last contract of a root is no roll's source: it follows from its roll's target
+    own = F.struct(F.col("from_contract").alias("symbol"), "roll_date", F.lit(0).alias("_last"))
+    end = F.struct(F.col("to_contract").alias("symbol"), F.lit(None).cast("date").alias("roll_date"), F.lit(1).alias("_last"))
+    last = F.row_number().over(Window.partitionBy("root").orderBy(F.col("expiry_month").desc(), F.col("from_contract").desc())) == 1
+    chain = rolls.withColumn("_end", last).select("root", "expiry_month", "from_contract", F.inline(F.when(F.col("_end"), F.array(own, end)).otherwise(F.array(own))))
+    w = Window.partitionBy("root").orderBy("expiry_month", "from_contract", "_last")
+    spans = [F.struct(F.lit(p).alias("position"), F.lag("roll_date", p).over(w).alias("start"), (F.lag("roll_date", p - 1).over(w) if p > 1 else F.col("roll_date")).alias("end"), (F.row_number().over(w) >= p).alias("_known")) for p in range(1, positions + 1)]
+    return chain.select("root", "symbol", F.array(*spans).alias("s")).select("root", "symbol", F.inline("s")).where("_known").select("root", "position", "symbol", "start", "end")
+
+
+def unadjusted_positions(bars: DataFrame, rolls: DataFrame, positions: int) -> DataFrame:
+    """unadjusted() for several positions at once, with the column position; bars are read once."""
+    date = day("timestamp")
+    inside = (F.col("start").isNull() | (date >= F.col("start"))) & (F.col("end").isNull() | (date < F.col("end")))
+    met = bars.join(position_lives(rolls, positions), ["root", "symbol"]).where(inside)
+    rank = F.row_number().over(Window.partitionBy("root", "position", "timestamp").orderBy("expiry_month", "symbol"))
+    return met.withColumn("_rank", rank).where("_rank = 1").drop("_rank", "start", "end").withColumnRenamed("symbol", "underlying_symbol")
+
+
 def unadjusted(bars: DataFrame, rolls: DataFrame, terms: bool = False) -> DataFrame:
     """One row for each root and timestamp, of the contract whose segment holds it; the earlier expiry if two do.
 
@@ -217,17 +242,18 @@ def verify_rollovers(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def verify_continuous(cont: DataFrame, bars: DataFrame, expected: DataFrame, settlements: DataFrame, tolerance: float = 0.001) -> DataFrame:
-    """A status for each row of a continuous series.
+    """A status for each row of continuous series, of one position or (with a column position in cont and expected) of several in one pass.
 
     expected: root, date, symbol that should be in force; settlements: root, date of rolls. The contract before is the
-    last that was not null.
+    last of the position that was not null.
     """
+    key = ["root", "position"] if "position" in cont.columns else ["root"]
     close = bars.select(F.col("symbol").alias("underlying_symbol"), day("timestamp").alias("date"), F.col("close").alias("contract_close"))
-    want = expected.select("root", "date", F.col("symbol").alias("expected_symbol"))
+    want = expected.select(*key, "date", F.col("symbol").alias("expected_symbol"))
     due = settlements.select("root", "date", F.lit(True).alias("_due")).distinct()
-    before = F.last("underlying_symbol", ignorenulls=True).over(Window.partitionBy("root").orderBy("date").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.last("underlying_symbol", ignorenulls=True).over(Window.partitionBy(*key).orderBy("date").rowsBetween(Window.unboundedPreceding, -1))
     df = cont.withColumn("date", day("timestamp")).withColumn("_before", before)
-    df = df.join(want, ["root", "date"], "left").join(close, ["underlying_symbol", "date"], "left").join(due, ["root", "date"], "left")
+    df = df.join(want, [*key, "date"], "left").join(close, ["underlying_symbol", "date"], "left").join(due, ["root", "date"], "left")
     rolled = F.col("_before").isNotNull() & (F.col("_before") != F.col("underlying_symbol"))
     off = F.abs(F.try_divide(F.col("close") - F.col("contract_close"), F.col("contract_close")))
     on_day = F.col("_due").isNotNull()
@@ -244,4 +270,4 @@ def verify_continuous(cont: DataFrame, bars: DataFrame, expected: DataFrame, set
         .when(off > tolerance, "SMALL_PRICE_DIFF")
         .otherwise("OK")
     )
-    return df.select("root", "timestamp", "underlying_symbol", "expected_symbol", status.alias("status"))
+    return df.select(*key, "timestamp", "underlying_symbol", "expected_symbol", status.alias("status"))

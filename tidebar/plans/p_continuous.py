@@ -10,7 +10,7 @@ from tidebar.operators import rolls as o
 from tidebar.operators.joins import active_contract
 from tidebar.plans.p_joins import ACTIVE
 from tidebar.plans.register import query
-from tidebar.sources.adapters import Tables
+from tidebar.sources.adapters import Tables, contracts_of
 
 
 def _cross(measure: str, ratio: float) -> str:
@@ -235,25 +235,41 @@ def _(t: Tables):
     return c.verify_rollovers(actual, vrolls(t).select("root", F.col("roll_date").alias("date")))
 
 
-_STATUS = """SELECT root, timestamp, underlying_symbol, expected_symbol, CASE WHEN underlying_symbol IS NULL THEN 'MISSING_UNDERLYING' WHEN close IS NULL THEN 'MISSING_CONTINUOUS_PRICE' WHEN cc IS NULL THEN 'MISSING_CONTRACT_PRICE' WHEN rolled AND off > 0.001 THEN 'ROLLOVER_PRICE_MISMATCH' WHEN rolled AND due THEN 'ROLLOVER_ON_SETTLEMENT_DATE'
+#: Positions that are verified: each against the mapping of the nearest contracts.
+POSITIONS = 3
+VERIFY = {
+    **C,
+    "chain": "SELECT root, symbol, expiry_month, roll_date FROM (SELECT root, from_contract AS symbol, expiry_month, roll_date FROM v_rolls UNION ALL SELECT root, to_contract, NULL, NULL FROM v_rolls QUALIFY row_number() OVER (PARTITION BY root ORDER BY expiry_month DESC, from_contract DESC) = 1)",
+    "lives": "SELECT root, p AS position, symbol, CASE p WHEN 1 THEN r1 WHEN 2 THEN r2 ELSE r3 END AS s, CASE p WHEN 1 THEN r0 WHEN 2 THEN r1 ELSE r2 END AS e FROM (SELECT root, symbol, roll_date AS r0, lag(roll_date, 1) OVER w AS r1, lag(roll_date, 2) OVER w AS r2, lag(roll_date, 3) OVER w AS r3, row_number() OVER w AS k FROM chain WINDOW w AS (PARTITION BY root ORDER BY expiry_month NULLS LAST, symbol)), (VALUES (1), (2), (3)) v(p) WHERE k >= p",
+    "stitched_all": "SELECT b.root, position, b.symbol AS underlying_symbol, b.timestamp, b.close FROM contract_bars b JOIN lives g ON g.root = b.root AND g.symbol = b.symbol WHERE (s IS NULL OR b.timestamp >= s) AND (e IS NULL OR b.timestamp < e) QUALIFY row_number() OVER (PARTITION BY b.root, position, b.timestamp ORDER BY b.expiry_month, b.symbol) = 1",
+}
+_STATUS = """SELECT root, position, timestamp, underlying_symbol, expected_symbol, CASE WHEN underlying_symbol IS NULL THEN 'MISSING_UNDERLYING' WHEN close IS NULL THEN 'MISSING_CONTINUOUS_PRICE' WHEN cc IS NULL THEN 'MISSING_CONTRACT_PRICE' WHEN rolled AND off > 0.001 THEN 'ROLLOVER_PRICE_MISMATCH' WHEN rolled AND due THEN 'ROLLOVER_ON_SETTLEMENT_DATE'
     WHEN rolled THEN 'ROLLOVER_NOT_ON_SETTLEMENT_DATE' WHEN due AND p IS NOT NULL THEN 'MISSED_ROLLOVER' WHEN expected_symbol <> underlying_symbol THEN 'UNDERLYING_MISMATCH' WHEN off > 0.01 THEN 'LARGE_PRICE_DIFF' WHEN off > 0.001 THEN 'SMALL_PRICE_DIFF' ELSE 'OK' END AS status FROM
-    (SELECT s.*, x.active_contract AS expected_symbol, b.close AS cc, abs((s.close - b.close) / nullif(b.close, 0)) AS off, coalesce(s.p <> s.underlying_symbol, false) AS rolled, v.roll_date IS NOT NULL AS due FROM (SELECT *, lag(underlying_symbol) OVER (PARTITION BY root ORDER BY timestamp) AS p FROM stitched) s
-    LEFT JOIN active x ON x.root = s.root AND x.date = s.timestamp::DATE LEFT JOIN contract_bars b ON b.symbol = s.underlying_symbol AND b.timestamp = s.timestamp LEFT JOIN (SELECT DISTINCT root, roll_date FROM v_rolls) v ON v.root = s.root AND v.roll_date = s.timestamp::DATE)"""
+    (SELECT s.*, x.symbol AS expected_symbol, b.close AS cc, abs((s.close - b.close) / nullif(b.close, 0)) AS off, coalesce(s.p <> s.underlying_symbol, false) AS rolled, v.roll_date IS NOT NULL AS due FROM (SELECT *, lag(underlying_symbol) OVER (PARTITION BY root, position ORDER BY timestamp) AS p FROM stitched_all) s
+    LEFT JOIN mapped x ON x.root = s.root AND x.position = s.position AND x.date = s.timestamp::DATE LEFT JOIN contract_bars b ON b.symbol = s.underlying_symbol AND b.timestamp = s.timestamp LEFT JOIN (SELECT DISTINCT root, roll_date FROM v_rolls) v ON v.root = s.root AND v.roll_date = s.timestamp::DATE)"""
 
 
 def _verified(t: Tables):
-    expected = active_contract(t.contract_bars, t.contracts).withColumnRenamed("active_contract", "symbol")
-    return c.verify_continuous(stitched(t), t.contract_bars, expected, vrolls(t).select("root", F.col("roll_date").alias("date")))
+    from tidebar.plans.p_tables import scratch
+
+    # the contracts' bars are made once, and read by all that follows
+    path = f"{scratch(t)}/contract_bars"
+    t.contract_bars.select("root", "symbol", "expiry_month", "timestamp", "close", "volume").write.parquet(path)
+    bars = t.spark.read.parquet(path)
+    contracts = contracts_of(bars)
+    rolls = o.rolls_volume(bars, contracts)
+    mapping = o.continuous_mapping(bars.select("root", F.to_date("timestamp").alias("date")).distinct(), contracts, POSITIONS)
+    return c.verify_continuous(c.unadjusted_positions(bars, rolls, POSITIONS), bars, mapping, rolls.select("root", F.col("roll_date").alias("date")))
 
 
-@query("verify_continuous", _STATUS, C)
+@query("verify_continuous", _STATUS, VERIFY)
 def _(t: Tables):
     return _verified(t)
 
 
-@query("verify_summary", f"SELECT status, count(*) AS n FROM ({' '.join(_STATUS.split())}) GROUP BY status", C)
+@query("verify_summary", f"SELECT position, status, count(*) AS n FROM ({' '.join(_STATUS.split())}) GROUP BY position, status", VERIFY)
 def _(t: Tables):
-    return _verified(t).groupBy("status").agg(F.count("*").alias("n"))
+    return _verified(t).groupBy("position", "status").agg(F.count("*").alias("n"))
 
 
 @query("adjustment_registry", _adjusted("{} + ga", "ga"), C)

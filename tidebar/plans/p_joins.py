@@ -211,13 +211,23 @@ def _(t: Tables):
     return t.contracts.join(F.broadcast(expiries), "expiry_month", "left").select("symbol", "expiry")
 
 
-@query("rule_expiry", f"""SELECT symbol, rule, (SELECT d FROM ord WHERE o = (SELECT max(o) FROM ord WHERE d <= w) - CASE WHEN rule = 'business_days_before_25th' THEN 2 ELSE 0 END) AS expiry FROM (SELECT symbol, rule, CASE rule WHEN 'nth_friday' THEN CAST({_THIRD.format('expiry_month')} AS DATE)
-    WHEN 'business_days_before_25th' THEN expiry_month + 23 WHEN 'days_before_month_end' THEN last_day(expiry_month) - 3 ELSE expiry_month + 14 END AS w FROM (SELECT *, CASE root WHEN 'PROMO' THEN 'nth_friday' WHEN 'SMALL' THEN 'business_days_before_25th' WHEN 'LARGE' THEN 'days_before_month_end' ELSE 'other' END AS rule FROM contracts))""", CAL)
-def _(t: Tables):
-    root = F.col("root")
-    rule = F.when(root == "PROMO", "nth_friday").when(root == "SMALL", "business_days_before_25th").when(root == "LARGE", "days_before_month_end").otherwise("other")
-    ruled = t.contracts.select("symbol", F.col("expiry_month").alias("month"), rule.alias("rule"), F.lit(3).alias("n"))
-    return c.rule_expiry(ruled, _calendar(t)).select("symbol", "rule", "expiry")
+#: An expiry rule for each kind, by root; other roots have none.
+EXPIRY_RULES = (("PROMO", "weekday", 4, 3, None), ("ECONOMY", "weekday", 0, 5, None), ("SMALL", "before_day", None, 3, 25), ("LARGE", "before_last", None, 3, None), ("STANDARD", "vx", None, None, None))
+_RULE_ROWS = ", ".join("({})".format(", ".join("NULL" if v is None else repr(v) for v in row)) for row in EXPIRY_RULES)
+RULE_CTES = {
+    **CAL,
+    "rules": f"SELECT * FROM (VALUES {_RULE_ROWS}) v(root, kind, weekday, n, day)",
+    "ranked": "SELECT d, date_trunc('month', d)::DATE AS m, isodow(d) - 1 AS w, row_number() OVER (PARTITION BY date_trunc('month', d), isodow(d) ORDER BY d) AS nth, row_number() OVER (PARTITION BY date_trunc('month', d) ORDER BY d DESC) - 1 AS back FROM cal",
+}
+
+
+@query("rule_expiry", """SELECT k.symbol, kind AS rule, coalesce(CASE kind WHEN 'weekday' THEN (SELECT d FROM ranked WHERE m = expiry_month AND w = weekday AND nth = n) WHEN 'before_last' THEN (SELECT d FROM ranked WHERE m = expiry_month AND back = n)
+    WHEN 'before_day' THEN (SELECT d FROM ord WHERE o = (SELECT max(o) FROM ord WHERE d < expiry_month + day - 1) - n + 1 AND d >= expiry_month - 5)
+    WHEN 'vx' THEN (SELECT coalesce((SELECT max(d) FROM cal WHERE d <= f.d - 30 AND d >= f.d - 35), f.d - 30) FROM ranked f WHERE f.m = (expiry_month + INTERVAL 1 MONTH)::DATE AND f.w = 4 AND f.nth = 3) END, expiry_month + 14) AS expiry FROM contracts k LEFT JOIN rules USING (root)""", RULE_CTES)
+def _(t: Tables):
+    rules = t.spark.createDataFrame(EXPIRY_RULES, c.RULES)
+    contracts = t.contracts.select("root", "symbol", F.col("expiry_month").alias("month"))
+    return c.rule_expiry(contracts, rules, _calendar(t)).select("symbol", "rule", "expiry")
 
 
 @query("holiday_label", """SELECT date, CASE WHEN m = 1 AND d = 1 THEN 'New Year' WHEN m = 1 AND w = 1 AND d BETWEEN 15 AND 21 THEN 'Martin Luther King Day' WHEN m = 2 AND w = 1 AND d BETWEEN 15 AND 21 THEN 'Presidents Day' WHEN m = 5 AND w = 1 AND d >= 25 THEN 'Memorial Day'

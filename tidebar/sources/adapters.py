@@ -124,9 +124,7 @@ class Tables:
 
     @cached_property
     def contracts(self) -> DataFrame:
-        return self.contract_bars.groupBy("root", "symbol", "expiry_month").agg(
-            F.to_date(F.min("timestamp")).alias("first_date"), F.to_date(F.max("timestamp")).alias("last_date"), F.count("*").alias("days")
-        )
+        return contracts_of(self.contract_bars)
 
     @cached_property
     def dirty_bars(self) -> DataFrame:
@@ -189,6 +187,11 @@ class Tables:
         return self.table("part").groupBy(F.col("p_brand").alias("symbol")).agg(F.max("p_retailprice").alias("margin")).withColumn("multiplier", F.regexp_extract("symbol", "([0-9]+)$", 1).cast("int") % 4 * 25.0 + 25.0)
 
 
+def contracts_of(bars: DataFrame) -> DataFrame:
+    """(root, symbol, expiry_month, first_date, last_date, days) of contracts' bars."""
+    return bars.groupBy("root", "symbol", "expiry_month").agg(F.to_date(F.min("timestamp")).alias("first_date"), F.to_date(F.max("timestamp")).alias("last_date"), F.count("*").alias("days"))
+
+
 def ohlc(px: Column, key: Column) -> list[Column]:
     """Open, high, low and close of a group, first and last by key."""
     return [F.min_by(px, key).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"), F.max_by(px, key).alias("close")]
