@@ -5,15 +5,17 @@ import math
 import pathlib
 import pickle
 import random
+import re
 import subprocess
 import sys
+import time
 import zlib
 
 import duckdb
 import numpy as np
 import pytest
 
-from tidebar.llm import conversation_trie, decontaminate, html_text, language, oracles, urls, vector_codes
+from tidebar.llm import chat, conversation_trie, decontaminate, html_text, language, oracles, urls, vector_codes
 from tidebar.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -371,3 +373,34 @@ def test_references_of_any_characters(spark):
     want = ["aéb", "😀x", "&#0;&#55296;", "&amp;", "a&b&", "/", "//", None]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     assert [r[1] for r in df.select("i", urls.decoded(df["t"])).orderBy("i").collect()] == want
+
+
+def test_lines_in_a_row_equal_brute_force(spark):
+    rng = random.Random(4)
+    line = lambda: " ".join(rng.choice(["a", "B", "c", ""]) for _ in range(rng.randint(0, 4)))
+    texts = [(c, t, "\n".join(rng.choice([line(), "> " + line()]) for _ in range(rng.randint(0, 14)))) for c in range(3) for t in range(4)] + [(0, 1, "a\nB\nc\na b"), (0, 1, "a\nB\nc\na b")]
+    lengths = [(0, 2), (0, 3), (1, 2), (2, 5), (9, 2)]
+    plain = lambda rows: tuple(" ".join(rows).lower().split())
+    want = {}
+    for c, t, text in texts:
+        own = [x for x in text.split("\n") if not re.match(r"[ \t]*>", x)]
+        for n in [n for k, n in lengths if k == c]:
+            for i in range(len(own) - n + 1):
+                if said := plain(own[i : i + n]):
+                    want[c, n, said] = min(t, want.get((c, n, said), t))
+    messages, asked = spark.createDataFrame(texts, "conv_id long, turn long, text string"), spark.createDataFrame(lengths, "conv_id long, lines int")
+    got = {(r["conv_id"], r["lines"], tuple(r["print"])): r["said"] for r in chat.lines_in_a_row(messages, asked).collect()}
+    rows = spark.createDataFrame([(*k[:2], " ".join(k[2]), v) for k, v in want.items()], "conv_id long, lines int, said_text string, said long")
+    prints = {(r["conv_id"], r["lines"], tuple(r["p"])): r["said"] for r in rows.select("*", chat.print_of(rows["said_text"]).alias("p")).collect()}
+    assert got == prints and len(prints) == len(want)
+
+
+def test_a_long_quotation_is_linked_in_little_time(spark):
+    lines = [f"line {i} of many" for i in range(16_000)]
+    quote = "\n".join("> " + x for x in lines[4000:12_000])
+    rows = [(1, 0, "user", "\n".join(lines)), (1, 1, "user", "something else"), (1, 2, "assistant", quote + "\nI agree.")]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chat.answers(messages.limit(1)).collect()  # what is compiled once
+    began = time.time()
+    assert [tuple(r) for r in chat.answers(messages).collect()] == [(1, 2, 0)]
+    assert time.time() - began < 25

@@ -4,7 +4,7 @@ Lines that begin with > are quoted, nested as deep as they have such marks.
 Runs of lines of one level are passages; a quoted passage is normalised, hashed
 and joined to the earliest message of its conversation that says the same in
 its own words, as a whole, a run, a line, or, for a passage of several lines, some lines
-in a row. A message answers the original of its least nested linked quotation
+in a row (found by sums of hashes of words, see print_of()). A message answers the original of its least nested linked quotation
 (the latest of these), and a thread is what answers lead back to one message.
 Quotations are left out of the result.
 
@@ -15,7 +15,8 @@ message is the first of its own thread, and the order is that of turns.
 
 A null or empty text says nothing. Messages with a null conv_id or turn link to nothing and
 have no place but the first. Repeated rows all stay, with the same place each; a passage that
-several messages say goes to the earliest. A long text is split into lines where it stands. No
+several messages say goes to the earliest. A long text is split into lines, whose number counts once for each length of a
+quotation that its conversation looks for. No
 rows give none; columns of any other name play no part.
 """
 
@@ -80,13 +81,49 @@ def digest(passage: Column) -> Column:
     return F.sha2(F.lower(F.trim(F.regexp_replace(passage, r"\s+", " "))), 256)
 
 
+#: Primes below 2 ** 31, so that products fit a long, and a base for each.
+PRIMES = ((2147483647, 911382323), (2147483629, 972663749), (2147483587, 690690697))
+#: Bits of the number of words of a message.
+WORD_BITS = 31
+
+
+def _power(base: int, prime: int, exponent: Column) -> Column:
+    """base ** exponent modulo the prime, by squares made beforehand."""
+    squares = F.array(*(F.struct(F.lit(b).alias("bit"), F.lit(pow(base, 1 << b, prime)).cast("long").alias("value")) for b in range(WORD_BITS)))
+    bit = lambda s: F.bit_get(exponent, s["bit"]) == 1
+    return F.aggregate(F.filter(squares, bit), F.lit(1).cast("long"), lambda acc, s: acc * s["value"] % F.lit(prime))
+
+
+def _words(text: Column) -> Column:
+    """The words of a passage, as its digest has them."""
+    return F.filter(F.split(F.lower(F.regexp_replace(text, r"\s+", " ")), " "), lambda w: w != "")
+
+
+def print_of(text: Column) -> Column:
+    """struct<words, h0, h1, h2>: the number of words of a passage, and their sum in powers of a base by place, modulo each prime.
+
+    Prints of texts one after another add up to that of the whole, and from the sums up to two places comes that of what is between.
+    """
+    start = F.struct(F.lit(0).cast("long").alias("words"), *(x for k in range(len(PRIMES)) for x in (F.lit(0).cast("long").alias(f"h{k}"), F.lit(1).cast("long").alias(f"p{k}"))))
+
+    def add(acc: Column, word: Column) -> Column:
+        own = F.xxhash64(word)
+        parts = [(acc["words"] + 1).alias("words")]
+        for k, (prime, base) in enumerate(PRIMES):
+            parts += [((acc[f"h{k}"] + F.pmod(own, F.lit(prime)) * acc[f"p{k}"]) % F.lit(prime)).alias(f"h{k}"), (acc[f"p{k}"] * F.lit(base) % F.lit(prime)).alias(f"p{k}")]
+        return F.struct(*parts)
+
+    return F.aggregate(_words(text), start, add, lambda acc: F.struct(acc["words"].alias("words"), *(acc[f"h{k}"].alias(f"h{k}") for k in range(len(PRIMES)))))
+
+
 def quotations(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, lines, hash) of each quoted passage that has words."""
+    """(conv_id, turn, level, lines, hash, print) of each quoted passage that has words; print: of passages of several lines."""
     some = messages.where(F.col("text").rlike(QUOTED) & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
     each = some.select("conv_id", "turn", F.explode(passages(F.col("text"))).alias("p")).where("p.level > 0")
+    lines = F.size(F.split("p.text", "\n", -1))
     return (
         each.where(F.col("p.text").rlike(r"\S"))
-        .select("conv_id", "turn", F.col("p.level").alias("level"), F.size(F.split("p.text", "\n", -1)).alias("lines"), digest(F.col("p.text")).alias("hash"))
+        .select("conv_id", "turn", F.col("p.level").alias("level"), lines.alias("lines"), digest(F.col("p.text")).alias("hash"), F.when(lines > 1, print_of(F.col("p.text"))).alias("print"))
         .distinct()
     )
 
@@ -106,11 +143,30 @@ def originals(messages: DataFrame) -> DataFrame:
 
 
 def lines_in_a_row(messages: DataFrame, lengths: DataFrame) -> DataFrame:
-    """The same for every so many own lines in a row; lengths: conv_id, lines, the numbers of lines that are asked for."""
+    """(conv_id, lines, print, said): the first turn that says a passage in so many of its own lines in a row; lengths: conv_id, lines, the numbers of lines that are asked for.
+
+    A message's lines are rows with the print of all that stands before each (a running sum), so that the print of any
+    lines in a row is a difference of two. Nothing is put together but for the rows of a start and an end: one for each line and
+    number of lines that its conversation asks for.
+    """
     own = F.filter(_lines(F.col("text")), lambda line: ~line.rlike(MARKS))
-    asked = messages.join(lengths, "conv_id").select("conv_id", "turn", "lines", own.alias("own")).where("size(own) > lines")
-    starts = F.sequence(F.lit(1), F.size("own") - F.col("lines") + 1)
-    return _first(asked.select("conv_id", "turn", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("own", i, F.col("lines")), "\n"))).alias("passage")))
+    asked = messages.join(lengths.select("conv_id").distinct(), "conv_id", "left_semi")
+    # rows of one conversation and turn are told apart by their text; one more line marks the end
+    each = asked.select("conv_id", "turn", F.xxhash64("text").alias("m"), F.posexplode(F.concat(own, F.array(F.lit("")))).alias("i", "line"))
+    each = each.select("conv_id", "turn", "m", "i", print_of(F.col("line")).alias("p")).dropDuplicates(["conv_id", "turn", "m", "i"])
+    before = Window.partitionBy("conv_id", "turn", "m").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    placed = each.withColumn("words", F.coalesce(F.sum("p.words").over(before), F.lit(0).cast("long")))
+    for k, (prime, base) in enumerate(PRIMES):
+        placed = placed.withColumn(f"t{k}", F.col(f"p.h{k}") * _power(base, prime, F.col("words")) % F.lit(prime))
+    sums = {f"s{k}": F.coalesce(F.sum(f"t{k}").over(before), F.lit(0).cast("long")) % F.lit(prime) for k, (prime, _) in enumerate(PRIMES)}
+    places = cut(placed.withColumns(sums).select("conv_id", "turn", "m", "i", "words", *sums))
+    ends = places.select("conv_id", "turn", "m", F.col("i").alias("end"), F.col("words").alias("_words"), *(F.col(s).alias(f"_{s}") for s in sums))
+    runs = places.join(lengths.select("conv_id", "lines").distinct(), "conv_id").withColumn("end", F.col("i") + F.col("lines")).join(ends, ["conv_id", "turn", "m", "end"])
+    between = [
+        (F.pmod(F.col(f"_s{k}") - F.col(f"s{k}"), F.lit(prime)) * _power(pow(base, -1, prime), prime, F.col("words")) % F.lit(prime)).alias(f"h{k}") for k, (prime, base) in enumerate(PRIMES)
+    ]
+    found = runs.select("conv_id", "lines", "turn", F.struct((F.col("_words") - F.col("words")).alias("words"), *between).alias("print"))
+    return found.where("print.words > 0").groupBy("conv_id", "lines", "print").agg(F.min("turn").alias("said"))
 
 
 def answers(messages: DataFrame) -> DataFrame:
@@ -123,7 +179,7 @@ def answers(messages: DataFrame) -> DataFrame:
     rest = linked.where("lines > 1 and (said is null or said >= turn)").drop("said")
     found = linked.where("said < turn")
     if not rest.isEmpty():
-        found = found.unionByName(rest.join(lines_in_a_row(asked, rest.select("conv_id", "lines").distinct()), ["conv_id", "hash"]).where("said < turn"))
+        found = found.unionByName(rest.join(lines_in_a_row(asked, rest.select("conv_id", "lines").distinct()), ["conv_id", "lines", "print"]).where("said < turn"))
     return found.groupBy("conv_id", "turn").agg(F.max_by("said", F.struct(-F.col("level"), "said")).alias("parent_turn"))
 
 
