@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidebar.functions.calendars import holiday_label
 from tidebar.functions.scalars import by_symbol, day, r, recent
 
 
@@ -104,10 +105,11 @@ def series_completeness(cont: DataFrame, n: int) -> DataFrame:
 
 
 def missing_patterns(missing: DataFrame) -> DataFrame:
-    """Counts of missing dates by year, month and weekday, in one pass of grouping sets."""
-    parts = missing.select(F.year("date").alias("year"), F.month("date").alias("month"), F.weekday("date").alias("weekday"))
-    counted = parts.groupingSets([["year"], ["month"], ["weekday"]], "year", "month", "weekday").agg(F.count("*").alias("n"))
-    return counted.fillna(-1, ["year", "month", "weekday"])  # -1: over all
+    """Counts of missing dates by year, month, weekday and holiday (`none` for other days), in one pass of grouping sets."""
+    holiday = F.coalesce(holiday_label(F.col("date")), F.lit("none"))
+    parts = missing.select(F.year("date").alias("year"), F.month("date").alias("month"), F.weekday("date").alias("weekday"), holiday.alias("holiday"))
+    counted = parts.groupingSets([["year"], ["month"], ["weekday"], ["holiday"]], "year", "month", "weekday", "holiday").agg(F.count("*").alias("n"))
+    return counted.fillna(-1, ["year", "month", "weekday"]).fillna("", ["holiday"])  # -1 and "": over all
 
 
 def trades_daily(trades: DataFrame, initial: float = 100_000.0) -> DataFrame:

@@ -206,14 +206,16 @@ def append_new(existing: DataFrame, built: DataFrame, key: str = "root", force:
 
 
 def roll_analysis(cont: DataFrame, n: int = 5) -> DataFrame:
-    """Rolls with the ratio of closes over the roll and the return of the n rows before and after."""
+    """Rolls with the ratio of closes over the roll, the return of the n rows before and after, and the yearly volatility of the whole series in percent."""
     w = by_symbol(key="root")
     close = F.col("close")
-    out = cont.select(
+    moved = cont.withColumn("_return", F.try_divide(close, F.lag("close").over(w)) - 1)
+    out = moved.select(
         "root", "timestamp", F.lag("underlying_symbol").over(w).alias("from_contract"), F.col("underlying_symbol").alias("to_contract"),
         r(F.try_divide(close, F.lag(close).over(w))).alias("factor"),
         r(F.try_divide(F.lag(close, 1).over(w), F.lag(close, n + 1).over(w)) - 1).alias("return_before"),
         r(F.try_divide(F.lead(close, n).over(w), close) - 1).alias("return_after"),
+        r(F.stddev_samp("_return").over(Window.partitionBy("root")) * F.sqrt(F.lit(252.0)) * 100, 4).alias("volatility"),
     )
     return out.where("from_contract <> to_contract")
 

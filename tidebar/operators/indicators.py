@@ -145,11 +145,16 @@ def noise_bands(ticks: DataFrame, lookback: int = 14, mult: float = 1.0) -> Data
     return df.withColumns({"upper": F.greatest(up, low), "lower": F.least(up, low)}).drop("slot")
 
 
-def breakout_signals(bands: DataFrame, hours: tuple[int, int] = (9, 16), invert: bool = False) -> DataFrame:
-    """1 above the upper band, -1 below the lower one, within the session; inverted on demand."""
-    inside = (F.hour("timestamp") >= hours[0]) & (F.hour("timestamp") < hours[1])
-    signal = F.when(inside & (F.col("close") > F.col("upper")), 1).when(inside & (F.col("close") < F.col("lower")), -1).otherwise(0)
-    return bands.withColumn("signal", -signal if invert else signal)
+def breakout_signals(bands: DataFrame, minutes: Sequence[int] = (0, 30), opens: str = "09:30", last_entry: str = "15:30", closes: str = "16:00", invert: bool = False) -> DataFrame:
+    """1 above the upper band, -1 below the lower one, at these minutes of the hour from the open to the last entry (inclusive); inverted on demand.
+
+    stop: the vwap (a column of bands, if there is one) from the open to the close, else null.
+    """
+    time = F.date_format("timestamp", "HH:mm")
+    able = F.minute("timestamp").isin(list(minutes)) & time.between(opens, last_entry)
+    signal = F.when(able & (F.col("close") > F.col("upper")), 1).when(able & (F.col("close") < F.col("lower")), -1).otherwise(0)
+    stop = F.when(time.between(opens, closes), F.col("vwap")) if "vwap" in bands.columns else F.lit(None).cast("double")
+    return bands.withColumns({"signal": -signal if invert else signal, "stop": stop})
 
 
 def signal_counts(signals: DataFrame) -> DataFrame:

@@ -98,13 +98,24 @@ def roll_pairs(calendar: DataFrame, position: int) -> DataFrame:
     return out.where("from_contract IS NOT NULL AND to_contract IS NOT NULL")
 
 
-def rollovers_in_range(roll_dates: DataFrame, start: str, end: str, preferred: str = "volume") -> DataFrame:
-    """Rolls of the range, the last before it and the first after it, one a contract and date."""
+def rollovers_in_range(roll_dates: DataFrame, start: str, end: str, preferred: str = "volume", bars: DataFrame | None = None) -> DataFrame:
+    """Rolls of the range, the last before it and the first after it, one a contract and date; with bars: from_price and to_price, the closes of both contracts on the day.
+
+    The few rolls go to the bars, which are not shuffled but for what they add up to.
+    """
     ordered = preferred_roll_dedup(roll_dates, preferred)
     a, b = F.lit(start).cast("date"), F.lit(end).cast("date")
     w = Window.partitionBy("root")
     before, after = F.max(F.when(F.col("roll_date") < a, F.col("roll_date"))).over(w), F.min(F.when(F.col("roll_date") > b, F.col("roll_date"))).over(w)
-    return ordered.withColumns({"_before": before, "_after": after}).where(F.col("roll_date").between(a, b) | (F.col("roll_date") == F.col("_before")) | (F.col("roll_date") == F.col("_after"))).drop("_before", "_after")
+    found = ordered.withColumns({"_before": before, "_after": after}).where(F.col("roll_date").between(a, b) | (F.col("roll_date") == F.col("_before")) | (F.col("roll_date") == F.col("_after"))).drop("_before", "_after")
+    if bars is None:
+        return found
+    side = lambda name, n: F.struct(F.col(name).alias("_symbol"), F.lit(n).alias("_side"))
+    sides = found.select("*", F.explode(F.array(side("contract", 0), side("to_contract", 1))).alias("_s")).select(*found.columns, "_s.*")
+    rows = bars.select(F.col("symbol").alias("_symbol"), day("timestamp").alias("roll_date"), F.col("close").alias("_close"))
+    met = sides.join(rows, ["_symbol", "roll_date"]).unionByName(sides.withColumn("_close", F.lit(None).cast("double")))
+    of = lambda n: F.max(F.when(F.col("_side") == n, F.col("_close")))
+    return met.groupBy(*found.columns).agg(of(0).alias("from_price"), of(1).alias("to_price"))
 
 
 def mean_volumes(bars: DataFrame, wanted: DataFrame, calendar: DataFrame, lookback: int) -> DataFrame:

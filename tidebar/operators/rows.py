@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebar.functions.scalars import change_pct, day, pct, r, recent, weekend
 
+#: The relation of market data of each timeframe.
+TIMEFRAMES = {"daily": "daily_bars", "minute": "minute_bars", "five_minute_bars": "five_minute_bars", "weekly": "weekly_bars", "monthly": "monthly_bars"}
+#: Days that a read without dates goes back, and those for short bars.
+DEFAULT_DAYS, SHORT_DAYS, SHORT = 30, 3, ("minute", "five_minute_bars")
+
 OHLC = ("open", "high", "low", "close")
 
 
@@ -20,7 +27,7 @@ def retrieve(
     group_by: list[str] | None = None,
     order_by: list[str] | None = None,
     limit: int | None = None,
-    default_days: int = 30,
+    default_days: int = DEFAULT_DAYS,
 ) -> DataFrame:
     """A read with parameters; without dates the last default_days up to the newest row."""
     df = relation
@@ -40,6 +47,20 @@ def retrieve(
     return df.limit(limit) if limit else df
 
 
+def relation_of(data_type: str, timeframe: str | None = None) -> str:
+    """The name of the relation that holds a type of data: market data by timeframe, others under their own name."""
+    return TIMEFRAMES.get(timeframe, "market_data") if data_type == "market_data" else data_type
+
+
+def retrieve_from(catalog: Mapping[str, Callable[[], DataFrame]], data_type: str, timeframe: str | None = None, **parameters) -> DataFrame:
+    """retrieve() from the relation of a type and timeframe; without dates short bars go back SHORT_DAYS. catalog: relations by name, made when asked for."""
+    name = relation_of(data_type, timeframe)
+    if name not in catalog:
+        raise ValueError(f"no relation {name}; there are {', '.join(sorted(catalog))}")
+    days = SHORT_DAYS if timeframe in SHORT else DEFAULT_DAYS
+    return retrieve(catalog[name](), **{"default_days": days, **parameters})
+
+
 def minute_bars(bars: DataFrame, value: int | None = None) -> DataFrame:
     of = F.col("interval_unit") == "minute"
     return bars.where(of & (F.col("interval_value") == value) if value else of)

@@ -134,8 +134,21 @@ def _(t: Tables):
     return b.series_completeness(cont, 5)
 
 
-@query("missing_pattern_counts", """SELECT CAST(coalesce(year, -1) AS INT) AS year, CAST(coalesce(month, -1) AS INT) AS month, CAST(coalesce(weekday, -1) AS INT) AS weekday, count(*) AS n FROM (SELECT year(date) AS year, month(date) AS month, isodow(date) - 1 AS weekday FROM (SELECT symbol, CAST(timestamp AS DATE) AS date FROM dirty_bars WHERE open IS NULL))
-    GROUP BY GROUPING SETS ((year), (month), (weekday))""")
+#: The name of a holiday by month m, day d and weekday w (1: Monday).
+_HOLIDAY = """CASE
+    WHEN m = 1 AND d = 1 THEN 'New Year'
+    WHEN m = 1 AND w = 1 AND d BETWEEN 15 AND 21 THEN 'Martin Luther King Day'
+    WHEN m = 2 AND w = 1 AND d BETWEEN 15 AND 21 THEN 'Presidents Day'
+    WHEN m = 5 AND w = 1 AND d >= 25 THEN 'Memorial Day'
+    WHEN m = 6 AND d = 19 THEN 'Juneteenth'
+    WHEN m = 7 AND d = 4 THEN 'Independence Day'
+    WHEN m = 9 AND w = 1 AND d <= 7 THEN 'Labor Day'
+    WHEN m = 11 AND w = 4 AND d BETWEEN 22 AND 28 THEN 'Thanksgiving'
+    WHEN m = 12 AND d = 25 THEN 'Christmas' END"""
+
+
+@query("missing_pattern_counts", f"""SELECT CAST(coalesce(year, -1) AS INT) AS year, CAST(coalesce(month, -1) AS INT) AS month, CAST(coalesce(weekday, -1) AS INT) AS weekday, coalesce(holiday, '') AS holiday, count(*) AS n FROM (SELECT year, m AS month, w - 1 AS weekday, coalesce({_HOLIDAY}, 'none') AS holiday FROM
+    (SELECT year(timestamp) AS year, month(timestamp) AS m, day(timestamp) AS d, isodow(timestamp) AS w FROM dirty_bars WHERE open IS NULL)) GROUP BY GROUPING SETS ((year), (month), (weekday), (holiday))""")
 def _(t: Tables):
     return b.missing_patterns(t.dirty_bars.where("open IS NULL").select(F.to_date("timestamp").alias("date")))
 

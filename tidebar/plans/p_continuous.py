@@ -88,11 +88,11 @@ def _(t: Tables):
     return o.roll_pairs(t.contracts.withColumn("roll_date", F.date_sub("last_date", 5)), 2)
 
 
-@query("rollovers_in_range", """SELECT root, contract, roll_date, roll_type, to_contract FROM (SELECT *, max(CASE WHEN roll_date < '1997-01-01' THEN roll_date END) OVER (PARTITION BY root) AS b, min(CASE WHEN roll_date > '1997-12-31' THEN roll_date END) OVER (PARTITION BY root) AS a FROM (SELECT root, symbol AS contract, last_date - 5 AS roll_date, 'volume' AS roll_type, lead(symbol) OVER (PARTITION BY root ORDER BY last_date - 5, symbol) AS to_contract FROM contracts))
-    WHERE roll_date BETWEEN '1997-01-01' AND '1997-12-31' OR roll_date = a OR roll_date = b""")
+@query("rollovers_in_range", """SELECT x.*, f.close AS from_price, g.close AS to_price FROM (SELECT root, contract, roll_date, roll_type, to_contract FROM (SELECT *, max(CASE WHEN roll_date < '1997-01-01' THEN roll_date END) OVER (PARTITION BY root) AS b, min(CASE WHEN roll_date > '1997-12-31' THEN roll_date END) OVER (PARTITION BY root) AS a FROM (SELECT root, symbol AS contract, last_date - 5 AS roll_date, 'volume' AS roll_type, lead(symbol) OVER (PARTITION BY root ORDER BY last_date - 5, symbol) AS to_contract FROM contracts))
+    WHERE roll_date BETWEEN '1997-01-01' AND '1997-12-31' OR roll_date = a OR roll_date = b) x LEFT JOIN contract_bars f ON f.symbol = contract AND f.timestamp = roll_date LEFT JOIN contract_bars g ON g.symbol = to_contract AND g.timestamp = roll_date""")
 def _(t: Tables):
     rolls = t.contracts.select("root", F.col("symbol").alias("contract"), F.date_sub("last_date", 5).alias("roll_date"), F.lit("volume").alias("roll_type"))
-    return o.rollovers_in_range(rolls, "1997-01-01", "1997-12-31")
+    return o.rollovers_in_range(rolls, "1997-01-01", "1997-12-31", bars=t.contract_bars)
 
 
 #: Sessions are weekdays of the years of the tables; a contract expires on its last day.
@@ -207,7 +207,7 @@ def _(t: Tables):
 
 
 @query("roll_analysis", """SELECT * FROM (SELECT root, timestamp, lag(underlying_symbol) OVER w AS from_contract, underlying_symbol AS to_contract, round(close / nullif(lag(close) OVER w, 0), 6) AS factor, round(lag(close, 1) OVER w / nullif(lag(close, 6) OVER w, 0) - 1, 6) AS return_before,
-    round(lead(close, 5) OVER w / nullif(close, 0) - 1, 6) AS return_after FROM stitched WINDOW w AS (PARTITION BY root ORDER BY timestamp)) WHERE from_contract <> to_contract""", C)
+    round(lead(close, 5) OVER w / nullif(close, 0) - 1, 6) AS return_after, round(stddev_samp(ret) OVER (PARTITION BY root) * sqrt(252.0) * 100, 4) AS volatility FROM (SELECT *, close / nullif(lag(close) OVER (PARTITION BY root ORDER BY timestamp), 0) - 1 AS ret FROM stitched) WINDOW w AS (PARTITION BY root ORDER BY timestamp)) WHERE from_contract <> to_contract""", C)
 def _(t: Tables):
     return c.roll_analysis(stitched(t))
 

@@ -139,6 +139,19 @@ def _(t: Tables):
     return i.rounded(_bands(t), "upper", "lower")
 
 
-@query("breakout_signals", "SELECT symbol, CASE WHEN hour(timestamp) BETWEEN 9 AND 15 AND close > upper THEN 1 WHEN hour(timestamp) BETWEEN 9 AND 15 AND close < lower THEN -1 ELSE 0 END AS signal, count(*) AS n FROM bands GROUP BY 1, 2", BANDS)
+_SIGNAL = "CASE WHEN strftime(timestamp, '%H:%M') BETWEEN '09:30' AND '15:30' AND close > upper THEN 1 WHEN strftime(timestamp, '%H:%M') BETWEEN '09:30' AND '15:30' AND close < lower THEN -1 ELSE 0 END"
+
+
+@query("breakout_signals", f"SELECT symbol, {_SIGNAL} AS signal, count(*) AS n FROM bands GROUP BY 1, 2", BANDS)
 def _(t: Tables):
     return i.signal_counts(i.breakout_signals(_bands(t)))
+
+
+@query("breakout_stops", f"""SELECT symbol, timestamp, -1 * {_SIGNAL} AS signal, round(CASE WHEN strftime(timestamp, '%H:%M') BETWEEN '09:30' AND '16:00' THEN CASE WHEN strftime(timestamp, '%H:%M') < '16:00' THEN v ELSE close END END, 6) AS stop FROM (SELECT *, sum(CASE WHEN strftime(timestamp, '%H:%M') BETWEEN '09:30' AND '15:59' THEN close * volume END) OVER d
+    / nullif(sum(CASE WHEN strftime(timestamp, '%H:%M') BETWEEN '09:30' AND '15:59' THEN volume END) OVER d, 0) AS v FROM bands JOIN (SELECT symbol AS s, date_trunc('hour', timestamp) AS h, count(*) AS volume FROM ticks GROUP BY 1, 2) ON s = symbol AND h = timestamp WINDOW d AS (PARTITION BY symbol, CAST(timestamp AS DATE) ORDER BY timestamp ROWS UNBOUNDED PRECEDING))""", BANDS)
+def _(t: Tables):
+    from tidebar.operators.windows import intraday_vwap
+
+    priced = intraday_vwap(_bands(t), tie="volume")
+    out = i.breakout_signals(priced, minutes=(0,), invert=True)
+    return out.select("symbol", "timestamp", "signal", F.round("stop", 6).alias("stop"))

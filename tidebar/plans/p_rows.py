@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidebar.operators import rows
+from tidebar.operators import bars, rows
 from tidebar.plans.register import query
 from tidebar.sources.adapters import Tables
 
@@ -16,6 +16,12 @@ def _(t: Tables):
     return rows.retrieve(t.bars, symbols=["Brand#1", "Brand#2", "Brand#3"], aggregates={"close": "count", "high": "max"}, group_by=["symbol"])
 
 
+@query("retrieve_by_type", """SELECT symbol, timestamp, close FROM (SELECT symbol, time_bucket(INTERVAL 5 MINUTE, timestamp) AS timestamp, arg_max(close, {'a': timestamp, 'b': id}) AS close FROM ticks GROUP BY ALL) WHERE timestamp >= (SELECT max(time_bucket(INTERVAL 5 MINUTE, timestamp)) FROM ticks) - INTERVAL 3 DAY""")
+def _(t: Tables):
+    catalog = {"daily_bars": lambda: t.bars, "five_minute_bars": lambda: bars.resample(t.ticks, "5 minutes", tie="id"), "economic_data": lambda: t.econ}
+    return rows.retrieve_from(catalog, "market_data", "five_minute_bars", fields=["symbol", "timestamp", "close"])
+
+
 @query("minute_bars", "SELECT symbol, timestamp, close FROM (SELECT *, CASE WHEN id % 2 = 0 THEN 'minute' ELSE 'tick' END AS interval_unit, id % 3 AS interval_value FROM ticks) WHERE interval_unit = 'minute' AND interval_value = 1")
 def _(t: Tables):
     marked = t.ticks.withColumns({"interval_unit": F.when(F.col("id") % 2 == 0, "minute").otherwise("tick"), "interval_value": F.col("id") % 3})
