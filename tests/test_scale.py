@@ -3,9 +3,10 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidebar.operators import pairs, risk
+from tidebar.operators import pairs, risk, scans
 
 
 def returns(spark, symbols, days, seed=0, missing=0.1):
@@ -39,3 +40,36 @@ def test_correlation_of_two_thousand_symbols(spark):
     assert got["mean"] == pytest.approx(exact[np.triu_indices(2000)].mean(), abs=1e-6)
     some = {(r["symbol"], r["other"]): r["correlation"] for r in out.where("symbol = 'S00007' AND other < 'S00050'").collect()}
     assert len(some) == 43 and all(abs(v - exact[7, int(o[1:])]) < 1e-5 for (_, o), v in some.items())
+
+
+def series(spark, n=600, seed=3):
+    """Two symbols and a null one over two years, with nulls, and rows without a time."""
+    rng = np.random.default_rng(seed)
+    days = pd.to_datetime("2020-01-01") + pd.to_timedelta(rng.permutation(800)[:n], unit="D")
+    rows = [(["A", "B", None][rng.integers(0, 3)], d.to_pydatetime(), None if rng.random() < 0.3 else round(float(rng.normal()), 3)) for d in days]
+    return spark.createDataFrame([*rows, ("A", None, 5.0)], "symbol string, timestamp timestamp, x double")
+
+
+@pytest.mark.parametrize("falling", [False, True])
+@pytest.mark.parametrize("part", [None, F.lit])
+def test_running_values_in_slices_equal_one_window(spark, falling, part):
+    df = series(spark)
+    w = Window.partitionBy("symbol").orderBy(F.col("timestamp").desc() if falling else F.col("timestamp").asc()).rowsBetween(Window.unboundedPreceding, 0)
+    whole = {"sum": F.sum("x"), "product": F.product("x"), "max": F.max("x"), "min": F.min("x"), "last": F.last("x", ignorenulls=True)}
+    want = df.withColumns({k: c.over(w) for k, c in whole.items()})
+    got = scans.running(df, {k: (k, F.col("x")) for k in whole}, falling=falling, part=part(1) if part else None)
+    key = lambda r: (str(r["symbol"]), str(r["timestamp"]))
+    for a, b in zip(sorted(got.collect(), key=key), sorted(want.collect(), key=key)):
+        assert key(a) == key(b) and all((a[k] is None) == (b[k] is None) and (a[k] is None or a[k] == pytest.approx(b[k], rel=1e-9, abs=1e-9)) for k in whole)
+
+
+def test_one_long_series_is_more_than_one_task(spark):
+    n = 40_000
+    df = spark.range(n).select(F.lit("A").alias("symbol"), F.timestamp_seconds(F.lit(1_500_000_000) + F.col("id") * 3600).alias("timestamp"), (F.col("id") % 1000).cast("double").alias("x"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = scans.running(df, {"peak": ("max", F.col("x"))})
+        tasks = out.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < n and out.agg(F.sum("peak")).first()[0] == sum(min(i, 999) for i in range(n))

@@ -14,25 +14,23 @@ from pyspark.sql import functions as F
 from tidebar.functions.scalars import by_symbol, day, next_value, pct, r, recent
 from tidebar.operators.pairs import pairs_by_date
 from tidebar.operators.rolls import continuous_mapping
+from tidebar.operators.scans import running
 from tidebar.operators.windows import log_return
 
 
 def asof(left: DataFrame, right: DataFrame, on: str, by: list[str], values: list[str], direction: str = "backward") -> DataFrame:
     """left with the values of the nearest right row at or before (backward) or at or after (forward) on.
 
-    A union and one window by key: one shuffle, no range join; right rows stand before left rows on equal time.
+    A union and a running last value by key, in slices of time (see scans.py): no range join, and no key in one task; right
+    rows stand before left rows on equal time.
     """
     keys = [*by, on]
     a = left.select("*", F.lit(1).alias("_side"))
     b = right.select(*keys, F.struct(*values).alias("_value"), F.lit(0).alias("_side"))
     both = a.unionByName(b, allowMissingColumns=True)
-    if direction == "backward":
-        w = Window.partitionBy(*by).orderBy(F.col(on), "_side").rowsBetween(Window.unboundedPreceding, 0)
-        found = F.last("_value", ignorenulls=True).over(w)
-    else:
-        w = Window.partitionBy(*by).orderBy(F.col(on).desc(), "_side").rowsBetween(Window.unboundedPreceding, 0)
-        found = F.last("_value", ignorenulls=True).over(w)
-    out = both.withColumn("_found", found).where("_side = 1")
+    forward = direction != "backward"
+    # of equal times the right rows come first, whichever way the order goes
+    out = running(both, {"_found": ("last", F.col("_value"))}, by, [on, -F.col("_side") if forward else F.col("_side")], falling=forward).where("_side = 1")
     return out.select(*(F.col(c) for c in left.columns), *(F.col(f"_found.{v}").alias(v) for v in values))
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebar.functions.scalars import by_symbol, change_pct, day, guarded, last_rows, next_value, pct, r, recent
+from tidebar.functions.scalars import by_symbol, change_pct, day, guarded, last_rows, pct, r, recent
+from tidebar.operators.scans import running
 
 
 def market_statistics(bars: DataFrame, days: int = 30) -> DataFrame:
@@ -94,19 +95,17 @@ def intraday_vwap(ticks: DataFrame, start: str = "09:30", end: str = "16:00", ti
 
 
 def running_peak(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn("peak", F.max(column).over(by_symbol().rowsBetween(Window.unboundedPreceding, 0)))
+    return running(df, {"peak": ("max", F.col(column))})
 
 
 def running_product(df: DataFrame, returns: str) -> DataFrame:
-    return df.withColumn("growth", F.product(1 + F.coalesce(returns, F.lit(0.0))).over(by_symbol().rowsBetween(Window.unboundedPreceding, 0)))
+    return running(df, {"growth": ("product", 1 + F.coalesce(returns, F.lit(0.0)))})
 
 
 def fill(df: DataFrame, columns: list[str], direction: str = "forward") -> DataFrame:
     """Nulls from the nearest value before (forward) or after (backward)."""
-    w = by_symbol()
-    if direction == "forward":
-        return df.withColumns({c: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)) for c in columns})
-    return df.withColumns({c: next_value(c) for c in columns})
+    out = running(df, {c: ("last", F.col(c)) for c in columns}, falling=direction != "forward")
+    return out.select(*df.columns)
 
 
 def seasonal_rolling_mean(bars: DataFrame, column: str, days: int = 14, slot: Column | None = None) -> DataFrame:
