@@ -15,7 +15,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tidebar.llm import chat, conversation_trie, decontaminate, html_text, language, oracles, urls, vector_codes
+from tidebar.llm import chat, conversation_trie, decontaminate, html_text, language, oracles, quality, urls, vector_codes
 from tidebar.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -404,3 +404,13 @@ def test_a_long_quotation_is_linked_in_little_time(spark):
     began = time.time()
     assert [tuple(r) for r in chat.answers(messages).collect()] == [(1, 2, 0)]
     assert time.time() - began < 25
+
+
+def test_features_of_the_fit_are_made_where_texts_stand(spark, monkeypatch):
+    """A text of 50 MB among the labelled ones goes through no sort."""
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows: seen.append(len(rows)))
+    docs = spark.range(3).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), IF(id = 1, 10000000, 10)) AS text", "CAST(NULL AS STRING) AS lang", "'s' AS source", "1L AS n_chars")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(3)], "doc_id long, quality int, toxic int")
+    quality.train(docs, labels)
+    assert seen and seen[0] == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(3))

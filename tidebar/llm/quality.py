@@ -148,7 +148,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     # chosen by hash, so alike at every size; `rows` ids at most are broadcast
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     sample = docs.select("doc_id", "text", F.col("n_chars").cast("double").alias("n_chars")).join(F.broadcast(chosen), "doc_id")
-    found = sample.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(rows).withColumn("f", _featured("text", "n_chars")).select("doc_id", "f.*", "quality")
+    # features first, 32 KB a row at most: no task holds more than so many rows of these, however long the texts
+    featured = sample.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), _featured("text", "n_chars").alias("f"), "quality")
+    found = featured.orderBy("key", "doc_id").limit(rows).select("doc_id", "f.*", "quality")
     return fit([(np.frombuffer(r["buckets"], _PACKED), r["stats"], r["quality"]) for r in sorted(found.collect(), key=lambda r: (r["doc_id"], r["buckets"]))])
 
 
