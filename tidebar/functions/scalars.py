@@ -50,14 +50,18 @@ def day(ts: Column | str) -> Column:
     return F.to_date(ts)
 
 
-def as_of(df: DataFrame, column: str = "timestamp", name: str = "as_of") -> DataFrame:
-    """df with the greatest value of a column in each row; one row is broadcast."""
-    return df.crossJoin(F.broadcast(df.agg(F.max(column).alias(name))))
+def newest(df: DataFrame, column: str = "timestamp") -> Column:
+    """The greatest time of a column, found by a job of its own over that column, as a constant (null without rows)."""
+    last = df.agg(F.max(F.unix_micros(F.col(column).cast("timestamp"))).alias("last")).first()["last"]
+    return F.timestamp_micros(F.lit(last).cast("long"))
 
 
 def recent(df: DataFrame, days: int, column: str = "timestamp") -> DataFrame:
-    """The rows of the last days up to the newest row."""
-    return as_of(df, column).where(F.col(column) >= F.col("as_of") - F.make_dt_interval(F.lit(days))).drop("as_of")
+    """The rows of the last days up to the newest row.
+
+    The bound is a constant, so that it goes down to the files (where no window stands between), and what is older is not made.
+    """
+    return df.where(F.col(column) >= newest(df, column) - F.make_dt_interval(F.lit(days)))
 
 
 def seconds(ts: Column | str) -> Column:
