@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidebar.functions import quantiles
 from tidebar.operators import pairs, risk, scans
 
 
@@ -73,3 +74,23 @@ def test_one_long_series_is_more_than_one_task(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(tasks) > 1 and max(r["count"] for r in tasks) < n and out.agg(F.sum("peak")).first()[0] == sum(min(i, 999) for i in range(n))
+
+
+def test_percentiles_without_a_buffer_are_exact(spark):
+    rng = np.random.default_rng(5)
+    frames = [("A", rng.normal(size=5000)), ("B", np.r_[np.zeros(3000), rng.integers(0, 5, 2000)]), ("C", [1.5]), (None, rng.normal(size=7)), ("D", [None, None]), ("E", [1.0, None, 2.0])]
+    rows = [(s, None if v is None else float(v), i) for s, values in frames for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "symbol string, x double, i int")
+    shares = [0.0, 0.05, 0.25, 0.5, 0.999, 1.0]
+    values = {"q": F.col("x"), "other": F.col("i")}
+    want = {r["symbol"]: r for r in quantiles.percentiles(df, ["symbol"], values, shares).collect()}
+    for accuracy in (quantiles.ACCURACY, 3):  # a poor sketch gives brackets that fail
+        plan = quantiles.percentiles(df, ["symbol"], values, shares, buffered=0)
+        assert "percentile(" not in plan._jdf.queryExecution().optimizedPlan().toString()
+        quantiles.ACCURACY, was = accuracy, quantiles.ACCURACY
+        got = {r["symbol"]: r for r in quantiles.percentiles(df, ["symbol"], values, shares, buffered=0).collect()}
+        quantiles.ACCURACY = was
+        assert got.keys() == want.keys()
+        for s in want:
+            for name in values:
+                assert (got[s][name] is None) == (want[s][name] is None) and (got[s][name] is None or got[s][name] == pytest.approx(want[s][name], abs=1e-12)), (s, name, accuracy)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidebar.functions.quantiles import percentiles
 from tidebar.functions.scalars import by_symbol, guarded, next_value, r
 from tidebar.operators.windows import centred_band
 
@@ -97,7 +98,7 @@ def estimate_open_interest(bars: DataFrame, w: int = 5, column: str = "open_inte
 
 def rescale_by_median(bars: DataFrame, below: float = 1.0, factor: float = 1000.0) -> DataFrame:
     """Prices of a symbol times factor if the median of its columns' medians is below a bound."""
-    medians = bars.groupBy("symbol").agg(*(F.median(c).alias(c) for c in OHLC))
+    medians = percentiles(bars, ["symbol"], {c: F.col(c) for c in OHLC}, [0.5]).select("symbol", *(F.col(c)[0].alias(c) for c in OHLC))
     of = F.array_sort(F.array_compact(F.array(*OHLC)))
     middle = F.transform(F.array(of), lambda a: (F.try_element_at(a, F.floor((F.size(a) + 1) / 2).cast("int")) + F.try_element_at(a, F.floor((F.size(a) + 2) / 2).cast("int"))) / 2)[0]
     low = medians.select("symbol", F.coalesce(middle < below, F.lit(False)).alias("_low"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidebar.functions.quantiles import joined, percentiles
 from tidebar.functions.scalars import bias_corrected_kurtosis, bias_corrected_skew, by_symbol, day, r
 from tidebar.operators.rows import breaks_ohlc
 from tidebar.operators.windows import partition_zscore
@@ -144,10 +145,12 @@ def descriptive_stats(bars: DataFrame, columns: Sequence[str] = ("close", "volum
     rows = F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in columns))
     long = bars.select("symbol", F.inline(rows))
     n = F.count("value")
-    return long.groupBy("symbol", "field").agg(
-        n.alias("n"), F.min("value").alias("min"), F.max("value").alias("max"), r(F.avg("value")).alias("mean"), r(F.median("value")).alias("median"), r(F.stddev_samp("value")).alias("std"),
+    out = long.groupBy("symbol", "field").agg(
+        n.alias("n"), F.min("value").alias("min"), F.max("value").alias("max"), r(F.avg("value")).alias("mean"), r(F.stddev_samp("value")).alias("std"),
         r(bias_corrected_skew(F.col("value"), n), 4).alias("skew"), r(bias_corrected_kurtosis(F.col("value"), n), 4).alias("kurtosis"), F.count_if(F.col("value") == 0).alias("zeros"),
     )
+    middle = percentiles(long, ["symbol", "field"], {"_median": F.col("value")}, [0.5])
+    return joined(out, middle, ["symbol", "field"]).withColumn("median", r(F.col("_median")[0])).drop("_median")
 
 
 def missing_summary(df: DataFrame) -> DataFrame:
@@ -197,7 +200,8 @@ def consistency_examples(bars: DataFrame, n: int = 10, issues: dict[str, str] =
 
 def multi_method_outliers(series: DataFrame, reference: DataFrame, z: float = 4.0, iqr: float = 3.0, change: float = 0.3, bounds: tuple[float, float] = (1.0, 5000.0), deviation: float = 0.3) -> DataFrame:
     """(symbol, timestamp, value, methods): values that any method finds; series: symbol, timestamp, value; reference: timestamp, value."""
-    stats = series.groupBy("symbol").agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s"), F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))).alias("_q"))
+    stats = series.groupBy("symbol").agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s"))
+    stats = joined(stats, percentiles(series, ["symbol"], {"_q": F.col("value")}, [0.25, 0.75]), ["symbol"])
     before = F.lag("value").over(by_symbol())
     df = series.withColumn("_change", F.abs(F.try_divide(F.col("value"), before) - 1)).join(stats, "symbol").join(reference.select("timestamp", F.col("value").alias("_ref")), "timestamp", "left")
     spread = F.col("_q")[1] - F.col("_q")[0]

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidebar.functions.quantiles import joined, percentiles
 from tidebar.functions.scalars import bias_corrected_kurtosis, bias_corrected_skew, by_symbol, guarded, last_rows, r
 from tidebar.operators.indicators import ewm
 from tidebar.operators.pairs import pairs_by_date
@@ -43,6 +44,12 @@ def _ratio(mean: Column, deviation: Column) -> Column:
     return F.try_divide(mean * YEAR, deviation * F.sqrt(F.lit(YEAR)))
 
 
+def _with_percentiles(out: DataFrame, rets: DataFrame, shares: Sequence[int]) -> DataFrame:
+    """out, a row for each symbol, with p1, p5, … of the symbol's returns."""
+    found = percentiles(rets, ["symbol"], {"_q": F.col("ret")}, [p / 100 for p in shares])
+    return joined(out, found, ["symbol"]).withColumns({f"p{p}": r(F.col("_q")[k]) for k, p in enumerate(shares)}).drop("_q")
+
+
 def performance(rets: DataFrame, rf: float = 0.0) -> DataFrame:
     """One row of measures for each symbol with two returns or more."""
     df = _curve(rets)
@@ -53,11 +60,10 @@ def performance(rets: DataFrame, rf: float = 0.0) -> DataFrame:
     out = df.groupBy("symbol").agg(
         n.alias("n"), r(total).alias("total_return"), r(F.pow(1 + total, 1 / years) - 1).alias("cagr"), r(F.stddev_samp(ret) * F.sqrt(F.lit(YEAR))).alias("volatility"),
         r(F.min("drawdown")).alias("max_drawdown"), r(_ratio(excess, F.stddev_samp(ret))).alias("sharpe"), r(_ratio(excess, F.stddev_samp(F.when(ret < 0, ret)))).alias("sortino"),
-        r(F.percentile(ret, F.lit(0.05))).alias("var_95"), r(bias_corrected_skew(ret, n), 4).alias("skew"), r(bias_corrected_kurtosis(ret, n), 4).alias("kurtosis"),
-        r(F.avg((ret > 0).cast("double"))).alias("positive_share"), r(F.avg(ret)).alias("mean"), r(F.median(ret)).alias("median"),
-        *(r(F.percentile(ret, F.lit(p / 100))).alias(f"p{p}") for p in (10, 25, 75, 90)),
+        r(bias_corrected_skew(ret, n), 4).alias("skew"), r(bias_corrected_kurtosis(ret, n), 4).alias("kurtosis"),
+        r(F.avg((ret > 0).cast("double"))).alias("positive_share"), r(F.avg(ret)).alias("mean"),
     )
-    return out.where("n >= 2")
+    return _with_percentiles(out.where("n >= 2"), df, (5, 10, 25, 50, 75, 90)).withColumnsRenamed({"p5": "var_95", "p50": "median"})
 
 
 def correlation(rets: DataFrame) -> DataFrame:
@@ -123,10 +129,10 @@ def contributions(rets: DataFrame, weights: DataFrame | None = None) -> DataFram
 
 def distribution(rets: DataFrame) -> DataFrame:
     ret, n = F.col("ret"), F.count("ret")
-    return rets.groupBy("symbol").agg(
+    out = rets.groupBy("symbol").agg(
         n.alias("n"), r(F.avg(ret)).alias("mean"), r(F.stddev_samp(ret)).alias("std"), r(bias_corrected_skew(ret, n), 4).alias("skew"), r(bias_corrected_kurtosis(ret, n), 4).alias("kurtosis"),
-        *(r(F.percentile(ret, F.lit(p / 100))).alias(f"p{p}") for p in (1, 5, 50, 95, 99)),
     )
+    return _with_percentiles(out, rets, (1, 5, 50, 95, 99))
 
 
 def volatility_report(rets: DataFrame) -> DataFrame:
@@ -165,11 +171,10 @@ def rolling_risk(rets: DataFrame, windows: Sequence[int] = (21, 63, 252), rf: fl
 def summary_risk(rets: DataFrame, rf: float = 0.02) -> DataFrame:
     """One row of risk measures for each symbol; growth counts from the first return's equity on.
 
-    CVaR is the mean of returns up to the VaR, by a second pass. The exact percentile holds a symbol's distinct
-    returns in one task.
+    CVaR is the mean of returns up to the VaR, by a second pass.
     """
     df = _curve(rets.where("ret IS NOT NULL AND NOT isnan(ret) AND abs(ret) < double('infinity')"))
-    bound = df.groupBy("symbol").agg(F.percentile("ret", F.lit(0.05)).alias("var"))
+    bound = percentiles(df, ["symbol"], {"var": F.col("ret")}, [0.05]).withColumn("var", F.col("var")[0])
     ret, n = F.col("ret"), F.count("ret")
     gain, loss = F.sum(F.when(ret > 0, ret)), F.abs(F.sum(F.when(ret < 0, ret)))
     growth = F.try_divide(F.max_by("equity", "timestamp"), F.min_by("equity", "timestamp"))
