@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import Any
@@ -46,23 +47,40 @@ def stream_validate(stream: DataFrame, rules: dict[str, tuple[str, str]], keys:
 
 #: Parts of a state, by a hash of the key; a batch writes those anew that it touches.
 BUCKETS = 64
+MANIFEST = "manifest.json"
 
 
-def _folders(spark: SparkSession, path: str) -> dict[int, list[int]]:
-    """Of each bucket the versions that are written whole, in order."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    found: dict[int, list[int]] = {}
-    if not fs.exists(folder):
-        return found
-    for version in fs.listStatus(folder):
-        name = str(version.getPath().getName())
-        if name.startswith("_version=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_SUCCESS")):
-            for part in fs.listStatus(version.getPath()):
-                bucket = str(part.getPath().getName())
-                if bucket.startswith("_bucket="):
-                    found.setdefault(int(bucket[8:]), []).append(int(name[9:]))
-    return {b: sorted(v) for b, v in found.items()}
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _manifest(spark: SparkSession, path: str) -> dict:
+    """Of the newest version: its number, the version of each bucket, and of each bucket before it; nothing before the first."""
+    fs, place = _file_system(spark, f"{path}/{MANIFEST}")
+    if not fs.exists(place):
+        return {"version": -1, "buckets": {}, "before": {}}
+    stream = fs.open(place)
+    try:
+        found = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return {"version": found["version"], **{k: {int(b): v for b, v in found[k].items()} for k in ("buckets", "before")}}
+
+
+def _put_manifest(spark: SparkSession, path: str, found: dict) -> None:
+    """In place of the last one, by a rename over it."""
+    fs, draft = _file_system(spark, f"{path}/{MANIFEST}.{found['version']}")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(json.dumps(found).encode())
+    finally:
+        stream.close()
+    jvm = spark._jvm
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    draft = fs.makeQualified(draft)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, jvm.org.apache.hadoop.fs.Path(draft.getParent(), MANIFEST), over)
 
 
 def _read(spark: SparkSession, path: str, chosen: dict[int, int]) -> DataFrame:
@@ -70,36 +88,56 @@ def _read(spark: SparkSession, path: str, chosen: dict[int, int]) -> DataFrame:
     return spark.read.parquet(*(f"{path}/_version={v}/_bucket={b}" for b, v in sorted(chosen.items())))
 
 
-def stream_upsert(stream: DataFrame, keys: list[str], path: str, checkpoint: str, order: list[str] | None = None) -> StreamingQuery:
-    """Each batch upserted into the newest state under path; a later correction wins.
+def upsert_batch(batch: DataFrame, number: int, keys: list[str], path: str, order: list[str] | None = None) -> None:
+    """One batch into the state under path.
 
-    The state lies in BUCKETS parts by a hash of the key. A batch writes the parts anew that it touches, under its own
-    number, so that a batch that is run again after a failure gives the same state; of each part the version
-    before is kept for that, and older ones go. Within a batch the last row of a key by `order` counts.
+    The buckets that it touches are written anew under its number, and then the manifest says so, all at once: it is
+    all that a batch or a reader looks up, however many versions there have been. A batch that is run again after a failure
+    finds what was there before it, and gives the same state; what neither the state nor the one before it needs goes.
     """
-
-    def apply(batch: DataFrame, number: int) -> None:
-        spark, values = batch.sparkSession, [c for c in batch.columns if c not in keys]
+    spark, values = batch.sparkSession, [c for c in batch.columns if c not in keys]
+    batch = batch.persist()
+    try:
         newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct(*(order or values))).alias("_v")).select(*keys, "_v.*")
         bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
         touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # BUCKETS at most
         if not touched:
             return
-        known = {b: [v for v in versions if v < number] for b, versions in _folders(spark, path).items()}
-        before = {b: known[b][-1] for b in touched if known.get(b)}
+        found = _manifest(spark, path)
+        known = found["before"] if found["version"] >= number else found["buckets"]
+        before = {b: known[b] for b in touched if b in known}
         state = upsert(_read(spark, path, before), newest, keys) if before else newest
         state.select(*batch.columns, bucket.alias("_bucket")).write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/_version={number}")
-        for b in touched:
-            for old in known.get(b, [])[:-1]:
-                folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_version={old}/_bucket={b}")
-                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        now = {**known, **dict.fromkeys(touched, number)}
+        _put_manifest(spark, path, {"version": number, "buckets": now, "before": known})
+    finally:
+        batch.unpersist()
+    needed = {*now.items(), *known.items()}
+    for b, v in {*found["before"].items(), *found["buckets"].items()} - needed:
+        _remove(spark, path, b, v, {w for _, w in needed})
+
+
+def _remove(spark: SparkSession, path: str, bucket: int, version: int, needed: set[int]) -> None:
+    """A bucket's folder of a version, or the whole version if no bucket needs it."""
+    fs, place = _file_system(spark, f"{path}/_version={version}" + (f"/_bucket={bucket}" if version in needed else ""))
+    fs.delete(place, True)
+
+
+def stream_upsert(stream: DataFrame, keys: list[str], path: str, checkpoint: str, order: list[str] | None = None) -> StreamingQuery:
+    """Each batch upserted into the newest state under path; a later correction wins.
+
+    The state lies in BUCKETS parts by a hash of the key, see upsert_batch(). Within a batch the last row of a key by `order` counts.
+    """
+
+    def apply(batch: DataFrame, number: int) -> None:
+        upsert_batch(batch, number, keys, path, order)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def latest_state(spark: SparkSession, path: str) -> DataFrame:
     """The newest state that stream_upsert has written."""
-    return _read(spark, path, {b: versions[-1] for b, versions in _folders(spark, path).items()})
+    return _read(spark, path, _manifest(spark, path)["buckets"])
 
 
 @contextmanager
