@@ -15,7 +15,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tidebar.llm import chat, conversation_trie, decontaminate, html_text, language, oracles, quality, urls, vector_codes
+from tidebar.llm import chat, conversation_trie, decontaminate, html_text, language, oracles, pii, quality, urls, vector_codes
 from tidebar.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -414,3 +414,37 @@ def test_features_of_the_fit_are_made_where_texts_stand(spark, monkeypatch):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(3)], "doc_id long, quality int, toxic int")
     quality.train(docs, labels)
     assert seen and seen[0] == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(3))
+
+
+DATES = ["3/7/1984", "31-12-1999", "1984/07/03", "12 March 2024", "March 3rd, 2024", "3. März 2024", "12 de marzo de 2024", "1er", "5 mai 2021", "1 Jan 2020", "03.07.1984", "3.07.1984", "7-31-1999", "25/12/2020", "12/10/1984"]
+
+
+def test_dates_and_addresses_of_more_formats():
+    there, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", back=True)
+    texts = [f"born {d}, and so on" for d in DATES] + ["at 2001:db8::8a2e:370:7334 now", "2001:0DB8:0000:0000:0000:8A2E:0370:7334", "fe80::1", "jürgen.müller@example.de", "Иван7@пример.рф", "ssn 123 45 6789."]
+    for text in texts:
+        new = pii.replaced(text, there)[0]
+        assert (new == text) == ("1er" in text), text
+        assert pii.replaced(new, back)[0] == text, (text, new)
+    name = pii.replaced("jürgen.müller@example.de", there)[0].split("@")[0]
+    assert name[1] != "u" and not any(a == b == "ü" for a, b in zip(name, "jürgen.müller")) or name != "jürgen.müller"
+    assert pii.replaced("at 12:34:56, ratio 1:2:3, a::b::c, v1.2.3", there)[0] == "at 12:34:56, ratio 1:2:3, a::b::c, v1.2.3"
+
+
+def test_one_date_has_one_pseudonym_in_figures():
+    there = pii.Pseudonyms(b"k")
+    one = {tuple(int(x) for x in re.findall(r"\d+", pii.replaced(t, there)[0])) for t in ("1984-07-03", "1984/7/3", "1984.07.03")}
+    assert len(one) == 1
+    y, m, d = one.pop()
+    assert pii.replaced("3.7.1984", there)[0] == f"{d}.{m}.{y}" and pii.replaced("7/3/1984", there)[0] == f"{m}/{d}/{y}"
+
+
+def test_random_dates_come_back():
+    rng, there, back = random.Random(6), pii.Pseudonyms(b"x"), pii.Pseudonyms(b"x", back=True)
+    for _ in range(400):
+        y, m, d = rng.randint(1900, 2099), rng.randint(1, 12), rng.randint(1, 28)
+        sep, wide = rng.choice("-/."), rng.choice([1, 2])
+        language = rng.choice(list(pii.MONTH_NAMES))
+        text = rng.choice([f"{y}{sep}{m:0{wide}d}{sep}{d:0{wide}d}", f"{d:0{wide}d}{sep}{m:0{wide}d}{sep}{y}", f"{d} {pii.MONTH_NAMES[language][m - 1]} {y}"])
+        new = pii.replaced(text, there)[0]
+        assert pii.replaced(new, back)[0] == text, (text, new)

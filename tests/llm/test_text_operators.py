@@ -550,7 +550,7 @@ PRIVATE = "Call +1 (017) 155-7713, not 0171557713. Ann jo.doe1@mail.example.com,
 def test_pseudonyms_are_valid_linked_and_undone():
     names, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", back=True)
     text, *counts = pii.replaced(PRIVATE, names)
-    assert dict(zip((k for k, _ in pii.KINDS), counts)) == {"email": 1, "iban": 1, "date": 4, "ip": 1, "card": 2, "ssn": 1, "phone": 3, "foreign_phone": 0}
+    assert dict(zip(pii.COUNTED, counts)) == {"email": 1, "iban": 1, "date": 4, "ip": 1, "card": 2, "ssn": 1, "phone": 3, "foreign_phone": 0}
     for value in ("jo.doe1", "988", "4111 1111", "42.144", "1984", "123-45", "0532"):
         assert value not in text
     assert "4111111111111112" in text and "0171557713" in text and "(017)" not in text and len(text) >= len(PRIVATE) - 12
@@ -575,7 +575,7 @@ def test_numbers_beside_others_get_the_same_pseudonym(value, around):
         given = around.format(value)
         text, *counts = pii.replaced(given, names)
         assert getattr(names, kind)(value) in text and value not in text
-        assert dict(zip((k for k, _ in pii.KINDS), counts))[kind] == 1
+        assert dict(zip(pii.COUNTED, counts))[kind] == 1
         assert pii.replaced(text, back)[0] == given
 
 

@@ -1,13 +1,17 @@
 """Format-preserving pseudonyms for personal data, by a keyed Feistel network.
 
 A value that is validated as of a kind (card and account numbers by their
-check digits, telephone and social-security numbers and IPv4 addresses by
-their ranges, dates by the calendar) is numbered within the values of its
+check digits, telephone and social-security numbers and IP addresses by
+their ranges, dates by the calendar, in figures or with the month's name in four languages) is numbered within the values of its
 format, and the number is permuted by a Feistel network over two nearly equal
 radices, walking on until it falls inside the format. So the pseudonym is a
 valid value of the same format, equal values have equal pseudonyms in all
 documents whatever their punctuation, and the holder of the key can go back.
-E-mail addresses keep their domain and the shape of their name.
+E-mail addresses keep their domain and the shape of their name, letters of any script.
+
+A date's pseudonym has a day and a month below ten, and a day above twelve, where the date has, so that it can be written in whatever way the date is:
+one date has one pseudonym in all ways of writing it in figures. Beside a month's name another may stand, of the same language
+(that which is listed first, where languages share a name).
 
 Numbers that follow a card or account number (a CVV, a date, a BIC) are no part
 of it, nor are those before it: each group of a match is tried as the first and as
@@ -32,6 +36,7 @@ import ipaddress
 import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from math import isqrt
 
 import pandas as pd
@@ -140,14 +145,15 @@ class Pseudonyms:
         return _keep_shape(text, d[:2] + f"{self.permuted(f'foreign{d[:2]}', int(d[2:]), 10**n):0{n}d}")
 
     def ssn(self, text: str) -> str | None:
-        a, b, c = map(int, text.split("-"))
+        sep = text[3]
+        a, b, c = map(int, text.split(sep))
         if not (0 < a < 900 and a != 666 and b and c):
             return None
         a -= a > 666
         n = self.permuted("ssn", ((a - 1) * 99 + b - 1) * 9999 + c - 1, 898 * 99 * 9999)
         rest, c = divmod(n, 9999)
         a, b = divmod(rest, 99)
-        return f"{a + 1 + (a + 1 > 665):03d}-{b + 1:02d}-{c + 1:04d}"
+        return f"{a + 1 + (a + 1 > 665):03d}{sep}{b + 1:02d}{sep}{c + 1:04d}"
 
     def ip(self, text: str) -> str | None:
         try:
@@ -167,41 +173,126 @@ class Pseudonyms:
         it = iter(f"{s[:2]}{check:02d}{rest}")
         return "".join(c if c == " " else next(it) for c in text)
 
+    def day(self, n: int, fits: Callable[[datetime.date], bool] = lambda day: True) -> datetime.date:
+        """The pseudonym of a day: on until it is of the day's class and fits."""
+        own = _class(datetime.date.fromordinal(FIRST_DAY + n))
+        while True:
+            n = self.permuted("date", n, DAYS)
+            new = datetime.date.fromordinal(FIRST_DAY + n)
+            if _class(new) == own and fits(new):
+                return new
+
     def date(self, text: str) -> str | None:
         a, sep, b, _, c = re.match(r"(\d+)([-/.])(\d+)([-/.])(\d+)", text).groups()
-        order = "ymd" if len(a) == 4 else "mdy" if sep == "/" and int(a) <= 12 else "dmy"
-        parts = dict(zip(order, map(int, (a, b, c))))
-        n = _day(parts)
+        first, second = int(a), int(b)
+        order = "ymd" if len(a) == 4 else "mdy" if first <= 12 and (sep == "/" or second > 12) else "dmy"
+        parts = dict(zip(order, (a, b, c)))
+        n = _day({k: int(v) for k, v in parts.items()})
         if n is None:
             return None
-        while True:  # on until the new date is read in the same order
-            n = self.permuted("date", n, DAYS)
-            day = datetime.date.fromordinal(FIRST_DAY + n)
-            if order != "dmy" or sep != "/" or day.day > 12:
+        new = self.day(n)
+        plain = {k for k in "dm" if len(parts[k]) == 1}
+        padded = {k for k in "dm" if parts[k][0] == "0"}
+        # written out of one figure where the old one is; a two-figure field goes with the other one
+        short = plain if padded else {"d", "m"} if plain else set()
+        fields = {"y": f"{new.year:04d}", "m": str(new.month) if "m" in short else f"{new.month:02d}", "d": str(new.day) if "d" in short else f"{new.day:02d}"}
+        return sep.join(fields[k] for k in order)
+
+    def month_date(self, text: str) -> str | None:
+        m = _MONTH_DATE.fullmatch(text)
+        found, number = m["m1"] or m["m2"], m["d1"] or m["d2"]
+        language, month = MONTH_OF[found.lower()]
+        n = _day({"y": int(m["y"]), "m": month, "d": int(number)})
+        if n is None or len(number) > 1 and number[0] == "0":
+            return None
+        new = self.day(n, lambda day: MONTH_OF[MONTH_NAMES[language][day.month - 1].lower()][0] == language)
+        name = MONTH_NAMES[language][new.month - 1]
+        name = name.upper() if found.isupper() and len(found) > 1 else name.lower() if found.islower() else name[0].upper() + name[1:]
+        suffix = m["s1"] or m["s2"]
+        ending = "" if not suffix else "." if suffix == "." else ("th" if 10 < new.day < 14 else {1: "st", 2: "nd", 3: "rd"}.get(new.day % 10, "th"))
+        if m["m1"]:
+            return f"{new.day}{ending}{m['g1']}{name}{m['g2']}{new.year:04d}"
+        return f"{name}{m['g3']}{new.day}{ending}{m['g4']}{new.year:04d}"
+
+    def ipv6(self, text: str) -> str | None:
+        try:
+            old = ipaddress.IPv6Address(text)
+        except ValueError:
+            return None
+        low = text.lower()
+        whole = low == old.exploded
+        if not whole and low != str(old):
+            return None  # neither of the two ways of writing it that can be told from the number
+        n, like = int(old), _written(old)
+        while True:
+            n = self.permuted("ipv6", n, 2**128)
+            new = ipaddress.IPv6Address(n)
+            if _written(new) == like:
                 break
-        new = {"y": f"{day.year:04d}", "m": f"{day.month:02d}", "d": f"{day.day:02d}"}
-        return sep.join(new[k] for k in order)
+        out = new.exploded if whole else str(new)
+        return out.upper() if text != low else out
 
     def email(self, text: str) -> str | None:
         name, _, domain = text.rpartition("@")
-        low = name.lower()
-        letters, digits = (re.sub(p, "", low) for p in (r"[^a-z]", r"[^0-9]"))
-        if not letters and not digits:
+        low = [c.lower() if len(c.lower()) == 1 else c for c in name]
+        alphabets = [_alphabet(c) for c in low]
+        if not any(alphabets):
             return None
-        size = 26 ** len(letters) * 10 ** len(digits)
-        shape = re.sub(r"[a-z]", "a", re.sub(r"[0-9]", "0", low))
-        value = 0
-        for c in letters:
-            value = value * 26 + ord(c) - 97
-        value = self.permuted(f"email{shape}@{domain.lower()}", value * 10 ** len(digits) + int(digits or 0), size)
-        value, number = divmod(value, 10 ** len(digits))
+        size, value = 1, 0
+        for c, letters in zip(low, alphabets):
+            if letters:
+                size, value = size * len(letters), value * len(letters) + letters.index(c)
+        # what stays, and where from each letter comes: its first one stands for its alphabet
+        shape = "".join(letters[0] if letters else c for c, letters in zip(low, alphabets))
+        value = self.permuted(f"email{shape}@{domain.lower()}", value, size)
         new = []
-        for _ in letters:
-            value, k = divmod(value, 26)
-            new.append(chr(97 + k))
-        chars, numbers = iter(reversed(new)), iter(f"{number:0{len(digits)}d}" if digits else "")
-        out = (next(chars) if "a" <= c <= "z" else next(numbers) if "0" <= c <= "9" else c for c in low)
-        return "".join(n.upper() if o.isupper() and n.isascii() else n for o, n in zip(name, out)) + "@" + domain
+        for c, letters in zip(reversed(low), reversed(alphabets)):
+            if letters:
+                value, k = divmod(value, len(letters))
+                c = letters[k]
+            new.append(c)
+        return "".join(n.upper() if o != o.lower() and a else n for o, n, a in zip(name, reversed(new), alphabets)) + "@" + domain
+
+
+#: Names of months, by language; of a name that several have the first language counts.
+MONTH_NAMES: dict[str, list[str]] = {
+    "english": "January February March April May June July August September October November December".split(),
+    "german": "Januar Februar März April Mai Juni Juli August September Oktober November Dezember".split(),
+    "french": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre".split(),
+    "spanish": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre".split(),
+    "short": "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split(),
+}
+MONTH_OF = {name.lower(): (language, k + 1) for language, names in reversed(MONTH_NAMES.items()) for k, name in enumerate(names)}
+_NAME = "|".join(sorted(MONTH_OF, key=lambda n: (-len(n), n)))
+_MONTH_DATE = re.compile(
+    rf"(?:(?P<d1>[0-9]{{1,2}})(?P<s1>\.|st|nd|rd|th)?(?P<g1> | de )(?P<m1>{_NAME})(?P<g2>,? | de )|(?P<m2>{_NAME})(?P<g3> )(?P<d2>[0-9]{{1,2}})(?P<s2>st|nd|rd|th)?(?P<g4>,? ))(?P<y>[0-9]{{4}})",
+    re.I,
+)
+
+
+def _class(day: datetime.date) -> tuple[bool, bool, bool]:
+    """What the ways of writing a date can tell of it."""
+    return day.day < 10, day.month < 10, day.day > 12
+
+
+def _written(address: ipaddress.IPv6Address) -> tuple[bool, bool]:
+    """Whether an address is written alike in full and in short, and has a letter, which tells the case."""
+    return str(address) == address.exploded, any(c in "abcdef" for c in str(address))
+
+
+@lru_cache(1024)
+def _alphabet(c: str) -> str:
+    """The letters or figures among which a character of a name is replaced; none: it stays."""
+    if "a" <= c <= "z":
+        return "abcdefghijklmnopqrstuvwxyz"
+    if "0" <= c <= "9":
+        return "0123456789"
+    if c.isascii() or not c.isalpha():
+        return ""
+    near = (chr(k) for k in range(ord(c) & ~31, (ord(c) & ~31) + 32))
+    # those that have one form in either case, or have no case
+    letters = "".join(x for x in near if x.isalpha() and x.lower() == x and len(x.upper()) == 1 and x.upper().lower() == x)
+    return letters if c in letters else ""
 
 
 def _day(parts: dict[str, int]) -> int | None:
@@ -214,13 +305,15 @@ def _day(parts: dict[str, int]) -> int | None:
 
 #: Kinds in the order in which they claim text.
 KINDS: tuple[tuple[str, re.Pattern], ...] = (
-    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])")),
+    ("email", re.compile(r"(?<![\w.%+-])[\w.%+-]{1,64}@(?:[^\W_](?:[^\W_]|-){0,62}\.)+[^\W\d_]{2,24}(?![\w-])")),
     ("foreign_phone", re.compile(r"(?<![0-9A-Za-z+])\+(?!1)[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,8}\)?){1,6}(?![0-9]|-[0-9])")),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")),
-    ("date", re.compile(r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\1[0-9]{4})(?![0-9/-]|\.[0-9])")),
+    ("date", re.compile(r"(?<![0-9/.-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![0-9/-]|\.[0-9])")),
+    ("month_date", re.compile(rf"(?<![\w/.-]){_MONTH_DATE.pattern}(?![\w/-])", re.I)),
+    ("ipv6", re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}|:):(?:[0-9A-Fa-f]{0,4}:){1,6}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z:.])")),
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])")),
     ("card", re.compile(r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])")),
-    ("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])")),
+    ("ssn", re.compile(r"(?<![0-9-])[0-9]{3}([- ])[0-9]{2}\1[0-9]{4}(?![0-9]|[- ][0-9])")),
     ("phone", re.compile(r"(?<![0-9A-Za-z])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}(?![0-9]|-[0-9])")),
 )
 _DIGITS = re.compile(r"[0-9]{2}")
@@ -243,7 +336,10 @@ IBAN_LENGTHS = {
     for country in countries.split()
 }
 
-REPLACED = T.StructType([T.StructField("text", T.StringType()), *(T.StructField(f"n_{k}", T.LongType()) for k, _ in KINDS)])
+#: Kinds that are counted with another.
+COUNTED_AS = {"month_date": "date", "ipv6": "ip"}
+COUNTED = tuple(k for k, _ in KINDS if k not in COUNTED_AS)
+REPLACED = T.StructType([T.StructField("text", T.StringType()), *(T.StructField(f"n_{k}", T.LongType()) for k in COUNTED)])
 
 
 def _ends(kind: str, found: str, usual: bool) -> list[int]:
@@ -257,13 +353,13 @@ def _ends(kind: str, found: str, usual: bool) -> list[int]:
 
 def replaced(text: str | None, pseudonyms: Pseudonyms) -> tuple:
     """The text with pseudonyms, and how many values of each kind were replaced."""
-    counts = dict.fromkeys((k for k, _ in KINDS), 0)
+    counts = dict.fromkeys(COUNTED, 0)
     if not text:
         return (text, *counts.values())
     found: list[tuple[int, int, str]] = []
     digits = bool(_DIGITS.search(text))
     for kind, pattern in KINDS:
-        if not ("@" in text if kind == "email" else digits):
+        if not ("@" in text if kind == "email" else ":" in text if kind == "ipv6" else digits):
             continue
         for usual in (True, False) if kind in LEAST else (True,):
             own, at = [], 0
@@ -281,7 +377,7 @@ def replaced(text: str | None, pseudonyms: Pseudonyms) -> tuple:
                 else:
                     if kind in LEAST:
                         at = _GROUP.match(text, start).end()
-            counts[kind] += len(own)
+            counts[COUNTED_AS.get(kind, kind)] += len(own)
             found = sorted(found + own)
     out, at = [], 0
     for start, end, new in found:
